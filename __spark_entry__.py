@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import clean_symbols as clean_symbol_column
 from tidemark.functions import split_symbols
+from tidemark.functions.symbols import WHITE_SPACE
 from tidemark.operators import (
     balanced_rolling_stats,
     rolling_stats,
@@ -460,11 +461,12 @@ SELECT 'Z-Score rows (excl. warmup)', CAST("TotalZScoreRows" AS VARCHAR) FROM to
 UNION ALL
 SELECT 'Anomalies flagged', coalesce(CAST("TotalAnomalies" AS VARCHAR), '-') FROM totals"""
 
-_BLANK_SQL = (
-    r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-_STRIP_SQL = f"regexp_replace(%s, '^{_BLANK_SQL}+|{_BLANK_SQL}+$', '', 'g')"
+# The characters of white space by number: SQL text shows them poorly.
+_WHITE_SPACE_SQL = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
+
+
+def _strip_sql(value: str) -> str:
+    return f"trim({value}, {_WHITE_SPACE_SQL})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -568,12 +570,12 @@ FROM (SELECT count(*) AS flagged FROM signals WHERE abs("ZScore") >= 5) WHERE fl
 WITH raw AS (
   SELECT p_type AS s FROM part UNION ALL SELECT p_name FROM part UNION ALL SELECT n_name FROM nation
 ),
-cleaned AS (SELECT DISTINCT upper({_STRIP_SQL % "s"}) AS "Symbol" FROM raw)
+cleaned AS (SELECT DISTINCT upper({_strip_sql("s")}) AS "Symbol" FROM raw)
 SELECT "Symbol", regexp_matches("Symbol", '^[A-Za-z0-9.\\-]+$') AS "IsValid"
 FROM cleaned WHERE "Symbol" <> ''""",
         "symbol_list": f"""
 WITH items AS (
-  SELECT doc_id, {_STRIP_SQL % "unnest(string_split(text, ','))"} AS "Symbol" FROM documents
+  SELECT doc_id, {_strip_sql("unnest(string_split(text, ','))")} AS "Symbol" FROM documents
 )
 SELECT doc_id, "Symbol" FROM items WHERE "Symbol" <> '' """,
     }

@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 SYMBOL_CHARACTERS = r"[A-Za-z0-9.\-]+"
 
 # Fixed value: every character that counts as white space, also outside ASCII.
-_BLANK = (
-    r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WHITE_SPACE = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-_EDGES = rf"^{_BLANK}+|{_BLANK}+\z"
 
 
 def strip(column: Column) -> Column:
-    """Remove white space of any kind at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(column, _EDGES, "")
+    """Remove white space of any kind at both ends (plain ``trim`` removes spaces only)."""
+    return F.btrim(column, F.lit(WHITE_SPACE))
 
 
 def check_symbols(symbols: Iterable[str]) -> list[str]:
@@ -51,5 +51,10 @@ def symbol_list(column: Column) -> Column:
 
 
 def split_symbols(df: DataFrame, column: str, *keep: str) -> DataFrame:
-    """One row per item of a comma-separated column."""
-    return df.select(*keep, F.explode(symbol_list(F.col(column))).alias("Symbol"))
+    """One row per item of a comma-separated column.
+
+    Exploding before trimming keeps every step inside generated code, which the array
+    functions of `symbol_list` are not.
+    """
+    items = df.select(*keep, F.explode(F.split(column, ",")).alias("Symbol"))
+    return items.withColumn("Symbol", strip(F.col("Symbol"))).where(F.col("Symbol") != "")

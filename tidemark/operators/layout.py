@@ -90,9 +90,10 @@ def plan_layout(
     to be cut and read only the series concerned.
     """
     spark = df.sparkSession
+    if rows_per_task is not None and rows_per_task < 1:
+        raise ValueError(f"rows_per_task must be at least 1, got {rows_per_task}")
     counts = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_rows"))
-    long_series = _longer_than_a_share(spark, counts, rows_per_task)
-    if long_series.isEmpty():
+    if counts.where(F.col("_rows") > (rows_per_task or MIN_ROWS_PER_TASK)).isEmpty():
         return SeriesLayout(spec)
 
     axes, positions = _axes(df, spec)
@@ -100,8 +101,10 @@ def plan_layout(
         log.warning("column %s cannot be cut; long series stay whole", spec.order)
         return SeriesLayout(spec)
     ensure_checkpoint_dir(spark)
-    long_series = long_series.checkpoint()
+    long_series = _longer_than_a_share(spark, counts, rows_per_task).checkpoint()
     n_long = long_series.count()
+    if n_long == 0:
+        return SeriesLayout(spec)
 
     draft = SeriesLayout(spec, axes, positions=positions)
     cells = draft.cell_columns
@@ -157,17 +160,12 @@ def _longer_than_a_share(
     spark: SparkSession, counts: DataFrame, rows_per_task: int | None
 ) -> DataFrame:
     if rows_per_task is not None:
-        if rows_per_task < 1:
-            raise ValueError(f"rows_per_task must be at least 1, got {rows_per_task}")
-        limited = counts.withColumn("_limit", F.lit(rows_per_task).cast("bigint"))
+        limit = F.lit(rows_per_task).cast("bigint")
     else:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        share = F.greatest(
-            F.lit(MIN_ROWS_PER_TASK).cast("bigint"),
-            F.ceil(F.sum("_rows") / F.lit(tasks)).cast("bigint"),
-        )
-        limited = counts.crossJoin(counts.agg(share.alias("_limit")))
-    return limited.where(F.col("_rows") > F.col("_limit"))
+        fair = F.ceil(F.sum("_rows") / F.lit(tasks)).cast("bigint")
+        limit = counts.agg(F.greatest(F.lit(MIN_ROWS_PER_TASK).cast("bigint"), fair)).scalar()
+    return counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
 
 
 def _divide(census: DataFrame, spec: SeriesSpec, cells: list[str]) -> DataFrame:
@@ -188,7 +186,6 @@ def _divide(census: DataFrame, spec: SeriesSpec, cells: list[str]) -> DataFrame:
         .withColumn("_low", low)
         .withColumn("_high", high)
         .select(*spec.keys, *cells, "_axis", "_low", step.alias("_step"))
-        .checkpoint()
     )
 
 

@@ -27,27 +27,23 @@ def settled(df: DataFrame) -> DataFrame:
 
 def bollinger_summary(bands: DataFrame) -> DataFrame:
     """Bar count, date range and close range of every symbol."""
-    return settled(bands).groupBy("Symbol").agg(*_price_aggregates()).orderBy("Symbol")
+    return _sorted(settled(bands).groupBy("Symbol").agg(*_price_aggregates()), "Symbol")
 
 
 def zscore_summary(zscores: DataFrame) -> DataFrame:
     """Bar count, anomaly count and largest absolute z-score of every symbol."""
-    return (
+    summary = (
         settled(zscores)
         .groupBy("Symbol")
         .agg(F.count(F.lit(1)).alias("BarCount"), *_anomaly_aggregates())
-        .orderBy(F.desc("AnomalyCount"), "Symbol")
     )
+    return _sorted(summary, F.desc("AnomalyCount"), "Symbol")
 
 
 def symbol_summary(signals: DataFrame) -> DataFrame:
     """Both summaries in one pass, for a frame that carries bands and z-scores."""
-    return (
-        settled(signals)
-        .groupBy("Symbol")
-        .agg(*_price_aggregates(), *_anomaly_aggregates())
-        .orderBy("Symbol")
-    )
+    summary = settled(signals).groupBy("Symbol").agg(*_price_aggregates(), *_anomaly_aggregates())
+    return _sorted(summary, "Symbol")
 
 
 def top_anomalies(
@@ -71,10 +67,13 @@ def overall_totals(bands: DataFrame, zscores: DataFrame) -> DataFrame:
     """
     from_bands = settled(bands).agg(*_headline_aggregates("TotalBollingerRows"))
     from_zscores = settled(zscores).agg(
-        F.count(F.lit(1)).alias("TotalZScoreRows"), _anomaly_total().alias("TotalAnomalies")
+        F.struct(
+            F.count(F.lit(1)).alias("TotalZScoreRows"), _anomaly_total().alias("TotalAnomalies")
+        )
+    )
+    return from_bands.withColumn("_scores", from_zscores.scalar()).select(
+        *from_bands.columns, "_scores.*"
     )
-    # One row times one row.
-    return from_bands.crossJoin(from_zscores)
 
 
 def overall_totals_from_signals(signals: DataFrame) -> DataFrame:
@@ -120,7 +119,7 @@ def per_symbol_report(prices: DataFrame, anomalies: DataFrame) -> DataFrame:
 
 def symbol_report(summary: DataFrame) -> DataFrame:
     """Report text for rows shaped like `symbol_summary`."""
-    return summary.select(
+    text = summary.select(
         "Symbol",
         F.col("BarCount").alias("Bars"),
         number_text(F.col("MinClose")).alias("Min Close"),
@@ -128,7 +127,8 @@ def symbol_report(summary: DataFrame) -> DataFrame:
         number_text(F.col("AvgClose")).alias("Avg Close"),
         F.coalesce("AnomalyCount", F.lit(0)).alias("Anomalies"),
         number_text(F.col("MaxAbsZScore")).alias("Max |Z|"),
-    ).orderBy("Symbol")
+    )
+    return _sorted(text, "Symbol")
 
 
 def top_anomaly_report(anomalies: DataFrame) -> DataFrame:
@@ -152,6 +152,15 @@ def no_anomaly_note(zscores: DataFrame) -> DataFrame:
     )
 
 
+def _sorted(summary: DataFrame, *order) -> DataFrame:
+    """Sort a per-symbol frame without computing it twice.
+
+    A global sort first runs its input once to find the range bounds. Shuffling the few
+    summary rows beforehand makes that run read them instead of repeating the windows.
+    """
+    return summary.repartition("Symbol").orderBy(*order)
+
+
 def _price_aggregates():
     return [
         F.count(F.lit(1)).alias("BarCount"),
