@@ -39,6 +39,9 @@ _NULL_POSITION = -(2**62)
 
 _DAY = 86_400_000_000
 
+# Session time zones without clock changes, where a cast keeps the order of local times.
+_FIXED_ZONES = ("UTC", "Etc/UTC", "GMT", "Z")
+
 
 @dataclass(frozen=True)
 class SeriesLayout:
@@ -223,9 +226,10 @@ def _null_safe_join(
 
 def _axes(df: DataFrame, spec: SeriesSpec) -> tuple[tuple[str, ...], tuple[Column, ...]]:
     """The leading order columns that map to integers without changing their order."""
+    time_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     axes, positions = [], []
     for name in [spec.order, *spec.tie_breakers]:
-        position = _position(F.col(name), df.schema[name].dataType)
+        position = _position(F.col(name), df.schema[name].dataType, time_zone)
         if position is None:
             break
         axes.append(name)
@@ -237,19 +241,13 @@ def _position_inputs(spec: SeriesSpec) -> list[str]:
     return [c for c in dict.fromkeys([spec.order, *spec.tie_breakers]) if c not in spec.keys]
 
 
-def _position(column: Column, data_type: T.DataType) -> Column | None:
+def _position(column: Column, data_type: T.DataType, time_zone: str) -> Column | None:
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(data_type, T.TimestampNTZType):
-        # Clock fields, not a cast: a cast would go through the session time zone, where
-        # clock changes reorder local times.
-        seconds = F.extract(F.lit("SECOND"), column)
-        return (
-            F.unix_date(column.cast("date")).cast("bigint") * _DAY
-            + F.hour(column).cast("bigint") * 3_600_000_000
-            + F.minute(column).cast("bigint") * 60_000_000
-            + (seconds * 1_000_000).cast("bigint")
-        )
+        if time_zone in _FIXED_ZONES:
+            return F.unix_micros(column.cast("timestamp"))
+        return _clock_micros(column)
     if isinstance(data_type, T.DateType):
         return F.unix_date(column).cast("bigint")
     if isinstance(data_type, T.LongType):
@@ -258,3 +256,18 @@ def _position(column: Column, data_type: T.DataType) -> Column | None:
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
         return column.cast("bigint")
     return None
+
+
+def _clock_micros(column: Column) -> Column:
+    """Microseconds of a zone-less time, from its clock fields.
+
+    A cast would go through the session time zone, where clock changes reorder local
+    times.
+    """
+    seconds = F.extract(F.lit("SECOND"), column)
+    return (
+        F.unix_date(column.cast("date")).cast("bigint") * _DAY
+        + F.hour(column).cast("bigint") * 3_600_000_000
+        + F.minute(column).cast("bigint") * 60_000_000
+        + (seconds * 1_000_000).cast("bigint")
+    )

@@ -23,9 +23,12 @@ from tidemark.scratch import ensure_checkpoint_dir
 from tidemark.series import BARS
 from tidemark.sinks import (
     BANDS_COLUMNS,
+    BANDS_TABLE,
     ZSCORE_COLUMNS,
+    ZSCORE_TABLE,
     RunStamp,
     bands_output,
+    require_values,
     save,
     zscore_output,
 )
@@ -128,6 +131,7 @@ def run(
         scores = zscore_output(
             with_zscore(stats, params.z_threshold), params.window, params.z_threshold, stamp
         )
+        bands, scores = require_values(bands, BANDS_TABLE), require_values(scores, ZSCORE_TABLE)
         bands_rows = save(bands, bands_target, params.write_mode)
         zscore_rows = save(scores, zscore_target, params.write_mode)
     log.info("batch %s: %d band rows, %d z-score rows", stamp.batch_id, bands_rows, zscore_rows)

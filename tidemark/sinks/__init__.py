@@ -2,6 +2,7 @@ from tidemark.sinks.outputs import (
     RunStamp,
     bands_output,
     create_table,
+    require_values,
     save,
     zscore_output,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "ZSCORE_TABLE",
     "bands_output",
     "create_table",
+    "require_values",
     "save",
     "zscore_output",
 ]

@@ -48,16 +48,25 @@ def _typed(df: DataFrame, table: T.StructType, stamp: RunStamp, **parameters) ->
         elif target.name in literals:
             column = F.lit(literals[target.name])
         else:
-            column = _required(F.col(target.name), target)
+            column = F.col(target.name)
         columns.append(column.cast(target.dataType).alias(target.name))
     return df.select(*columns)
 
 
-def _required(column: Column, target: T.StructField) -> Column:
-    """A missing value in a mandatory column fails the write, as a database would."""
+def require_values(df: DataFrame, table: T.StructType) -> DataFrame:
+    """Fail on a missing value in a mandatory column, as a database would.
+
+    Meant for the last step before a write: a checked key is a new column to the
+    optimizer, so aggregations after it could not reuse the partitioning by symbol.
+    """
+    return df.select(*[_required(target) for target in table.fields])
+
+
+def _required(target: T.StructField) -> Column:
     if target.nullable:
-        return column
-    return F.coalesce(column, F.raise_error(F.lit(f"{target.name} must not be null")))
+        return F.col(target.name)
+    message = F.lit(f"{target.name} must not be null")
+    return F.coalesce(F.col(target.name), F.raise_error(message)).alias(target.name)
 
 
 def create_table(spark: SparkSession, name: str, table: T.StructType) -> None:
