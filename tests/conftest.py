@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 from datetime import datetime, timedelta
@@ -54,4 +56,7 @@ def by_row(df, *columns):
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

@@ -143,11 +143,11 @@ def test_leading_rows_equal_the_start_of_the_whole(spark, rows):
 
 
 class TestProperties:
-    @pytest.fixture(scope="class")
+    @pytest.fixture
     def ticks(self, spark):
         return tick_series(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
 
-    @pytest.fixture(scope="class")
+    @pytest.fixture
     def out(self, ticks):
         return signals(ticks, 20)
 

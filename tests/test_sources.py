@@ -1,0 +1,182 @@
+from datetime import datetime
+
+import pytest
+from conftest import SF_SMALL, plan_of
+
+from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameReader
+from tidemark.operators import rolling_stats
+from tidemark.series import BARS, SeriesSpec
+from tidemark.sources import (
+    HISTORY_COLUMNS,
+    JdbcTable,
+    check_date,
+    history,
+    jdbc_url,
+    read_history,
+    with_row_identity,
+    yes_no,
+)
+from tidemark.sources.views import hourly_bars, tick_series
+
+
+@pytest.fixture(scope="module")
+def stored_bars(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("bars") / "bars.parquet")
+    hourly_bars(spark.read.parquet(f"{SF_SMALL}/events.parquet")).write.parquet(path)
+    return path
+
+
+def test_dates_are_checked_for_shape():
+    assert check_date("start", "2026-01-01") == "2026-01-01"
+    for bad in ("2026-1-1", "20260101", "2026-01-01\n", "2026-01-01' OR 1=1", ""):
+        with pytest.raises(ValueError, match="start"):
+            check_date("start", bad)
+
+
+def test_impossible_dates_fail_and_empty_ranges_do_not(spark, make_bars):
+    bars = make_bars(A=[1.0])
+    with pytest.raises(Exception, match="2026-13-45"):
+        history(bars, None, "2026-13-45", "2026-12-31", columns=None).collect()
+    assert history(bars, None, "2025-01-01", "2024-01-01", columns=None).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_end_counts_at_midnight_only(spark, kind):
+    times = [datetime(2024, 1, 20), datetime(2024, 1, 20, 9, 30), datetime(2024, 1, 21)]
+    bars = spark.createDataFrame(
+        [("A", t, 1.0) for t in times], "Symbol string, BarDateTime timestamp_ntz, ClosePrice double"
+    ).withColumn("BarDateTime", F.col("BarDateTime").cast(kind))
+    exact = history(bars, ["a"], "2024-01-20", "2024-01-20", columns=None)
+    whole = history(bars, ["a"], "2024-01-20", "2024-01-20", columns=None, end_inclusive_day=True)
+    assert exact.count() == (2 if kind == "date" else 1)
+    assert whole.count() == 2
+
+
+def test_filters_and_columns_reach_the_scan(spark, stored_bars):
+    df = read_history(spark, stored_bars, ["click", "VIEW"], "2024-01-05", "2024-01-20")
+    assert tuple(df.columns) == HISTORY_COLUMNS
+    plan = plan_of(df)
+    for pushed in ("In(Symbol, [CLICK,VIEW])", "GreaterThanOrEqual(BarDateTime", "LessThanOrEqual(BarDateTime"):
+        assert pushed in plan
+    narrow = plan_of(rolling_stats(df.select(*BARS.columns), 20))
+    assert "OpenPrice" not in narrow
+    assert {r.Symbol for r in df.collect()} == {"CLICK", "VIEW"}
+
+
+def test_long_symbol_lists_become_a_join(spark, stored_bars):
+    wanted = [f"X{i}" for i in range(600)] + ["click"]
+    df = read_history(spark, stored_bars, wanted, "2024-01-05", "2024-01-20")
+    assert "LeftSemi" in plan_of(df)
+    short = read_history(spark, stored_bars, ["CLICK"], "2024-01-05", "2024-01-20")
+    assert sorted(df.collect()) == sorted(short.collect())
+    table = spark.createDataFrame([("CLICK",)], "s string")
+    assert sorted(read_history(spark, stored_bars, table, "2024-01-05", "2024-01-20").collect()) == (
+        sorted(short.collect())
+    )
+
+
+def test_symbols_are_compared_as_stored_unless_folded(spark, make_bars):
+    bars = make_bars(aapl=[1.0], AAPL=[2.0])
+    assert history(bars, ["aapl"], columns=None).count() == 1
+    assert history(bars, ["aapl"], columns=None, fold_case=True).count() == 2
+
+
+def test_nan_can_become_null(spark, make_bars):
+    bars = history(make_bars(A=[1.0, float("nan"), 2.0]), columns=None, nan_as_null=True)
+    assert [r.ClosePrice for r in bars.orderBy("BarDateTime").collect()] == [1.0, None, 2.0]
+
+
+def test_range_applies_before_the_window(spark, make_bars):
+    bars = make_bars(A=[float(i) for i in range(1000)])  # 09:30 on, past midnight
+    later = rolling_stats(history(bars, None, "2024-03-05", "2024-03-09", columns=None), 3)
+    first = later.orderBy("BarDateTime").first()
+    assert (first.RowNum, first.IsWarmup, first.RollingStd) == (1, True, None)
+
+
+def test_row_identity_breaks_ties(spark, tmp_path):
+    path = str(tmp_path / "ties")
+    spark.sql(
+        "select 'A' Symbol, timestamp_ntz'2024-01-01' BarDateTime, 1.0D ClosePrice from range(40)"
+    ).repartition(3).write.parquet(path)
+    df = with_row_identity(spark.read.parquet(path))
+    assert df.select("_file", "_row").distinct().count() == 40
+    spec = SeriesSpec(tie_breakers=("_file", "_row"))
+    from tidemark.operators import plan_layout
+
+    layout = plan_layout(df, spec, rows_per_task=9)
+    assert layout.pieces.agg(F.max("_rows")).first()[0] <= 9
+    out = rolling_stats(df, 4, spec, layout)
+    assert sorted(r.RowNum for r in out.collect()) == list(range(1, 41))
+
+
+def test_switches_and_urls():
+    assert [yes_no(v) for v in ("yes", " TRUE ", "1", "no", "false", "0", "", True, False)] == (
+        ["true"] * 3 + ["false"] * 4 + ["true", "false"]
+    )
+    url = jdbc_url(
+        "sqlserver://db.example:1433",
+        {"databaseName": "Bars", "trustServerCertificate": yes_no("yes"), "encrypt": True},
+    )
+    assert url == (
+        "jdbc:sqlserver://db.example:1433;databaseName=Bars;trustServerCertificate=true;encrypt=true;"
+    )
+    assert jdbc_url("h2:mem:x") == "jdbc:h2:mem:x"
+
+
+def test_jdbc_options():
+    table = JdbcTable("jdbc:x", "dbo.Bars", "me", "secret", "a.b.Driver")
+    assert "secret" not in repr(table)
+    assert table.read_options("BarDateTime", "2024-01-01", "2024-02-01") == {
+        "url": "jdbc:x",
+        "dbtable": "dbo.Bars",
+        "user": "me",
+        "password": "secret",
+        "driver": "a.b.Driver",
+        "fetchsize": "10000",
+    }
+    sliced = JdbcTable("jdbc:x", "t", connections=4, fetch_size=5)
+    options = sliced.read_options("BarDateTime", "2024-01-01", "2024-02-01")
+    assert options["partitionColumn"] == "BarDateTime" and options["numPartitions"] == "4"
+    assert options["lowerBound"] == "2024-01-01 00:00:00" and options["fetchsize"] == "5"
+    assert "partitionColumn" not in sliced.read_options()
+    assert "truncate" not in table.write_options("append")
+    assert table.write_options("overwrite")["truncate"] == "true"
+    wide = JdbcTable("jdbc:x", "t", batch_size=7, connections=3, column_types="Symbol VARCHAR(20)")
+    assert wide.write_options("append") == {
+        "url": "jdbc:x",
+        "dbtable": "t",
+        "batchsize": "7",
+        "numPartitions": "3",
+        "createTableColumnTypes": "Symbol VARCHAR(20)",
+    }
+
+
+def test_jdbc_read_passes_the_table_and_filters_on_top(spark, stored_bars, monkeypatch):
+    """No database here: the reader is replaced where it would connect."""
+    seen = {}
+    real_options, real_format = DataFrameReader.options, DataFrameReader.format
+
+    def fake_load(self, *args, **kwargs):
+        return spark.read.parquet(stored_bars)
+
+    monkeypatch.setattr(
+        DataFrameReader, "format", lambda self, f: seen.update(format=f) or real_format(self, f)
+    )
+    monkeypatch.setattr(
+        DataFrameReader, "options", lambda self, **o: seen.update(o) or real_options(self, **o)
+    )
+    monkeypatch.setattr(DataFrameReader, "load", fake_load)
+    df = read_history(
+        spark, JdbcTable("jdbc:x", "dbo.Bars", connections=2), ["click"], "2024-01-05", "2024-01-20"
+    )
+    assert seen["format"] == "jdbc" and seen["dbtable"] == "dbo.Bars"
+    assert seen["numPartitions"] == "2"
+    assert {r.Symbol for r in df.collect()} == {"CLICK"}
+
+
+def test_views_have_unique_bar_times(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for view in (tick_series(events), hourly_bars(events)):
+        assert view.groupBy("Symbol", "BarDateTime").count().where("count > 1").isEmpty()
+    assert tuple(hourly_bars(events).columns) == HISTORY_COLUMNS
