@@ -45,18 +45,18 @@ def test_pieces_are_bounded_and_cover_everything(spark):
     bars = skewed(spark)
     layout = plan_layout(bars, rows_per_task=25)
     assert len(layout.levels) > 1  # the burst needs another level
-    assert layout.pieces.agg(F.max("_rows")).first()[0] <= 25
-    hot = layout.pieces.where("Symbol = 'HOT'")
+    assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 25
+    hot = layout.pieces.table.where("Symbol = 'HOT'")
     assert hot.agg(F.sum("_rows")).first()[0] == bars.where("Symbol = 'HOT'").count()
     assigned = layout.assign(bars).groupBy("Symbol", "_cell0").count()
-    joined = layout.pieces.join(assigned, ["Symbol", "_cell0"])
-    assert joined.where("count <> _rows").isEmpty() and joined.count() == layout.n_pieces
+    joined = layout.pieces.table.join(assigned, ["Symbol", "_cell0"])
+    assert joined.where("count <> _rows").isEmpty() and joined.count() == layout.pieces.n_rows
 
 
 def test_short_series_are_left_alone(spark):
     layout = plan_layout(skewed(spark), rows_per_task=150)
     assert layout.is_split
-    assert [r.Symbol for r in layout.pieces.select("Symbol").distinct().collect()] == ["HOT"]
+    assert [r.Symbol for r in layout.pieces.table.select("Symbol").distinct().collect()] == ["HOT"]
     assert not plan_layout(skewed(spark), rows_per_task=201).is_split
     assert not plan_layout(skewed(spark)).is_split
 
@@ -66,8 +66,9 @@ def test_default_limit_is_a_fair_share(spark, monkeypatch):
     monkeypatch.setattr(layout_module, "MIN_ROWS_PER_TASK", 10)
     layout = plan_layout(bars)
     # 600 rows over 8 shuffle partitions: only the hot symbol exceeds 75 rows.
-    assert layout.pieces.select("Symbol").distinct().count() == 1
-    assert layout.pieces.agg(F.max("_limit")).first()[0] == 75
+    assert layout.pieces.table.select("Symbol").distinct().count() == 1
+    assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 75
+    assert layout.pieces.n_rows < 40
     same(rolling_stats(bars, 5, layout=layout), rolling_stats(bars, 5))
     monkeypatch.setattr(layout_module, "MIN_ROWS_PER_TASK", 199)
     assert plan_layout(bars).is_split
@@ -83,14 +84,42 @@ def test_large_lookup_tables_are_shuffled(spark, monkeypatch):
     same(balanced_rolling_stats(bars, 5, rows_per_task=30), rolling_stats(bars, 5))
 
 
-def test_equal_times_need_tie_breakers(spark):
-    rows = [("A", T0, float(i % 7), i) for i in range(100)] + [("A", None, 1.0, 500)]
+def test_equal_times_are_cut_by_what_orders_them_next(spark):
+    rows = [("A", T0, float(i), i) for i in range(60)]
+    rows += [("B", T0, float(i % 3), i) for i in range(60)] + [("A", None, 1.0, 500)]
     bars = spark.createDataFrame(rows, SCHEMA + ", Id long")
-    stuck = plan_layout(bars, rows_per_task=10)
-    assert stuck.pieces.agg(F.max("_rows")).first()[0] == 100
-    spec = SeriesSpec(tie_breakers=("Id",))
-    layout = plan_layout(bars, spec, rows_per_task=10)
-    assert layout.pieces.agg(F.max("_rows")).first()[0] <= 10
+    for spec in (BARS, SeriesSpec(tie_breakers=("Id",))):
+        layout = plan_layout(bars, spec, rows_per_task=10)
+        assert layout.copies is None
+        assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 10
+        cut, whole = rolling_stats(bars, 4, spec, layout), rolling_stats(bars, 4, spec)
+        if spec is BARS:  # rows with equal closes may swap their Id
+            cut, whole = cut.drop("Id"), whole.drop("Id")
+        same(cut, whole)
+
+
+def test_equal_rows_are_counted_and_dealt_out(spark):
+    rows = [("A", T0, 2.0)] * 95 + [("A", T0 + timedelta(minutes=i), float(i)) for i in range(1, 9)]
+    rows += [("B", T0, None)] * 31 + [("B", T0, 7.0)] * 2 + [(None, None, 1.0)] * 23
+    rows += [("C", T0 + timedelta(minutes=i), 5.0) for i in range(9)]
+    bars = spark.createDataFrame(rows, SCHEMA)
+    layout = plan_layout(bars, rows_per_task=10)
+    assert layout.copies.n_rows == 3
+    assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 10
+    assert layout.pieces.table.agg(F.sum("_rows")).first()[0] == len(rows) - 9
+    assert layout.assign(bars).count() == len(rows)
+    for n in (1, 4, 15):
+        same(rolling_stats(bars, n, layout=layout), rolling_stats(bars, n))
+
+
+def test_order_that_ends_in_text_keeps_equal_times_whole(spark):
+    bars = spark.createDataFrame(
+        [("A", T0 + timedelta(minutes=i // 20), float(i), f"{i:03}") for i in range(60)],
+        SCHEMA + ", Note string",
+    )
+    spec = SeriesSpec(tie_breakers=("Note",))
+    layout = plan_layout(bars, spec, rows_per_task=5)
+    assert layout.pieces.table.agg(F.max("_rows")).first()[0] == 20
     same(rolling_stats(bars, 4, spec, layout), rolling_stats(bars, 4, spec))
 
 
@@ -114,7 +143,7 @@ def test_other_order_types(spark, kind, value):
     rows = [("A", value(i), float(i * 7 % 11)) for i in range(40)]
     bars = spark.createDataFrame(rows, f"Symbol string, BarDateTime {kind}, ClosePrice double")
     layout = plan_layout(bars, rows_per_task=6)
-    assert layout.n_pieces > 4
+    assert layout.pieces.n_rows > 4
     same(rolling_stats(bars, 5, layout=layout), rolling_stats(bars, 5))
 
 

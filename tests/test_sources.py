@@ -105,7 +105,7 @@ def test_row_identity_breaks_ties(spark, tmp_path):
     from tidemark.operators import plan_layout
 
     layout = plan_layout(df, spec, rows_per_task=9)
-    assert layout.pieces.agg(F.max("_rows")).first()[0] <= 9
+    assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 9
     out = rolling_stats(df, 4, spec, layout)
     assert sorted(r.RowNum for r in out.collect()) == list(range(1, 41))
 

@@ -2,21 +2,23 @@
 
 A window function sends all rows of a series to one task. When one symbol holds a large
 share of the table that task decides the run time. A layout cuts such series along their
-order axis into cells of bounded size. All decisions come from exact counts of the data
-and integer arithmetic, so a task that is run again always puts a row in the same cell.
+order into cells of bounded size. All decisions come from exact counts of the data and
+integer arithmetic, so a task that is run again always puts a row in the same cell.
 
 Cutting goes level by level: a cell with too many rows is divided into equal ranges
 between its own smallest and largest position and counted again. Evenly spread series
-need one level; bursts need one or two more, on the rows of the burst only.
+need one level; bursts need one or two more, on the rows of the burst only. Rows that
+share one time are divided by the columns that order them next, and rows that are equal
+in every column are counted and dealt out by number.
 """
 
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,48 +36,72 @@ _OVERSPLIT = 4
 # Lookup tables above this many rows are joined by shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 
-# Positions of missing order values: they sort first and leave room for subtraction.
+# Positions of missing values (which sort first) and of NaN (which sorts last); both
+# leave room for subtraction.
 _NULL_POSITION = -(2**62)
-
-_DAY = 86_400_000_000
+_NAN_POSITION = 2**61
 
 # Session time zones without clock changes, where a cast keeps the order of local times.
 _FIXED_ZONES = ("UTC", "Etc/UTC", "GMT", "Z")
 
+_DAY = 86_400_000_000
+_MAX_ARRAY = 100_000
+_COPY = "_copy"
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A small table with its measured size."""
+
+    table: DataFrame
+    n_rows: int
+
 
 @dataclass(frozen=True)
 class SeriesLayout:
     """The cuts of the long series of one table; rows of other series stay whole."""
 
     spec: SeriesSpec
-    axes: tuple[str, ...] = ()
-    levels: tuple[tuple[DataFrame, int], ...] = ()
-    pieces: DataFrame | None = None
-    n_pieces: int = 0
-    positions: tuple[Column, ...] = field(default=(), repr=False)
+    # Integer positions of a row, one per axis, and the ranges cut on them in turn.
+    positions: tuple[Column, ...] = ()
+    levels: tuple[tuple[int, Lookup], ...] = ()
+    # Cells made of equal rows only.
+    copies: Lookup | None = None
+    # Row counts by piece, and the rows of the same series before it.
+    pieces: Lookup | None = None
 
     @property
     def is_split(self) -> bool:
-        return bool(self.levels)
+        return self.pieces is not None
 
     @property
     def cell_columns(self) -> list[str]:
-        return [f"_cell{i}" for i in range(len(self.axes))]
+        return [*_cells(len(self.positions)), *([_COPY] if self.copies else [])]
 
     def assign(self, df: DataFrame, only_split: bool = False) -> DataFrame:
         """Add the cell columns to ``df``; with ``only_split`` keep cut series only."""
-        start = df.select("*", *[F.lit(0).cast("bigint").alias(c) for c in self.cell_columns])
-        out = start
-        for depth, (splits, n_rows) in enumerate(self.levels):
-            how = "inner" if only_split and depth == 0 else "left"
-            out = _descend(out, splits, n_rows, how, self)
-        return out
+        zero = F.lit(0).cast("bigint")
+        out = df.select("*", *[zero.alias(c) for c in self.cell_columns])
+        if only_split:
+            keys = list(self.spec.keys)
+            series = self.pieces.table.select(*keys).distinct()
+            out = _join(out, Lookup(series, self.pieces.n_rows), keys, "left_semi")
+        for axis, ranges in self.levels:
+            out = _descend(out, ranges, "left", self.spec, axis, self.positions[axis])
+        if self.copies is None:
+            return out
+        on = [*self.spec.keys, *_cells(len(self.positions))]
+        tagged = _join(out, self.copies, on, "left")
+        others = tagged.where(F.col("_limit").isNull()).drop("_limit")
+        dealt = _deal_copies(tagged.where(F.col("_limit").isNotNull()), df.columns, on)
+        # The parts are spread over tasks before they are written out row by row.
+        copies = _repeat(dealt.repartition(*on, _COPY), "_part")
+        return others.unionByName(copies.select(*others.columns))
 
     def look_up(self, df: DataFrame, table: DataFrame, how: str = "left") -> DataFrame:
-        """Join a per-cell table to rows that carry cell columns."""
-        return _null_safe_join(
-            df, table, [*self.spec.keys, *self.cell_columns], how, self.n_pieces
-        )
+        """Join a per-piece table to rows that carry cell columns."""
+        on = [*self.spec.keys, *self.cell_columns]
+        return _join(df, Lookup(table, self.pieces.n_rows), on, how)
 
 
 def plan_layout(
@@ -92,156 +118,187 @@ def plan_layout(
     The first pass reads the key columns only. Further passes run only if something has
     to be cut and read only the series concerned.
     """
-    spark = df.sparkSession
     if rows_per_task is not None and rows_per_task < 1:
         raise ValueError(f"rows_per_task must be at least 1, got {rows_per_task}")
-    counts = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = list(spec.keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     if counts.where(F.col("_rows") > (rows_per_task or MIN_ROWS_PER_TASK)).isEmpty():
         return SeriesLayout(spec)
 
-    axes, positions = _axes(df, spec)
-    if not axes:
-        log.warning("column %s cannot be cut; long series stay whole", spec.order)
-        return SeriesLayout(spec)
-    ensure_checkpoint_dir(spark)
-    long_series = _longer_than_a_share(spark, counts, rows_per_task).checkpoint()
-    n_long = long_series.count()
-    if n_long == 0:
+    ensure_checkpoint_dir(df.sparkSession)
+    long_series = _measured(_longer_than_a_share(counts, rows_per_task))
+    if long_series.n_rows == 0:
         return SeriesLayout(spec)
 
-    draft = SeriesLayout(spec, axes, positions=positions)
-    cells = draft.cell_columns
-    rows = _null_safe_join(
-        df, long_series.select(*spec.keys, "_limit"), list(spec.keys), "inner", n_long
-    ).select(*spec.keys, *_position_inputs(spec), "_limit")
-    rows = rows.select("*", *[F.lit(0).cast("bigint").alias(c) for c in cells])
-
-    levels: list[tuple[DataFrame, int]] = []
+    axes, complete = _axes(df, spec)
+    # All rows of long series in the cells found so far.
+    placed = _join(df, Lookup(long_series.table.drop("_rows"), long_series.n_rows), keys, "inner")
+    levels: list[tuple[int, Lookup]] = []
     finished: list[DataFrame] = []
-    while True:
-        census = (
-            rows.groupBy(*spec.keys, *cells)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.max("_limit").alias("_limit"),
-                *[F.min(p).alias(f"_min{i}") for i, p in enumerate(positions)],
-                *[F.max(p).alias(f"_max{i}") for i, p in enumerate(positions)],
+    unresolved = long_series
+    n_axes = 0
+    for axis, position in enumerate(axes):
+        n_axes = axis + 1
+        on = [*keys, *_cells(axis)]
+        placed = placed.withColumn(f"_cell{axis}", F.lit(0).cast("bigint"))
+        rows = placed
+        if axis:
+            rows = _join(rows, Lookup(unresolved.table.select(*on), unresolved.n_rows), on, "left_semi")
+        on = [*keys, *_cells(n_axes)]
+        equal: list[DataFrame] = []
+        while True:
+            census = (
+                rows.groupBy(*on)
+                .agg(
+                    F.count(F.lit(1)).alias("_rows"),
+                    F.max("_limit").alias("_limit"),
+                    F.min(position).alias("_low"),
+                    F.max(position).alias("_high"),
+                )
+                .checkpoint()
             )
-            .checkpoint()
-        )
-        splits = _divide(census, spec, cells)
-        n_splits = splits.count()
-        if n_splits == 0:
-            finished.append(census)
+            too_large = F.col("_rows") > F.col("_limit")
+            finished.append(census.where(~too_large))
+            equal.append(census.where(too_large & (F.col("_low") == F.col("_high"))))
+            ranges = _divide(census.where(too_large & (F.col("_low") < F.col("_high"))), on)
+            ranges = Lookup(ranges, ranges.count())
+            if ranges.n_rows == 0:
+                break
+            levels.append((axis, ranges))
+            placed = _descend(placed, ranges, "left", spec, axis, position)
+            rows = _descend(rows, ranges, "inner", spec, axis, position)
+        unresolved = _measured(reduce(DataFrame.unionByName, equal))
+        if unresolved.n_rows == 0:
             break
-        finished.append(
-            _null_safe_join(
-                census, splits.select(*spec.keys, *cells), [*spec.keys, *cells], "left_anti", n_splits
-            )
+
+    copies = None
+    if unresolved.n_rows and complete:
+        copies = Lookup(unresolved.table.select(*keys, *_cells(n_axes), "_limit"), unresolved.n_rows)
+    elif unresolved.n_rows:
+        log.warning("%d groups cannot be cut further and stay whole", unresolved.n_rows)
+        finished.append(unresolved.table)
+        if not levels:
+            return SeriesLayout(spec)
+
+    layout = SeriesLayout(spec, tuple(axes[:n_axes]), tuple(levels), copies)
+    zero = F.lit(0).cast("bigint")
+    leaves = [
+        part.select(
+            *keys,
+            *[F.col(c) if c in part.columns else zero.alias(c) for c in layout.cell_columns],
+            "_rows",
         )
-        levels.append((splits, n_splits))
-        rows = _descend(rows, splits, n_splits, "inner", draft)
+        for part in finished
+    ]
+    if copies is not None:
+        on = [*keys, *_cells(n_axes)]
+        equal_rows = _join(placed.drop("_limit"), copies, on, "inner")
+        dealt = _deal_copies(equal_rows, df.columns, on)
+        leaves.append(dealt.groupBy(*on, _COPY).agg(F.sum("_part").alias("_rows")))
+    return _with_pieces(layout, reduce(DataFrame.unionByName, leaves))
+
 
-    leaves = reduce(DataFrame.unionByName, finished)
+def _with_pieces(layout: SeriesLayout, leaves: DataFrame) -> SeriesLayout:
     so_far = (
-        Window.partitionBy(*spec.keys)
-        .orderBy(*cells)
+        Window.partitionBy(*layout.spec.keys)
+        .orderBy(*layout.cell_columns)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    pieces = leaves.withColumn(
-        "_before", F.coalesce(F.sum("_rows").over(so_far), F.lit(0))
-    ).checkpoint()
-    n_pieces, n_stuck = pieces.agg(
-        F.count(F.lit(1)), F.count_if(F.col("_rows") > F.col("_limit"))
-    ).first()
-    if n_stuck:
-        log.warning("%d groups share one order value and stay whole; tie breakers cut them", n_stuck)
-    return SeriesLayout(spec, axes, tuple(levels), pieces, n_pieces, positions)
-
-
-def _longer_than_a_share(
-    spark: SparkSession, counts: DataFrame, rows_per_task: int | None
-) -> DataFrame:
+    before = F.coalesce(F.sum("_rows").over(so_far), F.lit(0))
+    pieces = _measured(leaves.withColumn("_before", before))
+    return SeriesLayout(layout.spec, layout.positions, layout.levels, layout.copies, pieces)
+
+
+def _measured(df: DataFrame) -> Lookup:
+    table = df.checkpoint()
+    return Lookup(table, table.count())
+
+
+def _cells(n: int) -> list[str]:
+    return [f"_cell{i}" for i in range(n)]
+
+
+def _longer_than_a_share(counts: DataFrame, rows_per_task: int | None) -> DataFrame:
     if rows_per_task is not None:
         limit = F.lit(rows_per_task).cast("bigint")
     else:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         fair = F.ceil(F.sum("_rows") / F.lit(tasks)).cast("bigint")
         limit = counts.agg(F.greatest(F.lit(MIN_ROWS_PER_TASK).cast("bigint"), fair)).scalar()
     return counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
 
 
-def _divide(census: DataFrame, spec: SeriesSpec, cells: list[str]) -> DataFrame:
-    """Ranges for every cell that is too large, on its first axis with any spread."""
-    axis = F.coalesce(
-        *[F.when(F.col(f"_max{i}") > F.col(f"_min{i}"), F.lit(i)) for i in range(len(cells))],
-        F.lit(None).cast("int"),
-    )
-    low = F.coalesce(*[F.when(F.col("_axis") == i, F.col(f"_min{i}")) for i in range(len(cells))])
-    high = F.coalesce(*[F.when(F.col("_axis") == i, F.col(f"_max{i}")) for i in range(len(cells))])
+def _divide(cells: DataFrame, on: list[str]) -> DataFrame:
+    """Ranges of equal width for cells that are too large."""
     parts = _OVERSPLIT * F.ceil(F.col("_rows") / F.col("_limit"))
     # div rounds down, hence the + 1: the ranges always cover the highest position.
     step = F.call_function("div", F.col("_high") - F.col("_low"), parts) + 1
-    return (
-        census.where(F.col("_rows") > F.col("_limit"))
-        .withColumn("_axis", axis)
-        .where(F.col("_axis").isNotNull())
-        .withColumn("_low", low)
-        .withColumn("_high", high)
-        .select(*spec.keys, *cells, "_axis", "_low", step.alias("_step"))
-    )
+    return cells.select(*on, "_low", step.alias("_step"))
 
 
 def _descend(
-    rows: DataFrame, splits: DataFrame, n_rows: int, how: str, layout: SeriesLayout
+    rows: DataFrame, ranges: Lookup, how: str, spec: SeriesSpec, axis: int, position: Column
 ) -> DataFrame:
-    """Move the rows of divided cells one level down."""
-    cells = layout.cell_columns
-    joined = _null_safe_join(rows, splits, [*layout.spec.keys, *cells], how, n_rows)
-    narrowed = []
-    for i, (cell, position) in enumerate(zip(cells, layout.positions)):
-        offset = F.call_function("div", position - F.col("_low"), F.col("_step"))
-        finer = F.col("_low") + offset * F.col("_step")
-        narrowed.append(
-            F.when(F.col("_axis") == i, finer).otherwise(F.col(cell)).alias(cell)
-        )
-    kept = [c for c in rows.columns if c not in cells]
-    return joined.select(*kept, *narrowed)
+    """Move the rows of divided cells one level down: a cell is named by its lower end."""
+    *_, cell = on = [*spec.keys, *_cells(axis + 1)]
+    offset = F.call_function("div", position - F.col("_low"), F.col("_step"))
+    finer = F.coalesce(F.col("_low") + offset * F.col("_step"), F.col(cell))
+    joined = _join(rows, ranges, on, how)
+    return joined.select(*[finer.alias(c) if c == cell else c for c in rows.columns])
 
 
-def _null_safe_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, n_right: int
-) -> DataFrame:
+def _deal_copies(rows: DataFrame, columns: list[str], on: list[str]) -> DataFrame:
+    """Count equal rows and deal them into parts of at most ``_limit``.
+
+    One row per part, with its number in ``_copy`` and its size in ``_part``. Equal rows
+    are interchangeable, so it does not matter which of them lands in which part.
+    """
+    cells = [c for c in on if c not in columns]
+    counted = rows.groupBy(*columns, *cells, "_limit").agg(F.count(F.lit(1)).alias("_part"))
+    limit, total = F.col("_limit"), F.col("_part")
+    last = F.call_function("div", total - 1, limit)
+    parts = counted.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return parts.withColumn("_part", F.least(limit, total - F.col(_COPY) * limit))
+
+
+def _repeat(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as column ``times`` says, through arrays of bounded length."""
+    last = F.call_function("div", F.col(times) - 1, F.lit(_MAX_ARRAY))
+    batches = rows.withColumn("_batch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    size = F.least(F.lit(_MAX_ARRAY), F.col(times) - F.col("_batch") * _MAX_ARRAY)
+    return batches.withColumn("_batch", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
+
+
+def _join(left: DataFrame, right: Lookup, on: list[str], how: str) -> DataFrame:
     """Equi-join that also matches missing keys; broadcasts only a side counted as small."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on]
+    renamed = right.table.select(
+        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.table.columns if c not in on]
     )
-    if n_right <= MAX_BROADCAST_ROWS:
+    if right.n_rows <= MAX_BROADCAST_ROWS:
         renamed = F.broadcast(renamed)
-    condition = reduce(
-        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
-    )
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
+    matches = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(renamed, matches, how).drop(*[f"_r_{c}" for c in on])
+
 
+def _axes(df: DataFrame, spec: SeriesSpec) -> tuple[list[Column], bool]:
+    """Positions along the columns that order a series, and whether they go to the end.
 
-def _axes(df: DataFrame, spec: SeriesSpec) -> tuple[tuple[str, ...], tuple[Column, ...]]:
-    """The leading order columns that map to integers without changing their order."""
+    The last axis is a hash of the whole row: rows that agree in everything that orders
+    them may stand in any order, so one that all tasks agree on will do.
+    """
     time_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    axes, positions = [], []
-    for name in [spec.order, *spec.tie_breakers]:
+    axes = []
+    for name in spec.sequence:
         position = _position(F.col(name), df.schema[name].dataType, time_zone)
         if position is None:
-            break
-        axes.append(name)
-        positions.append(F.coalesce(position, F.lit(_NULL_POSITION)))
-    return tuple(axes), tuple(positions)
-
-
-def _position_inputs(spec: SeriesSpec) -> list[str]:
-    return [c for c in dict.fromkeys([spec.order, *spec.tie_breakers]) if c not in spec.keys]
+            return axes, False
+        axes.append(F.coalesce(position, F.lit(_NULL_POSITION)))
+    axes.append(F.shiftright(F.xxhash64(*df.columns), 2))
+    return axes, True
 
 
 def _position(column: Column, data_type: T.DataType, time_zone: str) -> Column | None:
+    """A 64-bit integer that never decreases where the column increases."""
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(data_type, T.TimestampNTZType):
@@ -255,6 +312,12 @@ def _position(column: Column, data_type: T.DataType, time_zone: str) -> Column |
         return F.shiftright(column, 2)
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
         return column.cast("bigint")
+    if isinstance(data_type, (T.FloatType, T.DoubleType, T.DecimalType)):
+        value = column.cast("double")
+        bounded = F.least(F.greatest(value, F.lit(-1e14)), F.lit(1e14))
+        return F.when(F.isnan(value), F.lit(_NAN_POSITION)).otherwise(
+            (bounded * 10_000).cast("bigint")
+        )
     return None
 
 

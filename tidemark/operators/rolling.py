@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.layout import SeriesLayout, plan_layout
 from tidemark.series import BARS, SeriesSpec
 
-_HALO = "_halo"
+# False for rows lent to a piece by earlier ones; those come first in its order.
+_OWN = "_own"
 _RANK = "_rank"
 _LOCAL = "_local_row"
 _FEED = "_feed"
@@ -53,32 +54,30 @@ def leading_rolling_stats(
     return rolling_stats(head, n, spec).orderBy(*keys, *spec.ascending())
 
 
-def _windowed(df: DataFrame, n: int, spec: SeriesSpec, *within: str) -> DataFrame:
-    frame = spec.trailing(n, *within)
+def _windowed(
+    df: DataFrame, n: int, spec: SeriesSpec, *within: str, first: tuple[str, ...] = ()
+) -> DataFrame:
+    frame = spec.trailing(n, *within, first=first)
     return df.select(
         "*",
         F.avg(spec.value).over(frame).alias("MovingAvg"),
         F.stddev_samp(spec.value).over(frame).alias("RollingStd"),
-        F.row_number().over(spec.ordinal(*within)).alias(_LOCAL),
+        F.row_number().over(spec.ordinal(*within, first=first)).alias(_LOCAL),
     )
 
 
 def _piecewise(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> DataFrame:
     """Each piece of a cut series plus the ``n - 1`` rows that precede it."""
     cells = layout.cell_columns
-    own = layout.assign(df)
+    rows = layout.assign(df).withColumn(_OWN, F.lit(True))
     if n > 1:
-        lead_in = _lead_in(df, n, spec, layout)
-        rows = own.withColumn(_HALO, F.lit(False)).unionByName(lead_in)
-    else:
-        rows = own.withColumn(_HALO, F.lit(False))
-
-    stats = _windowed(rows, n, spec, *cells).where(~F.col(_HALO))
+        rows = rows.unionByName(_lead_in(df, n, spec, layout))
+    stats = _windowed(rows, n, spec, *cells, first=(_OWN,)).where(_OWN)
 
     # A piece starts with as many lead-in rows as exist, at most n - 1 of them.
     before = F.coalesce(F.col("_before"), F.lit(0))
     row_num = F.col(_LOCAL) + before - F.least(before, F.lit(n - 1))
-    numbered = layout.look_up(stats, layout.pieces.select(*spec.keys, *cells, "_before"))
+    numbered = layout.look_up(stats, layout.pieces.table.select(*spec.keys, *cells, "_before"))
     return numbered.select(
         *df.columns,
         "MovingAvg",
@@ -99,7 +98,7 @@ def _lead_in(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> D
     end = F.col("_before") + F.col("_rows")
     # Pieces are never empty, so at most the next n - 1 of them can be reached.
     feeds = (
-        layout.pieces.withColumn(
+        layout.pieces.table.withColumn(
             _FEED,
             F.collect_list(F.struct(*cells, "_before")).over(next_pieces),
         )
@@ -120,10 +119,9 @@ def _lead_in(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> D
         .select(*spec.keys, *cells, _FEED)
     )
 
-    backwards = spec.ordinal(*cells).orderBy(*spec.descending())
     tail = (
         layout.assign(df, only_split=True)
-        .withColumn(_RANK, F.row_number().over(backwards))
+        .withColumn(_RANK, F.row_number().over(spec.backwards(*cells)))
         .where(F.col(_RANK) <= n - 1)
     )
     return (
@@ -131,7 +129,7 @@ def _lead_in(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> D
         .select(*df.columns, _RANK, F.explode(_FEED).alias(_FEED))
         .where(F.col(f"{_FEED}._gap") + F.col(_RANK) <= n - 1)
         .select(
-            *df.columns, *[F.col(f"{_FEED}.{c}").alias(c) for c in cells], F.lit(True).alias(_HALO)
+            *df.columns, *[F.col(f"{_FEED}.{c}").alias(c) for c in cells], F.lit(False).alias(_OWN)
         )
     )
 
