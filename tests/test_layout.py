@@ -33,11 +33,11 @@ def skewed(spark, n=600, seed=7):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 7, 60])
+@pytest.mark.parametrize("rows_per_task", [1, 25])
 def test_cut_equals_whole(spark, rows_per_task):
     bars = skewed(spark)
     layout = plan_layout(bars, rows_per_task=rows_per_task)
-    for n in (1, 2, 20):
+    for n in (1, 20):
         same(rolling_stats(bars, n, layout=layout), rolling_stats(bars, n))
 
 
@@ -85,7 +85,7 @@ def test_large_lookup_tables_are_shuffled(spark, monkeypatch):
 
 
 def test_equal_times_are_cut_by_what_orders_them_next(spark):
-    rows = [("A", T0, float(i), i) for i in range(60)]
+    rows = [("A", T0, float(-i), 2**62 + i) for i in range(60)]
     rows += [("B", T0, float(i % 3), i) for i in range(60)] + [("A", None, 1.0, 500)]
     bars = spark.createDataFrame(rows, SCHEMA + ", Id long")
     for spec in (BARS, SeriesSpec(tie_breakers=("Id",))):
@@ -108,7 +108,7 @@ def test_equal_rows_are_counted_and_dealt_out(spark):
     assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 10
     assert layout.pieces.table.agg(F.sum("_rows")).first()[0] == len(rows) - 9
     assert layout.assign(bars).count() == len(rows)
-    for n in (1, 4, 15):
+    for n in (1, 15):
         same(rolling_stats(bars, n, layout=layout), rolling_stats(bars, n))
 
 
@@ -134,7 +134,6 @@ def test_missing_keys_and_times(spark):
     ("kind", "value"),
     [
         ("date", lambda i: date(2020, 1, 1) + timedelta(days=i * i)),
-        ("int", lambda i: i * 3 - 50),
         ("long", lambda i: (i - 20) * 2**57),
         ("timestamp", lambda i: datetime(1969, 12, 31) + timedelta(hours=i)),
     ],
@@ -176,7 +175,7 @@ def test_extra_columns_pass_through(spark):
     same(balanced_rolling_stats(bars, 5, rows_per_task=30), rolling_stats(bars, 5))
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(

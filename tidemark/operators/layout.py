@@ -283,42 +283,46 @@ def _join(left: DataFrame, right: Lookup, on: list[str], how: str) -> DataFrame:
 def _axes(df: DataFrame, spec: SeriesSpec) -> tuple[list[Column], bool]:
     """Positions along the columns that order a series, and whether they go to the end.
 
-    The last axis is a hash of the whole row: rows that agree in everything that orders
-    them may stand in any order, so one that all tasks agree on will do.
+    Rows that agree in their time and all tie breakers may stand in any order that all
+    tasks agree on: by value, as elsewhere, and then by a hash of the whole row.
     """
     time_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     axes = []
-    for name in spec.sequence:
-        position = _position(F.col(name), df.schema[name].dataType, time_zone)
-        if position is None:
+    for name in dict.fromkeys([spec.order, *spec.tie_breakers]):
+        positions = _positions(F.col(name), df.schema[name].dataType, time_zone)
+        if not positions:
             return axes, False
-        axes.append(F.coalesce(position, F.lit(_NULL_POSITION)))
+        axes += [F.coalesce(p, F.lit(_NULL_POSITION)) for p in positions]
+    axes.append(F.coalesce(_rough_position(F.col(spec.value)), F.lit(_NULL_POSITION)))
     axes.append(F.shiftright(F.xxhash64(*df.columns), 2))
     return axes, True
 
 
-def _position(column: Column, data_type: T.DataType, time_zone: str) -> Column | None:
-    """A 64-bit integer that never decreases where the column increases."""
+def _positions(column: Column, data_type: T.DataType, time_zone: str) -> list[Column]:
+    """64-bit integers that order rows exactly as the column does; none if there are none."""
     if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(column)
+        return [F.unix_micros(column)]
     if isinstance(data_type, T.TimestampNTZType):
         if time_zone in _FIXED_ZONES:
-            return F.unix_micros(column.cast("timestamp"))
-        return _clock_micros(column)
+            return [F.unix_micros(column.cast("timestamp"))]
+        return [_clock_micros(column)]
     if isinstance(data_type, T.DateType):
-        return F.unix_date(column).cast("bigint")
+        return [F.unix_date(column).cast("bigint")]
     if isinstance(data_type, T.LongType):
-        # Four neighbouring values share a position, which keeps differences in range.
-        return F.shiftright(column, 2)
+        # In two steps, which keeps the difference of any two positions in range.
+        return [F.shiftright(column, 2), column.bitwiseAND(F.lit(3))]
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
-        return column.cast("bigint")
-    if isinstance(data_type, (T.FloatType, T.DoubleType, T.DecimalType)):
-        value = column.cast("double")
-        bounded = F.least(F.greatest(value, F.lit(-1e14)), F.lit(1e14))
-        return F.when(F.isnan(value), F.lit(_NAN_POSITION)).otherwise(
-            (bounded * 10_000).cast("bigint")
-        )
-    return None
+        return [column.cast("bigint")]
+    return []
+
+
+def _rough_position(value: Column) -> Column:
+    """The value to four decimals. It orders rows only where nothing else was asked to."""
+    number = value.cast("double")
+    bounded = F.least(F.greatest(number, F.lit(-1e14)), F.lit(1e14))
+    return F.when(F.isnan(number), F.lit(_NAN_POSITION)).otherwise(
+        (bounded * 10_000).cast("bigint")
+    )
 
 
 def _clock_micros(column: Column) -> Column:
