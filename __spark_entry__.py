@@ -23,7 +23,7 @@ from tidemark.operators import (
 from tidemark.plans import job, reports
 from tidemark.sinks import BANDS_COLUMNS, ZSCORE_COLUMNS, RunStamp, bands_output, zscore_output
 from tidemark.sources import history
-from tidemark.sources.views import hourly_bars, tick_series
+from tidemark.sources.views import EVENTS_SCHEMA, hourly_bars, tick_series
 
 WINDOW, NUM_STD, THRESHOLD = 20, 2.0, 2.0
 SMALL_WINDOW = 5
@@ -49,8 +49,17 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- inputs ----------------------------------------------------------------------------
 
 
+_SCHEMAS = {
+    "events": EVENTS_SCHEMA,
+    "part": "p_name string, p_type string",
+    "nation": "n_name string",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(path)
 
 
 def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

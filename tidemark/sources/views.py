@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Naming the columns spares a job that opens files to find them.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
 
 def tick_series(events: DataFrame) -> DataFrame:
     """One series per user: every event is a bar."""
