@@ -28,10 +28,10 @@ def stored_bars(spark, tmp_path_factory):
 
 
 def test_dates_are_checked_for_shape():
-    assert check_date("start", "2026-01-01") == "2026-01-01"
+    assert check_date("2026-01-01", "start") == "2026-01-01"
     for bad in ("2026-1-1", "20260101", "2026-01-01\n", "2026-01-01' OR 1=1", ""):
         with pytest.raises(ValueError, match="start"):
-            check_date("start", bad)
+            check_date(bad, "start")
 
 
 def test_impossible_dates_fail_and_empty_ranges_do_not(spark, make_bars):

@@ -37,7 +37,10 @@ from tidemark.sources import JdbcTable, check_date, read_history, read_table
 
 log = logging.getLogger(__name__)
 
+# What a preview shows.
 PREVIEW_ROWS = 50
+BANDS_TITLE = "BOLLINGER BANDS"
+ZSCORE_TITLE = "Z-SCORE ANOMALIES"
 
 
 @dataclass(frozen=True)
@@ -61,8 +64,8 @@ class RunParams:
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "symbols", tuple(check_symbols(self.symbols)))
-        check_date("start", self.start)
-        check_date("end", self.end)
+        check_date(self.start, "start")
+        check_date(self.end, "end")
         if self.window < 1:
             raise ValueError(f"window must be at least 1, got {self.window}")
         if self.write_mode not in SAVE_MODES:
@@ -83,8 +86,8 @@ class RunResult:
 
     def show(self) -> None:
         for title, preview in (
-            ("BOLLINGER BANDS", self.bands_preview),
-            ("Z-SCORE ANOMALIES", self.zscore_preview),
+            (BANDS_TITLE, self.bands_preview),
+            (ZSCORE_TITLE, self.zscore_preview),
         ):
             print(f"\n=== {title} ===")
             preview.show(PREVIEW_ROWS, truncate=False)

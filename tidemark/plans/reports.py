@@ -12,7 +12,27 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import count_text, minute_text, number_text
 
+# The length and the wording of the report.
 DEFAULT_TOP = 15
+OVERALL_METRICS = (
+    "Symbols",
+    "Date range",
+    "Bollinger rows (excl. warmup)",
+    "Z-Score rows (excl. warmup)",
+    "Anomalies flagged",
+)
+SYMBOL_HEADERS = (
+    "Symbol",
+    "Bars",
+    "Min Close",
+    "Max Close",
+    "Avg Close",
+    "Anomalies",
+    "Max |Z|",
+)
+ANOMALY_HEADERS = ("Symbol", "Bar Date/Time", "Close Price", "Z-Score")
+NO_ANOMALIES = "No anomalies flagged in the current data."
+DATE_ARROW = " → "
 
 
 def one_batch(df: DataFrame, batch_id: str) -> DataFrame:
@@ -94,15 +114,18 @@ def overall_totals_from_signals(signals: DataFrame) -> DataFrame:
 
 def overall_report(totals: DataFrame) -> DataFrame:
     """The headline figures as five (Metric, Value) rows."""
-    dates = F.concat(minute_text(F.col("MinDate")), F.lit(" → "), minute_text(F.col("MaxDate")))
-    rows = [
-        ("Symbols", count_text(F.col("SymbolCount"))),
-        ("Date range", dates),
-        ("Bollinger rows (excl. warmup)", count_text(F.col("TotalBollingerRows"))),
-        ("Z-Score rows (excl. warmup)", count_text(F.col("TotalZScoreRows"))),
-        ("Anomalies flagged", count_text(F.col("TotalAnomalies"))),
+    first, last = minute_text(F.col("MinDate")), minute_text(F.col("MaxDate"))
+    values = [
+        count_text(F.col("SymbolCount")),
+        F.concat(first, F.lit(DATE_ARROW), last),
+        count_text(F.col("TotalBollingerRows")),
+        count_text(F.col("TotalZScoreRows")),
+        count_text(F.col("TotalAnomalies")),
+    ]
+    cells = [
+        F.struct(F.lit(metric).alias("Metric"), value.alias("Value"))
+        for metric, value in zip(OVERALL_METRICS, values, strict=True)
     ]
-    cells = [F.struct(F.lit(metric).alias("Metric"), value.alias("Value")) for metric, value in rows]
     return totals.select(F.inline(F.array(*cells)))
 
 
@@ -121,13 +144,11 @@ def symbol_report(summary: DataFrame) -> DataFrame:
     """Report text for rows shaped like `symbol_summary`."""
     text = summary.select(
         "Symbol",
-        F.col("BarCount").alias("Bars"),
-        number_text(F.col("MinClose")).alias("Min Close"),
-        number_text(F.col("MaxClose")).alias("Max Close"),
-        number_text(F.col("AvgClose")).alias("Avg Close"),
-        F.coalesce("AnomalyCount", F.lit(0)).alias("Anomalies"),
-        number_text(F.col("MaxAbsZScore")).alias("Max |Z|"),
-    )
+        "BarCount",
+        *[number_text(F.col(c)) for c in ("MinClose", "MaxClose", "AvgClose")],
+        F.coalesce("AnomalyCount", F.lit(0)),
+        number_text(F.col("MaxAbsZScore")),
+    ).toDF(*SYMBOL_HEADERS)
     return _sorted(text, "Symbol")
 
 
@@ -135,10 +156,10 @@ def top_anomaly_report(anomalies: DataFrame) -> DataFrame:
     """Report text for the rows of `top_anomalies`, in their order."""
     return anomalies.select(
         "Symbol",
-        minute_text(F.col("BarDateTime")).alias("Bar Date/Time"),
-        number_text(F.col("ClosePrice")).alias("Close Price"),
-        number_text(F.col("ZScore"), 3).alias("Z-Score"),
-    )
+        minute_text(F.col("BarDateTime")),
+        number_text(F.col("ClosePrice")),
+        number_text(F.col("ZScore"), 3),
+    ).toDF(*ANOMALY_HEADERS)
 
 
 def no_anomaly_note(zscores: DataFrame) -> DataFrame:
@@ -148,7 +169,7 @@ def no_anomaly_note(zscores: DataFrame) -> DataFrame:
         .limit(1)
         .agg(F.count(F.lit(1)).alias("_flagged"))
         .where(F.col("_flagged") == 0)
-        .select(F.lit("No anomalies flagged in the current data.").alias("Note"))
+        .select(F.lit(NO_ANOMALIES).alias("Note"))
     )
 
 

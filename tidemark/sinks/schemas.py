@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names, order and types of the stored columns.
 _PRICE = T.DecimalType(18, 4)
 _STATISTIC = T.DecimalType(18, 8)
 _PARAMETER = T.DecimalType(9, 4)
@@ -43,7 +44,7 @@ ZSCORE_TABLE = _table(
     ("BatchId", T.StringType(), False),
 )
 
-# What an analyst sees before a run is stamped and stored.
+# What an analyst sees before a run is stamped and stored.
 BANDS_COLUMNS = (
     "Symbol",
     "BarDateTime",

@@ -13,6 +13,7 @@ from tidemark.functions.symbols import check_symbols
 from tidemark.series import BARS, SeriesSpec
 from tidemark.sources.jdbc import JdbcTable
 
+# The columns of a bar table.
 HISTORY_COLUMNS = (
     "Symbol",
     "BarDateTime",
@@ -27,11 +28,11 @@ HISTORY_COLUMNS = (
 _MAX_IN_LIST = 500
 
 
-def check_date(label: str, value: str) -> str:
+def check_date(day: str, name: str = "date") -> str:
     """Require the shape ``YYYY-MM-DD``; the calendar is checked when the plan is built."""
-    if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
-        raise ValueError(f"{label} must look like YYYY-MM-DD, got {value!r}")
-    return value
+    if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", day) is None:
+        raise ValueError(f"{name}: expected a day such as 2024-01-31, not {day!r}")
+    return day
 
 
 def history(
@@ -61,9 +62,9 @@ def history(
     if symbols is not None:
         df = _with_symbols(df, symbols, key)
     if start is not None:
-        df = df.where(F.col(spec.order) >= _midnight(df, spec.order, check_date("start", start)))
+        df = df.where(F.col(spec.order) >= _midnight(df, spec.order, check_date(start, "start")))
     if end is not None:
-        last = _midnight(df, spec.order, check_date("end", end))
+        last = _midnight(df, spec.order, check_date(end, "end"))
         if end_inclusive_day:
             df = df.where(F.col(spec.order) < last + F.expr("INTERVAL 1 DAY"))
         else:

@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+# Fixed value: rows per round trip.
 DEFAULT_FETCH_SIZE = 10_000
 
 
+# The spellings that switch a connection setting on.
+SWITCHED_ON = ("yes", "true", "1")
+
+
 def yes_no(value: str | bool) -> str:
-    """``true`` or ``false`` from the usual spellings of a switch."""
-    if isinstance(value, bool):
-        return str(value).lower()
-    return "true" if value.strip().lower() in {"yes", "true", "1"} else "false"
+    """``true`` or ``false``, the way drivers want it, from any spelling of a switch."""
+    is_on = str(value).strip().casefold() in SWITCHED_ON
+    return str(is_on).lower()
 
 
 def jdbc_url(endpoint: str, settings: Mapping[str, str | bool] | None = None) -> str:
