@@ -105,3 +105,12 @@ def test_signals_hold_both_results(spark, stored_bars, whole):
         with_zscore(whole, 2.0).select(*ZSCORE_COLUMNS)
     ).isEmpty()
     assert set(BANDS_COLUMNS) <= set(both.columns)
+
+
+def test_empty_range_writes_no_rows(spark, stored_bars, tmp_path):
+    params = RunParams(SYMBOLS, "2030-01-01", "2030-02-01", write_back=True)
+    result = run(spark, params, stored_bars, str(tmp_path / "b"), str(tmp_path / "z"))
+    assert (result.bands_rows, result.zscore_rows) == (0, 0)
+    assert result.bands_preview.isEmpty()
+    report = build_report(spark, str(tmp_path / "b"), str(tmp_path / "z"))
+    assert report.no_anomaly_note.count() == 1 and report.per_symbol.isEmpty()

@@ -133,3 +133,10 @@ def test_jdbc_write_options(bands, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "save", fake_save)
     assert save(bands, JdbcTable("jdbc:x", "dbo.Bands", "me", "pw"), "overwrite") == 5
     assert seen["dbtable"] == "dbo.Bands" and seen["truncate"] == "true"
+
+
+@pytest.mark.parametrize("condition", ["false", "ClosePrice < 0"])
+def test_empty_frames_are_written_and_counted(spark, bands, tmp_path, condition):
+    path = str(tmp_path / "bands")
+    assert save(bands.where(condition), path) == 0
+    assert types(spark.read.parquet(path).schema) == types(BANDS_TABLE)
