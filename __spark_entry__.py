@@ -15,7 +15,6 @@ from tidemark.functions import split_symbols
 from tidemark.functions.symbols import WHITE_SPACE
 from tidemark.operators import (
     balanced_rolling_stats,
-    rolling_stats,
     with_bands,
     with_signals,
     with_zscore,
