@@ -313,8 +313,20 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+# The text operators are a subpackage of their own that may be left out.
+try:
+    import corpus_pipeline
+    from tidemark.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tidemark.llm", "tidemark.llm.queries"):
+        raise
+    llm = corpus_pipeline = None
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    if llm is None:
+        return dict(_QUERIES)
+    return {**_QUERIES, **llm.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 # --- the same in SQL -------------------------------------------------------------------
@@ -478,6 +490,15 @@ def _strip_sql(value: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    if llm is not None:
+        sql |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
+def _oracle_sql() -> dict[str, str]:
     in_range = f"\"BarDateTime\" BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
     tick_stats = (_TICK, _stats_sql("tick"))
     bar_stats = (_BAR, _stats_sql("bar"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -11,14 +12,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure ``DataFrame.checkpoint()`` has a folder that all executors can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, where all
-    tasks share one machine, falls back to a temporary folder.
+    tasks run in the driver, falls back to a temporary folder.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tidemark-")
     context.setCheckpointDir(folder)
