@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import piece_bpe, simhash
+from tidemark.llm import language, pii, piece_bpe, quality, simhash, toxicity
+from tidemark.llm.deploy import workers_find_package
+from tidemark.llm.language import held_out
+from tidemark.scratch import ensure_checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
+    ensure_checkpoint_dir(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +24,39 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+def toxicity_index(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Index:
+    """Learned from labels outside the held-out quarter and the texts of ``docs``."""
+    labels = _table(spark, sf_dir, "labels")
+    return toxicity.train(labels.where(~held_out("doc_id", 4, 2)), docs)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_index(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", 5, 0)))
+    predicted = language.predict(docs, model)
+    return predicted.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -32,8 +70,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_pii": op2_pii,
+    "op5_toxicity": op5_toxicity,
+    "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.ORACLE_SQL}
