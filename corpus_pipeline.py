@@ -1,35 +1,72 @@
-"""A training-data pipeline over ``documents``: each stage applies one operator to all rows it gets."""
+"""A training-data pipeline over ``documents``.
+
+Each stage applies one operator to every row that its predecessor kept. The first four return
+the columns of ``documents``; the last returns one row of digests per document that is left.
+"""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, pii, piece_bpe, simhash, toxicity
+from tidemark.llm.queries import model_path, table, toxicity_index
 
-from tidemark.llm import piece_bpe, simhash
-from tidemark.llm.queries import model_path
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go. Rows that share an id share the highest score; rows without
+    an id are judged by the score of their text."""
+    index = toxicity_index(spark, docs, sf_dir)
+    key = docs.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text"))))
+    scored = toxicity.score(key.select("key", "text"), index, "key", "text")
+    rejected = scored.where(F.col("score") >= toxicity.THRESHOLD).select("key").distinct()
+    return key.join(rejected, "key", "left_anti").select(docs.columns)
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates stays."""
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates the document with the smallest id stays."""
     return simhash.keep_first(docs)
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and the text they decode to, as digests."""
+def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item of ``benchmark``, or an edited copy, go."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, with pseudonyms for personal data in its text."""
+    return pii.pseudonymise(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text they decode to."""
     return piece_bpe.digests(piece_bpe.encode_decode(docs, model_path()))
 
 
 STAGES = [
-    ("simhash_near_dedup", near_duplicates),
-    ("sentencepiece", tokens),
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_leaked),
+    ("pii", replace_personal_data),
+    ("sentencepiece", encode),
 ]
 
-# Toxicity scores, fingerprints and token ids cannot be expressed in SQL.
+# Scores, alignments and token ids cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written to and read from the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over the documents of ``sf_dir``.
+
+    Each stage's rows are written as Parquet to the shared folder of ``spark.checkpoint.dir`` and
+    read again, so no stage runs twice and a lost executor costs part of one stage.
+    """
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid4()}"
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, pii, piece_bpe, quality, simhash, toxicity
+from tidemark.llm import (
+    decontaminate,
+    language,
+    main_text,
+    phrases,
+    pii,
+    piece_bpe,
+    quality,
+    simhash,
+    toxicity,
+)
 from tidemark.llm.deploy import workers_find_package
 from tidemark.llm.language import held_out
 from tidemark.scratch import ensure_checkpoint_dir
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_find_package(spark)
     ensure_checkpoint_dir(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,21 +35,30 @@ def model_path() -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
+    return quality.measure(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text")
+    return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, or an edited copy of one; others have no row."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def toxicity_index(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Index:
     """Learned from labels outside the held-out quarter and the texts of ``docs``."""
-    labels = _table(spark, sf_dir, "labels")
+    labels = table(spark, sf_dir, "labels")
     return toxicity.train(labels.where(~held_out("doc_id", 4, 2)), docs)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity_index(spark, docs, sf_dir))
     return scored.select(
         "doc_id",
@@ -50,29 +69,37 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = phrases.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", 5, 0)))
     predicted = language.predict(docs, model)
     return predicted.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.components(_table(spark, sf_dir, "documents"))
+    found = simhash.components(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return piece_bpe.digests(piece_bpe.encode_decode(docs, model_path()))
 
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
+    "op3_main_text": op3_main_text,
+    "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_phrases": op6_phrases,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
