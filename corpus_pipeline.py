@@ -9,20 +9,14 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, pii, piece_bpe, simhash, toxicity
 from tidemark.llm.queries import model_path, table, toxicity_index
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as toxic go. Rows that share an id share the highest score; rows without
-    an id are judged by the score of their text."""
-    index = toxicity_index(spark, docs, sf_dir)
-    key = docs.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text"))))
-    scored = toxicity.score(key.select("key", "text"), index, "key", "text")
-    rejected = scored.where(F.col("score") >= toxicity.THRESHOLD).select("key").distinct()
-    return key.join(rejected, "key", "left_anti").select(docs.columns)
+    """Documents scored as toxic go; the labels outside the held-out quarter are learned from."""
+    return toxicity.drop_toxic(docs, toxicity_index(spark, docs, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

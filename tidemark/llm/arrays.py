@@ -29,7 +29,7 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` per chunk; a null text has no bytes."""
-    raw = texts.fill_null("").cast(pa.large_binary())
+    raw = texts.cast(pa.large_binary()).fill_null(b"")
     if not len(raw):
         return
     buffers = raw.buffers()

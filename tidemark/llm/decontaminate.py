@@ -114,38 +114,40 @@ def _count_grams(items: _Items, text_col: str):
     return run
 
 
-def _align_block(items: _Items, id_col: str, text_col: str):
+def _aligned(items: _Items, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per chunk its rows, and texts, items and scores of the pairs that count as copies."""
+    order = np.argsort(items.grams, kind="stable")
+    grams, item, place = items.grams[order], items.gram_item[order], items.gram_place[order]
+    known, first = np.unique(grams, return_index=True)
+    last = np.r_[first[1:], len(grams)]
+    lookup = Lookup(known)
+    lengths = np.diff(items.bounds)
+    for row, end, _, _ in text_chunks(texts):
+        hashes, bounds = _words(texts.slice(row, end - row).to_pylist())
+        hits, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size in items.sizes:
+            value, places = _grams(hashes, bounds, size)
+            gram = lookup(value)
+            hits.append(gram[gram >= 0])
+            at.append(places[gram >= 0])
+        gram = np.concatenate(hits)
+        times = last[gram] - first[gram]
+        pair = ragged(first[gram], times)
+        where = np.repeat(np.concatenate(at), times)
+        text, found, scores = _best_scores(items, lengths, hashes, bounds, item[pair], place[pair], where)
+        good = scores >= np.where(lengths[found] < MIN_ITEM_WORDS, 1.0, THRESHOLD)
+        yield row, end, text[good], found[good], scores[good]
+
+
+def _pairs(items: _Items, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(items.grams, kind="stable")
-        grams, item, place = items.grams[order], items.gram_item[order], items.gram_place[order]
-        known, first = np.unique(grams, return_index=True)
-        last = np.r_[first[1:], len(grams)]
-        lookup = Lookup(known)
-        lengths = np.diff(items.bounds)
         for batch in batches:
-            texts = column(batch, text_col)
-            for row, end, _, _ in text_chunks(texts):
-                hashes, bounds = _words(texts.slice(row, end - row).to_pylist())
-                hits, at = [], []
-                for size in items.sizes:
-                    value, places = _grams(hashes, bounds, size)
-                    gram = lookup(value)
-                    hits.append(gram[gram >= 0])
-                    at.append(places[gram >= 0])
-                gram = np.concatenate(hits) if hits else np.zeros(0, np.int64)
-                if not len(gram):
-                    continue
-                times = last[gram] - first[gram]
-                pair = ragged(first[gram], times)
-                where = np.repeat(np.concatenate(at), times)
-                docs, found, scores = _best_scores(items, lengths, hashes, bounds, item[pair], place[pair], where)
-                good = scores >= np.where(lengths[found] < MIN_ITEM_WORDS, 1.0, THRESHOLD)
-                ids = column(batch, id_col).slice(row, end - row).take(pa.array(docs[good]))
+            for row, _, text, found, scores in _aligned(items, column(batch, text_col)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids,
-                        pa.array([items.ids[i] for i in found[good].tolist()], pa.int64()),
-                        pa.array(scores[good]),
+                        column(batch, id_col).take(pa.array(row + text)),
+                        pa.array([items.ids[i] for i in found.tolist()], pa.int64()),
+                        pa.array(scores),
                     ],
                     names=[id_col, "item_id", "score"],
                 )
@@ -153,6 +155,17 @@ def _align_block(items: _Items, id_col: str, text_col: str):
     return run
 
 
+def _clean_rows(items: _Items, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, text, _, _ in _aligned(items, column(batch, text_col)):
+                clean = np.ones(end - row, bool)
+                clean[text] = False
+                yield batch.slice(row, end - row).filter(pa.array(clean))
+
+    return run
+
+
 def _best_scores(items, lengths, hashes, bounds, item, place, where):
     """Document, item and best score of every candidate pair."""
     doc = np.searchsorted(bounds, where, side="right") - 1
@@ -225,27 +238,42 @@ def leaks(
     that repeat are found for each id; rows that repeat an id give one row per item with the
     best score; other columns are left out; no documents or no items give no rows.
     """
-    spark = docs.sparkSession
     narrow = docs.select(F.col(id_col), F.col(text_col))
+    schema = T.StructType([narrow.schema[0]] + T.StructType.fromDDL("item_id bigint, score double").fields)
+    found = docs.sparkSession.createDataFrame([], schema)
+    for seeds in _blocks_of_seeds(narrow, benchmark, text_col, item_col, item_text_col):
+        found = found.unionByName(narrow.mapInArrow(_pairs(seeds, id_col, text_col), schema))
+    return found.groupBy(id_col, "item_id").agg(F.max("score").alias("score"))
+
+
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that hold no copy of a test item; columns unchanged.
+
+    Every row is judged by itself, as in ``leaks``; nothing is shuffled.
+    """
+    clean = docs
+    for seeds in _blocks_of_seeds(docs, benchmark, text_col, item_col, item_text_col):
+        clean = clean.mapInArrow(_clean_rows(seeds, text_col), docs.schema)
+    return clean
+
+
+def _blocks_of_seeds(
+    docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str
+) -> Iterator[_Items]:
+    """The test items with their seeds, in blocks of about ``BLOCK_CHARS`` characters."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("words"))
     items = items.where(F.length("words") > 0)
     chars = items.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)
-    schema = T.StructType([narrow.schema[0]] + T.StructType.fromDDL("item_id bigint, score double").fields)
-    found = spark.createDataFrame([], schema)
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).orderBy("item", "words").collect()
         block = _Items.of([r["item"] for r in rows], [r["words"] for r in rows])
-        counts = narrow.mapInArrow(_count_grams(block, text_col), "gram bigint, n bigint")
+        counts = docs.select(text_col).mapInArrow(_count_grams(block, text_col), "gram bigint, n bigint")
         frequency = {r["gram"]: r["n"] for r in counts.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-        seeds = block.seeds(frequency)
-        found = found.unionByName(narrow.mapInArrow(_align_block(seeds, id_col, text_col), schema))
-    return found.groupBy(id_col, "item_id").agg(F.max("score").alias("score"))
-
-
-def without_leaks(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """The rows of ``docs`` that hold no copy of a test item; columns unchanged."""
-    held = leaks(docs, benchmark, id_col, text_col).select(id_col).distinct()
-    return docs.join(held, id_col, "left_anti").select(docs.columns)
+        yield block.seeds(frequency)

@@ -14,6 +14,7 @@ from tidemark.llm import (
     piece_bpe,
     quality,
     simhash,
+    suffixes,
     toxicity,
 )
 from tidemark.llm.deploy import workers_find_package
@@ -74,6 +75,11 @@ def op6_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", 5, 0)))
@@ -100,6 +106,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_phrases": op6_phrases,
+    "op7_suffixes": op7_suffixes,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,

@@ -253,9 +253,26 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     text, cosine, label). Null and empty texts and texts without a known term get the rate of
     such examples and no evidence. Repeated rows stay; other columns are left out.
     """
+    return _scored(docs, index, text_col, [id_col], "score", "evidence")
+
+
+def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold; columns unchanged.
+
+    Every row is judged by itself, as in ``score``; nothing is shuffled.
+    """
+    own = {c.lower() for c in docs.columns}
+    score_col, evidence_col = (next(n for k in range(len(own) + 1) if (n := f"{name}_{k}") not in own) for name in ("score", "evidence"))
+    scored = _scored(docs, index, text_col, docs.columns, score_col, evidence_col)
+    return scored.where(F.col(score_col) < threshold).select(docs.columns)
+
+
+def _scored(
+    docs: DataFrame, index: Index, text_col: str, passed: list[str], score_col: str, evidence_col: str
+) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(index)
-    narrow = docs.select(F.col(id_col), F.col(text_col))
+    narrow = docs.select(*dict.fromkeys([*passed, text_col]))
     kind = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,17 +295,17 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
                     ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        column(batch, id_col).slice(row, end - row),
+                        *(column(batch, c).slice(row, end - row) for c in passed),
                         pa.array(fitted.probability(votes)),
                         pa.array(evidence, kind),
                     ],
-                    names=[id_col, "score", "evidence"],
+                    names=[*passed, score_col, evidence_col],
                 )
 
     schema = T.StructType(
-        [narrow.schema[0]]
+        [narrow.schema[c] for c in passed]
         + T.StructType.fromDDL(
-            "score double, evidence array<struct<example: string, cosine: double, label: int>>"
+            f"`{score_col}` double, `{evidence_col}` array<struct<example: string, cosine: double, label: int>>"
         ).fields
     )
     return narrow.mapInArrow(run, schema)
