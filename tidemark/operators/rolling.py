@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.layout import SeriesLayout, plan_layout
+from tidemark.operators.layout import CELL, ROW, SeriesLayout, plan_layout
 from tidemark.series import BARS, SeriesSpec
 
-# False for rows lent to a piece by earlier ones; those come first in its order.
-_OWN = "_own"
-_RANK = "_rank"
-_LOCAL = "_local_row"
-_FEED = "_feed"
+_NUMBER = "_number"
 
 
 def rolling_stats(
@@ -21,14 +17,22 @@ def rolling_stats(
     """Append MovingAvg, RollingStd, RowNum and IsWarmup over the last ``n`` rows.
 
     Without a layout (or with one that cuts nothing) this is one exchange on the series
-    key and one sort. With a layout, long series are computed piece by piece; the values
-    are the same to the last bit, because every row still sees the same rows in the same
-    order in its frame.
+    key and one sort. With a layout, long series are computed piece by piece: each piece
+    holds its own rows and the ``n - 1`` before them, in the order of the whole series, so
+    every frame has the same rows in the same order. RowNum is a 32-bit number; a series may
+    have 2,147,483,647 rows.
     """
     if layout is None or not layout.is_split:
-        stats = _windowed(df, n, spec).withColumnRenamed(_LOCAL, "RowNum")
-        return stats.withColumn("IsWarmup", F.col("RowNum") < n)
-    return _piecewise(df, n, spec, layout)
+        return _whole(df, n, spec)
+    frame = Window.partitionBy(*spec.keys, CELL).orderBy(ROW).rowsBetween(1 - n, Window.currentRow)
+    spec.trailing(n)  # refuses windows below one row
+    pieces = (
+        layout.in_pieces(n - 1)
+        .select("*", *_statistics(spec, frame))
+        .where(layout.is_own())
+        .select(*df.columns, "MovingAvg", "RollingStd", *_numbers(F.col(ROW), n))
+    )
+    return _whole(layout.whole(df), n, spec).unionByName(pieces)
 
 
 def balanced_rolling_stats(
@@ -36,7 +40,9 @@ def balanced_rolling_stats(
 ) -> DataFrame:
     """`rolling_stats` with the layout measured from the data first.
 
-    The measurement is one aggregation over the key column alone; see `plan_layout`.
+    The measurement is one aggregation over the key column alone; see `plan_layout`. It runs
+    ``df`` once more, so pass a stored or checkpointed frame where ``df`` is costly or may
+    change between two reads.
     """
     return rolling_stats(df, n, spec, plan_layout(df, spec, rows_per_task))
 
@@ -54,82 +60,21 @@ def leading_rolling_stats(
     return rolling_stats(head, n, spec).orderBy(*keys, *spec.ascending())
 
 
-def _windowed(
-    df: DataFrame, n: int, spec: SeriesSpec, *within: str, first: tuple[str, ...] = ()
-) -> DataFrame:
-    frame = spec.trailing(n, *within, first=first)
-    return df.select(
+def _whole(df: DataFrame, n: int, spec: SeriesSpec) -> DataFrame:
+    numbered = df.select(
         "*",
-        F.avg(spec.value).over(frame).alias("MovingAvg"),
-        F.stddev_samp(spec.value).over(frame).alias("RollingStd"),
-        F.row_number().over(spec.ordinal(*within, first=first)).alias(_LOCAL),
-    )
-
-
-def _piecewise(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> DataFrame:
-    """Each piece of a cut series plus the ``n - 1`` rows that precede it."""
-    cells = layout.cell_columns
-    rows = layout.assign(df).withColumn(_OWN, F.lit(True))
-    if n > 1:
-        rows = rows.unionByName(_lead_in(df, n, spec, layout))
-    stats = _windowed(rows, n, spec, *cells, first=(_OWN,)).where(_OWN)
-
-    # A piece starts with as many lead-in rows as exist, at most n - 1 of them.
-    before = F.coalesce(F.col("_before"), F.lit(0))
-    row_num = F.col(_LOCAL) + before - F.least(before, F.lit(n - 1))
-    numbered = layout.look_up(stats, layout.pieces.table.select(*spec.keys, *cells, "_before"))
-    return numbered.select(
-        *df.columns,
-        "MovingAvg",
-        "RollingStd",
-        row_num.cast("int").alias("RowNum"),
-        (row_num < n).alias("IsWarmup"),
+        *_statistics(spec, spec.trailing(n)),
+        F.row_number().over(spec.ordinal()).alias(_NUMBER),
     )
+    return numbered.select(*df.columns, "MovingAvg", "RollingStd", *_numbers(F.col(_NUMBER), n))
 
 
-def _lead_in(df: DataFrame, n: int, spec: SeriesSpec, layout: SeriesLayout) -> DataFrame:
-    """Copies of the last ``n - 1`` rows before each piece, addressed to that piece.
-
-    Usually they come from the piece just before; where pieces are shorter than the
-    window they come from several, so every piece lists all pieces it feeds.
-    """
-    cells = layout.cell_columns
-    next_pieces = Window.partitionBy(*spec.keys).orderBy(*cells).rowsBetween(1, n - 1)
-    end = F.col("_before") + F.col("_rows")
-    # Pieces are never empty, so at most the next n - 1 of them can be reached.
-    feeds = (
-        layout.pieces.table.withColumn(
-            _FEED,
-            F.collect_list(F.struct(*cells, "_before")).over(next_pieces),
-        )
-        .withColumn("_end", end)
-        .withColumn(
-            _FEED,
-            F.filter(
-                F.transform(
-                    _FEED,
-                    lambda t: F.struct(
-                        *[t[c].alias(c) for c in cells], (t["_before"] - F.col("_end")).alias("_gap")
-                    ),
-                ),
-                lambda t: t["_gap"] < n - 1,
-            ),
-        )
-        .where(F.size(_FEED) > 0)
-        .select(*spec.keys, *cells, _FEED)
-    )
+def _statistics(spec: SeriesSpec, frame: WindowSpec) -> list[Column]:
+    return [
+        F.avg(spec.value).over(frame).alias("MovingAvg"),
+        F.stddev_samp(spec.value).over(frame).alias("RollingStd"),
+    ]
 
-    tail = (
-        layout.assign(df, only_split=True)
-        .withColumn(_RANK, F.row_number().over(spec.backwards(*cells)))
-        .where(F.col(_RANK) <= n - 1)
-    )
-    return (
-        layout.look_up(tail, feeds, how="inner")
-        .select(*df.columns, _RANK, F.explode(_FEED).alias(_FEED))
-        .where(F.col(f"{_FEED}._gap") + F.col(_RANK) <= n - 1)
-        .select(
-            *df.columns, *[F.col(f"{_FEED}.{c}").alias(c) for c in cells], F.lit(False).alias(_OWN)
-        )
-    )
 
+def _numbers(number: Column, n: int) -> list[Column]:
+    return [number.cast("int").alias("RowNum"), (number < n).alias("IsWarmup")]

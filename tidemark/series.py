@@ -36,26 +36,15 @@ class SeriesSpec:
     def ascending(self) -> list[Column]:
         return [F.col(c).asc_nulls_first() for c in self.sequence]
 
-    def descending(self) -> list[Column]:
-        return [F.col(c).desc_nulls_last() for c in self.sequence]
+    def ordinal(self) -> WindowSpec:
+        """All rows of a series in order."""
+        return Window.partitionBy(*self.keys).orderBy(*self.ascending())
 
-    def ordinal(self, *within: str, first: tuple[str, ...] = ()) -> WindowSpec:
-        """All rows of a series (or of a piece of it) in order.
-
-        ``first`` names columns to sort by before the order of the series itself.
-        """
-        order = [F.col(c).asc() for c in first] + self.ascending()
-        return Window.partitionBy(*self.keys, *within).orderBy(*order)
-
-    def backwards(self, *within: str) -> WindowSpec:
-        """The same rows, last first."""
-        return Window.partitionBy(*self.keys, *within).orderBy(*self.descending())
-
-    def trailing(self, n: int, *within: str, first: tuple[str, ...] = ()) -> WindowSpec:
+    def trailing(self, n: int) -> WindowSpec:
         """The current row and the ``n - 1`` rows before it."""
         if n < 1:
             raise ValueError(f"window size must be at least 1, got {n}")
-        return self.ordinal(*within, first=first).rowsBetween(1 - n, Window.currentRow)
+        return self.ordinal().rowsBetween(1 - n, Window.currentRow)
 
 
 BARS = SeriesSpec()
