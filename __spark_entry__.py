@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import clean_symbols as clean_symbol_column
+from tidemark.functions import SYMBOLS as SYMBOL_RULE
 from tidemark.functions import split_symbols
 from tidemark.functions.symbols import WHITE_SPACE
 from tidemark.operators import (
@@ -20,6 +20,8 @@ from tidemark.operators import (
     with_zscore,
 )
 from tidemark.plans import job, reports
+from tidemark.scratch import ensure_checkpoint_dir
+from tidemark.series import SeriesSpec
 from tidemark.sinks import BANDS_COLUMNS, ZSCORE_COLUMNS, RunStamp, bands_output, zscore_output
 from tidemark.sources import history
 from tidemark.sources.views import EVENTS_SCHEMA, hourly_bars, tick_series
@@ -66,8 +68,10 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregated once and kept: the layout of long series and the statistics both read them."""
     bars = hourly_bars(_table(spark, sf_dir, "events"))
-    return bars.select("Symbol", "BarDateTime", "ClosePrice")
+    ensure_checkpoint_dir(spark)
+    return bars.select("Symbol", "BarDateTime", "ClosePrice").checkpoint()
 
 
 def _tick_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +142,26 @@ def _moving_stats_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(balanced_rolling_stats(_ticks(spark, sf_dir), WINDOW, rows_per_task=CUT_ROWS))
 
 
+DAILY = SeriesSpec(order="Day")
+SPELLED = SeriesSpec(order="Spelled")
+
+
+def _moving_stats_cut_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days as times, so that many rows share one and the value orders them."""
+    ticks = _ticks(spark, sf_dir).withColumn("Day", F.to_date("BarDateTime"))
+    daily = ticks.select("Symbol", "Day", "ClosePrice")
+    return _comparable(balanced_rolling_stats(daily, WINDOW, DAILY, CUT_ROWS))
+
+
+def _moving_stats_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text."""
+    ticks = _ticks(spark, sf_dir)
+    spelled = ticks.select(
+        "Symbol", F.date_format("BarDateTime", "yyyy-MM-dd HH:mm:ss").alias("Spelled"), "ClosePrice"
+    )
+    return _comparable(balanced_rolling_stats(spelled, WINDOW, SPELLED, CUT_ROWS))
+
+
 def _moving_stats_small_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(balanced_rolling_stats(_ticks(spark, sf_dir), SMALL_WINDOW))
 
@@ -224,9 +248,7 @@ def _overall_totals_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _per_symbol_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     bands, scores = _tick_outputs(spark, sf_dir)
-    return reports.per_symbol_report(
-        reports.bollinger_summary(bands), reports.zscore_summary(scores)
-    )
+    return reports.per_symbol_report(reports.price_groups(bands), reports.anomaly_groups(scores))
 
 
 def _per_symbol_report_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,6 +268,10 @@ def _no_anomaly_note(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.no_anomaly_note(with_zscore(_tick_stats(spark, sf_dir), 5.0))
 
 
+def _no_anomaly_note_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.no_anomaly_note(with_zscore(_tick_stats(spark, sf_dir), THRESHOLD))
+
+
 def _appended_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The z-score table after two runs appended to it, and the second run alone."""
     scores = with_zscore(_tick_stats(spark, sf_dir), THRESHOLD)
@@ -270,7 +296,7 @@ def _clean_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(part.select(F.col("p_name").alias("raw")))
         .unionByName(_table(spark, sf_dir, "nation").select(F.col("n_name").alias("raw")))
     )
-    return clean_symbol_column(names, "raw").distinct()
+    return SYMBOL_RULE.judged(names, "raw").distinct()
 
 
 def _symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +308,8 @@ _QUERIES: dict[str, Query] = {
     "history_scan_whole_end_day": _history_scan_whole_end_day,
     "moving_stats": _moving_stats,
     "moving_stats_cut": _moving_stats_cut,
+    "moving_stats_cut_ties": _moving_stats_cut_ties,
+    "moving_stats_cut_text": _moving_stats_cut_text,
     "moving_stats_small_window": _moving_stats_small_window,
     "moving_stats_single_row": _moving_stats_single_row,
     "moving_stats_decimal": _moving_stats_decimal,
@@ -306,6 +334,7 @@ _QUERIES: dict[str, Query] = {
     "overall_report": _overall_report,
     "top_anomaly_report": _top_anomaly_report,
     "no_anomaly_note": _no_anomaly_note,
+    "no_anomaly_note_flagged": _no_anomaly_note_flagged,
     "appended_zscore_summary": _appended_zscore_summary,
     "one_batch_zscore_summary": _one_batch_zscore_summary,
     "clean_symbols": _clean_symbols,
@@ -340,8 +369,8 @@ _BAR = """
 bar AS (
   SELECT upper(event_type) AS "Symbol",
          CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "BarDateTime",
-         arg_min(value, ts) AS "OpenPrice", max(value) AS "HighPrice",
-         min(value) AS "LowPrice", arg_max(value, ts) AS "ClosePrice",
+         arg_min(value, (ts, event_id)) AS "OpenPrice", max(value) AS "HighPrice",
+         min(value) AS "LowPrice", arg_max(value, (ts, event_id)) AS "ClosePrice",
          count(*) AS "Volume"
   FROM events GROUP BY 1, 2
 )"""
@@ -425,6 +454,31 @@ totals AS (
 )"""
 
 
+def _note_sql(threshold: float) -> str:
+    return f"""
+SELECT 'No anomalies flagged in the current data.' AS "Note"
+FROM (SELECT count(*) AS flagged FROM signals WHERE abs("ZScore") >= {threshold}) WHERE flagged = 0"""
+
+
+def _ordered_stats_sql(order: str, expression: str) -> str:
+    """Statistics of the ticks in another order, equal places by value."""
+    return f"""
+WITH tick AS (
+  SELECT 'U' || user_id AS "Symbol", {expression} AS "{order}", value AS "ClosePrice" FROM events
+),
+stats AS (
+  SELECT *, avg("ClosePrice") OVER w AS "MovingAvg", stddev_samp("ClosePrice") OVER w AS "RollingStd",
+         CAST(row_number() OVER (PARTITION BY "Symbol" ORDER BY "{order}", "ClosePrice") AS INTEGER)
+           AS "RowNum"
+  FROM tick
+  WINDOW w AS (PARTITION BY "Symbol" ORDER BY "{order}", "ClosePrice"
+               ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW)
+)
+SELECT "Symbol", "{order}", {_number("ClosePrice")}, {_number("MovingAvg")}, {_number("RollingStd")},
+       "RowNum", "RowNum" < {WINDOW} AS "IsWarmup"
+FROM stats"""
+
+
 def _with(*parts: str, select: str) -> str:
     return f"WITH {','.join(parts)}\n{select}"
 
@@ -528,6 +582,8 @@ WHERE "BarDateTime" >= TIMESTAMP '{START}'
         ),
         "moving_stats": moving_stats,
         "moving_stats_cut": moving_stats,
+        "moving_stats_cut_ties": _ordered_stats_sql("Day", "CAST(ts AS DATE)"),
+        "moving_stats_cut_text": _ordered_stats_sql("Spelled", "strftime(ts, '%Y-%m-%d %H:%M:%S')"),
         "moving_stats_small_window": _with(
             _TICK, _stats_sql("tick", SMALL_WINDOW), select=_STATS_SELECT
         ),
@@ -582,13 +638,8 @@ SELECT "Symbol", strftime("BarDateTime", '%Y-%m-%d %H:%M') AS "Bar Date/Time",
        printf('%.2f', "ClosePrice") AS "Close Price", printf('%.3f', "ZScore") AS "Z-Score"
 FROM best""",
         ),
-        "no_anomaly_note": _with(
-            *tick_stats,
-            _SIGNALS,
-            select="""
-SELECT 'No anomalies flagged in the current data.' AS "Note"
-FROM (SELECT count(*) AS flagged FROM signals WHERE abs("ZScore") >= 5) WHERE flagged = 0""",
-        ),
+        "no_anomaly_note": _with(*tick_stats, _SIGNALS, select=_note_sql(5)),
+        "no_anomaly_note_flagged": _with(*tick_stats, _SIGNALS, select=_note_sql(THRESHOLD)),
         "appended_zscore_summary": _with(
             *tick_runs, _SUMMARIES, select="SELECT * FROM anomalies"
         ),

@@ -2,8 +2,8 @@ import pytest
 
 from pyspark.sql import functions as F
 from tidemark.functions import (
-    check_symbols,
-    clean_symbols,
+    SYMBOLS,
+    SymbolRule,
     count_text,
     minute_text,
     number_text,
@@ -17,25 +17,26 @@ def texts(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "s string")
 
 
-def test_check_symbols():
-    assert check_symbols([" aapl ", "BRK.B", "", "  ", "rds-a", "A\n", "\tq"]) == [
-        "AAPL",
-        "BRK.B",
-        "RDS-A",
-        "A",
-        "Q",
-    ]
+def test_symbols_given_as_values():
+    given = [" aapl ", "BRK.B", "", "  ", "rds-a", "A\n", "\tq", "AAPL"]
+    assert SYMBOLS.require(given) == ("AAPL", "BRK.B", "RDS-A", "A", "Q")
     for bad in (["A B"], ["X'Y"], ["A;--"], ["É"], ["A\nB"]):
-        with pytest.raises(ValueError, match="not a symbol"):
-            check_symbols(bad)
+        with pytest.raises(ValueError, match="expected symbols"):
+            SYMBOLS.require(bad)
     for empty in ([], ["", " "]):
-        with pytest.raises(ValueError, match="empty"):
-            check_symbols(empty)
+        with pytest.raises(ValueError, match="an empty list"):
+            SYMBOLS.require(empty)
+
+
+def test_all_bad_symbols_are_named_at_once():
+    with pytest.raises(ValueError, match="'A B', 'X!'"):
+        SYMBOLS.require(["a b", "OK", "x!", "A B"])
+    assert SymbolRule("[A-Z]+:[A-Z]+").require(["xnas:aapl"]) == ("XNAS:AAPL",)
 
 
-def test_clean_symbols_follows_check_symbols(spark):
+def test_symbols_of_a_column_follow_the_same_rule(spark):
     raw = [" aapl ", "BRK.B", "A B", "X'Y", "", "A\n", "\tq", " msft　", "\x1cz", None, "É"]
-    out = clean_symbols(texts(spark, *raw), "s").collect()
+    out = SYMBOLS.judged(texts(spark, *raw), "s").collect()
     assert [(r.Symbol, r.IsValid) for r in out] == [
         ("AAPL", True),
         ("BRK.B", True),

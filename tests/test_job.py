@@ -5,7 +5,7 @@ from tidemark.operators import rolling_stats, with_bands, with_zscore
 from tidemark.plans import RunParams, build_report, run
 from tidemark.plans import job
 from tidemark.sinks import BANDS_COLUMNS, BANDS_TABLE, ZSCORE_COLUMNS, ZSCORE_TABLE
-from tidemark.sources import history
+from tidemark.sources import JdbcTable, history
 from tidemark.sources.views import hourly_bars
 
 SYMBOLS = ("click", "VIEW", "error")
@@ -91,6 +91,44 @@ def test_write_back_and_report(spark, stored_bars, whole, tmp_path, reuse):
     assert spark.read.parquet(bands_path).count() == n
 
 
+def test_a_run_that_stores_reads_its_source_once(spark, stored_bars, tmp_path, monkeypatch):
+    counted = spark.sparkContext.accumulator(0)
+
+    def watched(session, source, *args, **options):
+        history = real(session, source, *args, **options)
+
+        def passing(batches):
+            for batch in batches:
+                counted.add(batch.num_rows)
+                yield batch
+
+        return history.mapInArrow(passing, history.schema)
+
+    real = job.read_history
+    monkeypatch.setattr(job, "read_history", watched)
+    result = run(spark, RunParams(**PARAMS, write_back=True), stored_bars, str(tmp_path / "b"), str(tmp_path / "z"))
+    assert counted.value == result.bands_rows > 0
+    assert result.bands_preview.count() == 50 and counted.value == result.bands_rows
+
+
+def test_stored_database_tables_are_read_once_in_slices(spark, stored_bars, whole, tmp_path, monkeypatch):
+    """No database here: the reader is replaced where it would connect."""
+    bands_path, scores_path = str(tmp_path / "b"), str(tmp_path / "z")
+    run(spark, RunParams(**PARAMS, write_back=True), stored_bars, bands_path, scores_path)
+    loads = []
+
+    def fake(session, source):
+        loads.append(source.read_options())
+        return session.read.parquet(bands_path if source.table == "b" else scores_path)
+
+    monkeypatch.setattr(job, "read_table", fake)
+    tables = [JdbcTable("jdbc:x", t, connections=4, slices=("Id", "1", "9")) for t in "bz"]
+    report = build_report(spark, *tables)
+    assert [r.Symbol for r in report.per_symbol.collect()] == ["CLICK", "ERROR", "VIEW"]
+    assert report.no_anomaly_note.isEmpty() and report.top_anomalies.count() == 15
+    assert [o["numPartitions"] for o in loads] == ["4", "4"]
+
+
 def test_nothing_stays_cached(spark, stored_bars, tmp_path):
     params = RunParams(**PARAMS, write_back=True)
     with pytest.raises(Exception):

@@ -73,12 +73,15 @@ def test_summaries_of_fresh_results_reuse_the_partitioning(events):
     assert ops.index("Exchange", ops.index("HashAggregate")) > ops.index("Window")
 
 
-def test_join_of_summaries_drops_their_sorts(stored_bars):
-    stored = with_signals(rolling_stats(stored_bars, 20)).withColumn("BatchId", F.lit("b"))
-    ops = operators(
-        reports.per_symbol_report(reports.bollinger_summary(stored), reports.zscore_summary(stored))
-    )
-    assert "CartesianProduct" not in ops and "BroadcastNestedLoopJoin" not in ops
+def test_report_of_one_frame_scans_and_sorts_it_once(stored_bars):
+    stats = rolling_stats(stored_bars, 20)
+    bands = bands_output(with_bands(stats, 2.0), 20, 2.0, STAMP)
+    scores = zscore_output(with_zscore(stats, 2.0), 20, 2.0, STAMP)
+    report = reports.per_symbol_report(reports.price_groups(bands), reports.anomaly_groups(scores))
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
 
 
 def test_totals_use_no_cross_join(stored_bars):

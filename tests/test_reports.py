@@ -124,7 +124,7 @@ def test_per_symbol_report_is_a_left_join(spark):
 
 def test_one_pass_report_equals_the_join(stored):
     joined = reports.per_symbol_report(
-        reports.bollinger_summary(stored), reports.zscore_summary(stored)
+        reports.price_groups(stored), reports.anomaly_groups(stored)
     )
     one_pass = reports.symbol_report(reports.symbol_summary(stored))
     assert rows(one_pass) == rows(joined) and one_pass.schema == joined.schema

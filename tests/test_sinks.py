@@ -101,6 +101,19 @@ def test_partitioned_and_limited_files(spark, bands, tmp_path):
     assert all("BatchId=batch-1" in f for f in stored.inputFiles())
 
 
+def test_overwriting_a_table_keeps_the_file_limit_and_the_partitions(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "id % 2 AS part").repartition(1)
+    save(rows, "limited_table", partition_by=["part"])
+    before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    assert save(rows, "limited_table", "overwrite", max_records_per_file=10) == 1000
+    assert len(spark.table("limited_table").inputFiles()) == 100
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == before
+    save(rows, "limited_table", "overwrite", partition_by=["part"])
+    assert len(spark.table("limited_table").inputFiles()) == 2
+    with pytest.raises(ValueError, match="partitioned by"):
+        save(rows, "limited_table", "overwrite", partition_by=["id"])
+
+
 def test_mandatory_columns(spark, bands, tmp_path):
     assert require_values(bands, BANDS_TABLE).count() == 5
     broken = bands.withColumn("Symbol", F.lit(None).cast("string"))

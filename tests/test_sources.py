@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import SF_SMALL, plan_of
@@ -10,12 +10,11 @@ from tidemark.series import BARS, SeriesSpec
 from tidemark.sources import (
     HISTORY_COLUMNS,
     JdbcTable,
-    check_date,
+    day_range,
     history,
     jdbc_url,
     read_history,
     with_row_identity,
-    yes_no,
 )
 from tidemark.sources.views import hourly_bars, tick_series
 
@@ -27,18 +26,21 @@ def stored_bars(spark, tmp_path_factory):
     return path
 
 
-def test_dates_are_checked_for_shape():
-    assert check_date("2026-01-01", "start") == "2026-01-01"
-    for bad in ("2026-1-1", "20260101", "2026-01-01\n", "2026-01-01' OR 1=1", ""):
+def test_days_are_days_of_the_calendar(spark, make_bars):
+    assert day_range("2026-01-01", date(2026, 1, 1)) == (date(2026, 1, 1), date(2026, 1, 1))
+    assert day_range(None, "2024-02-29") == (None, date(2024, 2, 29))
+    for bad in ("2026-1-1", "20260101", "2026-01-01\n", "2026-01-01' OR 1=1", "", "2026-13-45", "2023-02-29"):
+        with pytest.raises(ValueError, match="end"):
+            day_range("2020-01-01", bad)
         with pytest.raises(ValueError, match="start"):
-            check_date(bad, "start")
+            history(make_bars(A=[1.0]), None, bad, columns=None)
 
 
-def test_impossible_dates_fail_and_empty_ranges_do_not(spark, make_bars):
-    bars = make_bars(A=[1.0])
-    with pytest.raises(Exception, match="2026-13-45"):
-        history(bars, None, "2026-13-45", "2026-12-31", columns=None).collect()
-    assert history(bars, None, "2025-01-01", "2024-01-01", columns=None).isEmpty()
+def test_ranges_must_not_run_backwards(spark, make_bars, stored_bars):
+    with pytest.raises(ValueError, match="comes after"):
+        history(make_bars(A=[1.0]), None, "2025-01-01", "2024-01-01", columns=None)
+    with pytest.raises(ValueError, match="comes after"):
+        read_history(spark, stored_bars, None, "2025-01-01", "2024-01-01")
 
 
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
@@ -64,16 +66,26 @@ def test_filters_and_columns_reach_the_scan(spark, stored_bars):
     assert {r.Symbol for r in df.collect()} == {"CLICK", "VIEW"}
 
 
-def test_long_symbol_lists_become_a_join(spark, stored_bars):
-    wanted = [f"X{i}" for i in range(600)] + ["click"]
-    df = read_history(spark, stored_bars, wanted, "2024-01-05", "2024-01-20")
-    assert "LeftSemi" in plan_of(df)
-    short = read_history(spark, stored_bars, ["CLICK"], "2024-01-05", "2024-01-20")
-    assert sorted(df.collect()) == sorted(short.collect())
-    table = spark.createDataFrame([("CLICK",)], "s string")
-    assert sorted(read_history(spark, stored_bars, table, "2024-01-05", "2024-01-20").collect()) == (
-        sorted(short.collect())
+@pytest.mark.parametrize("n", [500, 20_000])
+def test_symbol_lists_of_any_length_are_one_filter(spark, stored_bars, n):
+    wanted = [f"X{i}" for i in range(n)] + ["click"]
+    few = ["click", *wanted[:9]]
+    long, short = (
+        read_history(spark, stored_bars, w, "2024-01-05", "2024-01-20", columns=None)
+        for w in (wanted, few)
     )
+    assert long.columns == short.columns and long.collect() == short.collect()
+    for df in (long, short):
+        plan = plan_of(df)
+        assert "In(Symbol, [" in plan and "Join" not in plan
+
+
+def test_symbols_may_be_data(spark, stored_bars):
+    table = spark.createDataFrame([("CLICK",)], "s string")
+    joined = read_history(spark, stored_bars, table, "2024-01-05", "2024-01-20", columns=None)
+    short = read_history(spark, stored_bars, ["CLICK"], "2024-01-05", "2024-01-20", columns=None)
+    assert joined.columns == short.columns
+    assert sorted(joined.collect()) == sorted(short.collect())
 
 
 def test_symbols_are_compared_as_stored_unless_folded(spark, make_bars):
@@ -105,21 +117,16 @@ def test_row_identity_breaks_ties(spark, tmp_path):
     from tidemark.operators import plan_layout
 
     layout = plan_layout(df, spec, rows_per_task=9)
-    assert layout.pieces.table.agg(F.max("_rows")).first()[0] <= 9
+    assert layout.in_pieces(0).groupBy("_cell").count().agg(F.max("count")).first()[0] == 9
     out = rolling_stats(df, 4, spec, layout)
     assert sorted(r.RowNum for r in out.collect()) == list(range(1, 41))
 
 
-def test_switches_and_urls():
-    assert [yes_no(v) for v in ("yes", " TRUE ", "1", "no", "false", "0", "", True, False)] == (
-        ["true"] * 3 + ["false"] * 4 + ["true", "false"]
-    )
-    url = jdbc_url(
-        "sqlserver://db.example:1433",
-        {"databaseName": "Bars", "trustServerCertificate": yes_no("yes"), "encrypt": True},
-    )
-    assert url == (
-        "jdbc:sqlserver://db.example:1433;databaseName=Bars;trustServerCertificate=true;encrypt=true;"
+def test_urls():
+    settings = {"databaseName": "Bars", "trustServerCertificate": True, "encrypt": False, "loginTimeout": 9}
+    assert jdbc_url("sqlserver://db.example:1433", settings) == (
+        "jdbc:sqlserver://db.example:1433;databaseName=Bars;trustServerCertificate=true;"
+        "encrypt=false;loginTimeout=9;"
     )
     assert jdbc_url("h2:mem:x") == "jdbc:h2:mem:x"
 
@@ -139,7 +146,14 @@ def test_jdbc_options():
     options = sliced.read_options("BarDateTime", "2024-01-01", "2024-02-01")
     assert options["partitionColumn"] == "BarDateTime" and options["numPartitions"] == "4"
     assert options["lowerBound"] == "2024-01-01 00:00:00" and options["fetchsize"] == "5"
-    assert "partitionColumn" not in sliced.read_options()
+    for missing in ((), ("BarDateTime", "2024-01-01", None)):
+        with pytest.raises(ValueError, match="slices"):
+            sliced.read_options(*missing)
+    stored = JdbcTable("jdbc:x", "t", connections=4, slices=("Id", "1", "900"))
+    options = stored.read_options()
+    assert [options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == (
+        ["Id", "1", "900", "4"]
+    )
     assert "truncate" not in table.write_options("append")
     assert table.write_options("overwrite")["truncate"] == "true"
     wide = JdbcTable("jdbc:x", "t", batch_size=7, connections=3, column_types="Symbol VARCHAR(20)")

@@ -1,9 +1,9 @@
-from tidemark.functions.symbols import check_symbols, clean_symbols, split_symbols, symbol_list
+from tidemark.functions.symbols import SYMBOLS, SymbolRule, split_symbols, symbol_list
 from tidemark.functions.text import count_text, minute_text, number_text
 
 __all__ = [
-    "check_symbols",
-    "clean_symbols",
+    "SYMBOLS",
+    "SymbolRule",
     "count_text",
     "minute_text",
     "number_text",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,27 +25,41 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITE_SPACE))
 
 
-def check_symbols(symbols: Iterable[str]) -> list[str]:
-    """Trimmed, upper-cased symbols without blanks; raises on anything else."""
-    accepted = []
-    for text in map(str.strip, symbols):
-        if text:
-            if re.fullmatch(SYMBOL_CHARACTERS, text.upper()) is None:
-                raise ValueError(f"not a symbol: {text!r}")
-            accepted.append(text.upper())
-    if accepted:
-        return accepted
-    raise ValueError("the symbol list is empty")
-
-
-def clean_symbols(df: DataFrame, column: str) -> DataFrame:
-    """The same rule for a whole column: (Symbol, IsValid), blanks and nulls dropped."""
-    symbol = F.upper(strip(F.col(column)))
-    return (
-        df.select(symbol.alias("Symbol"))
-        .where(F.col("Symbol") != "")
-        .withColumn("IsValid", F.col("Symbol").rlike(rf"^{SYMBOL_CHARACTERS}\z"))
-    )
+@dataclass(frozen=True)
+class SymbolRule:
+    """What a symbol is: a row of allowed characters, read without case and outer white space.
+
+    One rule for symbols that are given as values and for those that are data.
+    """
+
+    characters: str = SYMBOL_CHARACTERS
+
+    def read(self, text: str) -> str:
+        return text.strip().upper()
+
+    def holds(self, symbol: str) -> bool:
+        return re.fullmatch(self.characters, symbol) is not None
+
+    def require(self, symbols: Iterable[str]) -> tuple[str, ...]:
+        """The different symbols in the order given, blanks left out.
+
+        One error names everything that is no symbol; having none left is an error as well.
+        """
+        found = dict.fromkeys(filter(None, map(self.read, symbols)))
+        wrong = [s for s in found if not self.holds(s)]
+        if wrong or not found:
+            reason = ", ".join(map(repr, wrong)) or "an empty list"
+            raise ValueError(f"expected symbols, got {reason}")
+        return tuple(found)
+
+    def judged(self, df: DataFrame, column: str) -> DataFrame:
+        """(Symbol, IsValid) for every value of a column; blanks and nulls are dropped."""
+        symbol = F.upper(strip(F.col(column)))
+        valid = F.col("Symbol").rlike(rf"^(?:{self.characters})\z")
+        return df.select(symbol.alias("Symbol")).where("Symbol <> ''").withColumn("IsValid", valid)
+
+
+SYMBOLS = SymbolRule()
 
 
 def symbol_list(column: Column) -> Column:

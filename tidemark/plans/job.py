@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.symbols import check_symbols
+from tidemark.functions.symbols import SYMBOLS
 from tidemark.operators import (
     balanced_rolling_stats,
     leading_rolling_stats,
@@ -33,7 +33,7 @@ from tidemark.sinks import (
     zscore_output,
 )
 from tidemark.sinks.outputs import SAVE_MODES
-from tidemark.sources import JdbcTable, check_date, read_history, read_table
+from tidemark.sources import JdbcTable, day_range, read_history, read_table
 
 log = logging.getLogger(__name__)
 
@@ -63,9 +63,8 @@ class RunParams:
     reuse: str = "persist"
 
     def __post_init__(self) -> None:
-        object.__setattr__(self, "symbols", tuple(check_symbols(self.symbols)))
-        check_date(self.start, "start")
-        check_date(self.end, "end")
+        object.__setattr__(self, "symbols", SYMBOLS.require(self.symbols))
+        day_range(self.start, self.end)
         if self.window < 1:
             raise ValueError(f"window must be at least 1, got {self.window}")
         if self.write_mode not in SAVE_MODES:
@@ -114,32 +113,40 @@ def run(
     bands_target: JdbcTable | str | None = None,
     zscore_target: JdbcTable | str | None = None,
 ) -> RunResult:
-    """Compute bands and z-scores of the chosen series; store them if asked to."""
+    """Compute bands and z-scores of the chosen series; store them if asked to.
+
+    A run that stores reads its source once: the history is kept first, and the layout of long
+    series, the statistics and the previews all come from what was kept.
+    """
     history = read_history(
         spark, source, params.symbols, params.start, params.end, columns=BARS.columns
     )
-    result = RunResult(
-        bands_preview(history, params.window, params.num_std),
-        zscore_preview(history, params.window, params.z_threshold),
-    )
     if not params.write_back:
-        return result
+        return RunResult(*_previews(history, params))
     if bands_target is None or zscore_target is None:
         raise ValueError("write_back needs a target for the bands and one for the z-scores")
 
     stamp = RunStamp()
-    stats = balanced_rolling_stats(history, params.window).drop("RowNum")
-    with shared(stats, params.reuse) as stats:
-        bands = bands_output(with_bands(stats, params.num_std), params.window, params.num_std, stamp)
-        scores = zscore_output(
-            with_zscore(stats, params.z_threshold), params.window, params.z_threshold, stamp
-        )
-        bands, scores = require_values(bands, BANDS_TABLE), require_values(scores, ZSCORE_TABLE)
-        bands_rows = save(bands, bands_target, params.write_mode)
-        zscore_rows = save(scores, zscore_target, params.write_mode)
+    with shared(history, params.reuse) as history:
+        stats = balanced_rolling_stats(history, params.window).drop("RowNum")
+        with shared(stats, params.reuse) as stats:
+            bands = bands_output(with_bands(stats, params.num_std), params.window, params.num_std, stamp)
+            scores = zscore_output(
+                with_zscore(stats, params.z_threshold), params.window, params.z_threshold, stamp
+            )
+            bands, scores = require_values(bands, BANDS_TABLE), require_values(scores, ZSCORE_TABLE)
+            bands_rows = save(bands, bands_target, params.write_mode)
+            zscore_rows = save(scores, zscore_target, params.write_mode)
+        # Fifty rows each, held as values because the history is not kept any longer.
+        previews = [spark.createDataFrame(p.collect(), p.schema) for p in _previews(history, params)]
     log.info("batch %s: %d band rows, %d z-score rows", stamp.batch_id, bands_rows, zscore_rows)
-    return RunResult(
-        result.bands_preview, result.zscore_preview, stamp.batch_id, bands_rows, zscore_rows
+    return RunResult(*previews, stamp.batch_id, bands_rows, zscore_rows)
+
+
+def _previews(history: DataFrame, params: RunParams) -> tuple[DataFrame, DataFrame]:
+    return (
+        bands_preview(history, params.window, params.num_std),
+        zscore_preview(history, params.window, params.z_threshold),
     )
 
 
@@ -180,14 +187,25 @@ def build_report(
     top: int = reports.DEFAULT_TOP,
     batch_id: str | None = None,
 ) -> Report:
-    """The summary report over stored results, of all runs or of one."""
+    """The summary report over stored results, of all runs or of one.
+
+    Four frames read these tables. What they need of a database table is therefore fetched once,
+    by its own connections, and kept in the shared folder.
+    """
     bands, scores = read_table(spark, bands_source), read_table(spark, zscore_source)
     if batch_id is not None:
         bands, scores = reports.one_batch(bands, batch_id), reports.one_batch(scores, batch_id)
+    bands = bands.select("Symbol", "BarDateTime", "ClosePrice", "IsWarmup")
+    scores = scores.select("Symbol", "BarDateTime", "ClosePrice", "ZScore", "IsAnomaly", "IsWarmup")
+    ensure_checkpoint_dir(spark)
+    if isinstance(bands_source, JdbcTable):
+        bands = bands.checkpoint()
+    if isinstance(zscore_source, JdbcTable):
+        scores = scores.checkpoint()
     return Report(
         overall=reports.overall_report(reports.overall_totals(bands, scores)),
         per_symbol=reports.per_symbol_report(
-            reports.bollinger_summary(bands), reports.zscore_summary(scores)
+            reports.price_groups(bands), reports.anomaly_groups(scores)
         ),
         top_anomalies=reports.top_anomaly_report(reports.top_anomalies(scores, top)),
         no_anomaly_note=reports.no_anomaly_note(scores),

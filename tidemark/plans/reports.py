@@ -45,19 +45,25 @@ def settled(df: DataFrame) -> DataFrame:
     return df.where(~F.col("IsWarmup"))
 
 
+def price_groups(bands: DataFrame) -> DataFrame:
+    """Bar count, date range and close range of every symbol, in no order."""
+    return settled(bands).groupBy("Symbol").agg(*_price_aggregates())
+
+
+def anomaly_groups(zscores: DataFrame) -> DataFrame:
+    """Bar count, anomaly count and largest absolute z-score of every symbol, in no order."""
+    count = F.count(F.lit(1)).alias("BarCount")
+    return settled(zscores).groupBy("Symbol").agg(count, *_anomaly_aggregates())
+
+
 def bollinger_summary(bands: DataFrame) -> DataFrame:
-    """Bar count, date range and close range of every symbol."""
-    return _sorted(settled(bands).groupBy("Symbol").agg(*_price_aggregates()), "Symbol")
+    """`price_groups` in symbol order."""
+    return _sorted(price_groups(bands), "Symbol")
 
 
 def zscore_summary(zscores: DataFrame) -> DataFrame:
-    """Bar count, anomaly count and largest absolute z-score of every symbol."""
-    summary = (
-        settled(zscores)
-        .groupBy("Symbol")
-        .agg(F.count(F.lit(1)).alias("BarCount"), *_anomaly_aggregates())
-    )
-    return _sorted(summary, F.desc("AnomalyCount"), "Symbol")
+    """`anomaly_groups`, most anomalies first."""
+    return _sorted(anomaly_groups(zscores), F.desc("AnomalyCount"), "Symbol")
 
 
 def symbol_summary(signals: DataFrame) -> DataFrame:
@@ -130,14 +136,15 @@ def overall_report(totals: DataFrame) -> DataFrame:
 
 
 def per_symbol_report(prices: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """The two summaries side by side, as text, one row per symbol of the first.
+    """Rows of `price_groups` and `anomaly_groups` side by side, as text, one per symbol of the
+    first.
 
     Symbols without a z-score row show no anomalies; symbols with nothing else are left out.
+    The join is null-safe, so neither side gets a filter of its own: where both groups come from
+    one frame, its shuffle and its sort are done once.
     """
-    joined = prices.join(
-        anomalies.select("Symbol", "AnomalyCount", "MaxAbsZScore"), "Symbol", "left"
-    )
-    return symbol_report(joined)
+    right = anomalies.select(F.col("Symbol").alias("_symbol"), "AnomalyCount", "MaxAbsZScore")
+    return symbol_report(prices.join(right, F.col("Symbol").eqNullSafe(F.col("_symbol")), "left"))
 
 
 def symbol_report(summary: DataFrame) -> DataFrame:

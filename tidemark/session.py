@@ -22,6 +22,8 @@ def spark_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Checkpoint files go when the frames they belong to are gone.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Windows cost far more per byte than scans do: use the cores there are before
         # merging small shuffle partitions.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")

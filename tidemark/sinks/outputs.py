@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -86,7 +87,8 @@ def save(
 
     The count is taken while the rows pass by, so the plan runs once and nothing has to
     be cached. ``target`` is a JDBC table, a catalog table name or a parquet path.
-    Overwriting an existing table replaces its rows and keeps its definition.
+    Overwriting an existing table replaces its rows and keeps its definition; a
+    ``partition_by`` that differs from the table's own is refused.
 
     File targets commit as a whole. A database commits each task on its own, so a task
     that is run again after its commit can repeat rows there; the batch id identifies them.
@@ -100,15 +102,31 @@ def save(
         writer.format("jdbc").options(**target.write_options(mode)).save()
         return rows.get["rows"]
 
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if "/" in target:
-        writer.parquet(target)
-    elif mode == "overwrite" and df.sparkSession.catalog.tableExists(target):
-        names = df.sparkSession.table(target).columns
-        counted.select(*names).write.insertInto(target, overwrite=True)
-    else:
-        writer.format("parquet").saveAsTable(target)
+    with _records_per_file(df.sparkSession, max_records_per_file):
+        if "/" in target:
+            writer.partitionBy(*partition_by).parquet(target)
+        elif mode == "overwrite" and df.sparkSession.catalog.tableExists(target):
+            stored = df.sparkSession.catalog.listColumns(target)
+            kept = tuple(c.name for c in stored if c.isPartition)
+            if partition_by and tuple(partition_by) != kept:
+                raise ValueError(f"{target} is partitioned by {kept}, not by {tuple(partition_by)}")
+            names = [c.name for c in stored]
+            counted.select(*names).write.insertInto(target, overwrite=True)
+        else:
+            writer.format("parquet").partitionBy(*partition_by).saveAsTable(target)
     return rows.get["rows"]
+
+
+@contextmanager
+def _records_per_file(spark: SparkSession, limit: int | None) -> Iterator[None]:
+    """Limits the rows of a file; as a setting, because inserting into a table takes no options."""
+    if not limit:
+        yield
+        return
+    name = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

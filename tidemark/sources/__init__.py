@@ -1,21 +1,20 @@
 from tidemark.sources.history import (
     HISTORY_COLUMNS,
-    check_date,
+    day_range,
     history,
     read_history,
     read_table,
     with_row_identity,
 )
-from tidemark.sources.jdbc import JdbcTable, jdbc_url, yes_no
+from tidemark.sources.jdbc import JdbcTable, jdbc_url
 
 __all__ = [
     "HISTORY_COLUMNS",
     "JdbcTable",
-    "check_date",
+    "day_range",
     "history",
     "jdbc_url",
     "read_history",
     "read_table",
     "with_row_identity",
-    "yes_no",
 ]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.symbols import check_symbols
+from tidemark.functions.symbols import SYMBOLS
 from tidemark.series import BARS, SeriesSpec
 from tidemark.sources.jdbc import JdbcTable
 
@@ -24,22 +24,34 @@ HISTORY_COLUMNS = (
     "Volume",
 )
 
-# Longer lists become a joined table; an IN list of this size still reaches the scan.
-_MAX_IN_LIST = 500
-
-
-def check_date(day: str, name: str = "date") -> str:
-    """Require the shape ``YYYY-MM-DD``; the calendar is checked when the plan is built."""
-    if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", day) is None:
-        raise ValueError(f"{name}: expected a day such as 2024-01-31, not {day!r}")
-    return day
+Day = str | date
+
+
+def day_range(start: Day | None, end: Day | None) -> tuple[date | None, date | None]:
+    """Both days as dates. Text must be a day of the calendar written ``YYYY-MM-DD``, and the
+    first day must not come after the last."""
+    days = []
+    for name, given in (("start", start), ("end", end)):
+        day = given
+        if isinstance(given, str):
+            try:
+                day = date.fromisoformat(given)
+            except ValueError as error:
+                raise ValueError(f"{name} is no day: {given!r}") from error
+            if day.isoformat() != given:
+                raise ValueError(f"{name} is not written YYYY-MM-DD: {given!r}")
+        days.append(day)
+    first, last = days
+    if first is not None and last is not None and last < first:
+        raise ValueError(f"start {first} comes after end {last}")
+    return first, last
 
 
 def history(
     df: DataFrame,
     symbols: Iterable[str] | DataFrame | None = None,
-    start: str | None = None,
-    end: str | None = None,
+    start: Day | None = None,
+    end: Day | None = None,
     *,
     columns: Iterable[str] | None = HISTORY_COLUMNS,
     end_inclusive_day: bool = False,
@@ -50,7 +62,8 @@ def history(
     """Select series and a date range of any bar table.
 
     ``end`` is included at midnight only, unless ``end_inclusive_day`` is set. ``symbols``
-    may be a one-column DataFrame for lists that are data themselves. ``fold_case``
+    may be a one-column DataFrame for lists that are data themselves; a list of values of any
+    length is a filter that the storage gets. Columns keep their order. ``fold_case``
     upper-cases stored symbols before they are compared; it is off by default because a
     computed column cannot be filtered by the storage.
     """
@@ -61,10 +74,11 @@ def history(
         df = df.select(*columns)
     if symbols is not None:
         df = _with_symbols(df, symbols, key)
-    if start is not None:
-        df = df.where(F.col(spec.order) >= _midnight(df, spec.order, check_date(start, "start")))
-    if end is not None:
-        last = _midnight(df, spec.order, check_date(end, "end"))
+    first_day, last_day = day_range(start, end)
+    if first_day is not None:
+        df = df.where(F.col(spec.order) >= _midnight(df, spec.order, first_day))
+    if last_day is not None:
+        last = _midnight(df, spec.order, last_day)
         if end_inclusive_day:
             df = df.where(F.col(spec.order) < last + F.expr("INTERVAL 1 DAY"))
         else:
@@ -79,8 +93,8 @@ def read_history(
     spark: SparkSession,
     source: JdbcTable | str,
     symbols: Iterable[str] | DataFrame | None = None,
-    start: str | None = None,
-    end: str | None = None,
+    start: Day | None = None,
+    end: Day | None = None,
     *,
     spec: SeriesSpec = BARS,
     **options,
@@ -90,6 +104,7 @@ def read_history(
     The read is lazy. The filters are ordinary DataFrame filters, which Spark hands to
     the database or the parquet reader; nothing is pasted into SQL text.
     """
+    day_range(start, end)
     if isinstance(source, JdbcTable):
         reader = spark.read.format("jdbc")
         df = reader.options(**source.read_options(spec.order, start, end)).load()
@@ -120,18 +135,15 @@ def with_row_identity(df: DataFrame, file: str = "_file", row: str = "_row") ->
 
 def _with_symbols(df: DataFrame, symbols: Iterable[str] | DataFrame, key: str) -> DataFrame:
     if not isinstance(symbols, DataFrame):
-        wanted = sorted(set(check_symbols(symbols)))
-        if len(wanted) <= _MAX_IN_LIST:
-            return df.where(F.col(key).isin(wanted))
-        symbols = df.sparkSession.createDataFrame([(s,) for s in wanted], f"`{key}` string")
+        return df.where(F.col(key).isin(*SYMBOLS.require(symbols)))
     # No hint: Spark broadcasts the list when its size allows and shuffles otherwise.
-    return df.join(symbols.toDF(key), key, "left_semi")
+    return df.join(symbols.toDF(key), key, "left_semi").select(df.columns)
 
 
-def _midnight(df: DataFrame, order: str, day: str) -> Column:
+def _midnight(df: DataFrame, order: str, day: date) -> Column:
     """A literal of the column's own type, so that the column itself is never cast."""
     data_type = df.schema[order].dataType
     kind = data_type.simpleString() if isinstance(data_type, T.DateType) else (
         "timestamp_ntz" if isinstance(data_type, T.TimestampNTZType) else "timestamp"
     )
-    return F.lit(day).cast(kind)
+    return F.lit(day.isoformat()).cast(kind)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -9,22 +10,10 @@ from dataclasses import dataclass, field
 DEFAULT_FETCH_SIZE = 10_000
 
 
-# The spellings that switch a connection setting on.
-SWITCHED_ON = ("yes", "true", "1")
-
-
-def yes_no(value: str | bool) -> str:
-    """``true`` or ``false``, the way drivers want it, from any spelling of a switch."""
-    is_on = str(value).strip().casefold() in SWITCHED_ON
-    return str(is_on).lower()
-
-
-def jdbc_url(endpoint: str, settings: Mapping[str, str | bool] | None = None) -> str:
-    """``jdbc:<endpoint>;name=value;...`` with switches spelled the way drivers want them."""
-    parts = [f"jdbc:{endpoint}"]
-    for name, value in (settings or {}).items():
-        parts.append(f"{name}={yes_no(value) if isinstance(value, bool) else value}")
-    return ";".join(parts) + (";" if settings else "")
+def jdbc_url(endpoint: str, settings: Mapping[str, str | int | bool] | None = None) -> str:
+    """``jdbc:<endpoint>;name=value;...``; True and False are written as drivers spell them."""
+    pairs = {name: json.dumps(v) if isinstance(v, bool) else str(v) for name, v in (settings or {}).items()}
+    return f"jdbc:{endpoint}" + "".join(f";{name}={value}" for name, value in pairs.items()) + ";" * bool(pairs)
 
 
 @dataclass(frozen=True)
@@ -38,9 +27,12 @@ class JdbcTable:
     driver: str | None = None
     fetch_size: int = DEFAULT_FETCH_SIZE
     batch_size: int | None = None
-    # Parallel connections: for reading, slices of the time range; for writing, an upper
-    # limit. A database takes far fewer connections than a cluster has tasks.
+    # Parallel connections: for reading, slices of the range of ``slices`` or of the dates
+    # asked for; for writing, an upper limit. A database takes far fewer connections than a
+    # cluster has tasks.
     connections: int | None = None
+    # Column, lower and upper bound to slice reads by. Rows beyond the bounds are read as well.
+    slices: tuple[str, str, str] | None = None
     # Column types to use when Spark has to create the table.
     column_types: str | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
@@ -57,16 +49,22 @@ class JdbcTable:
     def read_options(
         self, order: str | None = None, start: str | None = None, end: str | None = None
     ) -> dict[str, str]:
+        """Options of a read, in slices if several connections are allowed.
+
+        Slices need bounds: ``slices``, or a date range of ``order``. Several connections without
+        bounds are refused, because all rows would come through one.
+        """
         options = {**self.connection(), "fetchsize": str(self.fetch_size)}
-        if self.connections and self.connections > 1 and order and start and end:
-            # The outer slices are open-ended, so no row is lost beyond the bounds.
-            options |= {
-                "partitionColumn": order,
-                "lowerBound": f"{start} 00:00:00",
-                "upperBound": f"{end} 00:00:00",
-                "numPartitions": str(self.connections),
-            }
-        return options
+        if (self.connections or 1) < 2:
+            return options
+        dated = (order, f"{start} 00:00:00", f"{end} 00:00:00") if order and start and end else None
+        bounds = self.slices or dated
+        if bounds is None:
+            raise ValueError(
+                f"{self.table}: {self.connections} connections need slices=(column, lower, upper)"
+            )
+        named = dict(zip(("partitionColumn", "lowerBound", "upperBound"), map(str, bounds)))
+        return options | named | {"numPartitions": str(self.connections)}
 
     def write_options(self, mode: str) -> dict[str, str]:
         options = self.connection()

@@ -31,16 +31,17 @@ def hourly_bars(events: DataFrame, start: str | None = None, end: str | None = N
     if end is not None:
         past = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
         events = events.where(F.col("ts") < past)
+    place = F.struct("ts", "event_id")  # events of one time in a fixed order
     return (
         events.groupBy(
             F.upper("event_type").alias("Symbol"),
             F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("BarDateTime"),
         )
         .agg(
-            F.min_by("value", "ts").alias("OpenPrice"),
+            F.min_by("value", place).alias("OpenPrice"),
             F.max("value").alias("HighPrice"),
             F.min("value").alias("LowPrice"),
-            F.max_by("value", "ts").alias("ClosePrice"),
+            F.max_by("value", place).alias("ClosePrice"),
             F.count(F.lit(1)).alias("Volume"),
         )
     )
