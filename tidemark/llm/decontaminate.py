@@ -168,6 +168,8 @@ def _clean_rows(items: _Items, text_col: str):
 
 def _best_scores(items, lengths, hashes, bounds, item, place, where):
     """Document, item and best score of every candidate pair."""
+    if not len(where):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     doc = np.searchsorted(bounds, where, side="right") - 1
     begin = where - place  # where the item would begin
     order = np.lexsort((begin, item, doc))
