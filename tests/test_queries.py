@@ -1,6 +1,8 @@
 """Every registered query against its SQL."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from conftest import ROOT, SF_SMALL
@@ -32,6 +34,14 @@ def test_entry(spark):
     assert out.columns[:3] == ["Symbol", "BarDateTime", "ClosePrice"] and out.count() == 1000
 
 
+def test_entry_module_works_without_the_text_operators():
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = sys.modules['tidemark.llm'] = None;"
+        "import __spark_entry__ as e; assert set(e.queries()) == set(e._QUERIES) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
 def test_modules_compile():
     for folder, _, files in os.walk(os.path.join(ROOT, "tidemark")):
         for name in files:
