@@ -38,7 +38,7 @@ PAGE = f"""<html><head><title>x</title></head><body class="has-sidebar"><header>
 
 def test_furniture_is_left_out():
     assert M.main_text(PAGE) == (
-        f"Title & more First, {LONG.strip()} one two Second bold\xa0words in a line. Third one."
+        f"Title & more First, {LONG.strip()} one two Second bold words in a line. Third one."
     )
 
 

@@ -60,7 +60,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_SPACE = re.compile(r"[ \t\n\r\f\v]+")
+_SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
 
@@ -106,7 +106,7 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
 
     def flush() -> None:
         nonlocal parts, linked
-        text = _SPACE.sub(" ", html_entities.unescape("".join(parts))).strip(" \t\n\r\f\v")
+        text = _SPACE.sub(" ", html_entities.unescape("".join(parts))).strip()
         if text:
             out.append((owner, text, linked))
         parts, linked = [], 0
