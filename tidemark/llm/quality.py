@@ -14,6 +14,9 @@ characters of its words.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,36 +24,39 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MAX_PUNCTUATION_PERCENT = 30
 MIN_SEPARATORS = 3
-MAX_MENU_WORDS = 3
 MAX_LOST_PERCENT = 50
 
 # Fixed values, in the syntax that Java's regular expressions and RE2 share.
-SPACES = r"[ \t\n\x0B\f\r]+"
-SYMBOLS = "#*$%&|<>"
+SPACE = r"[ \t\n\x0B\f\r]"
+SPACES = SPACE + "+"
+SYMBOL = "[#*$%&|<>]"
+# At most three words.
+FEW_WORDS = r"^[ \t\n\x0B\f\r]*([^ \t\n\x0B\f\r]+([ \t\n\x0B\f\r]+[^ \t\n\x0B\f\r]+){0,2})?[ \t\n\x0B\f\r]*$"
 SEPARATOR = r" [|»›·•] "
 SENTENCE_END = r"[.!?…]"
 MENU = r"(?i)(^|[^\p{L}])(home|menu|login|log in|sign in|sign up|next|previous|contact|about|search|back|top)([^\p{L}]|$)"
-BOILERPLATE = (
-    r"(?i)all rights reserved|copyright|licensed under|released under the|privacy policy|"
-    r"terms of (use|service)|cookie|enable javascript|lorem ipsum|powered by|subscribe to"
-)
+PHRASES = (
+    "all rights reserved", "copyright", "licensed under", "released under the", "privacy policy",
+    "terms of use", "terms of service", "cookie", "enable javascript", "lorem ipsum", "powered by",
+    "subscribe to",
+)
+BOILERPLATE = "(?i)" + "|".join(PHRASES)
 
 
 def _chars(value: Column) -> Column:
     """Code points other than white space."""
-    return F.length(F.regexp_replace(value, SPACES, ""))
+    return F.length(value) - F.regexp_count(value, F.lit(SPACE))
 
 
-def line_passes(line: Column) -> Column:
-    size = _chars(line)
-    odd = F.length(F.regexp_replace(line, r"[^\p{P}\p{S}]", ""))
-    words = F.size(F.array_remove(F.split(line, SPACES), ""))
-    menu = (words <= MAX_MENU_WORDS) & line.rlike(MENU) & ~line.rlike(SENTENCE_END)
+def line_passes(line: Column, furnished: Column) -> Column:
+    """Whether a line stays; ``furnished``: whether its text has a boilerplate phrase at all."""
+    odd = F.regexp_count(line, F.lit(r"[\p{P}\p{S}]"))
+    menu = line.rlike(FEW_WORDS) & line.rlike(MENU) & ~line.rlike(SENTENCE_END)
     return ~(
-        (100 * odd > MAX_PUNCTUATION_PERCENT * size)
-        | (F.size(F.regexp_extract_all(line, F.lit(SEPARATOR), 0)) >= MIN_SEPARATORS)
+        (100 * odd > MAX_PUNCTUATION_PERCENT * _chars(line))
+        | (F.regexp_count(line, F.lit(SEPARATOR)) >= MIN_SEPARATORS)
         | menu
-        | line.rlike(BOILERPLATE)
+        | (furnished & line.rlike(BOILERPLATE))
     )
 
 
@@ -66,21 +72,22 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "*",
         F.transform(F.array_remove(F.split("text", SPACES), ""), lambda w: F.xxhash64(w)).alias("words"),
         F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\x0b\f\r", "    "))) > 0).alias("lines"),
+        reduce(or_, (F.lower("text").contains(p) for p in PHRASES)).alias("furnished"),
     )
     # Triples of words as hashes: they are compared within one text only.
     rows = rows.select(
         "*",
         F.expr(
-            "if(size(words) >= 3, transform(sequence(0, size(words) - 3),"
-            " i -> xxhash64(words[i], words[i + 1], words[i + 2])), array())"
+            "transform(slice(words, 1, greatest(size(words) - 2, 0)),"
+            " (w, i) -> xxhash64(w, words[i + 1], words[i + 2]))"
         ).alias("triples"),
-        F.filter("lines", line_passes).alias("good"),
+        F.filter("lines", lambda x: line_passes(x, F.col("furnished"))).alias("good"),
     )
     rows = rows.select(
         "*",
         F.expr(
             "if(size(array_distinct(triples)) < size(triples),"
-            " array_sort(transform(triples, (h, i) -> struct(h AS h, i AS i))),"
+            " sort_array(transform(triples, (h, i) -> struct(h AS h, i AS i))),"
             " CAST(array() AS array<struct<h: bigint, i: int>>))"
         ).alias("sorted"),
     )
@@ -94,7 +101,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "id",
         F.size("words").cast("long").alias("n_words"),
         _chars(F.col("text")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated.cast("long").alias("n_repeat_words"),
         (F.size("lines") - F.size("good")).cast("long").alias("lines_removed"),
@@ -147,7 +154,7 @@ good AS (
     100 * length(regexp_replace(x, '[^\\p{{P}}\\p{{S}}]', '', 'g'))
       > {MAX_PUNCTUATION_PERCENT} * length(regexp_replace(x, {_SQL_SPACES}, '', 'g'))
     OR len(regexp_extract_all(x, {_sql_text(SEPARATOR)})) >= {MIN_SEPARATORS}
-    OR (len(list_filter(regexp_split_to_array(x, {_SQL_SPACES}), lambda w: w <> '')) <= {MAX_MENU_WORDS}
+    OR (regexp_matches(x, {_sql_text(FEW_WORDS)})
         AND regexp_matches(x, {_sql_text(MENU)}) AND NOT regexp_matches(x, {_sql_text(SENTENCE_END)}))
     OR regexp_matches(x, {_sql_text(BOILERPLATE)}))) AS good
   FROM base
@@ -155,7 +162,7 @@ good AS (
 measured AS (
   SELECT doc_id, len(words) AS n_words,
          length(regexp_replace(text, {_SQL_SPACES}, '', 'g')) AS word_chars,
-         length(text) - length(translate(text, {_sql_text(SYMBOLS)}, '')) AS n_symbols,
+         length(text) - length(regexp_replace(text, {_sql_text(SYMBOL)}, '', 'g')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(covered.n, 0) AS n_repeat_words,
          len(lines) - len(good) AS lines_removed,
