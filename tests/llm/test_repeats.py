@@ -6,6 +6,7 @@ from collections import Counter
 
 import awkward
 import numpy as np
+import oracle
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +55,12 @@ def test_queries_on_the_whole_table(spark, documents):
     assert {r[0]: tuple(r)[1:] for r in queries.op7_suffixes(spark, SMALL).collect()} == by_byte
 
 
+@pytest.mark.parametrize("name", ["op6_phrases", "op7_suffixes"])
+def test_queries_against_sql(spark, name):
+    con = oracle.connect(SMALL)
+    assert oracle.differences(queries.QUERIES[name](spark, SMALL), con, queries.ORACLE_SQL[name]) == []
+
+
 def test_one_passage_in_most_documents(spark):
     """A hot passage, with different neighbours each time."""
     rows = [(i, f"{i} x{i} {awkward.PASSAGE} y{i} {i}") for i in range(400)]

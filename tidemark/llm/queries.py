@@ -19,6 +19,7 @@ from tidemark.llm import (
 )
 from tidemark.llm.deploy import workers_find_package
 from tidemark.llm.language import held_out
+from tidemark.llm.oracles import ORACLE_SQL as ORACLE_SQL
 from tidemark.scratch import ensure_checkpoint_dir
 
 
@@ -111,5 +112,3 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
 }
-
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.ORACLE_SQL}
