@@ -7,42 +7,22 @@ from __future__ import annotations
 
 from tidemark.llm import quality
 
-_WORDS = r"""
-doc AS (
-  SELECT row_number() OVER () AS row, doc_id,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'),
-                     lambda x: x <> '') AS units
-  FROM documents
-),
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
+_BYTES = "regexp_extract_all(hex(encode(coalesce(text, ''))), '..')"
+
+
+def _removed(units: str, joined_by: str) -> str:
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS row, doc_id, {units} AS units FROM documents),
 unit AS (
   SELECT row, doc_id, len(units) AS n, unnest(units) AS unit, unnest(range(1, len(units) + 1)) AS p
   FROM doc
 ),
 window_ AS (
-  SELECT *, CASE WHEN p + 49 <= n THEN string_agg(unit, ' ') OVER (
+  SELECT *, CASE WHEN p + 49 <= n THEN string_agg(unit, '{joined_by}') OVER (
               PARTITION BY row ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) END AS s
   FROM unit
-)"""
-
-_BYTES = """
-doc AS (
-  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS spelled
-  FROM documents
 ),
-place AS (
-  SELECT row, doc_id, spelled, length(spelled) // 2 AS n, unnest(range(1, length(spelled) // 2 + 1)) AS p
-  FROM doc
-),
-window_ AS (
-  SELECT row, doc_id, n, p, substr(spelled, 2 * p - 1, 2) AS unit,
-         CASE WHEN p + 49 <= n THEN substr(spelled, 2 * p - 1, 100) END AS s
-  FROM place
-)"""
-
-
-def _removed(windows: str, joined_by: str) -> str:
-    return f"""
-WITH {windows},
 earliest AS (SELECT s, min(doc_id) AS first_id FROM window_ WHERE s IS NOT NULL GROUP BY s),
 marked AS (
   SELECT w.*, coalesce(w.doc_id > e.first_id, FALSE) AS late
