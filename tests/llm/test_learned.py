@@ -55,14 +55,16 @@ def random_index(seed, n=300, v=40):
     counts[counts.sum(axis=1) == 0, 0] = 1
     counts = counts.astype(np.float32)
     terms = rng.integers(0, 2**63, v).astype(np.uint64)
-    return toxicity.build_index(terms, 0.5 + rng.random(v), np.arange(n).astype(object), rng.integers(0, 2, n), counts, 0.1)
+    held = [(np.flatnonzero(c), c[c > 0]) for c in counts]
+    return toxicity.build_index(terms, 0.5 + rng.random(v), np.arange(n).astype(object), rng.integers(0, 2, n), held, 0.1)
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_neighbours_are_the_exact_ones(seed):
     index = random_index(seed)
-    best, where = index.neighbours(index.weights, 7)
-    cosines = np.round((index.weights @ index.weights.T).astype(np.float64), 5)
+    vectors = np.concatenate([index.dense(b) for b in range(len(index.blocks))])
+    best, where = index.neighbours(vectors, 7)
+    cosines = np.round((vectors @ vectors.T).astype(np.float64), 5)
     for i in range(len(cosines)):
         order = sorted(range(len(cosines)), key=lambda j: (-cosines[i, j], j))[:7]
         kept = [j for j in order if cosines[i, j] > 0]

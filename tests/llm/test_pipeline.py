@@ -22,7 +22,8 @@ def tokens(text):
 
 def not_toxic(rows, index):
     counts = toxicity.term_counts([t for _, t in rows], Lookup(index.terms), len(index.terms))
-    cosines = np.round((index.vectors(counts) @ index.weights.T).astype(np.float64), 5)
+    examples = np.concatenate([index.dense(b) for b in range(len(index.blocks))] or [np.zeros((0, len(index.terms)), np.float32)])
+    cosines = np.round((index.vectors(counts) @ examples.T).astype(np.float64), 5)
     for row, cosine in zip(rows, cosines):
         near = sorted(range(len(cosine)), key=lambda j: (-cosine[j], j))[: toxicity.NEIGHBOURS]
         weight = cosine[near].sum()

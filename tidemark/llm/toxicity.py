@@ -70,16 +70,23 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray = field(repr=False)
     labels: np.ndarray = field(repr=False)
-    weights: np.ndarray = field(repr=False)  # examples with a term, in block order
-    block_terms: list[np.ndarray] = field(repr=False)  # terms with postings in each block
+    # The postings of each block of examples: its terms, and a weight per example and term.
+    blocks: list[tuple[np.ndarray, np.ndarray]] = field(repr=False)
     block_max: np.ndarray = field(repr=False)  # largest weight per term and block
     prior: float = 0.0
     calibration: np.ndarray | None = field(default=None, repr=False)
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf
-        norm = np.linalg.norm(weights, axis=1, keepdims=True)
-        return (weights / np.maximum(norm, 1e-12)).astype(np.float32)
+        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32)
+        weights *= self.idf
+        return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-12)
+
+    def dense(self, block: int) -> np.ndarray:
+        """The vectors of the examples of one block over all terms."""
+        terms, weights = self.blocks[block]
+        out = np.zeros((len(weights), len(self.terms)), np.float32)
+        out[:, terms] = weights
+        return out
 
     def neighbours(self, vectors: np.ndarray, k: int, leave_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cosines and positions of the ``k`` nearest examples of every vector; equal cosines
@@ -87,7 +94,7 @@ class Index:
         n = len(vectors)
         best = np.zeros((n, k))
         where = np.full((n, k), -1)
-        if not len(self.block_terms) or not n:
+        if not self.blocks or not n:
             return best, where
         bounds = vectors @ self.block_max
         order = np.argsort(-bounds, axis=1, kind="stable")
@@ -101,8 +108,8 @@ class Index:
             for b in np.unique(block[open_]):
                 rows = np.flatnonzero(open_ & (block == b))
                 first = b * BLOCK
-                terms = self.block_terms[b]
-                cosines = vectors[rows][:, terms] @ self.weights[first : first + BLOCK][:, terms].T
+                terms, weights = self.blocks[b]
+                cosines = vectors[rows][:, terms] @ weights.T
                 cosines = np.round(cosines.astype(np.float64), _DECIMALS)
                 places = np.broadcast_to(np.arange(first, first + cosines.shape[1]), cosines.shape).copy()
                 if leave_out is not None:
@@ -144,14 +151,12 @@ def train(
     toxic if one of them says so; a document that repeats counts once. Without examples every
     score is 0.
     """
-    spark = docs.sparkSession
     known = (
         labelled.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max(label_col).cast("int").alias("label"))
     )
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_examples).collect()
-    wanted = spark.createDataFrame([tuple(r) for r in chosen], known.schema)
+    wanted = known.orderBy(F.xxhash64("id"), "id").limit(max_examples)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     sample = texts.join(F.broadcast(wanted), "id").dropDuplicates(["id"]).checkpoint()
 
@@ -166,7 +171,9 @@ def train(
     # (a, b) with the term, (c, d) without it: a d - b c, over the four margins
     b, c = n - a, F.lit(float(positive)) - a
     d = F.lit(float(size - positive)) - b
-    chi = F.lit(float(size)) * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * (a + c) * (b + d))
+    # A term of all examples tells nothing apart: the quotient is null and the term is left out.
+    margins = (a + b) * (c + d) * (a + c) * (b + d)
+    chi = F.try_divide(F.lit(float(size)) * F.pow(a * d - b * c, 2), margins)
     kept = found.select("term", "n", chi.alias("chi")).where(F.col("chi") >= MIN_CHI_SQUARE)
     kept = kept.orderBy(F.desc("chi"), "term").limit(max_terms).collect() if 0 < positive < size else []
     terms = np.array([r["term"] for r in kept], np.int64).view(np.uint64)
@@ -193,12 +200,13 @@ def train(
         [sample.schema["id"]]
         + T.StructType.fromDDL("label int, at array<int>, n array<float>").fields
     )
-    rows = sample.mapInArrow(sparse, schema).collect()
-    counts = np.zeros((len(rows), len(terms)), np.float32)
-    for i, r in enumerate(rows):
-        counts[i, r["at"]] = r["n"]
+    # Only the examples with a term come to the driver; of the others their rate is enough.
+    rows = sample.mapInArrow(sparse, schema).where(F.size("at") > 0).collect()
     ids = np.array([r["id"] for r in rows], object)
-    return build_index(terms, idf, ids, np.array([r["label"] for r in rows], np.int64), counts)
+    labels = np.array([r["label"] for r in rows], np.int64)
+    prior = (positive - int(labels.sum()) + positive / max(size, 1)) / (size - len(rows) + 1)
+    held = [(np.array(r["at"], np.int64), np.array(r["n"], np.float32)) for r in rows]
+    return build_index(terms, idf, ids, labels, held, prior)
 
 
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,26 +229,51 @@ def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 )
 
 
-def build_index(terms: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> Index:
-    empty = Index(terms, idf, ids, labels, counts, [], np.zeros((len(terms), 0)))
-    some = counts.any(axis=1) if len(terms) else np.zeros(len(ids), bool)
-    bare = labels[~some]
-    prior = float((bare.sum() + labels.mean()) / (len(bare) + 1)) if len(labels) else 0.0
-    vectors = empty.vectors(counts[some]) if some.any() else np.zeros((0, len(terms)), np.float32)
-    labels, ids = labels[some], ids[some]
+def build_index(
+    terms: np.ndarray,
+    idf: np.ndarray,
+    ids: np.ndarray,
+    labels: np.ndarray,
+    held: list[tuple[np.ndarray, np.ndarray]],
+    prior: float,
+) -> Index:
+    """The calibrated index of examples that have a term each.
+
+    ``held`` has the sorted places of each example's terms and how often they stand in it;
+    ``prior`` is the rate of toxic ones among examples without a term.
+    """
+    idf = idf.astype(np.float32)
+    weights = []
+    for at, n in held:
+        own = (1 + np.log(n)) * idf[at]
+        weights.append(own / np.linalg.norm(own))
     # Examples with the same strongest term share a block, which keeps the bounds low.
-    order = np.lexsort((ids.astype(str), -vectors.max(axis=1), vectors.argmax(axis=1))) if len(ids) else []
-    vectors, labels, ids = vectors[order], labels[order], ids[order]
-    blocks = [vectors[k : k + BLOCK] for k in range(0, len(vectors), BLOCK)]
-    maxima = np.array([b.max(axis=0) for b in blocks]).T if blocks else np.zeros((len(terms), 0), np.float32)
-    index = Index(terms, idf, ids, labels, vectors, [np.flatnonzero(b.any(axis=0)) for b in blocks], maxima, prior)
-
-    if len(ids) > 1:
-        votes = index.votes(*index.neighbours(vectors, NEIGHBOURS, np.arange(len(ids))))
-        bins = np.minimum((votes.clip(0) * _BINS).astype(int), _BINS - 1)
+    strongest = np.array([at[w.argmax()] for (at, _), w in zip(held, weights)], np.int64)
+    largest = np.array([w.max() for w in weights])
+    order = np.lexsort((ids.astype(str), -largest, strongest)) if len(held) else np.zeros(0, np.int64)
+    blocks = []
+    block_max = np.zeros((len(terms), -(-len(held) // BLOCK)), np.float32)
+    for first in range(0, len(held), BLOCK):
+        mine = order[first : first + BLOCK]
+        own = np.unique(np.concatenate([held[i][0] for i in mine]))
+        postings = np.zeros((len(mine), len(own)), np.float32)
+        for row, i in enumerate(mine):
+            postings[row, np.searchsorted(own, held[i][0])] = weights[i]
+        block_max[own, len(blocks)] = postings.max(axis=0)
+        blocks.append((own, postings))
+    index = Index(terms, idf, ids[order], labels[order], blocks, block_max, prior)
+
+    # Every example scored by the others.
+    votes = [
+        index.votes(*index.neighbours(index.dense(b), NEIGHBOURS, b * BLOCK + np.arange(len(blocks[b][1]))))
+        for b in range(len(blocks))
+    ]
+    if len(held) > 1:
+        votes = np.concatenate(votes)
         seen = votes >= 0
-        n = np.bincount(bins[seen], minlength=_BINS)
-        toxic = np.bincount(bins[seen], weights=labels[seen], minlength=_BINS)
+        bins = np.minimum((votes[seen] * _BINS).astype(int), _BINS - 1)
+        n = np.bincount(bins, minlength=_BINS)
+        toxic = np.bincount(bins, weights=index.labels[seen], minlength=_BINS)
         centres = (np.arange(_BINS) + 0.5) / _BINS
         index.calibration = np.maximum.accumulate((toxic + 2 * centres) / (n + 2))
     return index
