@@ -24,12 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrays import binary, column, ragged, span_hashes, text_chunks, words
+from tidemark.llm.packing import packed, unpacked
 from tidemark.llm.windows import anchored_windows, covered, gram_hashes, runs
 from tidemark.scratch import ensure_checkpoint_dir
 
 WINDOW = 50
-PHRASE_WORDS = 8
+# Long enough that single lines, which recur far more often than passages, are no anchors.
+PHRASE_WORDS = 16
 BUCKET_BYTES = 8 << 20
+_PHRASE, _COPY, _DOCUMENT = 0, 1, 2
+_ALL = 1 << 30  # all windows of a text
 
 
 def bucket_count(docs: DataFrame, text_col: str) -> int:
@@ -80,8 +84,9 @@ def _anchor_phrases(id_col: str, text_col: str):
 
 
 def _locate(id_col: str, text_col: str):
-    """Streams rows of one bucket after the other, phrases before documents."""
+    """Streams rows of one bucket after the other: phrases, then copies, then documents."""
     import ahocorasick
+    from zstandard import ZstdDecompressor
 
     def spans(raw: bytes, ends: list[int]) -> tuple[np.ndarray, ...]:
         data = np.frombuffer(raw, np.uint8)
@@ -103,24 +108,28 @@ def _locate(id_col: str, text_col: str):
         return grams[at[first]], whole, begin, length, each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, phrases, automaton = None, [], None
+        expand = ZstdDecompressor().decompress
+        bucket, phrases, copies, automaton = None, [], set(), None
         for batch in batches:
-            rows = zip(*(column(batch, c).to_pylist() for c in ("bucket", "document", "text", "id", "key")))
+            rows = zip(*(column(batch, c).to_pylist() for c in ("bucket", "kind", "text", "id", "key")))
             out: list[tuple] = []
-            for b, document, text, id_, key in rows:
+            for b, kind, text, id_, key in rows:
                 if b != bucket:
-                    bucket, phrases, automaton = b, [], None
-                if not document:
-                    phrases.append(text)
+                    bucket, phrases, copies, automaton = b, [], set(), None
+                if kind == _PHRASE:
+                    phrases.append(text.decode())
+                    continue
+                if kind == _COPY:
+                    copies.add((id_, key))
                     continue
                 if automaton is None:
                     automaton = ahocorasick.Automaton()
                     for p in phrases:
                         automaton.add_word(f" {p} ", True)
                     automaton.make_automaton()
-                if not phrases:
+                if not phrases or (id_, key) in copies:
                     continue
-                raw = text.encode()
+                raw = expand(text)
                 line = " " + b" ".join(raw.split()).decode() + " "
                 ends = [e for e, _ in automaton.iter(line)]
                 if ends:
@@ -191,12 +200,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("a < b")
         .select(F.explode("buckets").alias("bucket"), F.col("phrase").alias("text"))
     )
-    lines = confirmed.select(
-        "bucket", F.lit(False).alias("document"), "text", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("bigint").alias("key")
-    ).unionByName(dealt.select("bucket", F.lit(True).alias("document"), "text", "id", "key"))
+    # Texts equal to one with a smaller id go whole; nothing has to be located in them.
+    named = dealt.select("bucket", "id", "key", F.md5("text").alias("digest"))
+    earliest = named.groupBy("digest").agg(F.min("id").alias("first_id"))
+    copies = named.join(earliest, "digest").where("id > first_id").select("bucket", "id", "key").distinct().checkpoint()
+
+    nothing = F.lit(None).cast("bigint").alias("key")
+    lines = (
+        confirmed.select("bucket", F.lit(_PHRASE).alias("kind"), F.col("text").cast("binary").alias("text"), F.lit(None).cast(kind).alias("id"), nothing)
+        .unionByName(copies.select("bucket", F.lit(_COPY).alias("kind"), F.lit(None).cast("binary").alias("text"), "id", "key"))
+        .unionByName(packed(dealt.select("bucket", F.lit(_DOCUMENT).alias("kind"), "text", "id", "key")))
+    )
     located = (
         lines.repartition(F.col("bucket"))
-        .sortWithinPartitions("bucket", "document")
+        .sortWithinPartitions("bucket", "kind")
         .mapInArrow(
             _locate("id", "text"),
             T.StructType(
@@ -206,22 +223,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
         .checkpoint()
     )
-    found = recurring_windows(located).groupBy("id", "key").agg(
-        F.collect_list("first").alias("firsts"), F.collect_list("n").alias("lengths")
+    whole = copies.select("id", "key", F.lit(0).alias("first"), F.lit(_ALL).alias("n"))
+    found = (
+        recurring_windows(located)
+        .unionByName(whole)
+        .groupBy("id", "key")
+        .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("lengths"))
     )
-    joined = rows.join(found, ["id", "key"], "left").select("id", "text", "firsts", "lengths")
+    joined = packed(rows).join(found, ["id", "key"], "left").select("id", "text", "firsts", "lengths")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, firsts, lengths = (column(batch, c) for c in ("id", "text", "firsts", "lengths"))
-            for row, end, data, offsets in text_chunks(texts):
+            for row, end, data, offsets in text_chunks(unpacked(texts)):
                 starts, ends, text = words(data, offsets)
                 bounds = np.searchsorted(text, np.arange(len(offsets)))
                 gone = np.zeros(len(starts), bool)
                 for i in np.flatnonzero(firsts.slice(row, end - row).is_valid().to_numpy(zero_copy_only=False)):
+                    size = int(bounds[i + 1] - bounds[i])
+                    if size < WINDOW:
+                        continue
                     first = firsts[row + i].values.to_numpy()
-                    span = lengths[row + i].values.to_numpy() - 1 + WINDOW
-                    gone[bounds[i] : bounds[i + 1]] = covered(int(bounds[i + 1] - bounds[i]), first, span)
+                    n_windows = np.minimum(lengths[row + i].values.to_numpy(), size - WINDOW + 1)
+                    gone[bounds[i] : bounds[i + 1]] = covered(size, first, n_windows - 1 + WINDOW)
                 n = np.diff(bounds)
                 removed = np.bincount(text[gone], minlength=len(n))
                 left, owner = np.flatnonzero(~gone), text[~gone]

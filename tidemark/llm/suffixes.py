@@ -7,13 +7,15 @@ in sorted order. Three steps keep out of the sort what cannot matter:
 1. Every string is anchored at one n-gram of ``GRAM`` bytes (see ``windows``). The hashes of the
    anchors are counted; a suffix can only recur if its anchor is found under two ids.
 2. Texts equal to one with a smaller id are whole copies.
-3. The suffixes that share an anchor form a span of text. Equal spans are copies of the one with
-   the smallest id, which alone is sorted.
 
-Spark samples splitters over the leading bytes of the spans from their anchors on and deals the
-spans to ranges. Each range sorts its suffixes by multikey quicksort on eight bytes at a time and
-takes the smallest id of every run of equal beginnings. The spans of the first and the last anchor
-of a range may have neighbours across its border; their suffixes are compared over all ranges.
+The suffixes that share an anchor form a span of text. Spark samples splitters over the leading
+bytes of the spans from their anchors on and deals the spans to ranges. Each range sorts its
+suffixes by multikey quicksort on eight bytes at a time and takes the smallest id of every run of
+equal beginnings. Many equal spans fill several ranges, since ids are part of the splitters. What
+no smaller id of its own range precedes may have one across the border: for the first and the
+last anchor of every range these suffixes are compared over all ranges.
+
+Documents are shuffled once, compressed, and kept for the removal at the end.
 """
 
 from __future__ import annotations
@@ -28,18 +30,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrays import binary, column, mixed, ragged, span_hashes, text_chunks
+from tidemark.llm.packing import packed, unpacked
 from tidemark.llm.phrases import bucket_count
 from tidemark.llm.windows import anchored_windows, covered, gram_hashes, runs
 from tidemark.scratch import ensure_checkpoint_dir
 
 LENGTH = 50
-GRAM = 16
+# Long enough that equal n-grams by chance stay rare in a large corpus.
+GRAM = 24
 _FLUSH_ANCHORS = 2_000_000
 
 
 # --- anchors that stand under two ids ----------------------------------------------------
 
 
+def _anchor_hashes(grams: np.ndarray) -> np.ndarray:
+    """48 bits of the hashes; a wrong hit costs work and no result."""
+    return grams >> np.uint64(16)
+
+
 def _requests(buckets: int):
     """Anchors of a part of the documents, packed by bucket of their hash.
 
@@ -64,10 +73,11 @@ def _requests(buckets: int):
         h, i, confirmed, bucket = h[order], i[order], confirmed[order], bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[cuts[1:], len(h)]
+        six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(bucket[cuts].astype(np.int32)),
-                pa.array([h[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                pa.array([six[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
                 pa.array([pack(np.diff(i[a:b], prepend=np.int64(0))) for a, b in zip(cuts, ends)], pa.binary()),
                 pa.array([pack(np.packbits(confirmed[a:b])) for a, b in zip(cuts, ends)], pa.binary()),
             ],
@@ -83,6 +93,7 @@ def _requests(buckets: int):
             for row, _, data, offsets in text_chunks(column(batch, "text")):
                 grams = gram_hashes(data, GRAM)
                 _, at = anchored_windows(grams, offsets, LENGTH, GRAM)
+                grams = _anchor_hashes(grams)
                 at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
                 hashes.append(grams[at])
                 ids.append(own[row + np.searchsorted(offsets, at, side="right") - 1])
@@ -105,7 +116,9 @@ def _recurring(table: pa.Table) -> pa.Table:
 
     hashes, ids, confirmed = [], [], []
     for h, i, c in zip(*(table.column(n).to_pylist() for n in ("hashes", "ids", "confirmed"))):
-        hashes.append(np.frombuffer(h, np.uint64))
+        wide = np.zeros((len(h) // 6, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(h, np.uint8).reshape(-1, 6)
+        hashes.append(wide.view("<u8").ravel())
         ids.append(np.cumsum(unpack(i, np.int64)))
         confirmed.append(np.unpackbits(unpack(c, np.uint8))[: len(hashes[-1])].astype(bool))
     h, i, c = np.concatenate(hashes), np.concatenate(ids), np.concatenate(confirmed)
@@ -122,14 +135,14 @@ def _recurring(table: pa.Table) -> pa.Table:
 
 # --- spans -------------------------------------------------------------------------------
 
-_SPANS = "id bigint, key bigint, anchor bigint, span bigint, check bigint, first int, n int, offset int, content binary"
+_SPANS = "id bigint, key bigint, anchor bigint, first int, n int, offset int, content binary"
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans around the anchors that each row names."""
     for batch in batches:
         ids, keys, texts, wanted = (column(batch, c) for c in ("id", "key", "text", "anchors"))
-        for row, end, data, offsets in text_chunks(texts):
+        for row, end, data, offsets in text_chunks(unpacked(texts)):
             grams = gram_hashes(data, GRAM)
             windows, at = anchored_windows(grams, offsets, LENGTH, GRAM)
             first, length = runs(at, windows)
@@ -140,24 +153,21 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked = part.flatten().to_numpy().view(np.uint64)
             # A pair of text and anchor as one number; a wrong hit costs work, no result.
             sought = mixed(asked ^ mixed(owner.astype(np.uint64)))
-            here = np.isin(mixed(grams[at] ^ mixed(text.astype(np.uint64))), sought)
+            here = np.isin(mixed(_anchor_hashes(grams[at]) ^ mixed(text.astype(np.uint64))), sought)
             begin, at, length, text = begin[here], at[here], length[here], text[here]
             size = length - 1 + LENGTH
             own = pa.array(row + text)
-            content = data[ragged(begin, size)]
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(own),
                     keys.take(own),
                     pa.array(grams[at].view(np.int64)),
-                    pa.array(span_hashes(data, begin, begin + size).view(np.int64)),
-                    pa.array(span_hashes(data[::-1], len(data) - begin - size, len(data) - begin).view(np.int64)),
                     pa.array((begin - offsets[text]).astype(np.int32)),
                     pa.array(length.astype(np.int32)),
                     pa.array((at - begin).astype(np.int32)),
-                    binary(content, np.cumsum(np.r_[0, size]), pa.binary()),
+                    binary(data[ragged(begin, size)], np.cumsum(np.r_[0, size]), pa.binary()),
                 ],
-                names=["id", "key", "anchor", "span", "check", "first", "n", "offset", "content"],
+                names=["id", "key", "anchor", "first", "n", "offset", "content"],
             )
 
 
@@ -197,7 +207,7 @@ _FOUND = "id bigint, key bigint, first int, n int, anchor bigint, window bigint"
 
 def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes of one range that begin as one with a smaller id does, as ranges of places; and
-    those at the borders of the range one by one, with hashes to compare them by."""
+    of the anchors at its borders those that do not, one by one, with hashes to compare them by."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
@@ -223,11 +233,11 @@ def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     by_lead, _ = multikey_groups(data, at, GRAM)
     anchors = values("anchor")
     border = np.isin(anchors, anchors[by_lead[[0, -1]]])[row]
-    late = (ids > smallest) & ~border
+    late = ids > smallest
     place = values("first")[row] + starts - content[row]
     chosen = np.flatnonzero(late)
     first, length = runs(row[chosen], place[chosen])
-    edge = np.flatnonzero(border)
+    edge = np.flatnonzero(border & ~late)
     keys = values("key")[row]
     hashes = span_hashes(data, starts[edge], starts[edge] + LENGTH).view(np.int64)
     yield pa.RecordBatch.from_arrays(
@@ -252,7 +262,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no bytes; texts under ``LENGTH`` bytes lose nothing. Rows that
     repeat an id never count as each other's earlier document; rows without an id lose nothing
     and take nothing. Ids are integers. Other columns are left out, whatever their names; no rows
-    give no rows.
+    give no rows. The compressed documents stay persisted for the result, which is computed when
+    it is used; ``spark.catalog.clearCache()`` frees them.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -275,22 +286,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = named.join(earliest, "digest").where("id > first_id").select("id", "key", "size").distinct()
     copies = copies.checkpoint()
 
+    # Rows without an id are dealt by their text.
+    kept = packed(rows).withColumn("slot", F.coalesce("id", "key"))
+    kept = kept.repartition(buckets, "slot").persist(StorageLevel.MEMORY_AND_DISK)
     per_id = (
-        anchors.select("id", "anchor", F.lit(None).cast("bigint").alias("copy"))
-        .unionByName(copies.select("id", F.lit(None).cast("bigint").alias("anchor"), F.col("key").alias("copy")))
-        .groupBy("id")
+        anchors.select(F.col("id").alias("slot"), "anchor", F.lit(None).cast("bigint").alias("copy"))
+        .unionByName(copies.select(F.col("id").alias("slot"), F.lit(None).cast("bigint").alias("anchor"), F.col("key").alias("copy")))
+        .groupBy("slot")
         .agg(F.collect_list("anchor").alias("anchors"), F.collect_set("copy").alias("copies"))
+        .where(F.size("anchors") > 0)
     )
-    wanted = known.join(per_id, "id").where("NOT array_contains(copies, key)")
-    spans = wanted.select("id", "key", "text", "anchors").mapInArrow(_spans, _SPANS).persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = kept.where("id IS NOT NULL").join(per_id, "slot").where("NOT array_contains(copies, key)")
+    spans = wanted.select("id", "key", "text", "anchors").mapInArrow(_spans, _SPANS)
 
-    same = ["anchor", "span", "check"]
-    told = spans.join(spans.groupBy(*same).agg(F.min("id").alias("first_id")), same)
-    repeated = told.where("id > first_id").select("id", "key", "first", "n")
-    sorted_ = told.where("id = first_id").select("id", "key", "anchor", "first", "n", "offset", "content")
     lead = F.expr(f"substring(content, offset + 1, {LENGTH})")
     found = (
-        sorted_.repartitionByRange(buckets, lead, F.col("id"), F.col("first"))
+        spans.repartitionByRange(buckets, lead, F.col("id"), F.col("first"))
         .mapInArrow(_sort_range, _FOUND)
         .checkpoint()
     )
@@ -300,24 +311,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     whole = copies.select("id", "key", F.lit(0).alias("first"), (F.col("size") - LENGTH + 1).alias("n"))
     gone = (
-        repeated.unionByName(found.where("anchor IS NULL").select("id", "key", "first", "n"))
+        found.where("anchor IS NULL")
+        .select("id", "key", "first", "n")
         .unionByName(across.select("id", "key", "first", "n"))
         .unionByName(whole)
-        .groupBy("id", "key")
-        .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("lengths"))
-        .checkpoint()
+        .groupBy(F.col("id").alias("slot"))
+        .agg(F.collect_list("key").alias("keys"), F.collect_list("first").alias("firsts"), F.collect_list("n").alias("lengths"))
     )
-    spans.unpersist()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, firsts, lengths = (column(batch, c) for c in ("id", "text", "firsts", "lengths"))
-            for row, end, data, offsets in text_chunks(texts):
+            ids, own, texts = (column(batch, c) for c in ("id", "key", "text"))
+            lists = [column(batch, c) for c in ("keys", "firsts", "lengths")]
+            for row, end, data, offsets in text_chunks(unpacked(texts)):
                 lost = np.zeros(len(data), bool)
-                for i in np.flatnonzero(firsts.slice(row, end - row).is_valid().to_numpy(zero_copy_only=False)):
-                    first = firsts[row + i].values.to_numpy()
-                    span = lengths[row + i].values.to_numpy() - 1 + LENGTH
-                    lost[offsets[i] : offsets[i + 1]] = covered(int(offsets[i + 1] - offsets[i]), first, span)
+                for i in np.flatnonzero(lists[0].slice(row, end - row).is_valid().to_numpy(zero_copy_only=False)):
+                    # Rows that repeat an id with another text have ranges of their own.
+                    keys, first, n = (x[row + i].values.to_numpy() for x in lists)
+                    mine = keys == own[row + i].as_py()
+                    size = int(offsets[i + 1] - offsets[i])
+                    lost[offsets[i] : offsets[i + 1]] = covered(size, first[mine], n[mine] - 1 + LENGTH)
                 begins = lost.copy()
                 begins[1:] &= ~lost[:-1]
                 inner = offsets[:-1][offsets[:-1] < len(data)]
@@ -335,6 +348,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     names=[id_col, "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 
-    joined = rows.join(gone, ["id", "key"], "left").select("id", "text", "firsts", "lengths")
+    joined = kept.join(gone, "slot", "left").select("id", "key", "text", "keys", "firsts", "lengths")
     schema = T.StructType([T.StructField(id_col, T.LongType())] + T.StructType.fromDDL("n_bytes bigint, n_removed bigint, n_spans bigint, kept binary").fields)
     return joined.mapInArrow(remove, schema)
