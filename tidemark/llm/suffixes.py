@@ -39,14 +39,16 @@ LENGTH = 50
 # Long enough that equal n-grams by chance stay rare in a large corpus.
 GRAM = 24
 _FLUSH_ANCHORS = 2_000_000
+_HASH_BYTES = 5
+_SORTED_SUFFIXES = 500_000  # at a time; anchors are not divided
 
 
 # --- anchors that stand under two ids ----------------------------------------------------
 
 
 def _anchor_hashes(grams: np.ndarray) -> np.ndarray:
-    """48 bits of the hashes; a wrong hit costs work and no result."""
-    return grams >> np.uint64(16)
+    """40 bits of the hashes; a wrong hit costs work and no result."""
+    return grams >> np.uint64(24)
 
 
 def _requests(buckets: int):
@@ -73,11 +75,11 @@ def _requests(buckets: int):
         h, i, confirmed, bucket = h[order], i[order], confirmed[order], bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[cuts[1:], len(h)]
-        six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        short = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(bucket[cuts].astype(np.int32)),
-                pa.array([six[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                pa.array([short[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
                 pa.array([pack(np.diff(i[a:b], prepend=np.int64(0))) for a, b in zip(cuts, ends)], pa.binary()),
                 pa.array([pack(np.packbits(confirmed[a:b])) for a, b in zip(cuts, ends)], pa.binary()),
             ],
@@ -116,8 +118,8 @@ def _recurring(table: pa.Table) -> pa.Table:
 
     hashes, ids, confirmed = [], [], []
     for h, i, c in zip(*(table.column(n).to_pylist() for n in ("hashes", "ids", "confirmed"))):
-        wide = np.zeros((len(h) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(h, np.uint8).reshape(-1, 6)
+        wide = np.zeros((len(h) // _HASH_BYTES, 8), np.uint8)
+        wide[:, :_HASH_BYTES] = np.frombuffer(h, np.uint8).reshape(-1, _HASH_BYTES)
         hashes.append(wide.view("<u8").ravel())
         ids.append(np.cumsum(unpack(i, np.int64)))
         confirmed.append(np.unpackbits(unpack(c, np.uint8))[: len(hashes[-1])].astype(bool))
@@ -135,7 +137,7 @@ def _recurring(table: pa.Table) -> pa.Table:
 
 # --- spans -------------------------------------------------------------------------------
 
-_SPANS = "id bigint, key bigint, anchor bigint, first int, n int, offset int, content binary"
+_SPANS = "id bigint, key bigint, first int, n int, offset int, content binary"
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +163,12 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     ids.take(own),
                     keys.take(own),
-                    pa.array(grams[at].view(np.int64)),
                     pa.array((begin - offsets[text]).astype(np.int32)),
                     pa.array(length.astype(np.int32)),
                     pa.array((at - begin).astype(np.int32)),
                     binary(data[ragged(begin, size)], np.cumsum(np.r_[0, size]), pa.binary()),
                 ],
-                names=["id", "key", "anchor", "first", "n", "offset", "content"],
+                names=["id", "key", "first", "n", "offset", "content"],
             )
 
 
@@ -212,45 +213,57 @@ def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not held:
         return
     table = pa.Table.from_batches(held).combine_chunks()
-
-    def values(name: str) -> np.ndarray:
-        return table.column(name).to_numpy()
-
     data = np.frombuffer(b"".join(table.column("content").to_pylist()), np.uint8)
-    n = values("n").astype(np.int64)
-    size = n - 1 + LENGTH
-    content = np.cumsum(size) - size
-    row = np.repeat(np.arange(len(n)), n)
-    starts = ragged(content, n)
-    order, begins = multikey_groups(data, starts, LENGTH)
-    ids = values("id")[row]
-    least = np.minimum.reduceat(ids[order], begins)
-    smallest = np.empty(len(starts), np.int64)
-    smallest[order] = np.repeat(least, np.diff(np.r_[begins, len(order)]))
-
-    # The anchors whose leading bytes are the first and the last of this range.
-    at = content + values("offset")
-    by_lead, _ = multikey_groups(data, at, GRAM)
-    anchors = values("anchor")
-    border = np.isin(anchors, anchors[by_lead[[0, -1]]])[row]
-    late = ids > smallest
-    place = values("first")[row] + starts - content[row]
-    chosen = np.flatnonzero(late)
-    first, length = runs(row[chosen], place[chosen])
-    edge = np.flatnonzero(border & ~late)
-    keys = values("key")[row]
-    hashes = span_hashes(data, starts[edge], starts[edge] + LENGTH).view(np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.r_[ids[chosen[first]], ids[edge]]),
-            pa.array(np.r_[keys[chosen[first]], keys[edge]]),
-            pa.array(np.r_[place[chosen[first]], place[edge]].astype(np.int32)),
-            pa.array(np.r_[length, np.ones(len(edge), np.int64)].astype(np.int32)),
-            pa.array(np.r_[np.zeros(len(first), np.int64), anchors[row[edge]]], mask=np.arange(len(first) + len(edge)) < len(first)),
-            pa.array(np.r_[np.zeros(len(first), np.int64), hashes], mask=np.arange(len(first) + len(edge)) < len(first)),
-        ],
-        names=["id", "key", "first", "n", "anchor", "window"],
+    ids, keys, first, n, offset = (
+        table.column(c).to_numpy().astype(np.int64) for c in ("id", "key", "first", "n", "offset")
     )
+    content = np.cumsum(n - 1 + LENGTH) - (n - 1 + LENGTH)
+
+    # Rows by anchor, in portions of whole anchors.
+    order, begins = multikey_groups(data, content + offset, GRAM)
+    ends = np.r_[begins[1:], len(order)]
+    done = np.cumsum(n[order])[ends - 1]
+    portion = (done - 1) // _SORTED_SUFFIXES
+    cuts = np.flatnonzero(np.r_[True, portion[1:] != portion[:-1]])
+    for k, until in zip(cuts, np.r_[cuts[1:], len(begins)]):
+        rows = order[begins[k] : ends[until - 1]]
+        row = np.repeat(rows, n[rows])
+        starts = ragged(content[rows], n[rows])
+        by_suffix, runs_begin = multikey_groups(data, starts, LENGTH)
+        least = np.minimum.reduceat(ids[row][by_suffix], runs_begin)
+        smallest = np.empty(len(starts), np.int64)
+        smallest[by_suffix] = np.repeat(least, np.diff(np.r_[runs_begin, len(by_suffix)]))
+        late = ids[row] > smallest
+        place = first[row] + starts - content[row]
+        chosen = np.flatnonzero(late)
+        begin, length = runs(row[chosen], place[chosen])
+        begin = chosen[begin]
+
+        # The first and the last anchor of the range.
+        border = np.zeros(len(rows), bool)
+        if k == 0:
+            border[: ends[0]] = True
+        if until == len(begins):
+            border[begins[-1] - begins[k] :] = True
+        edge = np.flatnonzero(np.repeat(border, n[rows]) & ~late)
+        at = content[row[edge]] + offset[row[edge]]
+        closed = np.arange(len(begin) + len(edge)) < len(begin)
+        nothing = np.zeros(len(begin), np.int64)
+        hashes = [
+            np.r_[nothing, span_hashes(data, x, x + size).view(np.int64)]
+            for x, size in ((at, GRAM), (starts[edge], LENGTH))
+        ]
+        both = np.r_[begin, edge]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids[row[both]]),
+                pa.array(keys[row[both]]),
+                pa.array(place[both].astype(np.int32)),
+                pa.array(np.r_[length, np.ones(len(edge), np.int64)].astype(np.int32)),
+                *(pa.array(h, mask=closed) for h in hashes),
+            ],
+            names=["id", "key", "first", "n", "anchor", "window"],
+        )
 
 
 # --- the operator ------------------------------------------------------------------------
@@ -262,8 +275,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no bytes; texts under ``LENGTH`` bytes lose nothing. Rows that
     repeat an id never count as each other's earlier document; rows without an id lose nothing
     and take nothing. Ids are integers. Other columns are left out, whatever their names; no rows
-    give no rows. The compressed documents stay persisted for the result, which is computed when
-    it is used; ``spark.catalog.clearCache()`` frees them.
+    give no rows. The compressed documents and the ranges found stay persisted for the result, which
+    is computed when it is used; ``spark.catalog.clearCache()`` frees them.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -301,9 +314,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     lead = F.expr(f"substring(content, offset + 1, {LENGTH})")
     found = (
-        spans.repartitionByRange(buckets, lead, F.col("id"), F.col("first"))
+        spans.repartitionByRange(max(1, buckets // 4), lead, F.col("id"), F.col("first"))
         .mapInArrow(_sort_range, _FOUND)
-        .checkpoint()
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     edge = found.where("anchor IS NOT NULL")
     least = edge.groupBy("anchor", "window").agg(F.min("id").alias("first_id"))
