@@ -177,6 +177,32 @@ def test_exact_and_edited_copies_are_found_and_others_are_not(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in clean)
 
 
+def test_edited_copies_are_found_without_any_exact_copy(spark):
+    rng = random.Random(4)
+    words = [f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}x" for k in range(38)]
+    held = []
+    for i in range(120):
+        if i % 6 < 4:
+            lost = set(range(i % 3, 38, 4 + i % 6))
+        else:
+            lost = set(rng.sample(range(38), 9))
+        filler = [f"f{'abcdefgh'[rng.randrange(8)]}{'abcdefgh'[rng.randrange(8)]}" for _ in range(90)]
+        held.append((i, " ".join(filler[:45] + ["other" if k in lost else w for k, w in enumerate(words)] + filler[45:])))
+    docs = spark.createDataFrame(held, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    wanted = {}
+    for i, text in held:
+        score = smith_waterman(words, text.split()) / 76
+        if score >= 0.5:
+            wanted[i] = score
+    assert len(wanted) == 120
+    for only in (range(120), range(1)):  # with other edited copies, and one alone
+        got = {r.doc_id: r.score for r in decontaminate.leaks(docs.where(F.col("doc_id").isin(list(only))), items).collect()}
+        assert got == {i: wanted[i] for i in only}
+    kept = decontaminate.without_leaks(docs, items)
+    assert kept.isEmpty()
+
+
 def test_blocks_of_items_give_the_same(spark, documents, monkeypatch):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.leaks(documents, items).collect()))

@@ -1,14 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, lower-cased, so punctuation and markup between them do not hide a
-copy. The n-grams of all test items are counted over all documents; of every few neighbouring
-n-grams of an item the rarest one is a seed, however common it is. A document that holds a
-seed of an item is aligned with the item around that place: words that match score
-``MATCH``, mismatches and gaps cost. The score, as a share of the item's score with itself,
-tells exact and edited copies from chance.
+copy. Every pair of neighbouring words of a test item is a seed, however common it is. Words
+that match score ``MATCH``, mismatches and gaps cost. The score, as a share of the item's score
+with itself, tells exact and edited copies from chance.
+
+Seeds lose nothing by replaced or deleted words: a passage with that share of the score has two
+neighbouring words intact. (With n words, e of them lost and i inserted, 2 (n - e) - e - i >= n,
+and n - e words in at most e + i + 1 runs; only a word inserted in every gap breaks all pairs.)
+What surrounds a seed is aligned if the score could reach the threshold: m matching words with p
+pairs of neighbours stand in m - p runs with a cost between any two, so the score is at most
+m + p + 1. Items' words and seeds found around the place bound m and p.
 
 The items are sent to the tasks in blocks of bounded size; each block is one pass over the
-documents to count and one to align. No document is moved.
+documents. No document is moved.
 """
 
 from __future__ import annotations
@@ -25,13 +30,13 @@ from pyspark.sql import types as T
 from tidemark.llm.arrays import column, mixed, ragged, span_hashes, text_chunks
 from tidemark.llm.letters import Letters, Lookup
 
-GRAM_WORDS = 4
-SEED_WINDOW = 4
+GRAM_WORDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 MIN_ITEM_WORDS = 8  # shorter items must match whole
 BLOCK_CHARS = 4 << 20
 _BATCH_CELLS = 1 << 21
+_BATCH_HITS = 1 << 20
 
 
 def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,40 +84,6 @@ class _Items:
         joined = [np.concatenate(x) if x else np.zeros(0, t) for x, t in ((grams, np.uint64), (item, np.int64), (place, np.int64))]
         return cls(ids, hashes, bounds, *joined, sizes)
 
-    def seeds(self, frequency: dict[int, int]) -> _Items:
-        """The block with its seeds alone: the rarest n-gram of every window."""
-        keep = np.zeros(len(self.grams), bool)
-        rarity = np.array([frequency.get(g, 0) for g in self.grams.view(np.int64).tolist()], np.int64)
-        for i in np.unique(self.gram_item):
-            mine = np.flatnonzero(self.gram_item == i)
-            for k in range(max(1, len(mine) - SEED_WINDOW + 1)):
-                window = mine[k : k + SEED_WINDOW]
-                keep[window[np.lexsort((self.grams[window], rarity[window]))[0]]] = True
-        return _Items(self.ids, self.hashes, self.bounds, self.grams[keep], self.gram_item[keep], self.gram_place[keep], self.sizes)
-
-
-def _count_grams(items: _Items, text_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unique(items.grams)
-        lookup = Lookup(known)
-        for batch in batches:
-            texts = column(batch, text_col)
-            counts = np.zeros(len(known), np.int64)
-            for row, end, _, _ in text_chunks(texts):
-                hashes, bounds = _words(texts.slice(row, end - row).to_pylist())
-                for size in items.sizes:
-                    value, at = _grams(hashes, bounds, size)
-                    gram = lookup(value)
-                    text = np.searchsorted(bounds, at[gram >= 0], side="right")
-                    pairs = np.unique(text * len(known) + gram[gram >= 0])
-                    counts += np.bincount(pairs % len(known), minlength=len(known)) if len(known) else 0
-            held = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(known[held].view(np.int64)), pa.array(counts[held])], names=["gram", "n"]
-            )
-
-    return run
-
 
 def _aligned(items: _Items, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Per chunk its rows, and texts, items and scores of the pairs that count as copies."""
@@ -121,7 +92,10 @@ def _aligned(items: _Items, texts: pa.Array) -> Iterator[tuple[int, int, np.ndar
     known, first = np.unique(grams, return_index=True)
     last = np.r_[first[1:], len(grams)]
     lookup = Lookup(known)
+    vocabulary, own = np.unique(items.hashes, return_inverse=True)
+    known_word = Lookup(vocabulary)
     lengths = np.diff(items.bounds)
+    least = np.where(lengths < MIN_ITEM_WORDS, 1.0, THRESHOLD)
     for row, end, _, _ in text_chunks(texts):
         hashes, bounds = _words(texts.slice(row, end - row).to_pylist())
         hits, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -130,13 +104,54 @@ def _aligned(items: _Items, texts: pa.Array) -> Iterator[tuple[int, int, np.ndar
             gram = lookup(value)
             hits.append(gram[gram >= 0])
             at.append(places[gram >= 0])
-        gram = np.concatenate(hits)
-        times = last[gram] - first[gram]
-        pair = ragged(first[gram], times)
-        where = np.repeat(np.concatenate(at), times)
-        text, found, scores = _best_scores(items, lengths, hashes, bounds, item[pair], place[pair], where)
-        good = scores >= np.where(lengths[found] < MIN_ITEM_WORDS, 1.0, THRESHOLD)
-        yield row, end, text[good], found[good], scores[good]
+        gram, at = np.concatenate(hits), np.concatenate(at)
+        words = known_word(hashes)
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        # Common seeds of many items are paired with a part of the items at a time.
+        parts = int((last[gram] - first[gram]).sum()) // _BATCH_HITS + 1
+        for part in range(parts):
+            mine = item % parts == part
+            before = np.r_[0, np.cumsum(mine)]
+            times = before[last[gram]] - before[first[gram]]
+            pair = np.flatnonzero(mine)[ragged(before[first[gram]], times)]
+            where = np.repeat(at, times)
+            near = _promising(items, lengths, least, own, words, bounds, item[pair], place[pair], where)
+            text, found, scores = _best_scores(items, lengths, hashes, bounds, item[pair[near]], place[pair[near]], where[near])
+            good = scores >= least[found]
+            out.append((text[good], found[good], scores[good]))
+        yield row, end, *(np.concatenate(x) for x in zip(*out))
+
+
+def _promising(items, lengths, least, own, words, bounds, item, place, where):
+    """The hits around which an alignment could reach the least score."""
+    if not len(where):
+        return np.zeros(0, np.int64)
+    doc = np.searchsorted(bounds, where, side="right") - 1
+    order = np.lexsort((where, doc, item))
+    item, where, doc, begin = item[order], where[order], doc[order], (where - place)[order]
+    n = lengths[item]
+    # At most n inserted words keep the score, so a copy lies within n words of its hit's place.
+    low, high = np.maximum(begin - n, bounds[doc]), np.minimum(begin + 2 * n, bounds[doc + 1])
+    key = item * (len(words) + 1) + where
+    pairs = np.searchsorted(key, item * (len(words) + 1) + high) - np.searchsorted(key, item * (len(words) + 1) + low)
+    held = np.zeros(len(item), np.int64)
+    local = np.full(len(own) + 1, -1)  # places of words in the item at hand, by vocabulary
+    firsts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
+    for first, last in zip(firsts, np.r_[firsts[1:], len(item)]):
+        i = item[first]
+        mine, count = np.unique(own[items.bounds[i] : items.bounds[i + 1]], return_counts=True)
+        local[mine] = np.arange(len(mine))
+        step = max(1, _BATCH_CELLS // (3 * int(n[first])))
+        for k in range(first, last, step):
+            rows = slice(k, min(k + step, last))
+            places = low[rows][:, None] + np.arange(3 * int(n[first]))
+            inside = places < high[rows][:, None]
+            word = local[words[np.minimum(places, len(words) - 1)]]  # -1 takes the last, unused place
+            seen = np.zeros((len(places), len(mine) + 1), bool)
+            np.put_along_axis(seen, np.where(inside, word, -1) % (len(mine) + 1), True, axis=1)
+            held[rows] = seen[:, :-1] @ count
+        local[mine] = -1
+    return order[held + pairs + 1 >= least[item] * MATCH * n]
 
 
 def _pairs(items: _Items, id_col: str, text_col: str):
@@ -180,7 +195,7 @@ def _best_scores(items, lengths, hashes, bounds, item, place, where):
     firsts = np.flatnonzero(new)
     finals = np.r_[firsts[1:], len(doc)] - 1
     doc, item = doc[firsts], item[firsts]
-    pad = lengths[item] // 2 + 4
+    pad = lengths[item]
     low = np.maximum(begin[firsts] - pad, bounds[doc])
     high = np.minimum(begin[finals] + lengths[item] + pad, bounds[doc + 1])
     scores = np.zeros(len(doc))
@@ -243,7 +258,7 @@ def leaks(
     narrow = docs.select(F.col(id_col), F.col(text_col))
     schema = T.StructType([narrow.schema[0]] + T.StructType.fromDDL("item_id bigint, score double").fields)
     found = docs.sparkSession.createDataFrame([], schema)
-    for seeds in _blocks_of_seeds(narrow, benchmark, text_col, item_col, item_text_col):
+    for seeds in _blocks(benchmark, item_col, item_text_col):
         found = found.unionByName(narrow.mapInArrow(_pairs(seeds, id_col, text_col), schema))
     return found.groupBy(id_col, "item_id").agg(F.max("score").alias("score"))
 
@@ -260,14 +275,12 @@ def without_leaks(
     Every row is judged by itself, as in ``leaks``; nothing is shuffled.
     """
     clean = docs
-    for seeds in _blocks_of_seeds(docs, benchmark, text_col, item_col, item_text_col):
+    for seeds in _blocks(benchmark, item_col, item_text_col):
         clean = clean.mapInArrow(_clean_rows(seeds, text_col), docs.schema)
     return clean
 
 
-def _blocks_of_seeds(
-    docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str
-) -> Iterator[_Items]:
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[_Items]:
     """The test items with their seeds, in blocks of about ``BLOCK_CHARS`` characters."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("words"))
     items = items.where(F.length("words") > 0)
@@ -275,7 +288,4 @@ def _blocks_of_seeds(
     blocks = -(-chars // BLOCK_CHARS)
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).orderBy("item", "words").collect()
-        block = _Items.of([r["item"] for r in rows], [r["words"] for r in rows])
-        counts = docs.select(text_col).mapInArrow(_count_grams(block, text_col), "gram bigint, n bigint")
-        frequency = {r["gram"]: r["n"] for r in counts.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-        yield block.seeds(frequency)
+        yield _Items.of([r["item"] for r in rows], [r["words"] for r in rows])
