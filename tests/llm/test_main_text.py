@@ -66,6 +66,17 @@ def test_pages_without_article_elements():
     assert M.main_text(f"<body><div>{body}</div></body>") == f"Head {LONG.strip()} {LONG.strip()} Short."
 
 
+def test_all_content_is_kept_however_it_is_divided():
+    body, end = f"<p>{LONG}</p>" * 3, "<p>In the end, it was short, but not lost.</p>"
+    text = " ".join([LONG.strip()] * 3)
+    for tag in ("article", "div"):
+        for inner in ("section", "div"):
+            page = f"<body><{tag}><{inner}>{body}</{inner}><{inner}>{end}</{inner}></{tag}></body>"
+            assert M.main_text(page) == f"{text} In the end, it was short, but not lost."
+        page = f"<body><{tag}><h1>Title</h1><p>Lead</p><div>{body}</div></{tag}></body>"
+        assert M.main_text(page) == f"Title Lead {text}"
+
+
 def test_rows_are_kept_with_awkward_values(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "<p>" * 20_000 + "deep, text.", "x"), (3, "w", "<a " * 5_000, "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")

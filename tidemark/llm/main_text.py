@@ -3,8 +3,9 @@
 A page is read as a sequence of text nodes, each with its path of tags from the root; tags that
 only mark up running text do not count. For every path the text length and the punctuation per
 node are summed up. Both ratios are smoothed over the nodes in page order, fused by their
-product, and paths above a share of the page's best are content. The smallest element that
-holds most of the content text is the article; its blocks in page order are the main text, save
+product, and paths above a share of the page's best are content. The article is the article or
+main element around all content, else the smallest element that holds all of it and the title
+above it; its blocks in page order are the main text, save
 those whose tags, roles or class names mark navigation, notices, forms, adverts or comments, and
 blocks that consist of links.
 
@@ -27,7 +28,6 @@ from tidemark.llm.arrays import column
 
 SMOOTHING = (0.25, 0.5, 0.25)
 PATH_SHARE = 0.1  # of the best fused ratio
-ARTICLE_SHARE = 0.8  # of the content text
 LINK_SHARE = 0.5
 
 # The elements of HTML by how they are read.
@@ -65,7 +65,7 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "furniture", "link", "path", "held", "article")
+    __slots__ = ("tag", "parent", "furniture", "link", "path", "article")
 
     def __init__(self, tag: str, parent: _Element | None, furniture: bool) -> None:
         self.tag, self.parent = tag, parent
@@ -74,7 +74,6 @@ class _Element:
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         above = parent.path if parent is not None else ""
         self.path = above if tag in _INLINE else f"{above}/{tag}"
-        self.held = 0
 
 
 def _is_furniture(tag: str, rest: str, parent: _Element) -> bool:
@@ -183,6 +182,22 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
     return out
 
 
+def _around(elements: list[_Element]) -> _Element:
+    """The smallest element that holds all of these."""
+    chain: list[_Element] = []
+    e: _Element | None = elements[0]
+    while e is not None:
+        chain.append(e)
+        e = e.parent
+    height = {id(x): k for k, x in enumerate(chain)}
+    top = 0
+    for e in elements[1:]:
+        while id(e) not in height:
+            e = e.parent
+        top = max(top, height[id(e)])
+    return chain[top]
+
+
 def main_text(page: str | None) -> str:
     """The article of one page as text; empty if there is none."""
     blocks = _blocks(page or "")
@@ -203,16 +218,19 @@ def main_text(page: str | None) -> str:
     score = np.bincount(which, weights=fused) / nodes
     content = (score >= PATH_SHARE * score.max())[which]
 
-    for (e, text, _), chosen in zip(blocks, content):
-        if chosen:
-            up: _Element | None = e
-            while up is not None:
-                up.held += len(text)
-                up = up.parent
-    total = int(length[content].sum())
-    article = next(e for (e, _, _), c in zip(blocks, content) if c)
-    while article.parent is not None and article.held < ARTICLE_SHARE * total:
-        article = article.parent
+    chosen = [e for (e, _, _), c in zip(blocks, content) if c]
+    article = _around(chosen)
+    first = int(np.flatnonzero(content)[0])
+    title = next((e for e, _, _ in reversed(blocks[:first]) if e.tag == "h1"), None)
+    whole = article
+    while whole is not None and whole.tag not in ("article", "main"):
+        whole = whole.parent
+    if whole is not None:
+        article = whole
+    elif title is not None:
+        with_title = _around([article, title])
+        if with_title.tag not in ("", "html", "body"):
+            article = with_title
     while article.tag in ("p", "li", "td", "th", "tr", "blockquote", "pre", "dd", "dt") and article.parent is not None:
         article = article.parent
 
@@ -223,7 +241,7 @@ def main_text(page: str | None) -> str:
             e = e.parent
         return False
 
-    return " ".join(t for (e, t, _) in blocks if inside(e))
+    return " ".join(t for (e, t, _) in blocks if inside(e) or e is title)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
