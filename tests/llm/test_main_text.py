@@ -77,6 +77,34 @@ def test_all_content_is_kept_however_it_is_divided():
         assert M.main_text(page) == f"Title Lead {text}"
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='elementor-widget-container'>", "</div>"),
+        ("<div id='content-sidebar-wrap'>", "</div>"),
+        ("<div class='page no-sidebar'>", "</div>"),
+        ("<div class='layout-right-sidebar'>", "</div>"),
+        ("<div class='post-content comments-open'>", "</div>"),
+        ("<form id='form1' action='/'>", "</form>"),
+    ],
+)
+def test_names_of_wrappers_do_not_hide_the_article(before, after):
+    for inner in (f"<p>{LONG}</p>", f"<article><p>{LONG}</p></article>"):
+        page = f"<body>{before}<div class='sidebar'><p>Side text.</p></div>{inner}{after}</body>"
+        assert M.main_text(page) == LONG.strip()
+    divided = f"{before}<p>{LONG}</p>{after}" * 3
+    assert M.main_text(f"<body>{divided}</body>") == " ".join([LONG.strip()] * 3)
+
+
+def test_links_and_formulas_inside_the_article_are_kept():
+    page = (
+        f"<body><div><a href=0>Elsewhere</a></div><article><p>{LONG}</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it is.</p>"
+        "<svg><title>no</title><text>In a drawing</text></svg><noscript>No script.</noscript>"
+        "<p><a href=1>See the whole linked sentence.</a></p><ul><li><a href=2>Source</a></ul></article><noscript>Out</noscript></body>"
+    )
+    assert M.main_text(page) == f"{LONG.strip()} So x=2 it is. In a drawing No script. See the whole linked sentence. Source"
+
+
 def test_rows_are_kept_with_awkward_values(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "<p>" * 20_000 + "deep, text.", "x"), (3, "w", "<a " * 5_000, "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")

@@ -6,8 +6,9 @@ node are summed up. Both ratios are smoothed over the nodes in page order, fused
 product, and paths above a share of the page's best are content. The article is the article or
 main element around all content, else the smallest element that holds all of it and the title
 above it; its blocks in page order are the main text, save
-those whose tags, roles or class names mark navigation, notices, forms, adverts or comments, and
-blocks that consist of links.
+those whose tags or roles mark navigation, notices, adverts or asides. Class names and forms mark
+furniture only where an element holds no article or main element, and stands beside one or has
+less than ``SOFT_SHARE`` of the text around it. Outside the article, blocks that consist of links are left out as well.
 
 Parsing is forgiving: end tags may be missing, wrongly nested or cut off.
 """
@@ -29,17 +30,23 @@ from tidemark.llm.arrays import column
 SMOOTHING = (0.25, 0.5, 0.25)
 PATH_SHARE = 0.1  # of the best fused ratio
 LINK_SHARE = 0.5
+SOFT_SHARE = 0.5  # of the text in the article or page around
 
 # The elements of HTML by how they are read.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe textarea title svg math object select".split())
+_RAW = frozenset("script style template iframe textarea title object select annotation annotation-xml".split())
+# Read inside an article, left out elsewhere.
+_EMBEDDED = frozenset("noscript svg math".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    "math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace "
+    "mpadded mphantom menclose mmultiscripts mprescripts none noscript tspan".split()
 )
-_FURNITURE = frozenset("head nav footer aside form button dialog menu fieldset datalist".split())
+_FURNITURE = frozenset("head nav footer aside button dialog menu datalist".split())
+_SOFT = frozenset("form fieldset".split())
 _FURNITURE_ROLES = frozenset(
-    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split()
+    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split()
 )
 _FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie "
@@ -48,6 +55,8 @@ _FURNITURE_WORDS = frozenset(
     "commentlist disqus reply replies respond share sharing social related recommended popup modal overlay "
     "widget pagination pager login search form".split()
 )
+# Beside these a word says how the page is laid out: no-sidebar, comments-open, content-sidebar-wrap.
+_STATE_WORDS = frozenset("no has with without open closed layout content".split())
 _NEVER_FURNITURE = frozenset("html body article main".split())
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _CLOSES = {
@@ -65,37 +74,75 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "furniture", "link", "path", "article")
+    __slots__ = ("tag", "parent", "furniture", "link", "path", "article", "scope", "soft", "size", "holds")
 
-    def __init__(self, tag: str, parent: _Element | None, furniture: bool) -> None:
+    def __init__(self, tag: str, parent: _Element | None, furniture: bool, soft: bool = False) -> None:
         self.tag, self.parent = tag, parent
         self.furniture = furniture or (parent is not None and parent.furniture)
         self.link = tag == "a" or (parent is not None and parent.link)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         above = parent.path if parent is not None else ""
         self.path = above if tag in _INLINE else f"{above}/{tag}"
+        # The nearest article, main element or page, and the nearest element that may be furniture.
+        self.scope = self if parent is None or tag in ("article", "main") else parent.scope
+        self.soft = self if soft else parent.soft if parent is not None else None
+        self.size = 0  # characters held, of scopes and soft elements
+        self.holds = False  # an article or main element
+        if tag in ("article", "main") and not self.furniture:
+            e = self.soft
+            while e is not None and not e.holds:
+                e.holds = True
+                e = e.parent.soft
 
+    def count(self, chars: int) -> None:
+        for e in self.softs():
+            e.size += chars
+        e = self.scope
+        e.size += chars
+        while e.parent is not None:
+            e = e.parent.scope
+            e.size += chars
+            e.holds = True
 
-def _is_furniture(tag: str, rest: str, parent: _Element) -> bool:
-    if tag in _FURNITURE or (tag == "header" and not parent.article):
-        return True
+    def softs(self) -> Iterator[_Element]:
+        e = self.soft
+        while e is not None:
+            yield e
+            e = e.parent.soft
+
+    def named_furniture(self) -> bool:
+        # Beside an article an element outside it is no wrapper, whatever its share.
+        around = ((e, e.parent.scope) for e in self.softs() if not e.holds)
+        return any((s.parent is None and s.holds) or e.size < SOFT_SHARE * s.size for e, s in around)
+
+
+def _is_furniture(tag: str, rest: str, parent: _Element) -> tuple[bool, bool]:
+    """Whether an element is furniture for certain, and whether it may be."""
+    if tag in _FURNITURE or (tag == "header" and not parent.article) or (tag in _EMBEDDED and not parent.article):
+        return True, False
+    soft = tag in _SOFT
     if not rest or tag in _NEVER_FURNITURE:
-        return False
+        return False, soft
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+        if name == "hidden" or (name == "aria-hidden" and value == "true" and tag not in _EMBEDDED):
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return True, False
         if name == "role" and value.strip() in _FURNITURE_ROLES:
-            return True
-        if name in ("class", "id") and not _FURNITURE_WORDS.isdisjoint(re.findall(r"[a-z]+", value)):
-            return True
-    return False
+            return True, False
+        if name == "role" and value.strip() == "form":
+            soft = True
+        if name in ("class", "id") and not soft:
+            soft = any(
+                not _FURNITURE_WORDS.isdisjoint(w) and _STATE_WORDS.isdisjoint(w)
+                for w in (re.findall(r"[a-z]+", token) for token in value.split())
+            )
+    return False, soft
 
 
 def _blocks(page: str) -> list[tuple[_Element, str, int]]:
-    """Every block outside furniture: its element, its text and the characters in links."""
+    """Every block outside certain furniture: its element, its text and the characters in links."""
     root = _Element("", None, False)
     at = root
     out: list[tuple[_Element, str, int]] = []
@@ -108,6 +155,7 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
         text = _SPACE.sub(" ", html_entities.unescape("".join(parts))).strip()
         if text:
             out.append((owner, text, linked))
+            owner.count(len(text))
         parts, linked = [], 0
 
     def say(text: str) -> None:
@@ -177,7 +225,7 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
                 at = e.parent
             if tag in _CLOSES:
                 close(_CLOSES[tag], frozenset(["ul", "ol", "dl", "table", "select"]))
-        at = _Element(tag, at, _is_furniture(tag, rest or "", at))
+        at = _Element(tag, at, *_is_furniture(tag, rest or "", at))
     flush()
     return out
 
@@ -200,8 +248,11 @@ def _around(elements: list[_Element]) -> _Element:
 
 def main_text(page: str | None) -> str:
     """The article of one page as text; empty if there is none."""
-    blocks = _blocks(page or "")
-    blocks = [b for b in blocks if b[2] <= LINK_SHARE * len(b[1])]
+    found = _blocks(page or "")
+    # Names alone never leave a page without text.
+    found = [b for b in found if not b[0].named_furniture()] or found
+    blocks = [b for b in found if b[2] <= LINK_SHARE * len(b[1])]
+    blocks = blocks or [b for b in found if b[0].article]
     if not blocks:
         return ""
     paths: dict[str, int] = {}
@@ -241,7 +292,9 @@ def main_text(page: str | None) -> str:
             e = e.parent
         return False
 
-    return " ".join(t for (e, t, _) in blocks if inside(e) or e is title)
+    taken = {id(e) for e, _, _ in blocks}
+    links = article.tag not in ("", "html", "body")
+    return " ".join(t for (e, t, _) in found if (links or id(e) in taken) and inside(e) or e is title)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
