@@ -98,6 +98,33 @@ def test_toxic_documents_are_found(spark):
     assert kept == {i for i, r in out.items() if r.score < 0.3}
 
 
+def test_every_term_that_tells_the_labels_apart_is_kept(spark):
+    """1,500 toxic words with rare and common forms; each is the only one of its document."""
+    def word(k):
+        return "".join("bcdfghjklm"[int(d)] for d in f"{k:04d}")
+
+    rows = []
+    for i in range(400):
+        bad = [f"{word(k)}" for k in range(i % 50 * 30, i % 50 * 30 + 30)] if i < 300 else []
+        rows.append((i, " ".join([*bad, "nothing", "else", f"n{'aeiou'[i % 5]}"]), int(i < 300)))
+    asked = [(1000 + k, f"nothing else {word(k)}") for k in range(1500)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + asked, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] , "doc_id bigint, toxic int")
+    monkey_chi = toxicity.MIN_CHI_SQUARE
+    toxicity.MIN_CHI_SQUARE = 1.0
+    try:
+        index = toxicity.train(labels, docs)
+    finally:
+        toxicity.MIN_CHI_SQUARE = monkey_chi
+    assert len(index.terms) >= 1500
+    out = toxicity.score(docs.where("doc_id >= 1000"), index)
+    assert out.where("score >= 0.3 AND size(evidence) = 3").count() == 1500
+    # Document frequencies are those of all documents.
+    word_hash = next(iter(toxicity._terms(toxicity.Letters([word(7)]))))[0][0]
+    place = int(np.flatnonzero(index.terms == word_hash)[0])
+    assert np.isclose(index.idf[place], np.log1p(1900 / 7))
+
+
 def test_toxicity_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
     out = queries.op5_toxicity(spark, MEDIUM).join(labels, "doc_id").where("held_out")

@@ -13,8 +13,9 @@ neighbours and gets the rate of the examples without one. The neighbours are ret
 evidence.
 
 The examples are a bounded sample: the ``max_examples`` labelled documents with the smallest
-hashes of their ids; ``max_terms`` bounds the vocabulary, so the index is small enough to be
-sent to every task. Every text is scored whole.
+hashes of their ids. Every term that passes the test is kept, and the postings are sparse, so the
+index has the size of the examples and is sent to every task. Document frequencies are those of
+all documents. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from tidemark.llm.arrays import column, mixed, span_hashes, text_chunks
 from tidemark.llm.letters import Letters, Lookup
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 1_024
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_EXAMPLES_OF_TERM = 5
 MIN_CHI_SQUARE = 10.83  # the 0.1 % level with one degree of freedom
@@ -41,6 +41,7 @@ BLOCK = 64
 EVIDENCE = 3
 THRESHOLD = 0.3
 _BINS = 10
+_CELLS = 1 << 22  # of a dense matrix of texts and terms
 _DECIMALS = 5  # cosines are compared at this precision, so ties do not depend on rounding
 
 
@@ -53,15 +54,22 @@ def _terms(found: Letters) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield span_hashes(found.codes, starts, starts + size), found.text[long]
 
 
+def held_terms(texts: list[str | None], terms: Lookup, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place and count of every known term in each text, in this order."""
+    cells = []
+    for hashes, text in _terms(Letters(texts)):
+        at = terms(hashes)
+        cells.append(text[at >= 0] * n_terms + at[at >= 0])
+    cell, n = np.unique(np.concatenate(cells), return_counts=True)
+    return cell // max(n_terms, 1), cell % max(n_terms, 1), n.astype(np.float32)
+
+
 def term_counts(texts: list[str | None], terms: Lookup, n_terms: int) -> np.ndarray:
     """How often each known term stands in each text."""
-    found = Letters(texts)
-    counts = np.zeros(len(texts) * n_terms, np.float32)
-    for hashes, text in _terms(found):
-        at = terms(hashes)
-        cell = text[at >= 0] * n_terms + at[at >= 0]
-        counts += np.bincount(cell, minlength=len(counts)).astype(np.float32)
-    return counts.reshape(len(texts), n_terms)
+    counts = np.zeros((len(texts), n_terms), np.float32)
+    text, at, n = held_terms(texts, terms, n_terms)
+    counts[text, at] = n
+    return counts
 
 
 @dataclass
@@ -70,33 +78,46 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray = field(repr=False)
     labels: np.ndarray = field(repr=False)
-    # The postings of each block of examples: its terms, and a weight per example and term.
-    blocks: list[tuple[np.ndarray, np.ndarray]] = field(repr=False)
+    # The postings of each block: its examples, its terms, and example, term and weight of each.
+    blocks: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(repr=False)
     block_max: np.ndarray = field(repr=False)  # largest weight per term and block
     prior: float = 0.0
     calibration: np.ndarray | None = field(default=None, repr=False)
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
+    def vectors(self, counts: np.ndarray, terms: np.ndarray | slice = slice(None)) -> np.ndarray:
         weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32)
-        weights *= self.idf
+        weights *= self.idf[terms]
         return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-12)
 
+    def postings(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a block, and a weight per example and term."""
+        size, terms, row, at, weight = self.blocks[block]
+        out = np.zeros((size, len(terms)), np.float32)
+        out[row, at] = weight
+        return terms, out
+
     def dense(self, block: int) -> np.ndarray:
         """The vectors of the examples of one block over all terms."""
-        terms, weights = self.blocks[block]
+        terms, weights = self.postings(block)
         out = np.zeros((len(weights), len(self.terms)), np.float32)
         out[:, terms] = weights
         return out
 
-    def neighbours(self, vectors: np.ndarray, k: int, leave_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def neighbours(
+        self, vectors: np.ndarray, k: int, leave_out: np.ndarray | None = None, over: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Cosines and positions of the ``k`` nearest examples of every vector; equal cosines
-        go by position. Places without an example have cosine 0 and position -1."""
+        go by position. Places without an example have cosine 0 and position -1.
+        The vectors are over all terms or over the places ``over``."""
         n = len(vectors)
         best = np.zeros((n, k))
         where = np.full((n, k), -1)
         if not self.blocks or not n:
             return best, where
-        bounds = vectors @ self.block_max
+        over = np.arange(len(self.terms)) if over is None else over
+        local = np.full(len(self.terms), -1)
+        local[over] = np.arange(len(over))
+        bounds = vectors @ self.block_max[over]
         order = np.argsort(-bounds, axis=1, kind="stable")
         slack = 2 * 10.0**-_DECIMALS
         for visit in range(order.shape[1]):
@@ -108,8 +129,9 @@ class Index:
             for b in np.unique(block[open_]):
                 rows = np.flatnonzero(open_ & (block == b))
                 first = b * BLOCK
-                terms, weights = self.blocks[b]
-                cosines = vectors[rows][:, terms] @ weights.T
+                terms, weights = self.postings(b)
+                at = local[terms]
+                cosines = vectors[rows][:, at[at >= 0]] @ weights[:, at >= 0].T
                 cosines = np.round(cosines.astype(np.float64), _DECIMALS)
                 places = np.broadcast_to(np.arange(first, first + cosines.shape[1]), cosines.shape).copy()
                 if leave_out is not None:
@@ -143,7 +165,6 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     max_examples: int = MAX_EXAMPLES,
-    max_terms: int = MAX_TERMS,
 ) -> Index:
     """Build the index from ``labelled`` ids (0 or 1 in ``label_col``) and their texts.
 
@@ -174,41 +195,64 @@ def train(
     # A term of all examples tells nothing apart: the quotient is null and the term is left out.
     margins = (a + b) * (c + d) * (a + c) * (b + d)
     chi = F.try_divide(F.lit(float(size)) * F.pow(a * d - b * c, 2), margins)
-    kept = found.select("term", "n", chi.alias("chi")).where(F.col("chi") >= MIN_CHI_SQUARE)
-    kept = kept.orderBy(F.desc("chi"), "term").limit(max_terms).collect() if 0 < positive < size else []
-    terms = np.array([r["term"] for r in kept], np.int64).view(np.uint64)
-    idf = np.log1p(size / np.array([r["n"] for r in kept], np.float64)) if len(kept) else np.zeros(0)
+    kept = found.where(chi >= MIN_CHI_SQUARE).select("term").collect() if 0 < positive < size else []
+    terms = np.sort(np.array([r["term"] for r in kept], np.int64).view(np.uint64))
+    idf = np.zeros(0)
+    if len(terms):
+        counted = texts.mapInArrow(_frequencies(terms), "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+        n_docs = np.zeros(len(terms) + 1)
+        for row in counted.collect():
+            n_docs[row["at"]] = row["n"]
+        idf = np.log1p(n_docs[-1] / np.maximum(n_docs[:-1], 1))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(terms)
         for batch in batches:
             texts = column(batch, "text")
             for row, end, _, _ in text_chunks(texts):
-                counts = term_counts(texts.slice(row, end - row).to_pylist(), lookup, len(terms))
-                held = [np.flatnonzero(c) for c in counts]
+                text, at, n = held_terms(texts.slice(row, end - row).to_pylist(), lookup, len(terms))
+                cuts = np.searchsorted(text, np.arange(1, end - row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(batch, "id").slice(row, end - row),
                         column(batch, "label").slice(row, end - row),
-                        pa.array([h.tolist() for h in held], pa.list_(pa.int32())),
-                        pa.array([c[h].tolist() for c, h in zip(counts, held)], pa.list_(pa.float32())),
+                        pa.array([a.astype(np.int32).tobytes() for a in np.split(at, cuts)], pa.binary()),
+                        pa.array([c.tobytes() for c in np.split(n, cuts)], pa.binary()),
                     ],
                     names=["id", "label", "at", "n"],
                 )
 
     schema = T.StructType(
         [sample.schema["id"]]
-        + T.StructType.fromDDL("label int, at array<int>, n array<float>").fields
+        + T.StructType.fromDDL("label int, at binary, n binary").fields
     )
     # Only the examples with a term come to the driver; of the others their rate is enough.
-    rows = sample.mapInArrow(sparse, schema).where(F.size("at") > 0).collect()
+    rows = sample.mapInArrow(sparse, schema).where(F.length("at") > 0).collect()
     ids = np.array([r["id"] for r in rows], object)
     labels = np.array([r["label"] for r in rows], np.int64)
     prior = (positive - int(labels.sum()) + positive / max(size, 1)) / (size - len(rows) + 1)
-    held = [(np.array(r["at"], np.int64), np.array(r["n"], np.float32)) for r in rows]
+    held = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32)) for r in rows]
     return build_index(terms, idf, ids, labels, held, prior)
 
 
+def _frequencies(terms: np.ndarray):
+    """In how many texts each term stands, by its place; all texts are counted behind the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(terms)
+        counts = np.zeros(len(terms) + 1, np.int64)
+        for batch in batches:
+            texts = column(batch, "text")
+            counts[-1] += len(texts)
+            for row, end, _, _ in text_chunks(texts):
+                _, at, _ = held_terms(texts.slice(row, end - row).to_pylist(), lookup, len(terms))
+                counts += np.bincount(at, minlength=len(counts))
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(counts[held])], names=["at", "n"])
+
+    return run
+
+
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = column(batch, "text")
@@ -256,18 +300,20 @@ def build_index(
     for first in range(0, len(held), BLOCK):
         mine = order[first : first + BLOCK]
         own = np.unique(np.concatenate([held[i][0] for i in mine]))
-        postings = np.zeros((len(mine), len(own)), np.float32)
-        for row, i in enumerate(mine):
-            postings[row, np.searchsorted(own, held[i][0])] = weights[i]
-        block_max[own, len(blocks)] = postings.max(axis=0)
-        blocks.append((own, postings))
+        row = np.repeat(np.arange(len(mine), dtype=np.uint8), [len(held[i][0]) for i in mine])
+        at = np.searchsorted(own, np.concatenate([held[i][0] for i in mine])).astype(np.int32)
+        weight = np.concatenate([weights[i] for i in mine])
+        largest_of = np.zeros(len(own), np.float32)
+        np.maximum.at(largest_of, at, weight)
+        block_max[own, len(blocks)] = largest_of
+        blocks.append((len(mine), own, row, at, weight))
     index = Index(terms, idf, ids[order], labels[order], blocks, block_max, prior)
 
     # Every example scored by the others.
-    votes = [
-        index.votes(*index.neighbours(index.dense(b), NEIGHBOURS, b * BLOCK + np.arange(len(blocks[b][1]))))
-        for b in range(len(blocks))
-    ]
+    votes = []
+    for b in range(len(blocks)):
+        own, vectors = index.postings(b)
+        votes.append(index.votes(*index.neighbours(vectors, NEIGHBOURS, b * BLOCK + np.arange(len(vectors)), own)))
     if len(held) > 1:
         votes = np.concatenate(votes)
         seen = votes >= 0
@@ -300,6 +346,22 @@ def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold:
     return scored.where(F.col(score_col) < threshold).select(docs.columns)
 
 
+def _nearest(index: Index, text: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts with a term, and their nearest examples; dense over a few texts and their terms."""
+    some, row = np.unique(text, return_inverse=True)
+    step = max(1, _CELLS // max(1, len(np.unique(at))))
+    best, where = [np.zeros((0, NEIGHBOURS))], [np.zeros((0, NEIGHBOURS), np.int64)]
+    for first in range(0, len(some), step):
+        low, high = np.searchsorted(row, [first, first + step])
+        over, place = np.unique(at[low:high], return_inverse=True)
+        counts = np.zeros((min(step, len(some) - first), len(over)), np.float32)
+        counts[row[low:high] - first, place] = n[low:high]
+        found = index.neighbours(index.vectors(counts, over), NEIGHBOURS, over=over)
+        best.append(found[0])
+        where.append(found[1])
+    return some, np.concatenate(best), np.concatenate(where)
+
+
 def _scored(
     docs: DataFrame, index: Index, text_col: str, passed: list[str], score_col: str, evidence_col: str
 ) -> DataFrame:
@@ -314,9 +376,7 @@ def _scored(
         for batch in batches:
             texts = column(batch, text_col)
             for row, end, _, _ in text_chunks(texts):
-                counts = term_counts(texts.slice(row, end - row).to_pylist(), terms, len(fitted.terms))
-                some = np.flatnonzero(counts.any(axis=1)) if len(fitted.terms) else np.zeros(0, np.int64)
-                best, where = fitted.neighbours(fitted.vectors(counts[some]), NEIGHBOURS)
+                some, best, where = _nearest(fitted, *held_terms(texts.slice(row, end - row).to_pylist(), terms, len(fitted.terms)))
                 votes = np.full(end - row, -1.0)
                 votes[some] = fitted.votes(best, where)
                 evidence: list[list[dict]] = [[] for _ in range(end - row)]
