@@ -202,6 +202,16 @@ def test_pseudonyms_against_plain_python(spark, documents):
     assert any(r.text != theirs[r.doc_id] for r in documents.collect())
 
 
+def test_secrets_in_upper_case(spark):
+    token = "1BEB58B8AF68854F0E01B4AD40CDBB6AE7F578AE"
+    texts = [f'TOKEN = "{token}"', f"see {token} here", "Api_Key=Ab12Cd34Ef56"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(rows).collect()}
+    new = string_cipher("secret", token, pii._UPPER_HEX)
+    assert new != token and re.fullmatch("[0-9A-F]{40}", new)
+    assert got == {0: f'TOKEN = "{new}"', 1: f"see {new} here", 2: "Api_Key=" + string_cipher("secret", "Ab12Cd34Ef56")}
+
+
 def test_awkward_documents_keep_their_rows_and_columns(spark):
     docs = awkward.documents(spark)
     out = pii.pseudonymise(docs)

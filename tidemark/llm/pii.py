@@ -39,8 +39,8 @@ _FORMATS = {
     "card": _BEFORE
     + r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
     + _AFTER,
-    "secret": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9a-f]{64})(?![\p{L}\p{N}])"
-    r"|(?<=(?:password|passwd|secret|token|api_key) {0,1}[=:] {0,1}[\"']{0,1})[A-Za-z0-9+/_-]{8,}",
+    "secret": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{40}|[0-9A-F]{64})(?![\p{L}\p{N}])"
+    r"|(?<=(?i:password|passwd|secret|token|api_key) {0,1}[=:] {0,1}[\"']{0,1})[A-Za-z0-9+/_-]{8,}",
 }
 _ANY = "|".join(f"(?:{p})" for p in _FORMATS.values())
 
@@ -56,6 +56,7 @@ def _round_number(key: str, kind: str, step: str, half: str) -> str:
 
 _CLASSES = (("0", "9", 10), ("a", "z", 26), ("A", "Z", 26))
 _HEX = (("0", "9", 10), ("a", "f", 6))
+_UPPER_HEX = (("0", "9", 10), ("A", "F", 6))
 
 
 def _string_cipher(key: str, kind: str, value: str, classes: tuple = _CLASSES) -> str:
@@ -209,10 +210,12 @@ def _pseudonym(key: str) -> str:
     tests = {k: f"m RLIKE {_text('^(?:' + _FORMATS[k] + ')$')}" for k in kinds}
     branches = " ".join(f"WHEN {tests[k]} THEN {kinds[k]}" for k in kinds)
     hexadecimal = _string_cipher(key, "secret", "m", _HEX)
+    upper_hexadecimal = _string_cipher(key, "secret", "m", _UPPER_HEX)
     access_key = f"concat('AKIA', {_string_cipher(key, 'secret', 'substr(m, 5)')})"
     other = _string_cipher(key, "secret", "m")
     return (
         f"CASE {branches} WHEN m RLIKE '^[0-9a-f]+$' THEN {hexadecimal}"
+        f" WHEN m RLIKE '^([0-9A-F]{{40}}|[0-9A-F]{{64}})$' THEN {upper_hexadecimal}"
         f" WHEN m RLIKE '^AKIA[0-9A-Z]{{16}}$' THEN {access_key} ELSE {other} END"
     )
 
