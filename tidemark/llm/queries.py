@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversations,
     decontaminate,
     language,
     main_text,
@@ -16,6 +17,8 @@ from tidemark.llm import (
     simhash,
     suffixes,
     toxicity,
+    url_filter,
+    whitening,
 )
 from tidemark.llm.deploy import workers_find_package
 from tidemark.llm.language import held_out
@@ -100,6 +103,65 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(piece_bpe.encode_decode(docs, model_path()))
 
 
+# The rules of the contract.
+URL_RULES = (
+    url_filter.Rule("org", "/", block=False),
+    url_filter.Rule("example.org", "/es/", block=True),
+    url_filter.Rule("example.org", "/en/1", block=True),
+    url_filter.Rule("com", "/fr/", block=False),
+    url_filter.Rule("com", "/de/", block=True),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES, url_filter.train(pages, URL_RULES)).drop("url")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults of the contract, by the CRC-32 of conversation and turn modulo 20."""
+    conv, turn, role, text = (
+        F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")
+    )
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    stripped = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        stripped.alias("text"),
+        F.explode(F.array_repeat(F.lit(True), copies)).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    broken = damaged(turns)
+    repaired, edits = conversations.repair(broken)
+    digests = conversations.digests(broken, edits)
+    found = repaired.withColumnRenamed("conv", "_conv").join(
+        digests, F.col("_conv").eqNullSafe(F.col("conv")), "left"
+    ).drop("conv")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        turns.select("conv_id")
+        .distinct()
+        .join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -111,4 +173,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_conversations": op13_conversations,
 }
