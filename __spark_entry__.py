@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,21 +16,41 @@ from tidemark.functions import split_symbols
 from tidemark.functions.symbols import WHITE_SPACE
 from tidemark.operators import (
     balanced_rolling_stats,
+    rolling_stats,
     with_bands,
     with_signals,
     with_zscore,
 )
 from tidemark.plans import job, reports
-from tidemark.scratch import ensure_checkpoint_dir
+from tidemark.scratch import ensure_checkpoint_dir, remove_folder
 from tidemark.series import SeriesSpec
-from tidemark.sinks import BANDS_COLUMNS, ZSCORE_COLUMNS, RunStamp, bands_output, zscore_output
-from tidemark.sources import history
+from tidemark.sinks import (
+    BANDS_COLUMNS,
+    BANDS_TABLE,
+    ZSCORE_COLUMNS,
+    ZSCORE_TABLE,
+    BatchLog,
+    RunStamp,
+    TableLayout,
+    bands_output,
+    create_table,
+    save,
+    with_bar_day,
+    zscore_output,
+)
+from tidemark.sources import history, quantile_bounds, slice_predicates
 from tidemark.sources.views import EVENTS_SCHEMA, hourly_bars, tick_series
 
 WINDOW, NUM_STD, THRESHOLD = 20, 2.0, 2.0
 SMALL_WINDOW = 5
 START, END = "2024-01-05", "2024-01-20"
 SYMBOLS = ("CLICK", "error", " view ")
+# Averages of 160 or 192 closes often end in a 5 behind the sixth decimal, of no more rows behind the ninth.
+WIDE_WINDOW, WIDE_DECIMALS = 200, 9
+# Two runs that overlap: up to the last day of one, from the first of the other.
+FIRST_RUN_END, SECOND_RUN_START = "2024-01-20", "2024-01-10"
+BUCKETS = 8
+SLICES = 8
 # Series longer than this are cut in the *_cut queries, which makes the cutting visible
 # on the small tables; the other queries let the table decide.
 CUT_ROWS = 40
@@ -108,14 +129,14 @@ def _bar_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zscore_output(scores, WINDOW, THRESHOLD, STAMP)
 
 
-def _comparable(df: DataFrame) -> DataFrame:
+def _comparable(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Doubles for decimals and six decimals for doubles, as the SQL side has them."""
     columns = []
     for column in df.schema.fields:
         if isinstance(column.dataType, T.DecimalType):
             columns.append(F.col(f"`{column.name}`").cast("double").alias(column.name))
         elif isinstance(column.dataType, T.DoubleType):
-            columns.append(F.round(f"`{column.name}`", 6).alias(column.name))
+            columns.append(F.round(f"`{column.name}`", decimals).alias(column.name))
         else:
             columns.append(F.col(f"`{column.name}`"))
     return df.select(*columns)
@@ -183,6 +204,30 @@ def _moving_stats_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(balanced_rolling_stats(ticks, WINDOW))
 
 
+def _moving_stats_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(balanced_rolling_stats(_bars(spark, sf_dir), WIDE_WINDOW), WIDE_DECIMALS)
+
+
+def _moving_stats_wide_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = _bars(spark, sf_dir)
+    return _comparable(balanced_rolling_stats(bars, WIDE_WINDOW, rows_per_task=CUT_ROWS), WIDE_DECIMALS)
+
+
+def _moving_stats_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(balanced_rolling_stats(_ticks(spark, sf_dir), WINDOW, wide=True))
+
+
+def _history_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slice that a database would be asked for, one after the other."""
+    ticks = _ticks(spark, sf_dir)
+    slices = slice_predicates("BarDateTime", quantile_bounds(ticks, "BarDateTime", SLICES))
+    parts = [ticks.where(p) for p in slices]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def _bollinger_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(with_bands(_tick_stats(spark, sf_dir), NUM_STD).select(*BANDS_COLUMNS))
 
@@ -289,6 +334,119 @@ def _one_batch_zscore_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(reports.zscore_summary(_appended_runs(spark, sf_dir)[1]))
 
 
+def _overlapping_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The z-score table after two runs over days that overlap; the second warms up within them."""
+    ticks = _ticks(spark, sf_dir)
+    runs = (
+        (history(ticks, None, None, FIRST_RUN_END, columns=None), STAMP),
+        (history(ticks, None, SECOND_RUN_START, None, columns=None), SECOND_STAMP),
+    )
+    first, second = (
+        zscore_output(with_zscore(balanced_rolling_stats(t, WINDOW), THRESHOLD), WINDOW, THRESHOLD, stamp)
+        for t, stamp in runs
+    )
+    return first.unionByName(second)
+
+
+def _latest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(reports.latest_rows(_overlapping_runs(spark, sf_dir)))
+
+
+def _latest_zscore_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(reports.zscore_summary(reports.latest_rows(_overlapping_runs(spark, sf_dir))))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """Computed now, so that the tables it was read from can go."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def _over_stored_tables(
+    spark: SparkSession, sf_dir: str, report: Callable[[DataFrame, DataFrame], DataFrame]
+) -> DataFrame:
+    """``report`` over both result tables, stored in buckets by symbol in two appended runs of days."""
+    layout = TableLayout(BUCKETS)
+    names = [f"tidemark_{kind}_{uuid4().hex}" for kind in ("bands", "scores")]
+    try:
+        for name, table, rows in zip(names, (BANDS_TABLE, ZSCORE_TABLE), _tick_outputs(spark, sf_dir)):
+            create_table(spark, name, table, layout)
+            middle = F.lit(START).cast("timestamp_ntz")
+            save(rows.where(F.col("BarDateTime") < middle), name)
+            save(rows.where(F.col("BarDateTime") >= middle), name)
+        return _kept(report(*(spark.table(n) for n in names)))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _stored_tables_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def report(bands: DataFrame, scores: DataFrame) -> DataFrame:
+        prices, anomalies = reports.price_groups(bands), reports.anomaly_groups(scores)
+        return reports.per_symbol_report(prices, anomalies, null_safe=False)
+
+    return _over_stored_tables(spark, sf_dir, report)
+
+
+def _stored_tables_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows once more over the stored closes, in their stored type."""
+
+    def stats(bands: DataFrame, _: DataFrame) -> DataFrame:
+        bars = bands.select("Symbol", "BarDateTime", "ClosePrice")
+        return rolling_stats(bars, WINDOW).withColumn("MovingAvg", F.col("MovingAvg").cast("double"))
+
+    return _comparable(_over_stored_tables(spark, sf_dir, stats))
+
+
+def _stored_tables_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_stored_tables(spark, sf_dir, reports.overall_totals)
+
+
+def _in_scratch_folder(
+    spark: SparkSession, work: Callable[[str], DataFrame]
+) -> DataFrame:
+    """What ``work`` computes from files that it may write to a folder of its own."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid4()}"
+    try:
+        return _kept(work(folder))
+    finally:
+        remove_folder(spark, folder)
+
+
+def _overwritten_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The z-score table by days, of which a second run has replaced the later ones."""
+
+    def work(folder: str) -> DataFrame:
+        scores = with_zscore(_tick_stats(spark, sf_dir), THRESHOLD)
+        first, second = (
+            with_bar_day(zscore_output(scores, WINDOW, THRESHOLD, stamp)) for stamp in (STAMP, SECOND_STAMP)
+        )
+        target = f"{folder}/scores"
+        save(first, target, partition_by=("BarDate",))
+        late = second.where(F.col("BarDate") >= F.lit(SECOND_RUN_START).cast("date"))
+        save(late, target, "overwrite", partition_by=("BarDate",), replace="partitions")
+        return spark.read.parquet(target)
+
+    return _comparable(_in_scratch_folder(spark, work))
+
+
+def _committed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of a table that two batches were written to, one of which was never committed."""
+
+    def work(folder: str) -> DataFrame:
+        bands, scores = _tick_outputs(spark, sf_dir)
+        log = BatchLog(spark, f"{folder}/log")
+        outputs = {"bands": (bands, f"{folder}/bands"), "zscores": (scores, f"{folder}/scores")}
+        log.store(STAMP.batch_id, outputs)
+        log.store(STAMP.batch_id, outputs)
+        stray = scores.withColumn("BatchId", F.lit(SECOND_STAMP.batch_id))
+        save(stray, f"{folder}/scores", partition_by=("BatchId",))
+        return reports.zscore_summary(log.visible(spark.read.parquet(f"{folder}/scores")))
+
+    return _comparable(_in_scratch_folder(spark, work))
+
+
 def _clean_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
     names = (
@@ -310,6 +468,10 @@ _QUERIES: dict[str, Query] = {
     "moving_stats_cut": _moving_stats_cut,
     "moving_stats_cut_ties": _moving_stats_cut_ties,
     "moving_stats_cut_text": _moving_stats_cut_text,
+    "moving_stats_wide": _moving_stats_wide,
+    "moving_stats_wide_cut": _moving_stats_wide_cut,
+    "moving_stats_blocks": _moving_stats_blocks,
+    "history_in_slices": _history_in_slices,
     "moving_stats_small_window": _moving_stats_small_window,
     "moving_stats_single_row": _moving_stats_single_row,
     "moving_stats_decimal": _moving_stats_decimal,
@@ -337,6 +499,13 @@ _QUERIES: dict[str, Query] = {
     "no_anomaly_note_flagged": _no_anomaly_note_flagged,
     "appended_zscore_summary": _appended_zscore_summary,
     "one_batch_zscore_summary": _one_batch_zscore_summary,
+    "latest_scores": _latest_scores,
+    "latest_zscore_summary": _latest_zscore_summary,
+    "stored_tables_report": _stored_tables_report,
+    "stored_tables_stats": _stored_tables_stats,
+    "stored_tables_totals": _stored_tables_totals,
+    "overwritten_days": _overwritten_days,
+    "committed_summary": _committed_summary,
     "clean_symbols": _clean_symbols,
     "symbol_list": _symbol_list,
 }
@@ -454,6 +623,34 @@ totals AS (
 )"""
 
 
+def _run_sql(name: str, where: str, stamp: RunStamp) -> str:
+    """The z-score table as one run over some of the ticks stores it."""
+    return f"""
+{name} AS (
+  WITH {_stats_sql("tick", where=where)}, {_SIGNALS}
+  SELECT "Symbol", "BarDateTime", {_stored("ClosePrice", 4)}, {WINDOW} AS "WindowSize",
+         {", ".join(_stored(c) for c in ("MovingAvg", "RollingStd", "ZScore"))},
+         CAST({THRESHOLD} AS DECIMAL(9,4)) AS "ZThreshold", "IsAnomaly", "IsWarmup",
+         TIMESTAMP '{stamp.load_date.isoformat(sep=" ")}' AS "LoadDate", '{stamp.batch_id}' AS "BatchId"
+  FROM signals
+)"""
+
+
+def _latest_sql() -> tuple[str, ...]:
+    """Of two overlapping runs, the later row of every bar."""
+    return (
+        _TICK,
+        _run_sql("run_1", f"\"BarDateTime\" <= TIMESTAMP '{FIRST_RUN_END}'", STAMP),
+        _run_sql("run_2", f"\"BarDateTime\" >= TIMESTAMP '{SECOND_RUN_START}'", SECOND_STAMP),
+        """
+stored AS (
+  SELECT * FROM (SELECT * FROM run_1 UNION ALL SELECT * FROM run_2)
+  QUALIFY row_number() OVER (PARTITION BY "Symbol", "BarDateTime", "WindowSize"
+                             ORDER BY "LoadDate" DESC, "BatchId" DESC) = 1
+)""",
+    )
+
+
 def _note_sql(threshold: float) -> str:
     return f"""
 SELECT 'No anomalies flagged in the current data.' AS "Note"
@@ -483,9 +680,19 @@ def _with(*parts: str, select: str) -> str:
     return f"WITH {','.join(parts)}\n{select}"
 
 
-_STATS_SELECT = f"""
-SELECT "Symbol", "BarDateTime", {_number("ClosePrice")}, {_number("MovingAvg")},
-       {_number("RollingStd")}, "RowNum", "IsWarmup" FROM stats"""
+
+
+def _stats_select(decimals: int = 6) -> str:
+    numbers = ", ".join(_number(c, decimals) for c in ("ClosePrice", "MovingAvg", "RollingStd"))
+    return f"""
+SELECT "Symbol", "BarDateTime", {numbers}, "RowNum", "IsWarmup" FROM stats"""
+
+
+_STATS_SELECT = _stats_select()
+
+_DECIMAL_STATS_SELECT = _STATS_SELECT.replace(
+    _number("ClosePrice"), 'CAST("ClosePrice" AS DOUBLE) AS "ClosePrice"'
+)
 
 _BANDS_SELECT = f"""
 SELECT "Symbol", "BarDateTime", {_number("ClosePrice")}, {_number("MovingAvg")},
@@ -553,6 +760,10 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _oracle_sql() -> dict[str, str]:
+    scores_select = f"""
+SELECT "Symbol", "BarDateTime", "WindowSize", "IsAnomaly", "IsWarmup", "LoadDate", "BatchId",
+       {_doubles("ClosePrice", "MovingAvg", "RollingStd", "ZScore", "ZThreshold")}
+FROM stored"""
     in_range = f"\"BarDateTime\" BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
     tick_stats = (_TICK, _stats_sql("tick"))
     bar_stats = (_BAR, _stats_sql("bar"))
@@ -561,6 +772,7 @@ def _oracle_sql() -> dict[str, str]:
     tick_runs = (*tick_stats, _SIGNALS, _stored_sql((STAMP, SECOND_STAMP)))
 
     moving_stats = _with(*tick_stats, select=_STATS_SELECT)
+    wide = _with(_BAR, _stats_sql("bar", WIDE_WINDOW), select=_stats_select(WIDE_DECIMALS))
     zscore_bars = _with(*bar_stats, _SIGNALS, select=_ZSCORE_SELECT)
     totals = _with(*tick_stored, _SUMMARIES, select="SELECT * FROM totals")
     per_symbol = _with(*tick_stored, _SUMMARIES, select=_PER_SYMBOL_SELECT)
@@ -591,9 +803,7 @@ WHERE "BarDateTime" >= TIMESTAMP '{START}'
         "moving_stats_decimal": _with(
             _TICK,
             _stats_sql("tick", value='CAST("ClosePrice" AS DECIMAL(18,4))'),
-            select=_STATS_SELECT.replace(
-                _number("ClosePrice"), _doubles("ClosePrice")
-            ),
+            select=_DECIMAL_STATS_SELECT,
         ),
         "moving_stats_in_range": _with(
             _TICK, _stats_sql("tick", where=in_range), select=_STATS_SELECT
@@ -609,13 +819,7 @@ SELECT "Symbol", "BarDateTime", "WindowSize", "IsWarmup", "LoadDate", "BatchId",
        {_doubles("ClosePrice", "NumStdDev", "MovingAvg", "RollingStd", "UpperBand", "LowerBand")}
 FROM stored""",
         ),
-        "zscore_output": _with(
-            *tick_stored,
-            select=f"""
-SELECT "Symbol", "BarDateTime", "WindowSize", "IsAnomaly", "IsWarmup", "LoadDate", "BatchId",
-       {_doubles("ClosePrice", "MovingAvg", "RollingStd", "ZScore", "ZThreshold")}
-FROM stored""",
-        ),
+        "zscore_output": _with(*tick_stored, select=scores_select),
         "bollinger_preview": _with(*tick_stats, _SIGNALS, select=_BANDS_SELECT + _PREVIEW_ORDER),
         "zscore_preview": _with(*tick_stats, _SIGNALS, select=_ZSCORE_SELECT + _PREVIEW_ORDER),
         "bollinger_summary": _with(*tick_stored, _SUMMARIES, select="SELECT * FROM prices"),
@@ -646,6 +850,26 @@ FROM best""",
         "one_batch_zscore_summary": _with(
             *tick_stored, _SUMMARIES, select="SELECT * FROM anomalies"
         ),
+        "moving_stats_wide": wide,
+        "moving_stats_wide_cut": wide,
+        "moving_stats_blocks": moving_stats,
+        "history_in_slices": _with(_TICK, select="SELECT * FROM tick"),
+        "latest_scores": _with(*_latest_sql(), select=scores_select),
+        "latest_zscore_summary": _with(*_latest_sql(), _SUMMARIES, select="SELECT * FROM anomalies"),
+        "stored_tables_report": per_symbol,
+        "stored_tables_stats": _with(
+            _TICK,
+            _stats_sql("tick", value='CAST("ClosePrice" AS DECIMAL(18,4))'),
+            select=_DECIMAL_STATS_SELECT,
+        ),
+        "stored_tables_totals": totals,
+        "overwritten_days": _with(
+            *tick_runs,
+            select=f"""{scores_select.replace("FROM stored", ', CAST("BarDateTime" AS DATE) AS "BarDate" FROM stored')}
+WHERE "BatchId" = CASE WHEN CAST("BarDateTime" AS DATE) >= DATE '{SECOND_RUN_START}'
+                       THEN '{SECOND_STAMP.batch_id}' ELSE '{STAMP.batch_id}' END""",
+        ),
+        "committed_summary": _with(*tick_stored, _SUMMARIES, select="SELECT * FROM anomalies"),
         "clean_symbols": f"""
 WITH raw AS (
   SELECT p_type AS s FROM part UNION ALL SELECT p_name FROM part UNION ALL SELECT n_name FROM nation

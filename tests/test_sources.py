@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import SF_SMALL, plan_of
+from conftest import SCHEMA, SF_SMALL, T0, plan_of
 
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
@@ -13,7 +13,9 @@ from tidemark.sources import (
     day_range,
     history,
     jdbc_url,
+    quantile_bounds,
     read_history,
+    slice_predicates,
     with_row_identity,
 )
 from tidemark.sources.views import hourly_bars, tick_series
@@ -194,3 +196,87 @@ def test_views_have_unique_bar_times(spark):
     for view in (tick_series(events), hourly_bars(events)):
         assert view.groupBy("Symbol", "BarDateTime").count().where("count > 1").isEmpty()
     assert tuple(hourly_bars(events).columns) == HISTORY_COLUMNS
+
+
+# --- slices ----------------------------------------------------------------------------
+
+
+def in_slices(df, predicates):
+    return [df.where(p).count() for p in predicates]
+
+
+def test_slices_of_skewed_times_are_even_disjoint_and_complete(spark):
+    # Nine tenths of the rows within one of 1,000 days, and some without a time.
+    rows = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 10 < 9 THEN timestamp_ntz'2024-05-01' + make_dt_interval(0, 0, 0, id % 86400)"
+        " ELSE timestamp_ntz'2022-01-01' + make_dt_interval(CAST(id % 1000 AS INT)) END AS t"
+    )
+    bounds = quantile_bounds(rows, "t", 8)
+    assert len(bounds) == 7
+    predicates = slice_predicates("t", bounds)
+    counts = in_slices(rows, predicates)
+    missing = rows.where("t IS NULL").count()
+    assert sum(counts) == rows.count()
+    even = (rows.count() - missing) / 8
+    assert all(0.9 * even < c < 1.1 * even for c in [counts[0] - missing, *counts[1:]])
+    assert rows.where(" AND ".join(f"({p})" for p in predicates[:2])).isEmpty()
+    # Rows beyond the bounds are in the outer slices.
+    beyond = spark.sql("SELECT explode(array(timestamp_ntz'1900-01-01', timestamp_ntz'2100-01-01', NULL)) AS t")
+    assert in_slices(beyond, predicates) == [2, 0, 0, 0, 0, 0, 0, 1]
+
+
+def test_slices_of_numbers_days_and_texts(spark):
+    rows = spark.range(1000).selectExpr(
+        "id", "date'2024-01-01' + CAST(id % 40 AS INT) AS day", "concat('O''', id % 60) AS name", "CAST(id AS decimal(9,2)) AS price"
+    )
+    for column in ("id", "day", "name", "price"):
+        counts = in_slices(rows, slice_predicates(column, quantile_bounds(rows, column, 4)))
+        assert sum(counts) == 1000 and len(counts) == 4 and max(counts) <= 300
+
+
+def test_slices_from_counts_per_value(spark):
+    counted = spark.createDataFrame([("A", 900), ("B", 50), ("C", 30), ("D", 20), (None, 5)], "value string, n bigint")
+    assert quantile_bounds(counted, "value", 4, weight="n") == ["A"]
+    even = spark.range(100).selectExpr("id AS value", "10 AS n")
+    assert quantile_bounds(even, "value", 4, weight="n") == [24, 49, 74]
+
+
+def test_slices_at_the_edges(spark):
+    rows = spark.range(10).selectExpr("CAST(NULL AS int) AS x")
+    assert quantile_bounds(rows, "x", 4) == [] and slice_predicates("x", []) == ["1 = 1"]
+    assert quantile_bounds(spark.range(10), "id", 1) == []
+    with pytest.raises(ValueError, match="at least 1"):
+        quantile_bounds(rows, "x", 0)
+    same = spark.range(10).selectExpr("7 AS x")
+    assert in_slices(same, slice_predicates("x", quantile_bounds(same, "x", 4))) == [10, 0]
+
+
+def test_slices_of_a_database_table(spark, monkeypatch):
+    """No database here: the reader is replaced where it would connect."""
+    seen = {}
+
+    def fake(self, url, table, predicates=None, properties=None, **other):
+        seen.update(url=url, table=table, predicates=predicates, properties=properties)
+        return spark.createDataFrame([], SCHEMA)
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake)
+    table = JdbcTable("jdbc:x", "dbo.Bars", "me", "pw", connections=4).in_slices("BarDateTime", [T0])
+    read_history(spark, table, ["A"], "2024-01-01", "2024-02-01", columns=None)
+    assert seen["predicates"] == [
+        "BarDateTime <= TIMESTAMP '2024-03-04 09:30:00' OR BarDateTime IS NULL",
+        "BarDateTime > TIMESTAMP '2024-03-04 09:30:00'",
+    ]
+    assert (seen["url"], seen["table"]) == ("jdbc:x", "dbo.Bars")
+    assert seen["properties"] == {"user": "me", "password": "pw", "fetchsize": "10000"}
+    counts = table.counts_query("Symbol")
+    assert counts.predicates is None and counts.read_options()["dbtable"] == (
+        "(SELECT Symbol AS value, COUNT(*) AS n FROM dbo.Bars GROUP BY Symbol) counted"
+    )
+
+
+def test_a_database_as_a_catalog():
+    settings = JdbcTable("jdbc:x", "dbo.Bars", "me", "pw", driver="d.D").catalog_settings("quotes")
+    assert settings["spark.sql.catalog.quotes"].endswith(".JDBCTableCatalog")
+    assert settings["spark.sql.catalog.quotes.url"] == "jdbc:x"
+    assert settings["spark.sql.catalog.quotes.pushDownAggregate"] == "true"
+    assert not [k for k in settings if k.endswith("dbtable")]

@@ -1,0 +1,343 @@
+"""Layouts of stored tables, partitions, batches that commit as one, and overlapping runs."""
+
+import os
+from datetime import datetime
+from uuid import uuid4
+
+import pytest
+from conftest import SF_SMALL, plan_of
+
+from pyspark.sql import functions as F
+from tidemark.operators import rolling_stats, with_bands, with_zscore
+from tidemark.plans import RunParams, build_report, job, reports, run
+from tidemark.sinks import (
+    BANDS_TABLE,
+    ZSCORE_TABLE,
+    BatchLog,
+    RunStamp,
+    TableLayout,
+    bands_output,
+    create_table,
+    plan_table_layout,
+    save,
+    table_layout,
+    with_bar_day,
+    zscore_output,
+)
+from tidemark.sinks import batches as batches_module
+from tidemark.sources import JdbcTable
+from tidemark.sources.views import hourly_bars, tick_series
+
+FIRST = RunStamp("first", datetime(2024, 2, 1))
+SECOND = RunStamp("second", datetime(2024, 2, 2))
+
+
+@pytest.fixture(scope="module")
+def ticks(spark):
+    return tick_series(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+
+
+def outputs(ticks, stamp=FIRST, n=5):
+    stats = rolling_stats(ticks, n)
+    return (
+        bands_output(with_bands(stats, 2.0), n, 2.0, stamp),
+        zscore_output(with_zscore(stats, 1.2), n, 1.2, stamp),
+    )
+
+
+@pytest.fixture
+def stored(spark, ticks):
+    """Both results in bucketed tables, appended in two parts."""
+    names = [f"{kind}_{uuid4().hex}" for kind in ("bands", "scores")]
+    for name, table, rows in zip(names, (BANDS_TABLE, ZSCORE_TABLE), outputs(ticks)):
+        create_table(spark, name, table, TableLayout(4))
+        save(rows.where("BarDateTime < timestamp_ntz'2024-01-12'"), name)
+        save(rows.where("BarDateTime >= timestamp_ntz'2024-01-12'"), name)
+    yield names
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def tree(df):
+    return plan_of(df).split("\n\n\n")[0]
+
+
+def equal(left, right):
+    assert left.columns == right.columns
+    assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+# --- layouts ---------------------------------------------------------------------------
+
+
+def test_windows_over_a_bucketed_table_need_no_exchange(spark, stored, ticks):
+    bands = spark.table(stored[0]).withColumn("ClosePrice", F.col("ClosePrice").cast("double"))
+    again = rolling_stats(bands.select("Symbol", "BarDateTime", "ClosePrice"), 5)
+    assert "Exchange" not in tree(again)
+    assert again.count() == ticks.count()
+    equal(spark.table(stored[0]), outputs(ticks)[0])
+
+
+def test_reports_over_bucketed_tables_need_no_exchange(spark, stored, ticks):
+    bands, scores = (spark.table(n) for n in stored)
+    prices, anomalies = reports.price_groups(bands), reports.anomaly_groups(scores)
+    assert "Exchange" not in tree(prices) and "Exchange" not in tree(anomalies)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = reports.per_symbol_report(prices, anomalies, null_safe=False)
+        lines = tree(joined).splitlines()
+        at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line for line in lines[at:])
+        assert "Exchange" not in tree(reports.latest_rows(scores))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    whole = outputs(ticks)
+    equal(joined, reports.per_symbol_report(reports.price_groups(whole[0]), reports.anomaly_groups(whole[1])))
+
+
+def test_a_filter_on_one_symbol_opens_one_bucket(spark, stored):
+    one = plan_of(reports.price_groups(spark.table(stored[0]).where("Symbol = 'U1'")))
+    assert "SelectedBucketsCount: 1 out of 4" in one
+
+
+def test_every_bucket_is_one_file_per_write(spark, stored):
+    files = spark.table(stored[0]).inputFiles()
+    assert len(files) <= 8
+    layout = table_layout(spark, stored[0])
+    assert layout == TableLayout(4, "Symbol", ("Symbol", "BarDateTime"), ())
+
+
+def test_overwriting_a_bucketed_table_keeps_its_layout(spark, stored, ticks):
+    some = outputs(ticks)[0].where("Symbol < 'U3'")
+    assert save(some.select(*reversed(some.columns)), stored[0], "overwrite") == some.count()
+    equal(spark.table(stored[0]), some)
+    assert table_layout(spark, stored[0]).buckets == 4
+    with pytest.raises(ValueError, match="has the columns"):
+        save(some.drop("BatchId"), stored[0])
+
+
+def test_new_tables_get_the_layout_given_with_the_rows(spark, ticks):
+    name = f"laid_out_{uuid4().hex}"
+    layout = TableLayout(3, partition_by=("BatchId",))
+    bands = outputs(ticks)[0]
+    save(bands, name, layout=layout)
+    assert table_layout(spark, name) == layout
+    assert "Exchange" not in tree(reports.price_groups(spark.table(name)))
+    equal(spark.table(name).select(*bands.columns), bands)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_paths_are_laid_out_in_ranges(spark, ticks, tmp_path):
+    path = str(tmp_path / "bands")
+    bands = outputs(ticks)[0]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert save(bands, path, layout=TableLayout()) == bands.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.struct("Symbol", "BarDateTime")).alias("low"), F.max(F.struct("Symbol", "BarDateTime")).alias("high")
+    )
+    bounds = sorted((tuple(r.low), tuple(r.high)) for r in ranges.collect())
+    assert len(bounds) > 1 and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
+    with pytest.raises(ValueError, match="only catalog tables"):
+        save(bands, path, layout=TableLayout(2))
+    with pytest.raises(ValueError, match="neither partitions nor a layout"):
+        save(bands, JdbcTable("jdbc:x", "t"), layout=TableLayout())
+    with pytest.raises(ValueError, match="at least 1"):
+        TableLayout(0)
+
+
+def test_layouts_are_planned_from_the_rows(spark, ticks):
+    n = ticks.count()
+    assert plan_table_layout(ticks, rows_per_bucket=100).buckets == -(-n // 100)
+    assert plan_table_layout(ticks).buckets == 1
+    assert plan_table_layout(ticks.where("false")).buckets == 1
+    # One user has more rows than four buckets should hold.
+    assert plan_table_layout(ticks, rows_per_bucket=5).buckets is None
+    with pytest.raises(ValueError, match="rows_per_bucket"):
+        plan_table_layout(ticks, rows_per_bucket=0)
+
+
+# --- partitions ------------------------------------------------------------------------
+
+
+def files_below(path):
+    return {
+        os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+        for d, _, names in os.walk(path)
+        for f in names
+        if f.endswith(".parquet")
+    }
+
+
+def test_overwriting_by_day_leaves_other_days_untouched(spark, ticks, tmp_path):
+    path = str(tmp_path / "scores")
+    scores = with_bar_day(outputs(ticks)[1])
+    save(scores, path, partition_by=("BarDate",))
+    before = files_below(path)
+    day = F.col("BarDate") == F.lit("2024-01-05").cast("date")
+    again = with_bar_day(outputs(ticks, SECOND)[1]).where(day)
+    assert save(again, path, "overwrite", partition_by=("BarDate",), replace="partitions") == again.count() > 0
+    after = files_below(path)
+    kept = {f: t for f, t in before.items() if "BarDate=2024-01-05" not in f}
+    assert kept.items() <= after.items() and len(kept) < len(before)
+    stored = spark.read.parquet(path)
+    equal(stored.select(*scores.columns), scores.where(~day).unionByName(again))
+
+
+def test_overwriting_partitions_of_tables(spark, ticks):
+    name = f"by_batch_{uuid4().hex}"
+    first, second = outputs(ticks)[0], outputs(ticks, SECOND)[0]
+    create_table(spark, name, BANDS_TABLE, TableLayout(2, partition_by=("BatchId",)))
+    for rows in (first, second, second.where("Symbol < 'U2'")):
+        save(rows, name, "overwrite", replace="partitions")
+    equal(spark.table(name).select(*first.columns), first.unionByName(second.where("Symbol < 'U2'")))
+    assert save(first, name, "overwrite") == first.count()
+    assert spark.table(name).select("BatchId").distinct().count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_partitions_to_replace_must_be_there(ticks, tmp_path):
+    bands = outputs(ticks)[0]
+    with pytest.raises(ValueError, match="no partitions"):
+        save(bands, str(tmp_path / "x"), "overwrite", replace="partitions")
+    with pytest.raises(ValueError, match="all or partitions"):
+        save(bands, str(tmp_path / "x"), "overwrite", replace="some")
+    with pytest.raises(ValueError, match="neither partitions"):
+        save(bands, JdbcTable("jdbc:x", "t"), "overwrite", replace="partitions")
+
+
+# --- batches ---------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def stored_bars(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("bars") / "bars.parquet")
+    hourly_bars(spark.read.parquet(f"{SF_SMALL}/events.parquet")).write.parquet(path)
+    return path
+
+
+PARAMS = dict(symbols=("click", "VIEW"), start="2024-01-03", end="2024-01-25", write_back=True)
+
+
+def test_a_failed_second_write_shows_nothing_of_the_batch(spark, stored_bars, tmp_path, monkeypatch):
+    bands, scores, log = (str(tmp_path / n) for n in ("bands", "scores", "log"))
+    good = run(spark, RunParams(**PARAMS), stored_bars, bands, scores, batch_log=log)
+    real = batches_module.save
+
+    def failing(df, target, *args, **options):
+        if target == scores:
+            raise OSError("no space left")
+        return real(df, target, *args, **options)
+
+    monkeypatch.setattr(batches_module, "save", failing)
+    with pytest.raises(OSError):
+        run(spark, RunParams(**PARAMS), stored_bars, bands, scores, batch_log=log, batch_id="broken")
+    monkeypatch.undo()
+    assert spark.read.parquet(bands).select("BatchId").distinct().count() == 2
+    report = build_report(spark, bands, scores, batch_log=log)
+    alone = build_report(spark, bands, scores, batch_id=good.batch_id)
+    for name in ("overall", "per_symbol", "top_anomalies"):
+        assert getattr(report, name).collect() == getattr(alone, name).collect()
+
+    # The repeated attempt takes the place of what was left, and a third adds nothing.
+    for _ in range(2):
+        again = run(spark, RunParams(**PARAMS), stored_bars, bands, scores, batch_log=log, batch_id="broken")
+        assert (again.batch_id, again.bands_rows, again.zscore_rows) == ("broken", good.bands_rows, good.zscore_rows)
+        assert again.bands_preview.count() == 50
+        assert spark.read.parquet(bands).count() == spark.read.parquet(scores).count() == 2 * good.bands_rows
+    both = build_report(spark, bands, scores, batch_log=log, latest=True)
+    assert both.overall.collect() == alone.overall.collect()
+
+
+def test_log_of_batches(spark, ticks, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"))
+    bands, scores = outputs(ticks)
+    assert log.batches().isEmpty() and log.outputs("first") is None and not log.is_begun("first")
+    assert log.visible(bands).isEmpty()
+    targets = {"a": (bands, str(tmp_path / "a")), "b": (scores, str(tmp_path / "b"))}
+    n = bands.count()
+    assert log.store("first", targets) == {"a": n, "b": n} == log.outputs("first")
+    files = files_below(str(tmp_path / "a"))
+    assert log.store("first", targets) == {"a": n, "b": n}
+    assert files_below(str(tmp_path / "a")) == files
+    equal(log.visible(spark.read.parquet(str(tmp_path / "a"))).select(*bands.columns), bands)
+
+
+def test_databases_refuse_an_unfinished_batch(spark, ticks, tmp_path, monkeypatch):
+    log = BatchLog(spark, str(tmp_path / "log"))
+    bands, scores = outputs(ticks)
+    table = JdbcTable("jdbc:x", "t")
+    calls = []
+
+    def fake(df, target, *args, **options):
+        calls.append((target, args, options))
+        if len(calls) == 2:
+            raise OSError("connection lost")
+        return 7
+
+    monkeypatch.setattr(batches_module, "save", fake)
+    with pytest.raises(OSError):
+        log.store("first", {"a": (bands, table), "b": (scores, table)})
+    with pytest.raises(ValueError, match="new batch id"):
+        log.store("first", {"a": (bands, table), "b": (scores, table)})
+    assert log.store("second", {"a": (bands, table)}) == {"a": 7}
+    assert all(args == () and options == {} for _, args, options in calls)
+
+
+def test_a_log_is_for_appended_tables(spark, stored_bars, tmp_path):
+    params = RunParams(**PARAMS, write_mode="overwrite")
+    with pytest.raises(ValueError, match="appended"):
+        run(spark, params, stored_bars, str(tmp_path / "b"), str(tmp_path / "z"), batch_log=str(tmp_path / "l"))
+
+
+# --- one pass for two results ----------------------------------------------------------
+
+
+def test_one_frame_at_most_is_kept(spark, stored_bars, tmp_path, monkeypatch):
+    seen = []
+    real = job.save
+
+    def watched(*args, **options):
+        seen.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+        return real(*args, **options)
+
+    monkeypatch.setattr(job, "save", watched)
+    peak = []
+    real_signals = job.signals
+
+    def signals(history, params):
+        peak.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+        return real_signals(history, params)
+
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    monkeypatch.setattr(job, "signals", signals)
+    run(spark, RunParams(**PARAMS), stored_bars, str(tmp_path / "b"), str(tmp_path / "z"))
+    # The history while it is measured; nothing any more while the results are written.
+    assert [p - before for p in peak] in ([0], [1])
+    assert seen == [before, before]
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("staged-")]
+
+
+# --- overlapping runs ------------------------------------------------------------------
+
+
+def test_the_latest_run_wins_per_bar_and_window(spark, ticks):
+    early = ticks.where("BarDateTime < timestamp_ntz'2024-01-20'")
+    late = ticks.where("BarDateTime >= timestamp_ntz'2024-01-10'")
+    first, second = outputs(early)[1], outputs(late, SECOND)[1]
+    both = first.unionByName(second).repartition(5)
+    resolved = reports.latest_rows(both)
+    old = first.join(second, ["Symbol", "BarDateTime"], "left_anti").select(*first.columns)
+    equal(resolved, old.unionByName(second))
+    # Another window is another result.
+    other = outputs(early, SECOND, n=7)[1]
+    assert reports.latest_rows(first.unionByName(other)).count() == 2 * first.count()
+    # Equal load times are told apart by the batch.
+    twin = first.withColumn("BatchId", F.lit("a later name"))
+    assert {r.BatchId for r in reports.latest_rows(first.unionByName(twin)).collect()} == {"first"}
+    assert reports.latest_rows(both.where("false")).isEmpty()
+    assert tree(resolved).count("Exchange (") == 4  # two windows and the repartition above are the others

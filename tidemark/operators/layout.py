@@ -104,17 +104,16 @@ def plan_layout(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     limit = rows_per_task or MIN_ROWS_PER_TASK
+    # Everything that decides comes from one pass; the long keys are only kept if there are any.
+    total, longest = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.max("_rows")).first()
+    if rows_per_task is None:
+        limit = max(limit, -(-total // partitions))
+    if (longest or 0) <= limit:
+        return SeriesLayout(spec)
     ensure_checkpoint_dir(spark)
     long = counts.where(F.col("_rows") > limit).checkpoint()
     key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(32))
-    n_long, n_bytes = long.agg(F.count("*"), F.coalesce(F.sum(key_bytes), F.lit(0))).first()
-    if n_long and rows_per_task is None:
-        total = counts.agg(F.sum("_rows")).first()[0]
-        limit = max(limit, -(-total // partitions))
-        long = long.where(F.col("_rows") > limit)
-        n_long = long.count()
-    if not n_long:
-        return SeriesLayout(spec)
+    n_bytes = long.agg(F.sum(key_bytes)).first()[0]
 
     # A series has a part in at most all tasks that its rows are sorted in.
     is_small = n_bytes + 64 * partitions <= MAX_BROADCAST_BYTES

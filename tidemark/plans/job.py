@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.symbols import SYMBOLS
 from tidemark.operators import (
@@ -19,13 +20,14 @@ from tidemark.operators import (
     with_zscore,
 )
 from tidemark.plans import reports
-from tidemark.scratch import ensure_checkpoint_dir
+from tidemark.scratch import ensure_checkpoint_dir, staged
 from tidemark.series import BARS
 from tidemark.sinks import (
     BANDS_COLUMNS,
     BANDS_TABLE,
     ZSCORE_COLUMNS,
     ZSCORE_TABLE,
+    BatchLog,
     RunStamp,
     bands_output,
     require_values,
@@ -45,10 +47,10 @@ ZSCORE_TITLE = "Z-SCORE ANOMALIES"
 
 @dataclass(frozen=True)
 class RunParams:
-    """What to compute. ``reuse`` says how the two results share the statistics.
+    """What to compute. ``reuse`` says how the history is kept while it is used twice.
 
-    ``persist`` keeps them in executor storage and recomputes what is lost with an
-    executor; ``checkpoint`` writes them to the shared folder first, which is worth it
+    ``persist`` keeps it in executor storage and reads again what is lost with an
+    executor; ``checkpoint`` writes it to the shared folder first, which is worth it
     where executors come and go.
     """
 
@@ -112,11 +114,17 @@ def run(
     source: JdbcTable | str,
     bands_target: JdbcTable | str | None = None,
     zscore_target: JdbcTable | str | None = None,
+    batch_log: str | None = None,
+    batch_id: str | None = None,
 ) -> RunResult:
     """Compute bands and z-scores of the chosen series; store them if asked to.
 
-    A run that stores reads its source once: the history is kept first, and the layout of long
-    series, the statistics and the previews all come from what was kept.
+    A run that stores reads its source once and computes its windows once: the history is kept
+    while its long series are measured, the statistics are written to the shared folder with both
+    results side by side, and each target is a projection of those files.
+
+    With ``batch_log``, the folder of a `BatchLog`, both results are committed together, and a
+    ``batch_id`` that is committed already is not computed again.
     """
     history = read_history(
         spark, source, params.symbols, params.start, params.end, columns=BARS.columns
@@ -125,24 +133,42 @@ def run(
         return RunResult(*_previews(history, params))
     if bands_target is None or zscore_target is None:
         raise ValueError("write_back needs a target for the bands and one for the z-scores")
-
-    stamp = RunStamp()
-    with shared(history, params.reuse) as history:
-        stats = balanced_rolling_stats(history, params.window).drop("RowNum")
-        with shared(stats, params.reuse) as stats:
-            bands = bands_output(with_bands(stats, params.num_std), params.window, params.num_std, stamp)
-            scores = zscore_output(
-                with_zscore(stats, params.z_threshold), params.window, params.z_threshold, stamp
-            )
-            bands, scores = require_values(bands, BANDS_TABLE), require_values(scores, ZSCORE_TABLE)
+    if batch_log is not None and params.write_mode != "append":
+        raise ValueError("a batch log is for tables that runs are appended to")
+
+    stamp = RunStamp() if batch_id is None else RunStamp(batch_id)
+    log_of_batches = None if batch_log is None else BatchLog(spark, batch_log)
+    known = None if log_of_batches is None else log_of_batches.outputs(stamp.batch_id)
+    if known is not None:
+        return RunResult(*_previews(history, params), stamp.batch_id, known["bands"], known["zscores"])
+    with ExitStack() as stages:
+        with shared(history, params.reuse) as kept:
+            both = stages.enter_context(staged(signals(kept, params).drop("RowNum")))
+        bands = bands_output(both, params.window, params.num_std, stamp)
+        scores = zscore_output(both, params.window, params.z_threshold, stamp)
+        bands, scores = require_values(bands, BANDS_TABLE), require_values(scores, ZSCORE_TABLE)
+        if log_of_batches is None:
             bands_rows = save(bands, bands_target, params.write_mode)
             zscore_rows = save(scores, zscore_target, params.write_mode)
-        # Fifty rows each, held as values because the history is not kept any longer.
-        previews = [spark.createDataFrame(p.collect(), p.schema) for p in _previews(history, params)]
+        else:
+            written = log_of_batches.store(
+                stamp.batch_id, {"bands": (bands, bands_target), "zscores": (scores, zscore_target)}
+            )
+            bands_rows, zscore_rows = written["bands"], written["zscores"]
+        # Fifty rows each, held as values because the files go.
+        first = both.orderBy(*_first_rows()).limit(PREVIEW_ROWS)
+        previews = [
+            spark.createDataFrame(p.collect(), p.schema)
+            for p in (first.select(*BANDS_COLUMNS), first.select(*ZSCORE_COLUMNS))
+        ]
     log.info("batch %s: %d band rows, %d z-score rows", stamp.batch_id, bands_rows, zscore_rows)
     return RunResult(*previews, stamp.batch_id, bands_rows, zscore_rows)
 
 
+def _first_rows() -> list[Column]:
+    return [*(F.col(k).asc_nulls_first() for k in BARS.keys), *BARS.ascending()]
+
+
 def _previews(history: DataFrame, params: RunParams) -> tuple[DataFrame, DataFrame]:
     return (
         bands_preview(history, params.window, params.num_std),
@@ -186,15 +212,25 @@ def build_report(
     zscore_source: JdbcTable | str,
     top: int = reports.DEFAULT_TOP,
     batch_id: str | None = None,
+    batch_log: str | None = None,
+    latest: bool = False,
 ) -> Report:
     """The summary report over stored results, of all runs or of one.
 
+    With ``batch_log`` only batches that were stored completely are seen. With ``latest`` runs that
+    overlap are resolved first (`reports.latest_rows`).
+
     Four frames read these tables. What they need of a database table is therefore fetched once,
     by its own connections, and kept in the shared folder.
     """
     bands, scores = read_table(spark, bands_source), read_table(spark, zscore_source)
     if batch_id is not None:
         bands, scores = reports.one_batch(bands, batch_id), reports.one_batch(scores, batch_id)
+    if batch_log is not None:
+        done = BatchLog(spark, batch_log)
+        bands, scores = done.visible(bands), done.visible(scores)
+    if latest:
+        bands, scores = reports.latest_rows(bands), reports.latest_rows(scores)
     bands = bands.select("Symbol", "BarDateTime", "ClosePrice", "IsWarmup")
     scores = scores.select("Symbol", "BarDateTime", "ClosePrice", "ZScore", "IsAnomaly", "IsWarmup")
     ensure_checkpoint_dir(spark)
@@ -205,7 +241,7 @@ def build_report(
     return Report(
         overall=reports.overall_report(reports.overall_totals(bands, scores)),
         per_symbol=reports.per_symbol_report(
-            reports.price_groups(bands), reports.anomaly_groups(scores)
+            reports.price_groups(bands), reports.anomaly_groups(scores), null_safe=False
         ),
         top_anomalies=reports.top_anomaly_report(reports.top_anomalies(scores, top)),
         no_anomaly_note=reports.no_anomaly_note(scores),

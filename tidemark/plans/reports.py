@@ -40,6 +40,22 @@ def one_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.where(F.col("BatchId") == batch_id)
 
 
+def latest_rows(
+    df: DataFrame, keys: tuple[str, ...] = ("Symbol", "BarDateTime", "WindowSize")
+) -> DataFrame:
+    """Of rows that several runs wrote for one bar and window, the one of the latest run.
+
+    Runs are compared by load time, then by batch id. One aggregation without a join: a single
+    row per key is shuffled by every task, and none where the table is bucketed by one of the
+    keys. Rows of one run that share a key become one as well, the largest of them.
+    """
+    others = [c for c in df.columns if c not in keys]
+    rank = [c for c in ("LoadDate", "BatchId") if c in others]
+    ordered = [*rank, *(c for c in others if c not in rank)]
+    best = F.max(F.struct(*[F.col(c) for c in ordered])).alias("_row")
+    return df.groupBy(*keys).agg(best).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Rows whose window was complete."""
     return df.where(~F.col("IsWarmup"))
@@ -135,16 +151,20 @@ def overall_report(totals: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*cells)))
 
 
-def per_symbol_report(prices: DataFrame, anomalies: DataFrame) -> DataFrame:
+def per_symbol_report(
+    prices: DataFrame, anomalies: DataFrame, null_safe: bool = True
+) -> DataFrame:
     """Rows of `price_groups` and `anomaly_groups` side by side, as text, one per symbol of the
     first.
 
     Symbols without a z-score row show no anomalies; symbols with nothing else are left out.
     The join is null-safe, so neither side gets a filter of its own: where both groups come from
-    one frame, its shuffle and its sort are done once.
+    one frame, its shuffle and its sort are done once. Stored tables have no missing symbols; with
+    ``null_safe=False`` two that are bucketed alike are joined bucket by bucket.
     """
     right = anomalies.select(F.col("Symbol").alias("_symbol"), "AnomalyCount", "MaxAbsZScore")
-    return symbol_report(prices.join(right, F.col("Symbol").eqNullSafe(F.col("_symbol")), "left"))
+    left, other = F.col("Symbol"), F.col("_symbol")
+    return symbol_report(prices.join(right, left.eqNullSafe(other) if null_safe else left == other, "left"))
 
 
 def symbol_report(summary: DataFrame) -> DataFrame:

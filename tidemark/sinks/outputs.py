@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sinks.schemas import BANDS_TABLE, ZSCORE_TABLE
+from tidemark.sinks.tables import TableLayout, table_layout
 from tidemark.sources.jdbc import JdbcTable
 
 SAVE_MODES = ("append", "overwrite")
@@ -70,10 +71,9 @@ def _required(target: T.StructField) -> Column:
     return F.coalesce(F.col(target.name), F.raise_error(message)).alias(target.name)
 
 
-def create_table(spark: SparkSession, name: str, table: T.StructType) -> None:
-    """Create an empty parquet table unless it is there already."""
-    if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], table).write.format("parquet").mode("ignore").saveAsTable(name)
+def with_bar_day(df: DataFrame, time: str = "BarDateTime", day: str = "BarDate") -> DataFrame:
+    """Append the day of a bar, to store a table by days."""
+    return df.withColumn(day, F.to_date(time))
 
 
 def save(
@@ -82,50 +82,77 @@ def save(
     mode: str = "append",
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
+    *,
+    layout: TableLayout | None = None,
+    replace: str = "all",
 ) -> int:
     """Write ``df`` and return the number of rows written.
 
     The count is taken while the rows pass by, so the plan runs once and nothing has to
     be cached. ``target`` is a JDBC table, a catalog table name or a parquet path.
     Overwriting an existing table replaces its rows and keeps its definition; a
-    ``partition_by`` that differs from the table's own is refused.
+    ``partition_by`` that differs from the table's own is refused. With ``replace="partitions"``
+    overwriting replaces only the partitions that ``df`` has rows of, and no file of the others
+    is touched.
+
+    A catalog table keeps the layout it was created with. ``layout`` gives that of a new table or
+    of a path (where it can have no buckets); it costs an exchange before the write.
 
     File targets commit as a whole. A database commits each task on its own, so a task
     that is run again after its commit can repeat rows there; the batch id identifies them.
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {', '.join(SAVE_MODES)}, got {mode!r}")
-    rows = Observation()
-    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode(mode)
+    if replace not in ("all", "partitions"):
+        raise ValueError(f"replace must be all or partitions, got {replace!r}")
+    by_partition = replace == "partitions" and mode == "overwrite"
+    spark, rows = df.sparkSession, Observation()
+    count = F.count(F.lit(1)).alias("rows")
     if isinstance(target, JdbcTable):
+        if by_partition or layout is not None:
+            raise ValueError(f"{target.table}: a database table has neither partitions nor a layout here")
+        writer = df.observe(rows, count).write.mode(mode)
         writer.format("jdbc").options(**target.write_options(mode)).save()
         return rows.get["rows"]
 
-    with _records_per_file(df.sparkSession, max_records_per_file):
-        if "/" in target:
-            writer.partitionBy(*partition_by).parquet(target)
-        elif mode == "overwrite" and df.sparkSession.catalog.tableExists(target):
-            stored = df.sparkSession.catalog.listColumns(target)
-            kept = tuple(c.name for c in stored if c.isPartition)
-            if partition_by and tuple(partition_by) != kept:
-                raise ValueError(f"{target} is partitioned by {kept}, not by {tuple(partition_by)}")
-            names = [c.name for c in stored]
-            counted.select(*names).write.insertInto(target, overwrite=True)
+    is_path = "/" in target
+    stored = None if is_path or not spark.catalog.tableExists(target) else table_layout(spark, target)
+    partitions = tuple(partition_by) or (layout.partition_by if layout else ()) or (stored.partition_by if stored else ())
+    if stored is not None and mode == "overwrite" and partitions != stored.partition_by:
+        raise ValueError(f"{target} is partitioned by {stored.partition_by}, not by {partitions}")
+    if by_partition and not partitions:
+        raise ValueError(f"{target} has no partitions to replace")
+    if is_path and layout is not None and layout.buckets is not None:
+        raise ValueError(f"{target}: only catalog tables have buckets")
+    wanted = stored if stored is not None and stored.buckets is not None else layout
+    # Counted behind the exchange: a sort by ranges runs what is before it twice.
+    arranged = (wanted.arranged(df) if wanted is not None else df).observe(rows, count)
+    with _setting(spark, "spark.sql.files.maxRecordsPerFile", max_records_per_file):
+        if is_path:
+            writer = arranged.write.mode(mode).partitionBy(*partitions)
+            if by_partition:
+                writer = writer.option("partitionOverwriteMode", "dynamic")
+            writer.parquet(target)
+        elif stored is not None and (mode == "overwrite" or stored.buckets is not None):
+            names = [c.name for c in spark.catalog.listColumns(target)]
+            if set(names) != set(df.columns):
+                raise ValueError(f"{target} has the columns {names}, not {df.columns}")
+            with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by_partition else "static"):
+                arranged.select(*names).write.insertInto(target, overwrite=mode == "overwrite")
         else:
-            writer.format("parquet").partitionBy(*partition_by).saveAsTable(target)
+            writer = arranged.write.mode(mode).format("parquet").partitionBy(*partitions)
+            (layout.bucketed(writer) if layout else writer).saveAsTable(target)
     return rows.get["rows"]
 
 
 @contextmanager
-def _records_per_file(spark: SparkSession, limit: int | None) -> Iterator[None]:
-    """Limits the rows of a file; as a setting, because inserting into a table takes no options."""
-    if not limit:
+def _setting(spark: SparkSession, name: str, value: str | int | None) -> Iterator[None]:
+    """A setting for the time of a write; inserting into a table takes no options."""
+    if not value:
         yield
         return
-    name = "spark.sql.files.maxRecordsPerFile"
     before = spark.conf.get(name)
-    spark.conf.set(name, limit)
+    spark.conf.set(name, value)
     try:
         yield
     finally:

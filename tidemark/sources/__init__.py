@@ -7,6 +7,7 @@ from tidemark.sources.history import (
     with_row_identity,
 )
 from tidemark.sources.jdbc import JdbcTable, jdbc_url
+from tidemark.sources.slices import quantile_bounds, slice_predicates
 
 __all__ = [
     "HISTORY_COLUMNS",
@@ -14,7 +15,9 @@ __all__ = [
     "day_range",
     "history",
     "jdbc_url",
+    "quantile_bounds",
     "read_history",
     "read_table",
+    "slice_predicates",
     "with_row_identity",
 ]

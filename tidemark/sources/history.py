@@ -106,8 +106,7 @@ def read_history(
     """
     day_range(start, end)
     if isinstance(source, JdbcTable):
-        reader = spark.read.format("jdbc")
-        df = reader.options(**source.read_options(spec.order, start, end)).load()
+        df = _load(spark, source, source.read_options(spec.order, start, end))
     else:
         df = read_table(spark, source)
     return history(df, symbols, start, end, spec=spec, **options)
@@ -116,10 +115,17 @@ def read_history(
 def read_table(spark: SparkSession, source: JdbcTable | str) -> DataFrame:
     """A stored table: JDBC, catalog name, or parquet path (anything with a slash)."""
     if isinstance(source, JdbcTable):
-        return spark.read.format("jdbc").options(**source.read_options()).load()
+        return _load(spark, source, source.read_options())
     return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
+def _load(spark: SparkSession, source: JdbcTable, options: dict[str, str]) -> DataFrame:
+    if source.predicates:
+        named = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(source.url, source.table, predicates=list(source.predicates), properties=named)
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def with_row_identity(df: DataFrame, file: str = "_file", row: str = "_row") -> DataFrame:
     """Add the file and the row number within it, for tables read from parquet.
 
