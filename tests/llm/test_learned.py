@@ -132,6 +132,53 @@ def test_toxicity_of_held_out_documents(spark):
     assert hits[0, 1] <= 0.1 * (hits[0, 0] + hits[0, 1]) and hits[1, 1] >= 0.6 * (hits[1, 0] + hits[1, 1])
 
 
+def test_the_query_against_cosines_with_all_examples(spark):
+    """Every document against every example over dense vectors, with the calibration left out and put in."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    index = queries.toxicity_index(spark, docs, MEDIUM)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    place = {i: k for k, i in enumerate(index.ids)}
+
+    def dense(texts):
+        return index.vectors(toxicity.term_counts(texts, Lookup(index.terms), len(index.terms)))
+
+    text_of = dict(rows)
+    examples = dense([text_of[i] for i in index.ids])
+    cosines = np.round(dense([t for _, t in rows]) @ examples.T, 5)
+
+    def votes(cosine):
+        near = sorted(range(len(cosine)), key=lambda j: (-cosine[j], j))[: toxicity.NEIGHBOURS]
+        near = [j for j in near if cosine[j] > 0]
+        return np.average(index.labels[near], weights=cosine[near]) if near else -1.0
+
+    without = [np.where(np.arange(len(index.ids)) == place[i], 0, c) for (i, _), c in zip(rows, cosines) if i in place]
+    label = [index.labels[place[i]] for i, _ in rows if i in place]
+    bins = [(min(int(v * 10), 9), t) for v, t in zip(map(votes, without), label) if v >= 0]
+    rate = [(sum(t for b, t in bins if b == k) + (k + 0.5) / 5) / (sum(b == k for b, _ in bins) + 2) for k in range(10)]
+    calibration = np.maximum.accumulate(rate)
+    assert np.allclose(index.calibration, calibration)
+    got = {r.doc_id: r.score for r in queries.op5_toxicity(spark, MEDIUM).collect()}
+    for (i, _), cosine in zip(rows, cosines):
+        v = votes(cosine)
+        wanted = index.prior if v < 0 else np.interp(v, (np.arange(10) + 0.5) / 10, calibration)
+        assert abs(got[i] - wanted) < 1e-3
+
+
+@pytest.mark.parametrize("room", [0, 1 << 30])
+def test_neighbours_without_a_matrix_and_with_all_terms_in_it(room, monkeypatch):
+    monkeypatch.setattr(toxicity, "_MATRIX_BYTES", room)
+    monkeypatch.setattr(toxicity, "_COMMON_SHARE", 10**9)
+    index = random_index(11, n=150)
+    assert len(index.common) == (len(index.terms) if room else 0)
+    vectors = np.concatenate([index.dense(b) for b in index.blocks])
+    best, where = index.neighbours(vectors, 9, np.arange(150))
+    cosines = np.round(vectors @ vectors.T, 5)
+    np.fill_diagonal(cosines, 0)
+    for i in range(150):
+        order = sorted(range(150), key=lambda j: (-cosines[i, j], j))[:9]
+        assert np.allclose(best[i], cosines[i, order], atol=2e-5) and i not in where[i]
+
+
 def test_toxicity_of_awkward_documents(spark):
     docs = awkward.documents(spark)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (5, 0), (99, 1), (None, 1), (6, None)], "doc_id bigint, toxic int")

@@ -2,15 +2,18 @@
 
 Terms are words (runs of letters, lower-cased) and their prefixes, kept if they tell the labels
 of the examples apart (chi-square). Each example is a TF-IDF vector of unit length over these
-terms. The index is inverted: blocks of neighbouring examples hold, per term, the postings and
-the largest weight. For a text, the largest weights bound the cosine with every example of a
-block; blocks are visited from the largest bound down until no bound reaches the k-th best
-cosine found. The neighbours are therefore the exact ones.
+terms. The index is inverted: per term it lists the blocks of neighbouring examples that hold it,
+with the largest weight in the block and the postings. For a text, the largest weights bound the
+cosine with every example of a block. The blocks with the largest bounds are scored first, and then
+all whose bound reaches the k-th best cosine found there. The neighbours are therefore the exact
+ones. Texts are scored many at a time, and of the postings only those of open blocks are read;
+terms that stand in many examples are kept as columns of a matrix, whose open blocks are
+multiplied, since a list of nearly all examples is longer than a column.
 
 The neighbours vote with their cosines, and the share of votes is turned into a probability by
-the rates seen when every example is scored by the others. A text without a known term has no
-neighbours and gets the rate of the examples without one. The neighbours are returned as
-evidence.
+the rates seen when every example is scored by the others (in the executors; ten counts come back).
+A text without a known term has no neighbours and gets the rate of the examples without one. The
+neighbours are returned as evidence. An example that is scored itself finds itself first.
 
 The examples are a bounded sample: the ``max_examples`` labelled documents with the smallest
 hashes of their ids. Every term that passes the test is kept, and the postings are sparse, so the
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import column, mixed, span_hashes, text_chunks
+from tidemark.llm.arrays import column, mixed, ragged, span_hashes, text_chunks
 from tidemark.llm.letters import Letters, Lookup
 
 MAX_EXAMPLES = 20_000
@@ -41,7 +45,10 @@ BLOCK = 64
 EVIDENCE = 3
 THRESHOLD = 0.3
 _BINS = 10
-_CELLS = 1 << 22  # of a dense matrix of texts and terms
+_TEXTS = 128  # scored at a time: one number per text and example is held
+_FIRST_BLOCKS = 3  # scored before the others, to know what these must reach
+_COMMON_SHARE = 25  # terms of more than one in so many examples are columns of a matrix,
+_MATRIX_BYTES = 48 << 20  # the most common ones as long as it has room
 _DECIMALS = 5  # cosines are compared at this precision, so ties do not depend on rounding
 
 
@@ -72,77 +79,162 @@ def term_counts(texts: list[str | None], terms: Lookup, n_terms: int) -> np.ndar
     return counts
 
 
+@dataclass
+class Postings:
+    """Postings by term, those of a term by block, and where they begin."""
+
+    term_first: np.ndarray  # entry that a term's entries begin at; one more at the end
+    block: np.ndarray  # of every entry,
+    largest: np.ndarray  # and the largest weight of its postings
+    entry_first: np.ndarray  # posting that an entry's postings begin at; one more at the end
+    example: np.ndarray
+    weight: np.ndarray
+
+
 @dataclass
 class Index:
     terms: np.ndarray
     idf: np.ndarray
     ids: np.ndarray = field(repr=False)
     labels: np.ndarray = field(repr=False)
-    # The postings of each block: its examples, its terms, and example, term and weight of each.
-    blocks: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(repr=False)
-    block_max: np.ndarray = field(repr=False)  # largest weight per term and block
+    rare: Postings = field(repr=False)
+    common: np.ndarray = field(repr=False)  # the places of the common terms,
+    common_postings: tuple[np.ndarray, np.ndarray, np.ndarray] = field(repr=False)  # example, column, weight
     prior: float = 0.0
     calibration: np.ndarray | None = field(default=None, repr=False)
 
-    def vectors(self, counts: np.ndarray, terms: np.ndarray | slice = slice(None)) -> np.ndarray:
-        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32)
-        weights *= self.idf[terms]
-        return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-12)
+    @property
+    def blocks(self) -> range:
+        return range(-(-len(self.ids) // BLOCK))
 
-    def postings(self, block: int) -> tuple[np.ndarray, np.ndarray]:
-        """The terms of a block, and a weight per example and term."""
-        size, terms, row, at, weight = self.blocks[block]
-        out = np.zeros((size, len(terms)), np.float32)
-        out[row, at] = weight
-        return terms, out
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("matrix", "matrix_largest")}
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """Weights of the common terms per block, example of the block, and term."""
+        example, at, weight = self.common_postings
+        out = np.zeros((len(self.blocks), BLOCK, len(self.common)))
+        out[example // BLOCK, example % BLOCK, at] = weight
+        return out
+
+    @cached_property
+    def matrix_largest(self) -> np.ndarray:
+        return self.matrix.max(axis=1, initial=0.0)
 
     def dense(self, block: int) -> np.ndarray:
         """The vectors of the examples of one block over all terms."""
-        terms, weights = self.postings(block)
-        out = np.zeros((len(weights), len(self.terms)), np.float32)
-        out[:, terms] = weights
+        p, first = self.rare, block * BLOCK
+        out = np.zeros((BLOCK, len(self.terms)))
+        term = np.repeat(np.arange(len(self.terms)), np.diff(p.entry_first[p.term_first]))
+        mine = (p.example >= first) & (p.example < first + BLOCK)
+        out[p.example[mine] - first, term[mine]] = p.weight[mine]
+        out[:, self.common] = self.matrix[block]
+        return out[: len(self.ids) - first]
+
+    def weights(self, text: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The weights of terms in texts, of unit length per text."""
+        raw = (1 + np.log(counts)) * self.idf[at]
+        lengths = np.sqrt(np.bincount(text, raw * raw))
+        return raw / np.maximum(lengths, 1e-12)[text]
+
+    def vectors(self, counts: np.ndarray) -> np.ndarray:
+        """Unit vectors over all terms, of how often each stands in each text."""
+        text, at = np.nonzero(counts)
+        out = np.zeros(counts.shape)
+        out[text, at] = self.weights(text, at, counts[text, at].astype(np.float64))
         return out
 
     def neighbours(
-        self, vectors: np.ndarray, k: int, leave_out: np.ndarray | None = None, over: np.ndarray | None = None
+        self, vectors: np.ndarray, k: int, leave_out: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """`nearest` for vectors over all terms."""
+        text, at = np.nonzero(vectors)
+        return self.nearest(len(vectors), text, at, vectors[text, at], k, leave_out)
+
+    def nearest(
+        self,
+        n: int,
+        text: np.ndarray,
+        at: np.ndarray,
+        weight: np.ndarray,
+        k: int,
+        leave_out: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines and positions of the ``k`` nearest examples of every vector; equal cosines
-        go by position. Places without an example have cosine 0 and position -1.
-        The vectors are over all terms or over the places ``over``."""
-        n = len(vectors)
-        best = np.zeros((n, k))
-        where = np.full((n, k), -1)
-        if not self.blocks or not n:
+        """Cosines and positions of the ``k`` nearest examples of ``n`` texts; equal cosines go by
+        position. Places without an example have cosine 0 and position -1.
+
+        The texts are given by the weights of their terms, in the order of the texts. ``leave_out``
+        names one example per text that does not count, or -1."""
+        best, where = np.zeros((n, k)), np.full((n, k), -1)
+        if not len(self.blocks):
             return best, where
-        over = np.arange(len(self.terms)) if over is None else over
-        local = np.full(len(self.terms), -1)
-        local[over] = np.arange(len(over))
-        bounds = vectors @ self.block_max[over]
-        order = np.argsort(-bounds, axis=1, kind="stable")
+        for first in range(0, n, _TEXTS):
+            rows = slice(first, min(first + _TEXTS, n))
+            low, high = np.searchsorted(text, [first, first + _TEXTS])
+            without = None if leave_out is None else leave_out[rows]
+            best[rows], where[rows] = self._nearest(
+                rows.stop - first, text[low:high] - first, at[low:high], weight[low:high], k, without
+            )
+        return best, where
+
+    def _nearest(
+        self, n: int, text: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, leave_out: np.ndarray | None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        rare, n_blocks = self.rare, len(self.blocks)
+        column_of = np.full(len(self.terms), -1)
+        column_of[self.common] = np.arange(len(self.common))
+        is_common = column_of[at] >= 0
+        asked = np.zeros((n, len(self.common)))
+        asked[text[is_common], column_of[at[is_common]]] = weight[is_common]
+        text, at, weight = text[~is_common], at[~is_common], weight[~is_common]
+
+        # One entry per text, rare term and block that holds it.
+        n_entries = rare.term_first[at + 1] - rare.term_first[at]
+        entry = ragged(rare.term_first[at], n_entries)
+        owner, factor = np.repeat(text, n_entries), np.repeat(weight, n_entries)
+        pair = owner * n_blocks + rare.block[entry]
+        bounds = asked @ self.matrix_largest.T
+        bounds += np.bincount(pair, factor * rare.largest[entry], n * n_blocks).reshape(n, n_blocks)
+
+        cosines = np.zeros((n, n_blocks, BLOCK))
+
+        def score(open_: np.ndarray) -> None:
+            """Add the cosines of every text with the examples of its open blocks."""
+            mine = open_.ravel()[pair]
+            sizes = rare.entry_first[entry[mine] + 1] - rare.entry_first[entry[mine]]
+            posting = ragged(rare.entry_first[entry[mine]], sizes)
+            cell = np.repeat(owner[mine], sizes) * (n_blocks * BLOCK) + rare.example[posting]
+            added = np.repeat(factor[mine], sizes) * rare.weight[posting]
+            cosines.reshape(-1)[:] += np.bincount(cell, added, cosines.size)
+            for block in np.flatnonzero(open_.any(axis=0)):
+                rows = np.flatnonzero(open_[:, block])
+                cosines[rows, block] += asked[rows] @ self.matrix[block].T
+            if leave_out is not None:
+                some = np.flatnonzero(leave_out >= 0)
+                cosines[some, leave_out[some] // BLOCK, leave_out[some] % BLOCK] = 0
+
+        few = min(_FIRST_BLOCKS, n_blocks)
+        top = np.argpartition(-bounds, few - 1, axis=1)[:, :few]
+        first = np.zeros((n, n_blocks), bool)
+        np.put_along_axis(first, top, True, axis=1)
+        first &= bounds > 0
+        score(first)
+        flat = cosines.reshape(n, -1)
+        held = min(k, flat.shape[1])
+        reached = np.partition(flat, flat.shape[1] - held, axis=1)[:, flat.shape[1] - held]
         slack = 2 * 10.0**-_DECIMALS
-        for visit in range(order.shape[1]):
-            block = order[:, visit]
-            bound = bounds[np.arange(n), block]
-            open_ = (bound > 0) & (bound + slack >= best[:, -1])
-            if not open_.any():
-                break
-            for b in np.unique(block[open_]):
-                rows = np.flatnonzero(open_ & (block == b))
-                first = b * BLOCK
-                terms, weights = self.postings(b)
-                at = local[terms]
-                cosines = vectors[rows][:, at[at >= 0]] @ weights[:, at >= 0].T
-                cosines = np.round(cosines.astype(np.float64), _DECIMALS)
-                places = np.broadcast_to(np.arange(first, first + cosines.shape[1]), cosines.shape).copy()
-                if leave_out is not None:
-                    cosines[places == leave_out[rows][:, None]] = 0
-                places[cosines <= 0] = -1
-                cosines = np.maximum(cosines, 0)
-                both = np.concatenate([best[rows], cosines], axis=1)
-                at = np.concatenate([where[rows], places], axis=1)
-                rank = np.lexsort((np.where(at < 0, len(self.ids), at), -both), axis=1)[:, :k]
-                best[rows] = np.take_along_axis(both, rank, 1)
-                where[rows] = np.take_along_axis(at, rank, 1)
+        score((bounds > 0) & (bounds + slack >= reached[:, None]) & ~first)
+
+        # Rounded cosine and position as one number to sort by.
+        size = flat.shape[1]
+        rank = np.rint(flat * 10**_DECIMALS).astype(np.int64) * size + (size - 1 - np.arange(size))
+        order = np.argpartition(rank, size - held, axis=1)[:, size - held :]
+        chosen = np.take_along_axis(rank, order, axis=1)
+        order = np.take_along_axis(order, np.argsort(-chosen, axis=1), axis=1)
+        best, where = np.zeros((n, k)), np.full((n, k), -1)
+        best[:, :held] = np.round(np.take_along_axis(flat, order, axis=1), _DECIMALS)
+        where[:, :held] = np.where(best[:, :held] > 0, order, -1)
         return best, where
 
     def votes(self, best: np.ndarray, where: np.ndarray) -> np.ndarray:
@@ -151,6 +243,18 @@ class Index:
         toxic = (best * np.where(where >= 0, self.labels[where], 0)).sum(axis=1) if len(self.labels) else 0 * total
         return np.where(total > 0, toxic / np.where(total > 0, total, 1), -1)
 
+    def votes_of(
+        self, n: int, held: tuple[np.ndarray, np.ndarray, np.ndarray], leave_out: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Votes, cosines and positions of the neighbours of ``n`` texts; -1 for one without a term."""
+        text, at, counts = held
+        some, row = np.unique(text, return_inverse=True)
+        weight = self.weights(row, at, counts.astype(np.float64))
+        without = None if leave_out is None else leave_out[some]
+        best, where = np.zeros((n, NEIGHBOURS)), np.full((n, NEIGHBOURS), -1)
+        best[some], where[some] = self.nearest(len(some), row, at, weight, NEIGHBOURS, without)
+        return self.votes(best, where), best, where
+
     def probability(self, votes: np.ndarray) -> np.ndarray:
         if self.calibration is None:
             return np.where(votes < 0, self.prior, votes)
@@ -232,7 +336,39 @@ def train(
     labels = np.array([r["label"] for r in rows], np.int64)
     prior = (positive - int(labels.sum()) + positive / max(size, 1)) / (size - len(rows) + 1)
     held = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32)) for r in rows]
-    return build_index(terms, idf, ids, labels, held, prior)
+    index = build_index(terms, idf, ids, labels, held, prior)
+    if len(ids) > 1:
+        index.calibration = _calibrated(sample, index)
+    return index
+
+
+def _calibrated(sample: DataFrame, index: Index) -> np.ndarray:
+    """The rate of toxic examples by share of votes, every example scored by the others."""
+    shared = sample.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted: Index = shared.value
+        terms, places = Lookup(fitted.terms), {x: i for i, x in enumerate(fitted.ids)}
+        for batch in batches:
+            texts, ids = column(batch, "text"), column(batch, "id").to_pylist()
+            labels = column(batch, "label").to_numpy()
+            for row, end, _, _ in text_chunks(texts):
+                held = held_terms(texts.slice(row, end - row).to_pylist(), terms, len(fitted.terms))
+                own = np.array([places.get(x, -1) for x in ids[row:end]])
+                votes = fitted.votes_of(end - row, held, own)[0]
+                seen = (votes >= 0) & (own >= 0)
+                bins = np.minimum((votes[seen] * _BINS).astype(np.int32), _BINS - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bins), pa.array(labels[row:end][seen], pa.int32())], names=["bin", "label"]
+                )
+
+    rows = sample.mapInArrow(run, "bin int, label int").groupBy("bin").agg(F.count("*"), F.sum("label")).collect()
+    shared.destroy()
+    n, toxic = np.zeros(_BINS), np.zeros(_BINS)
+    for at, count, positive in rows:
+        n[at], toxic[at] = count, positive
+    centres = (np.arange(_BINS) + 0.5) / _BINS
+    return np.maximum.accumulate((toxic + 2 * centres) / (n + 2))
 
 
 def _frequencies(terms: np.ndarray):
@@ -281,48 +417,49 @@ def build_index(
     held: list[tuple[np.ndarray, np.ndarray]],
     prior: float,
 ) -> Index:
-    """The calibrated index of examples that have a term each.
+    """The index of examples that have a term each, not calibrated yet.
 
     ``held`` has the sorted places of each example's terms and how often they stand in it;
     ``prior`` is the rate of toxic ones among examples without a term.
     """
-    idf = idf.astype(np.float32)
-    weights = []
-    for at, n in held:
-        own = (1 + np.log(n)) * idf[at]
-        weights.append(own / np.linalg.norm(own))
+    sizes = np.array([len(at) for at, _ in held], np.int64)
+    nothing = [np.zeros(0, np.int64)]
+    at = np.concatenate([a for a, _ in held] or nothing).astype(np.int64)
+    counts = np.concatenate([n for _, n in held] or nothing).astype(np.float64)
+    owner = np.repeat(np.arange(len(held)), sizes)
+    raw = (1 + np.log(counts)) * idf[at] if len(at) else counts
+    weight = raw / np.sqrt(np.bincount(owner, raw * raw, len(held)))[owner]
     # Examples with the same strongest term share a block, which keeps the bounds low.
-    strongest = np.array([at[w.argmax()] for (at, _), w in zip(held, weights)], np.int64)
-    largest = np.array([w.max() for w in weights])
-    order = np.lexsort((ids.astype(str), -largest, strongest)) if len(held) else np.zeros(0, np.int64)
-    blocks = []
-    block_max = np.zeros((len(terms), -(-len(held) // BLOCK)), np.float32)
-    for first in range(0, len(held), BLOCK):
-        mine = order[first : first + BLOCK]
-        own = np.unique(np.concatenate([held[i][0] for i in mine]))
-        row = np.repeat(np.arange(len(mine), dtype=np.uint8), [len(held[i][0]) for i in mine])
-        at = np.searchsorted(own, np.concatenate([held[i][0] for i in mine])).astype(np.int32)
-        weight = np.concatenate([weights[i] for i in mine])
-        largest_of = np.zeros(len(own), np.float32)
-        np.maximum.at(largest_of, at, weight)
-        block_max[own, len(blocks)] = largest_of
-        blocks.append((len(mine), own, row, at, weight))
-    index = Index(terms, idf, ids[order], labels[order], blocks, block_max, prior)
-
-    # Every example scored by the others.
-    votes = []
-    for b in range(len(blocks)):
-        own, vectors = index.postings(b)
-        votes.append(index.votes(*index.neighbours(vectors, NEIGHBOURS, b * BLOCK + np.arange(len(vectors)), own)))
-    if len(held) > 1:
-        votes = np.concatenate(votes)
-        seen = votes >= 0
-        bins = np.minimum((votes[seen] * _BINS).astype(int), _BINS - 1)
-        n = np.bincount(bins, minlength=_BINS)
-        toxic = np.bincount(bins, weights=index.labels[seen], minlength=_BINS)
-        centres = (np.arange(_BINS) + 0.5) / _BINS
-        index.calibration = np.maximum.accumulate((toxic + 2 * centres) / (n + 2))
-    return index
+    by_weight = np.lexsort((at, -weight, owner))
+    first = by_weight[np.cumsum(sizes) - sizes]
+    order = np.lexsort((ids.astype(str), -weight[first], at[first])) if len(held) else np.zeros(0, np.int64)
+    place = np.empty(len(held), np.int64)
+    place[order] = np.arange(len(held))
+    example = place[owner]
+
+    frequency = np.bincount(at, minlength=len(terms))
+    room = _MATRIX_BYTES // (8 * BLOCK * max(1, -(-len(held) // BLOCK)))
+    common = np.argsort(-frequency, kind="stable")[:room]
+    common = np.sort(common[frequency[common] * _COMMON_SHARE > len(held)])
+    column_of = np.full(len(terms), -1)
+    column_of[common] = np.arange(len(common))
+    in_matrix = column_of[at] >= 0
+    postings = (example[in_matrix], column_of[at[in_matrix]], weight[in_matrix])
+    rare = _postings(at[~in_matrix], example[~in_matrix], weight[~in_matrix], len(terms))
+    return Index(terms, idf, ids[order], labels[order], rare, common, postings, prior)
+
+
+def _postings(at: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int) -> Postings:
+    order = np.lexsort((example, at))
+    at, example, weight = at[order], example[order], weight[order]
+    block = example // BLOCK
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (block[1:] != block[:-1])
+    first = np.flatnonzero(new)
+    largest = np.maximum.reduceat(weight, first) if len(first) else weight
+    return Postings(
+        np.searchsorted(at[first], np.arange(n_terms + 1)), block[first], largest, np.r_[first, len(at)], example, weight
+    )
 
 
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,22 +483,6 @@ def drop_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold:
     return scored.where(F.col(score_col) < threshold).select(docs.columns)
 
 
-def _nearest(index: Index, text: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts with a term, and their nearest examples; dense over a few texts and their terms."""
-    some, row = np.unique(text, return_inverse=True)
-    step = max(1, _CELLS // max(1, len(np.unique(at))))
-    best, where = [np.zeros((0, NEIGHBOURS))], [np.zeros((0, NEIGHBOURS), np.int64)]
-    for first in range(0, len(some), step):
-        low, high = np.searchsorted(row, [first, first + step])
-        over, place = np.unique(at[low:high], return_inverse=True)
-        counts = np.zeros((min(step, len(some) - first), len(over)), np.float32)
-        counts[row[low:high] - first, place] = n[low:high]
-        found = index.neighbours(index.vectors(counts, over), NEIGHBOURS, over=over)
-        best.append(found[0])
-        where.append(found[1])
-    return some, np.concatenate(best), np.concatenate(where)
-
-
 def _scored(
     docs: DataFrame, index: Index, text_col: str, passed: list[str], score_col: str, evidence_col: str
 ) -> DataFrame:
@@ -376,16 +497,16 @@ def _scored(
         for batch in batches:
             texts = column(batch, text_col)
             for row, end, _, _ in text_chunks(texts):
-                some, best, where = _nearest(fitted, *held_terms(texts.slice(row, end - row).to_pylist(), terms, len(fitted.terms)))
-                votes = np.full(end - row, -1.0)
-                votes[some] = fitted.votes(best, where)
-                evidence: list[list[dict]] = [[] for _ in range(end - row)]
-                for i, b, w in zip(some.tolist(), best[:, :EVIDENCE], where[:, :EVIDENCE]):
-                    evidence[i] = [
-                        {"example": str(fitted.ids[x]), "cosine": float(y), "label": int(fitted.labels[x])}
+                held = held_terms(texts.slice(row, end - row).to_pylist(), terms, len(fitted.terms))
+                votes, best, where = fitted.votes_of(end - row, held)
+                evidence = [
+                    [
+                        {"example": str(fitted.ids[x]), "cosine": y, "label": int(fitted.labels[x])}
                         for x, y in zip(w, b)
                         if x >= 0
                     ]
+                    for w, b in zip(where[:, :EVIDENCE].tolist(), best[:, :EVIDENCE].tolist())
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(column(batch, c).slice(row, end - row) for c in passed),
