@@ -78,13 +78,22 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+class SpanHashes:
+    """64-bit hashes of slices; equal slices have equal hashes wherever they stand."""
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        powers, self._inverses = _power_tables(len(symbols) + 1)
+        self._sums = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * powers[: len(symbols)], out=self._sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        lengths = (ends - starts).astype(np.uint64)
+        return mixed((self._sums[ends] - self._sums[starts]) * self._inverses[starts] + mixed(lengths))
+
+
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the slices; equal slices have equal hashes wherever they stand."""
-    powers, inverses = _power_tables(len(symbols) + 1)
-    sums = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * powers[: len(symbols)], out=sums[1:])
-    lengths = (ends - starts).astype(np.uint64)
-    return mixed((sums[ends] - sums[starts]) * inverses[starts] + mixed(lengths))
+    """`SpanHashes` of one set of slices."""
+    return SpanHashes(symbols)(starts, ends)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import column, mixed, ragged, span_hashes, text_chunks
+from tidemark.llm.arrays import SpanHashes, column, mixed, ragged, text_chunks
 from tidemark.llm.letters import Letters, Lookup
 
 MAX_EXAMPLES = 20_000
@@ -47,18 +47,20 @@ THRESHOLD = 0.3
 _BINS = 10
 _TEXTS = 128  # scored at a time: one number per text and example is held
 _FIRST_BLOCKS = 3  # scored before the others, to know what these must reach
-_COMMON_SHARE = 25  # terms of more than one in so many examples are columns of a matrix,
+_COMMON_SHARE = 40  # terms of more than one in so many examples are columns of a matrix,
 _MATRIX_BYTES = 48 << 20  # the most common ones as long as it has room
 _DECIMALS = 5  # cosines are compared at this precision, so ties do not depend on rounding
 
 
 def _terms(found: Letters) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes of the terms of one kind and the texts they stand in."""
-    yield mixed(span_hashes(found.codes, found.starts, found.ends) + np.uint64(1)), found.text
-    for size in PREFIXES:
-        long = found.ends - found.starts >= size
-        starts = found.starts[long]
-        yield span_hashes(found.codes, starts, starts + size), found.text[long]
+    hashes = SpanHashes(found.codes)
+    yield mixed(hashes(found.starts, found.ends) + np.uint64(1)), found.text
+    starts, text, length = found.starts, found.text, found.ends - found.starts
+    for size in sorted(PREFIXES):
+        long = length >= size
+        starts, text, length = starts[long], text[long], length[long]
+        yield hashes(starts, starts + size), text
 
 
 def held_terms(texts: list[str | None], terms: Lookup, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,7 +116,7 @@ class Index:
     def matrix(self) -> np.ndarray:
         """Weights of the common terms per block, example of the block, and term."""
         example, at, weight = self.common_postings
-        out = np.zeros((len(self.blocks), BLOCK, len(self.common)))
+        out = np.zeros((len(self.blocks), BLOCK, len(self.common)), np.float32)
         out[example // BLOCK, example % BLOCK, at] = weight
         return out
 
@@ -185,7 +187,7 @@ class Index:
         column_of = np.full(len(self.terms), -1)
         column_of[self.common] = np.arange(len(self.common))
         is_common = column_of[at] >= 0
-        asked = np.zeros((n, len(self.common)))
+        asked = np.zeros((n, len(self.common)), np.float32)
         asked[text[is_common], column_of[at[is_common]]] = weight[is_common]
         text, at, weight = text[~is_common], at[~is_common], weight[~is_common]
 
@@ -194,47 +196,62 @@ class Index:
         entry = ragged(rare.term_first[at], n_entries)
         owner, factor = np.repeat(text, n_entries), np.repeat(weight, n_entries)
         pair = owner * n_blocks + rare.block[entry]
-        bounds = asked @ self.matrix_largest.T
+        bounds = (asked @ self.matrix_largest.T).astype(np.float64)
         bounds += np.bincount(pair, factor * rare.largest[entry], n * n_blocks).reshape(n, n_blocks)
 
-        cosines = np.zeros((n, n_blocks, BLOCK))
-
-        def score(open_: np.ndarray) -> None:
-            """Add the cosines of every text with the examples of its open blocks."""
-            mine = open_.ravel()[pair]
-            sizes = rare.entry_first[entry[mine] + 1] - rare.entry_first[entry[mine]]
-            posting = ragged(rare.entry_first[entry[mine]], sizes)
-            cell = np.repeat(owner[mine], sizes) * (n_blocks * BLOCK) + rare.example[posting]
-            added = np.repeat(factor[mine], sizes) * rare.weight[posting]
-            cosines.reshape(-1)[:] += np.bincount(cell, added, cosines.size)
+        def rare_cosines(slot: np.ndarray, width: int) -> np.ndarray:
+            """What the rare terms add to the cosines with the examples of blocks that have a slot."""
+            at_slot = slot.ravel()[pair]
+            mine = at_slot >= 0
+            chosen = entry[mine]
+            sizes = rare.entry_first[chosen + 1] - rare.entry_first[chosen]
+            posting = ragged(rare.entry_first[chosen], sizes)
+            cell = np.repeat((owner[mine] * width + at_slot[mine]) * BLOCK, sizes)
+            cell += rare.example[posting] % BLOCK
+            added = np.repeat(factor[mine], sizes)
+            added *= rare.weight[posting]
+            total = np.bincount(cell, added, n * width * BLOCK).astype(np.float64, copy=False)
+            return total.reshape(n, width, BLOCK)
+
+        # The k-th best cosine in the blocks with the largest bounds.
+        few = min(_FIRST_BLOCKS, n_blocks)
+        top = np.argpartition(-bounds, few - 1, axis=1)[:, :few]
+        slot = np.full((n, n_blocks), -1)
+        np.put_along_axis(slot, top, np.arange(few), axis=1)
+        first = rare_cosines(slot, few)
+        for block in np.unique(top):
+            rows = np.flatnonzero(slot[:, block] >= 0)
+            first[rows, slot[rows, block]] += asked[rows] @ self.matrix[block].T
+        if leave_out is not None:
+            rows = np.flatnonzero((leave_out >= 0) & (slot[np.arange(n), leave_out // BLOCK] >= 0))
+            first[rows, slot[rows, leave_out[rows] // BLOCK], leave_out[rows] % BLOCK] = 0
+        held = min(k, few * BLOCK)
+        reached = np.partition(first.reshape(n, -1), few * BLOCK - held, axis=1)[:, few * BLOCK - held]
+        reached -= 2 * 10.0**-_DECIMALS
+
+        # All blocks that may reach it. A block that may not is left with less than its bound.
+        open_ = (bounds > 0) & (bounds >= reached[:, None])
+        cosines = rare_cosines(np.where(open_, np.arange(n_blocks), -1), n_blocks)
+        if 2 * open_.sum() > open_.size:
+            cosines += (asked @ self.matrix.reshape(n_blocks * BLOCK, len(self.common)).T).reshape(cosines.shape)
+        else:
             for block in np.flatnonzero(open_.any(axis=0)):
                 rows = np.flatnonzero(open_[:, block])
                 cosines[rows, block] += asked[rows] @ self.matrix[block].T
-            if leave_out is not None:
-                some = np.flatnonzero(leave_out >= 0)
-                cosines[some, leave_out[some] // BLOCK, leave_out[some] % BLOCK] = 0
-
-        few = min(_FIRST_BLOCKS, n_blocks)
-        top = np.argpartition(-bounds, few - 1, axis=1)[:, :few]
-        first = np.zeros((n, n_blocks), bool)
-        np.put_along_axis(first, top, True, axis=1)
-        first &= bounds > 0
-        score(first)
-        flat = cosines.reshape(n, -1)
-        held = min(k, flat.shape[1])
-        reached = np.partition(flat, flat.shape[1] - held, axis=1)[:, flat.shape[1] - held]
-        slack = 2 * 10.0**-_DECIMALS
-        score((bounds > 0) & (bounds + slack >= reached[:, None]) & ~first)
-
-        # Rounded cosine and position as one number to sort by.
-        size = flat.shape[1]
-        rank = np.rint(flat * 10**_DECIMALS).astype(np.int64) * size + (size - 1 - np.arange(size))
-        order = np.argpartition(rank, size - held, axis=1)[:, size - held :]
-        chosen = np.take_along_axis(rank, order, axis=1)
-        order = np.take_along_axis(order, np.argsort(-chosen, axis=1), axis=1)
+        if leave_out is not None:
+            rows = np.flatnonzero(leave_out >= 0)
+            cosines[rows, leave_out[rows] // BLOCK, leave_out[rows] % BLOCK] = 0
+
+        # Few examples come near; they are sorted by rounded cosine, then by position.
+        text, example = np.nonzero(cosines.reshape(n, -1) >= np.maximum(reached, 10.0**-_DECIMALS / 2)[:, None])
+        cosine = np.round(cosines.reshape(n, -1)[text, example], _DECIMALS)
+        order = np.lexsort((example, -cosine, text))
+        text, example, cosine = text[order], example[order], cosine[order]
+        rank = np.arange(len(text)) - np.searchsorted(text, text)
+        kept = (rank < k) & (cosine > 0)
         best, where = np.zeros((n, k)), np.full((n, k), -1)
-        best[:, :held] = np.round(np.take_along_axis(flat, order, axis=1), _DECIMALS)
-        where[:, :held] = np.where(best[:, :held] > 0, order, -1)
+        best[text[kept], rank[kept]] = cosine[kept]
+        where[text[kept], rank[kept]] = example[kept]
         return best, where
 
     def votes(self, best: np.ndarray, where: np.ndarray) -> np.ndarray:
@@ -438,7 +455,7 @@ def build_index(
     example = place[owner]
 
     frequency = np.bincount(at, minlength=len(terms))
-    room = _MATRIX_BYTES // (8 * BLOCK * max(1, -(-len(held) // BLOCK)))
+    room = _MATRIX_BYTES // (4 * BLOCK * max(1, -(-len(held) // BLOCK)))
     common = np.argsort(-frequency, kind="stable")[:room]
     common = np.sort(common[frequency[common] * _COMMON_SHARE > len(held)])
     column_of = np.full(len(terms), -1)
