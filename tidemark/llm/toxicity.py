@@ -47,8 +47,8 @@ THRESHOLD = 0.3
 _BINS = 10
 _TEXTS = 128  # scored at a time: one number per text and example is held
 _FIRST_BLOCKS = 3  # scored before the others, to know what these must reach
-_COMMON_SHARE = 40  # terms of more than one in so many examples are columns of a matrix,
-_MATRIX_BYTES = 48 << 20  # the most common ones as long as it has room
+_COMMON_SHARE = 60  # terms of more than one in so many examples are columns of a matrix,
+_MATRIX_BYTES = 60 << 20  # the most common ones as long as it has room
 _DECIMALS = 5  # cosines are compared at this precision, so ties do not depend on rounding
 
 
@@ -243,7 +243,8 @@ class Index:
             cosines[rows, leave_out[rows] // BLOCK, leave_out[rows] % BLOCK] = 0
 
         # Few examples come near; they are sorted by rounded cosine, then by position.
-        text, example = np.nonzero(cosines.reshape(n, -1) >= np.maximum(reached, 10.0**-_DECIMALS / 2)[:, None])
+        near = cosines.reshape(n, -1) >= np.maximum(reached, 10.0**-_DECIMALS / 2)[:, None]
+        text, example = np.divmod(np.flatnonzero(near), n_blocks * BLOCK)
         cosine = np.round(cosines.reshape(n, -1)[text, example], _DECIMALS)
         order = np.lexsort((example, -cosine, text))
         text, example, cosine = text[order], example[order], cosine[order]
