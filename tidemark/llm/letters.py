@@ -28,7 +28,8 @@ class Letters:
         change = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         self.starts, self.ends = change[::2], change[1::2]
         sizes = np.array([len(t) + 1 for t in lowered], np.int64)
-        self.text = np.searchsorted(np.cumsum(sizes), self.starts - 1, side="right")
+        firsts = np.searchsorted(self.starts - 1, np.r_[0, np.cumsum(sizes)])
+        self.text = np.repeat(np.arange(len(sizes)), np.diff(firsts))
 
 
 class Lookup:
@@ -38,7 +39,7 @@ class Lookup:
         self._order = np.argsort(keys)
         self._sorted = keys[self._order]
         # Most keys asked for are not in the list; one bit per slot of a table tells.
-        self._shift = np.uint64(64 - max(12, min(22, int(np.log2(len(keys) + 1)) + 4)))
+        self._shift = np.uint64(64 - max(12, min(22, int(np.log2(len(keys) + 1)) + 7)))
         self._seen = np.zeros(1 << int(np.uint64(64) - self._shift), bool)
         self._seen[(keys >> self._shift).astype(np.int64)] = True
 
