@@ -40,6 +40,33 @@ def test_awkward_documents(spark, operator, expected):
     assert got == Counter(expected(awkward.ROWS))
 
 
+def thue_morse(n, a, b):
+    return [b if k.bit_count() % 2 else a for k in range(n)]
+
+
+def test_words_and_spans_whose_sums_of_powers_agree(spark):
+    """Words of 2,048 letters, and spans of 2,048 words, beside their complements."""
+    rows = []
+    for k in range(4):
+        plain = [f"w{k}x{i}" for i in range(80)]
+        for twin in range(2):
+            letters = "".join(thue_morse(2048, *("ab" if twin else "ba")))
+            rows.append((len(rows), " ".join([*plain[:40], letters, *plain[40:]])))
+    first = [f"p{i}" for i in range(60)]
+    for twin in range(2):
+        rows.append((len(rows), " ".join([*first, *thue_morse(2048, *("ab" if twin else "ba")), *first])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter(map(tuple, phrases.remove_repeats(df).collect()))
+    assert got == Counter(words_expected(rows))
+
+
+@pytest.mark.parametrize("operator", [phrases, suffixes])
+def test_nothing_stays_persisted(spark, operator):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    operator.remove_repeats(awkward.documents(spark)).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 @pytest.mark.parametrize("operator", [phrases, suffixes])
 def test_no_rows(spark, operator):
     none = awkward.documents(spark).where("false")

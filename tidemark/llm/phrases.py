@@ -3,11 +3,13 @@
 A passage recurs where a window of ``WINDOW`` words also starts in a document with a smaller id.
 
 1. Every window is anchored at one phrase of ``PHRASE_WORDS`` words (see ``windows``). The
-   anchors are grouped by their words; those of two or more documents are confirmed.
-2. Documents are dealt to buckets. Each bucket gets the confirmed phrases that its documents
-   anchor, compiles them into one Aho-Corasick automaton, and streams all its documents through
-   it. That locates every occurrence; a document is read by one automaton, whose size is bounded
-   by its bucket, so the work grows with the corpus and not with its square.
+   anchors are grouped by their hashes; those of two or more documents are confirmed. (Two phrases
+   of one hash would be confirmed without need, which costs work and changes no result.)
+2. Documents are dealt to buckets. Each bucket gets the hashes of the confirmed phrases that its
+   documents anchor, takes their words from its documents, compiles them into one Aho-Corasick
+   automaton, and streams all its documents through it. That locates every occurrence; a document
+   is read by one automaton, whose size is bounded by its bucket, so the work grows with the corpus
+   and not with its square.
 3. The windows anchored at an occurrence form a span. Equal spans are copies of the one with the
    smallest id and all of their windows recur. Only the first of equal spans compares window by
    window, so a passage that stands in a third of the documents costs few rows.
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64
 
 from tidemark.llm.arrays import binary, column, ragged, span_hashes, text_chunks, words
 from tidemark.llm.packing import packed, unpacked
@@ -32,6 +35,8 @@ WINDOW = 50
 # Long enough that single lines, which recur far more often than passages, are no anchors.
 PHRASE_WORDS = 16
 BUCKET_BYTES = 8 << 20
+# Sums of powers tell words of this many bytes apart; two much longer ones can be made to agree.
+_PLAIN_BYTES = 64
 _PHRASE, _COPY, _DOCUMENT = 0, 1, 2
 _ALL = 1 << 30  # all windows of a text
 
@@ -46,7 +51,10 @@ def bucket_count(docs: DataFrame, text_col: str) -> int:
 def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of all words, and the first word of every text."""
     starts, ends, text = words(data, offsets)
-    return starts, ends, span_hashes(data, starts, ends), np.searchsorted(text, np.arange(len(offsets)))
+    hashes = span_hashes(data, starts, ends)
+    for k in np.flatnonzero(ends - starts > _PLAIN_BYTES):
+        hashes[k] = xxh64(data[starts[k] : ends[k]].tobytes()).intdigest()
+    return starts, ends, hashes, np.searchsorted(text, np.arange(len(offsets)))
 
 
 def _spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,103 +66,121 @@ def _spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return out, begins
 
 
-def _anchor_phrases(id_col: str, text_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, buckets, texts = (column(batch, c) for c in (id_col, "bucket", text_col))
-            for row, end, data, offsets in text_chunks(texts):
-                starts, ends, hashes, bounds = _word_hashes(data, offsets)
-                _, at = anchored_windows(gram_hashes(hashes, PHRASE_WORDS), bounds, WINDOW, PHRASE_WORDS)
-                at = np.unique(at)
-                spelled, begins = _spelled(data, starts, ends)
-                last = at + PHRASE_WORDS - 1
-                sizes = begins[last] + (ends - starts)[last] - begins[at]
-                offset = np.cumsum(np.r_[0, sizes])
-                owner = pa.array(row + np.searchsorted(bounds, at, side="right") - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        binary(spelled[ragged(begins[at], sizes)], offset, pa.large_string()).cast(pa.string()),
-                        ids.take(owner),
-                        buckets.take(owner),
-                    ],
-                    names=["phrase", id_col, "bucket"],
-                )
+def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of some texts: starts and ends of the words, first words, phrase hashes, and the anchors."""
+    starts, ends, hashes, bounds = _word_hashes(data, offsets)
+    grams = gram_hashes(hashes, PHRASE_WORDS)
+    _, at = anchored_windows(grams, bounds, WINDOW, PHRASE_WORDS)
+    return starts, ends, bounds, grams, np.unique(at)
+
 
-    return run
+def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, buckets, texts = (column(batch, c) for c in ("id", "bucket", "text"))
+        for row, end, data, offsets in text_chunks(texts):
+            _, _, bounds, grams, at = _anchors(data, offsets)
+            owner = pa.array(row + np.searchsorted(bounds, at, side="right") - 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams[at].view(np.int64)), ids.take(owner), buckets.take(owner)],
+                names=["phrase", "id", "bucket"],
+            )
 
 
-def _locate(id_col: str, text_col: str):
-    """Streams rows of one bucket after the other: phrases, then copies, then documents."""
+def _phrases(texts: list[bytes], confirmed: np.ndarray) -> set[str]:
+    """The words of the confirmed phrases that some documents anchor."""
+    found = set()
+    for _, _, data, offsets in text_chunks(pa.array(texts, pa.large_binary())):
+        starts, ends, _, grams, at = _anchors(data, offsets)
+        for k in at[np.isin(grams[at], confirmed)].tolist():
+            raw = (data[a:b].tobytes() for a, b in zip(starts[k : k + PHRASE_WORDS], ends[k : k + PHRASE_WORDS]))
+            found.add(b" ".join(raw).decode())
+    return found
+
+
+def _located_spans(raw: bytes, ends: list[int]) -> tuple[np.ndarray, ...]:
+    """The spans of windows that are anchored where a phrase ends, in the text with single spaces."""
+    data = np.frombuffer(raw, np.uint8)
+    starts, stops, hashes, bounds = _word_hashes(data, np.array([0, len(data)]))
+    letters = (data[ragged(starts, stops - starts)] & 0xC0) != 0x80
+    size = np.add.reduceat(letters, np.cumsum(stops - starts) - (stops - starts))
+    final = np.searchsorted(np.cumsum(size + 1), np.array(ends))
+    grams = gram_hashes(hashes, PHRASE_WORDS)
+    located = np.zeros(len(grams), bool)
+    located[final - PHRASE_WORDS + 1] = True
+    windows, at = anchored_windows(grams, bounds, WINDOW, PHRASE_WORDS)
+    chosen = located[at]
+    windows, at = windows[chosen], at[chosen]
+    first, length = runs(at, windows)
+    begin = windows[first]
+    # Spans may be long, so their hash is one without structure; windows have fifty words.
+    stop = begin + length - 1 + WINDOW
+    whole = [xxh64(hashes[a:b].tobytes()).intdigest() for a, b in zip(begin.tolist(), stop.tolist())]
+    each = span_hashes(hashes, windows, windows + WINDOW)
+    return grams[at[first]], np.array(whole, np.uint64), begin, length, each
+
+
+def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams rows of one bucket after the other: hashes of phrases, then copies, then documents."""
     import ahocorasick
     from zstandard import ZstdDecompressor
 
-    def spans(raw: bytes, ends: list[int]) -> tuple[np.ndarray, ...]:
-        data = np.frombuffer(raw, np.uint8)
-        starts, stops, hashes, bounds = _word_hashes(data, np.array([0, len(data)]))
-        # The automaton tells where a phrase ends in the text with single spaces.
-        letters = (data[ragged(starts, stops - starts)] & 0xC0) != 0x80
-        size = np.add.reduceat(letters, np.cumsum(stops - starts) - (stops - starts))
-        final = np.searchsorted(np.cumsum(size + 1), np.array(ends))
-        grams = gram_hashes(hashes, PHRASE_WORDS)
-        located = np.zeros(len(grams), bool)
-        located[final - PHRASE_WORDS + 1] = True
-        windows, at = anchored_windows(grams, bounds, WINDOW, PHRASE_WORDS)
-        chosen = located[at]
-        windows, at = windows[chosen], at[chosen]
-        first, length = runs(at, windows)
-        begin = windows[first]
-        whole = span_hashes(hashes, begin, begin + length - 1 + WINDOW)
-        each = span_hashes(hashes, windows, windows + WINDOW)
-        return grams[at[first]], whole, begin, length, each
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = ZstdDecompressor().decompress
-        bucket, phrases, copies, automaton = None, [], set(), None
-        for batch in batches:
-            rows = zip(*(column(batch, c).to_pylist() for c in ("bucket", "kind", "text", "id", "key")))
-            out: list[tuple] = []
-            for b, kind, text, id_, key in rows:
-                if b != bucket:
-                    bucket, phrases, copies, automaton = b, [], set(), None
-                if kind == _PHRASE:
-                    phrases.append(text.decode())
-                    continue
-                if kind == _COPY:
-                    copies.add((id_, key))
-                    continue
-                if automaton is None:
-                    automaton = ahocorasick.Automaton()
-                    for p in phrases:
-                        automaton.add_word(f" {p} ", True)
-                    automaton.make_automaton()
-                if not phrases or (id_, key) in copies:
-                    continue
-                raw = expand(text)
-                line = " " + b" ".join(raw.split()).decode() + " "
-                ends = [e for e, _ in automaton.iter(line)]
-                if ends:
-                    anchors, whole, begin, length, each = spans(raw, ends)
-                    if len(anchors):
-                        out.append((id_, key, anchors, whole, begin, length, each))
-            if out:
-                n = [len(o[2]) for o in out]
-                owner = np.repeat(np.arange(len(out)), n)
-                lengths = np.concatenate([o[5] for o in out])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([o[0] for o in out]).take(pa.array(owner)),
-                        pa.array([o[1] for o in out], pa.int64()).take(pa.array(owner)),
-                        *(pa.array(np.concatenate([o[k] for o in out]).view(np.int64)) for k in (2, 3)),
-                        pa.array(np.concatenate([o[4] for o in out]).astype(np.int32)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.cumsum(np.r_[0, lengths]).astype(np.int32)),
-                            pa.array(np.concatenate([o[6] for o in out]).view(np.int64)),
-                        ),
-                    ],
-                    names=["id", "key", "anchor", "span", "first", "windows"],
-                )
+    expand = ZstdDecompressor().decompress
+
+    def located(confirmed: list[int], copies: set, docs: list[tuple]) -> Iterator[tuple]:
+        docs = [(id_, key, expand(text)) for id_, key, text in docs if (id_, key) not in copies]
+        phrases = _phrases([d[2] for d in docs], np.array(confirmed, np.int64).view(np.uint64)) if confirmed else set()
+        if not phrases:
+            return
+        automaton = ahocorasick.Automaton()
+        for phrase in phrases:
+            automaton.add_word(f" {phrase} ", True)
+        automaton.make_automaton()
+        for id_, key, raw in docs:
+            ends = [e for e, _ in automaton.iter(" " + b" ".join(raw.split()).decode() + " ")]
+            if ends:
+                spans = _located_spans(raw, ends)
+                if len(spans[0]):
+                    yield (id_, key, *spans)
 
-    return run
+    kind = None
+    bucket, confirmed, copies, docs = None, [], set(), []
+    for batch in batches:
+        kind = column(batch, "id").type
+        rows = zip(*(column(batch, c).to_pylist() for c in ("bucket", "kind", "text", "id", "key")))
+        out: list[tuple] = []
+        for b, what, text, id_, key in rows:
+            if b != bucket:
+                out += located(confirmed, copies, docs)
+                bucket, confirmed, copies, docs = b, [], set(), []
+            if what == _PHRASE:
+                confirmed.append(key)
+            elif what == _COPY:
+                copies.add((id_, key))
+            else:
+                docs.append((id_, key, text))
+        if out:
+            yield _span_rows(out, kind)
+    out = list(located(confirmed, copies, docs))
+    if out:
+        yield _span_rows(out, kind)
+
+
+def _span_rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    owner = pa.array(np.repeat(np.arange(len(out)), [len(o[2]) for o in out]))
+    lengths = np.concatenate([o[5] for o in out])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([o[0] for o in out], kind).take(owner),
+            pa.array([o[1] for o in out], pa.int64()).take(owner),
+            *(pa.array(np.concatenate([o[k] for o in out]).view(np.int64)) for k in (2, 3)),
+            pa.array(np.concatenate([o[4] for o in out]).astype(np.int32)),
+            pa.ListArray.from_arrays(
+                pa.array(np.cumsum(np.r_[0, lengths]).astype(np.int32)),
+                pa.array(np.concatenate([o[6] for o in out]).view(np.int64)),
+            ),
+        ],
+        names=["id", "key", "anchor", "span", "first", "windows"],
+    )
 
 
 def recurring_windows(located: DataFrame) -> DataFrame:
@@ -176,7 +202,7 @@ def recurring_windows(located: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, n_removed, kept)`` of every row; kept words are joined by one space.
 
-    Null and empty texts have no words. Texts under ``WINDOW`` words lose nothing. Rows that
+    Null and empty texts have no words, texts of any length are read whole. Texts under ``WINDOW`` words lose nothing. Rows that
     repeat an id never count as each other's earlier document; rows without an id lose nothing
     and take nothing. Other columns are left out, whatever their names; no rows give no rows.
     """
@@ -191,23 +217,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     kind = rows.schema["id"].dataType
     anchors = dealt.select("id", "bucket", "text").mapInArrow(
-        _anchor_phrases("id", "text"),
-        T.StructType([T.StructField("phrase", T.StringType()), T.StructField("id", kind), T.StructField("bucket", T.IntegerType())]),
-    )
-    confirmed = (
-        anchors.groupBy("phrase")
-        .agg(F.min("id").alias("a"), F.max("id").alias("b"), F.collect_set("bucket").alias("buckets"))
-        .where("a < b")
-        .select(F.explode("buckets").alias("bucket"), F.col("phrase").alias("text"))
+        _anchor_hashes,
+        T.StructType([T.StructField("phrase", T.LongType()), T.StructField("id", kind), T.StructField("bucket", T.IntegerType())]),
     )
+    held = anchors.groupBy("phrase").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("phrase")
+    # A phrase may stand in every bucket; its rows are joined, not gathered.
+    confirmed = anchors.select("phrase", "bucket").join(held, "phrase").distinct()
     # Texts equal to one with a smaller id go whole; nothing has to be located in them.
     named = dealt.select("bucket", "id", "key", F.md5("text").alias("digest"))
     earliest = named.groupBy("digest").agg(F.min("id").alias("first_id"))
     copies = named.join(earliest, "digest").where("id > first_id").select("bucket", "id", "key").distinct().checkpoint()
 
-    nothing = F.lit(None).cast("bigint").alias("key")
     lines = (
-        confirmed.select("bucket", F.lit(_PHRASE).alias("kind"), F.col("text").cast("binary").alias("text"), F.lit(None).cast(kind).alias("id"), nothing)
+        confirmed.select("bucket", F.lit(_PHRASE).alias("kind"), F.lit(None).cast("binary").alias("text"), F.lit(None).cast(kind).alias("id"), F.col("phrase").alias("key"))
         .unionByName(copies.select("bucket", F.lit(_COPY).alias("kind"), F.lit(None).cast("binary").alias("text"), "id", "key"))
         .unionByName(packed(dealt.select("bucket", F.lit(_DOCUMENT).alias("kind"), "text", "id", "key")))
     )
@@ -215,7 +237,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lines.repartition(F.col("bucket"))
         .sortWithinPartitions("bucket", "kind")
         .mapInArrow(
-            _locate("id", "text"),
+            _locate,
             T.StructType(
                 [T.StructField("id", kind)]
                 + T.StructType.fromDDL("key bigint, anchor bigint, span bigint, first int, windows array<bigint>").fields
