@@ -15,7 +15,7 @@ equal beginnings. Many equal spans fill several ranges, since ids are part of th
 no smaller id of its own range precedes may have one across the border: for the first and the
 last anchor of every range these suffixes are compared over all ranges.
 
-Documents are shuffled once, compressed, and kept for the removal at the end.
+Documents are shuffled once, compressed, and kept in the shared folder for the removal at the end.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +37,7 @@ from tidemark.scratch import ensure_checkpoint_dir
 LENGTH = 50
 # Long enough that equal n-grams by chance stay rare in a large corpus.
 GRAM = 24
-_FLUSH_ANCHORS = 2_000_000
+_FLUSH_ANCHORS = 250_000
 _HASH_BYTES = 5
 _SORTED_SUFFIXES = 500_000  # at a time; anchors are not divided
 
@@ -275,8 +274,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no bytes; texts under ``LENGTH`` bytes lose nothing. Rows that
     repeat an id never count as each other's earlier document; rows without an id lose nothing
     and take nothing. Ids are integers. Other columns are left out, whatever their names; no rows
-    give no rows. The compressed documents and the ranges found stay persisted for the result, which
-    is computed when it is used; ``spark.catalog.clearCache()`` frees them.
+    give no rows. Texts of any length are read whole. The compressed documents, dealt out once, and
+    the ranges found are checkpointed in the shared folder; nothing stays persisted.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -301,7 +300,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Rows without an id are dealt by their text.
     kept = packed(rows).withColumn("slot", F.coalesce("id", "key"))
-    kept = kept.repartition(buckets, "slot").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = kept.repartition(buckets, "slot").checkpoint()
     per_id = (
         anchors.select(F.col("id").alias("slot"), "anchor", F.lit(None).cast("bigint").alias("copy"))
         .unionByName(copies.select(F.col("id").alias("slot"), F.lit(None).cast("bigint").alias("anchor"), F.col("key").alias("copy")))
@@ -316,7 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = (
         spans.repartitionByRange(max(1, buckets // 4), lead, F.col("id"), F.col("first"))
         .mapInArrow(_sort_range, _FOUND)
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .checkpoint()
     )
     edge = found.where("anchor IS NOT NULL")
     least = edge.groupBy("anchor", "window").agg(F.min("id").alias("first_id"))
