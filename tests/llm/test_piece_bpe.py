@@ -44,6 +44,27 @@ def test_long_units_and_runs_of_spaces(library, ours):
     same(library, ours, ["a" * 3000, "abcde" * 400, " " * 700 + "x" + " " * 40, "梦é" * 500, "", "▁" * 300])
 
 
+def thue_morse(n, a, b):
+    return "".join(b if k.bit_count() % 2 else a for k in range(n))
+
+
+def test_units_whose_hashes_agree_are_told_apart(library, ours):
+    """Sums of powers modulo 2^64 are equal for these words and their complements, for any base."""
+    for n in (1024, 2048, 4096):
+        same(library, ours, [thue_morse(n, "a", "b"), thue_morse(n, "b", "a"), thue_morse(n, "é", "t")])
+
+
+def test_units_at_the_borders_of_cutting(library, ours, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäñ梦想世界"), n)) for n in (63, 64, 65, 255, 256, 257, 1000)]
+    texts += ["世界梦想" * 300, "x梦" * 40, "the" * 90, "=" * 200 + "梦" + "-" * 200]
+    same(library, ours, texts)
+    for limit in (4, 64, 300):
+        monkeypatch.setattr(piece_bpe, "LONG_UNIT", limit)
+        monkeypatch.setattr(piece_bpe, "_CUT_UNIT", limit // 2)
+        same(library, ours, texts)
+
+
 def test_awkward_documents(spark, library):
     out = piece_bpe.encode_decode(awkward.documents(spark), queries.model_path()).collect()
     got = sorted((repr(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in out)

@@ -8,8 +8,11 @@ units, and every different unit of a chunk is encoded once.
 One round looks up every neighbouring pair of symbols, takes each unit's best-ranked pair,
 merges its occurrences from the left at the same time, and compacts the arrays; units without
 a pair leave the rounds. Where a merge can create a pair of the same or a better rank, only
-the leftmost occurrence is merged in that round, as one-by-one merging would do it. Very long
-units (text without spaces) are merged one by one with a heap, which takes n log n steps.
+the leftmost occurrence is merged in that round, as one-by-one merging would do it. Units of text
+without spaces are cut between characters that stand side by side in no piece, which no merge
+crosses either. What is still longer than `LONG_UNIT` symbols (thousands of letters without a
+space) is merged one by one with a heap, in n log n steps: rounds of such a unit would take a pass
+over it for every rank.
 
 The normaliser of the model must be the identity with a dummy prefix. Only the pieces and
 their scores are read from the model file; its path is a parameter.
@@ -30,7 +33,9 @@ from tidemark.llm.arrays import binary, column, ragged, span_hashes, text_chunks
 
 SPACE = "▁"
 _SPACE_CODE = ord(SPACE)
-LONG_UNIT = 256
+LONG_UNIT = 4096
+_CUT_UNIT = 64  # shorter units are not looked at for places to cut
+_CHUNK_BYTES = 1 << 20  # of text at a time; the arrays take some dozens of times as much
 _NEVER = np.iinfo(np.int32).max
 _SLOT_BITS = 18
 
@@ -71,6 +76,8 @@ class Pieces:
         ]
         pairs.sort()
         self.pairs = dict(pairs)
+        beside = {ord(a) << 21 | ord(b) for p in ids for a, b in zip(p, p[1:])}
+        self.beside = np.array(sorted(beside), np.int64)
         self.levels = _hash_levels(self.pairs)
         # One by one: pieces that take part in a merge ranked as well as their own or better,
         # and pieces that share their rank.
@@ -213,9 +220,13 @@ class Pieces:
         space = codes == _SPACE_CODE
         first = space & ~np.r_[False, space[:-1]]
         first[text_starts] = True
-        starts = np.flatnonzero(first)
+        starts = self._cut(codes, np.flatnonzero(first))
         ends = np.r_[starts[1:], len(codes)]
         _, chosen, which = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
+        # Hashes only suggest that units are equal; their letters decide.
+        twin, lengths = starts[chosen][which], ends - starts
+        if (lengths != lengths[chosen][which]).any() or (codes != codes[ragged(twin, lengths)]).any():
+            chosen = which = np.arange(len(starts))
 
         symbols = self.of_char[codes].astype(np.int64)
         symbols = np.where(symbols >= 0, symbols, -1 - codes)
@@ -227,6 +238,17 @@ class Pieces:
         counts[filled] = np.bincount(unit_text, weights=lengths[which], minlength=len(filled)).astype(np.int64)
         return flat, counts
 
+    def _cut(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The first places of units, with long ones cut where two characters never share a piece."""
+        lengths = np.diff(np.r_[starts, len(codes)])
+        long = lengths > _CUT_UNIT
+        if not long.any() or not len(self.beside):
+            return starts
+        place = ragged(starts[long] + 1, lengths[long] - 1)
+        pair = codes[place - 1] << 21 | codes[place]
+        at = np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)
+        return np.sort(np.r_[starts, place[self.beside[at] != pair]])
+
     def _fall_back(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece become the ids of their bytes."""
         unknown = np.flatnonzero(ids < 0)
@@ -295,7 +317,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         table = pieces(model_path)
         for batch in batches:
             texts = column(batch, text_col)
-            for row, end, _, _ in text_chunks(texts):
+            for row, end, _, _ in text_chunks(texts, _CHUNK_BYTES):
                 flat, counts = table.encode(texts.slice(row, end - row).fill_null("").to_pylist())
                 decoded, offsets = table.decode(flat, counts)
                 bounds = np.cumsum(np.r_[0, counts + 2])
