@@ -15,7 +15,7 @@ equal beginnings. Many equal spans fill several ranges, since ids are part of th
 no smaller id of its own range precedes may have one across the border: for the first and the
 last anchor of every range these suffixes are compared over all ranges.
 
-Documents are shuffled once, compressed, and kept in the shared folder for the removal at the end.
+Documents are shuffled compressed, once for their spans and once for the removal at the end.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ LENGTH = 50
 GRAM = 24
 _FLUSH_ANCHORS = 250_000
 _HASH_BYTES = 5
+_CHUNK_BYTES = 512 << 10  # of text at a time; the arrays take some fifty times as much
 _SORTED_SUFFIXES = 500_000  # at a time; anchors are not divided
 
 
@@ -91,7 +92,7 @@ def _requests(buckets: int):
         held = 0
         for batch in batches:
             own = column(batch, "id").to_numpy()
-            for row, _, data, offsets in text_chunks(column(batch, "text")):
+            for row, _, data, offsets in text_chunks(column(batch, "text"), _CHUNK_BYTES):
                 grams = gram_hashes(data, GRAM)
                 _, at = anchored_windows(grams, offsets, LENGTH, GRAM)
                 grams = _anchor_hashes(grams)
@@ -143,7 +144,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans around the anchors that each row names."""
     for batch in batches:
         ids, keys, texts, wanted = (column(batch, c) for c in ("id", "key", "text", "anchors"))
-        for row, end, data, offsets in text_chunks(unpacked(texts)):
+        for row, end, data, offsets in text_chunks(unpacked(texts), _CHUNK_BYTES):
             grams = gram_hashes(data, GRAM)
             windows, at = anchored_windows(grams, offsets, LENGTH, GRAM)
             first, length = runs(at, windows)
@@ -274,8 +275,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no bytes; texts under ``LENGTH`` bytes lose nothing. Rows that
     repeat an id never count as each other's earlier document; rows without an id lose nothing
     and take nothing. Ids are integers. Other columns are left out, whatever their names; no rows
-    give no rows. Texts of any length are read whole. The compressed documents, dealt out once, and
-    the ranges found are checkpointed in the shared folder; nothing stays persisted.
+    give no rows. Texts of any length are read whole. The ranges found are checkpointed in the shared
+    folder; nothing stays persisted.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -300,7 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Rows without an id are dealt by their text.
     kept = packed(rows).withColumn("slot", F.coalesce("id", "key"))
-    kept = kept.repartition(buckets, "slot").checkpoint()
+    kept = kept.repartition(buckets, "slot")
     per_id = (
         anchors.select(F.col("id").alias("slot"), "anchor", F.lit(None).cast("bigint").alias("copy"))
         .unionByName(copies.select(F.col("id").alias("slot"), F.lit(None).cast("bigint").alias("anchor"), F.col("key").alias("copy")))
@@ -335,7 +336,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             ids, own, texts = (column(batch, c) for c in ("id", "key", "text"))
             lists = [column(batch, c) for c in ("keys", "firsts", "lengths")]
-            for row, end, data, offsets in text_chunks(unpacked(texts)):
+            for row, end, data, offsets in text_chunks(unpacked(texts), _CHUNK_BYTES):
                 lost = np.zeros(len(data), bool)
                 for i in np.flatnonzero(lists[0].slice(row, end - row).is_valid().to_numpy(zero_copy_only=False)):
                     # Rows that repeat an id with another text have ranges of their own.
