@@ -40,7 +40,7 @@ GRAM = 24
 _FLUSH_ANCHORS = 250_000
 _HASH_BYTES = 5
 _CHUNK_BYTES = 512 << 10  # of text at a time; the arrays take some fifty times as much
-_SORTED_SUFFIXES = 500_000  # at a time; anchors are not divided
+_SORTED_SUFFIXES = 250_000  # at a time; anchors are not divided
 
 
 # --- anchors that stand under two ids ----------------------------------------------------
@@ -209,14 +209,20 @@ _FOUND = "id bigint, key bigint, first int, n int, anchor bigint, window bigint"
 def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes of one range that begin as one with a smaller id does, as ranges of places; and
     of the anchors at its borders those that do not, one by one, with hashes to compare them by."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
+    # Column by column, and contents as bytes alone: a range is held once, not three times.
+    columns: dict[str, list[np.ndarray]] = {c: [] for c in ("id", "key", "first", "n", "offset")}
+    contents = []
+    for batch in batches:
+        for name, parts in columns.items():
+            parts.append(column(batch, name).to_numpy().astype(np.int64))
+        for _, _, content, _ in text_chunks(column(batch, "content")):
+            contents.append(content.copy())
+    if not contents:
         return
-    table = pa.Table.from_batches(held).combine_chunks()
-    data = np.frombuffer(b"".join(table.column("content").to_pylist()), np.uint8)
-    ids, keys, first, n, offset = (
-        table.column(c).to_numpy().astype(np.int64) for c in ("id", "key", "first", "n", "offset")
-    )
+    data = np.concatenate(contents)
+    contents.clear()
+    ids, keys, first, n, offset = (np.concatenate(parts) for parts in columns.values())
+    columns.clear()
     content = np.cumsum(n - 1 + LENGTH) - (n - 1 + LENGTH)
 
     # Rows by anchor, in portions of whole anchors.
@@ -314,7 +320,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     lead = F.expr(f"substring(content, offset + 1, {LENGTH})")
     found = (
-        spans.repartitionByRange(max(1, buckets // 4), lead, F.col("id"), F.col("first"))
+        spans.repartitionByRange(max(1, buckets // 2), lead, F.col("id"), F.col("first"))
         .mapInArrow(_sort_range, _FOUND)
         .checkpoint()
     )
