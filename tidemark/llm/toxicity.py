@@ -354,7 +354,9 @@ def train(
     labels = np.array([r["label"] for r in rows], np.int64)
     prior = (positive - int(labels.sum()) + positive / max(size, 1)) / (size - len(rows) + 1)
     held = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32)) for r in rows]
+    del rows
     index = build_index(terms, idf, ids, labels, held, prior)
+    del held
     if len(ids) > 1:
         index.calibration = _calibrated(sample, index)
     return index
@@ -440,36 +442,41 @@ def build_index(
     ``held`` has the sorted places of each example's terms and how often they stand in it;
     ``prior`` is the rate of toxic ones among examples without a term.
     """
+    # The driver holds a few arrays of all postings at a time, of 32 bits each.
     sizes = np.array([len(at) for at, _ in held], np.int64)
-    nothing = [np.zeros(0, np.int64)]
-    at = np.concatenate([a for a, _ in held] or nothing).astype(np.int64)
-    counts = np.concatenate([n for _, n in held] or nothing).astype(np.float64)
-    owner = np.repeat(np.arange(len(held)), sizes)
-    raw = (1 + np.log(counts)) * idf[at] if len(at) else counts
-    weight = raw / np.sqrt(np.bincount(owner, raw * raw, len(held)))[owner]
+    at = np.concatenate([np.zeros(0, np.int32), *(a for a, _ in held)]).astype(np.int32, copy=False)
+    owner = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
+    weight = np.concatenate([np.zeros(0, np.float32), *(n for _, n in held)]).astype(np.float32)
+    weight = (1 + np.log(weight)) * idf.astype(np.float32)[at] if len(at) else weight
+    weight /= np.sqrt(np.bincount(owner, weight * weight, len(held))).astype(np.float32)[owner]
     # Examples with the same strongest term share a block, which keeps the bounds low.
-    by_weight = np.lexsort((at, -weight, owner))
-    first = by_weight[np.cumsum(sizes) - sizes]
-    order = np.lexsort((ids.astype(str), -weight[first], at[first])) if len(held) else np.zeros(0, np.int64)
-    place = np.empty(len(held), np.int64)
+    first = np.cumsum(sizes) - sizes
+    largest = np.maximum.reduceat(weight, first) if len(held) else weight
+    hits = np.flatnonzero(weight == largest[owner]) if len(held) else first
+    strongest = at[hits[np.searchsorted(owner[hits], np.arange(len(held)))]]
+    order = np.lexsort((ids.astype(str), -largest, strongest)) if len(held) else first
+    place = np.empty(len(held), np.int32)
     place[order] = np.arange(len(held))
     example = place[owner]
+    del owner
 
     frequency = np.bincount(at, minlength=len(terms))
     room = _MATRIX_BYTES // (4 * BLOCK * max(1, -(-len(held) // BLOCK)))
     common = np.argsort(-frequency, kind="stable")[:room]
     common = np.sort(common[frequency[common] * _COMMON_SHARE > len(held)])
-    column_of = np.full(len(terms), -1)
+    column_of = np.full(len(terms), -1, np.int32)
     column_of[common] = np.arange(len(common))
     in_matrix = column_of[at] >= 0
     postings = (example[in_matrix], column_of[at[in_matrix]], weight[in_matrix])
-    rare = _postings(at[~in_matrix], example[~in_matrix], weight[~in_matrix], len(terms))
+    at, example, weight = (x[~in_matrix] for x in (at, example, weight))
+    rare = _postings(at, example, weight, len(terms))
     return Index(terms, idf, ids[order], labels[order], rare, common, postings, prior)
 
 
 def _postings(at: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int) -> Postings:
     order = np.lexsort((example, at))
     at, example, weight = at[order], example[order], weight[order]
+    del order
     block = example // BLOCK
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1]) | (block[1:] != block[:-1])
