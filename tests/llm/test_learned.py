@@ -317,3 +317,12 @@ def test_decontamination_of_awkward_documents(spark):
     assert decontaminate.leaks(docs.where("false"), items).isEmpty()
     assert decontaminate.leaks(docs, items.where("false")).isEmpty()
     assert decontaminate.without_leaks(docs, items.where("false")).count() == len(awkward.ROWS)
+
+
+def test_item_ids_of_any_type(spark):
+    docs = awkward.documents(spark)
+    for ids, kind in ((["a/1", None], "string"), ([7, None], "int"), ([1.5, None], "double")):
+        items = spark.createDataFrame([(i, awkward.PASSAGE) for i in ids], f"item_id {kind}, text string")
+        found = decontaminate.leaks(docs.where("doc_id = 13"), items).collect()
+        assert Counter(r.item_id for r in found) == Counter(ids) and {r.score for r in found} == {1.0}
+        assert decontaminate.without_leaks(docs.where("doc_id = 13"), items).isEmpty()

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.arrays import column, mixed, ragged, span_hashes, text_chunks
 from tidemark.llm.letters import Letters, Lookup
@@ -154,14 +155,14 @@ def _promising(items, lengths, least, own, words, bounds, item, place, where):
     return order[held + pairs + 1 >= least[item] * MATCH * n]
 
 
-def _pairs(items: _Items, id_col: str, text_col: str):
+def _pairs(items: _Items, id_col: str, text_col: str, item_kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, _, text, found, scores in _aligned(items, column(batch, text_col)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(batch, id_col).take(pa.array(row + text)),
-                        pa.array([items.ids[i] for i in found.tolist()], pa.int64()),
+                        pa.array([items.ids[i] for i in found.tolist()], item_kind),
                         pa.array(scores),
                     ],
                     names=[id_col, "item_id", "score"],
@@ -253,13 +254,16 @@ def leaks(
     The score is at least ``THRESHOLD``; items of fewer than ``MIN_ITEM_WORDS`` words must be
     held whole. Texts and items that are null, empty or without letters match nothing; items
     that repeat are found for each id; rows that repeat an id give one row per item with the
-    best score; other columns are left out; no documents or no items give no rows.
+    best score; other columns are left out; no documents or no items give no rows. Ids of documents
+    and items may be of any type; texts of any length are read whole; equal scores need no order, as
+    a pair of ids has one row.
     """
     narrow = docs.select(F.col(id_col), F.col(text_col))
-    schema = T.StructType([narrow.schema[0]] + T.StructType.fromDDL("item_id bigint, score double").fields)
+    kind = benchmark.schema[item_col].dataType
+    schema = T.StructType([narrow.schema[0], T.StructField("item_id", kind), T.StructField("score", T.DoubleType())])
     found = docs.sparkSession.createDataFrame([], schema)
     for seeds in _blocks(benchmark, item_col, item_text_col):
-        found = found.unionByName(narrow.mapInArrow(_pairs(seeds, id_col, text_col), schema))
+        found = found.unionByName(narrow.mapInArrow(_pairs(seeds, id_col, text_col, to_arrow_type(kind)), schema))
     return found.groupBy(id_col, "item_id").agg(F.max("score").alias("score"))
 
 
@@ -282,7 +286,7 @@ def without_leaks(
 
 def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[_Items]:
     """The test items with their seeds, in blocks of about ``BLOCK_CHARS`` characters."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("words"))
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("words"))
     items = items.where(F.length("words") > 0)
     chars = items.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)
