@@ -319,6 +319,57 @@ def test_decontamination_of_awkward_documents(spark):
     assert decontaminate.without_leaks(docs, items.where("false")).count() == len(awkward.ROWS)
 
 
+HAN = "\u8fd9\u6761\u6cb3\u5728\u6625\u5929\u4e3a\u4ec0\u4e48\u6bd4\u53e6\u4e00\u6761\u6cb3\u6709\u66f4\u591a\u7684\u6c34\u5462\u5417"
+
+
+def test_items_of_numbers_symbols_and_scripts_without_spaces(spark):
+    items = [(1, "What is 37 * 48?"), (2, "12 + 34 * 5 = 182"), (3, HAN), (4, "..."), (5, "f(x) = x^2"), (6, "7")]
+    texts = {
+        1: "I asked what is going on here.",
+        2: "so 12 + 34 * 5 = 182, they said",
+        3: f"\u6211\u4eec\u95ee\u8fc7{HAN}\u6ca1\u6709\u4eba\u77e5\u9053",
+        4: "He asked: what is 37 * 48? Nobody knew ...",
+        5: "112 + 34 * 5 = 182 and 12 + 34 * 5 = 1827",
+        6: "what is 37 + 48",
+        7: "take F(X) = X^2 as given; f(x) = x^3 is another",
+        8: HAN[:9] + "\u5c71" + HAN[10:],
+        9: HAN[:5] + "\u5c71\u5c71\u5c71\u5c71" + HAN[11:14],
+        10: "12 + 34 * 5",
+        11: "177 or 7",
+        12: None,
+        13: "",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = spark.createDataFrame(items, "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, rows).collect()}
+    assert set(got) == {(2, 2), (3, 3), (4, 1), (7, 5), (8, 3), (11, 6)}
+    assert got[3, 3] == got[2, 2] == 1.0 and got[8, 3] == pytest.approx((2 * len(HAN) - 3) / (2 * len(HAN)))
+    kept = {r.doc_id for r in decontaminate.without_leaks(docs, rows).collect()}
+    assert kept == {1, 5, 6, 9, 10, 12, 13}
+
+
+def test_short_items_against_search_of_everything(spark, monkeypatch):
+    rng = random.Random(11)
+    signs = ["a", "b", "1", "22", "+", "-", "=", "(", ")", "\u4e2d"]
+    items = {i: [rng.choice(signs) for _ in range(rng.randrange(1, 7))] for i in range(60)}
+    docs = {i: [rng.choice(signs) for _ in range(rng.randrange(0, 60))] for i in range(80)}
+    wanted = {
+        (d, i)
+        for i, x in items.items()
+        for d, t in docs.items()
+        if not set(x) <= set("+-=()") and any(t[k : k + len(x)] == x for k in range(len(t) - len(x) + 1))
+    }
+    frames = [
+        spark.createDataFrame([(k, " ".join(v)) for k, v in rows.items()], f"{name} int, text string")
+        for rows, name in ((docs, "doc_id"), (items, "item_id"))
+    ]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(*frames).collect()} == wanted
+    short = decontaminate._Items.of(list(items), [" ".join(v) for v in items.values()])
+    monkeypatch.setattr(decontaminate, "_BATCH_CELLS", 50)
+    found = zip(*(x.tolist() for x in short.exact.held([" ".join(v) for v in docs.values()])))
+    assert set(found) == wanted and len(wanted) > 100
+
+
 def test_item_ids_of_any_type(spark):
     docs = awkward.documents(spark)
     for ids, kind in ((["a/1", None], "string"), ([7, None], "int"), ([1.5, None], "double")):
