@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for personal data, on SQL functions alone.
 
 Values are found by pattern and checked: card numbers by their check digit, dates by the
-calendar, addresses by their ranges, telephone and social security numbers by their numbering
-rules. What passes is replaced by a keyed permutation of the values of its format, so it keeps
+calendar, addresses by their ranges, social security numbers by their numbering rules. Telephone
+numbers are judged by their format alone. What passes is replaced by a keyed permutation of the values of its format, so it keeps
 length, punctuation and validity, and equal values get equal pseudonyms in every document.
 
 The permutation is a Feistel network of ``ROUNDS`` rounds with SHA-256 of key, kind, round and
@@ -31,6 +31,7 @@ _FORMATS = {
     "phone": _BEFORE
     + r"(?:[+]?[0-9]{1,3}[ .-]?)?(?:[(][0-9]{3}[)][ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
     + _AFTER,
+    "grouped": r"(?<![\p{L}\p{N}+])[+][1-9](?:[ ./-]?[(]?[0-9][)]?){8,14}" + _AFTER,
     "ssn": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
     "date": _BEFORE
     + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}[.][0-9]{2}[.][0-9]{4})"
@@ -137,12 +138,13 @@ def _phone(key: str) -> str:
         f"concat(substr(d, 1, length(d) - 10), substr({local}, 1, 1), substr(f, 1, 2),"
         f" substr({local}, 4, 1), substr(f, 3, 6))",
     )
-    # The rule of country code 1; numbers of other countries are taken as they are.
-    valid = (
-        "substr(d, 1, length(d) - 10) NOT IN ('', '1')"
-        f" OR substr({local}, 1, 1) >= '2' AND substr({local}, 4, 1) >= '2'"
-    )
-    return _bind("d", _DIGITS, f"if({valid}, {_bind('n', new, _refill('n'))}, m)")
+    return _bind("d", _DIGITS, _bind("n", new, _refill("n")))
+
+
+def _grouped(key: str) -> str:
+    # International numbers in any grouping: the first two digits, all or most of the country code, stay.
+    new = f"concat(left(d, 2), {_string_cipher(key, 'phone', 'substr(d, 3)')})"
+    return _bind("d", _DIGITS, _bind("n", new, _refill("n")))
 
 
 def _ssn(key: str) -> str:
@@ -206,7 +208,7 @@ def _email(key: str) -> str:
 
 def _pseudonym(key: str) -> str:
     """The replacement of the match ``m``."""
-    kinds = {"email": _email(key), "phone": _phone(key), "ssn": _ssn(key), "date": _date(key), "ip": _ip(key), "card": _card(key)}
+    kinds = {"email": _email(key), "phone": _phone(key), "grouped": _grouped(key), "ssn": _ssn(key), "date": _date(key), "ip": _ip(key), "card": _card(key)}
     tests = {k: f"m RLIKE {_text('^(?:' + _FORMATS[k] + ')$')}" for k in kinds}
     branches = " ".join(f"WHEN {tests[k]} THEN {kinds[k]}" for k in kinds)
     hexadecimal = _string_cipher(key, "secret", "m", _HEX)
