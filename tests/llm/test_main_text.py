@@ -2,6 +2,8 @@
 
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 
@@ -105,6 +107,52 @@ def test_links_and_formulas_inside_the_article_are_kept():
     assert M.main_text(page) == f"{LONG.strip()} So x=2 it is. In a drawing No script. See the whole linked sentence. Source"
 
 
+def test_paths_without_content_are_left_out_whatever_their_names():
+    junk = "<div>Buy now</div>"
+    for inner in (f"<div><p>{LONG}</p><p>{LONG}</p></div>{junk}<div><p>{LONG}</p><p>And so on.</p></div>",):
+        for tag in ("body", "article"):
+            assert M.main_text(f"<{tag}>{inner}</{tag}>") == " ".join([LONG.strip()] * 3) + " And so on."
+    page = f"<article><div><h2>Part</h2></div><div><p>{LONG}</p></div><div><span>12 readers</span></div><div><h2>Next</h2></div><div><p>{LONG}</p></div></article>"
+    assert M.main_text(page) == f"Part {LONG.strip()} Next {LONG.strip()}"
+    named = f"<article><p class='share'>Share it</p><p>{LONG}</p><p>Short.</p></article>"
+    assert M.main_text(named) == f"{LONG.strip()} Short."
+
+
+def test_threshold_and_smoothing_decide(monkeypatch):
+    lead = f"<body><div>Of rivers, briefly.</div><div><p>{LONG}</p></div><div>And what came after it.</div></body>"
+    monkeypatch.setattr(M, "PATH_SHARE", 0.0)
+    everything = M.main_text(lead)
+    assert everything == f"Of rivers, briefly. {LONG.strip()} And what came after it."
+    monkeypatch.setattr(M, "PATH_SHARE", 0.2)
+    assert M.main_text(lead) == LONG.strip()
+    shares = []
+    for smoothing in ((0.25, 0.5, 0.25), (0.0, 1.0, 0.0)):
+        monkeypatch.setattr(M, "SMOOTHING", smoothing)
+        tree, blocks = M._blocks(lead)
+        shares.append(M._path_scores(blocks)[0])
+    assert shares[0] > 2 * shares[1]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "Deep, text.",
+        "<div>x, " * 50_000,
+        "<article>y " * 30_000,
+        "<div>" * 20_000 + "</p>" * 20_000 + "z",
+        "<div class=ad>t " * 20_000,
+        "<b>" * 20_000 + "<p>x" * 5_000,
+    ],
+)
+def test_deeply_nested_pages(page):
+    tracemalloc.start()
+    began = time.process_time()
+    assert M.main_text(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and time.process_time() - began < 20
+
+
 def test_rows_are_kept_with_awkward_values(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "<p>" * 20_000 + "deep, text.", "x"), (3, "w", "<a " * 5_000, "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")

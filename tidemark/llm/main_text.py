@@ -2,13 +2,18 @@
 
 A page is read as a sequence of text nodes, each with its path of tags from the root; tags that
 only mark up running text do not count. For every path the text length and the punctuation per
-node are summed up. Both ratios are smoothed over the nodes in page order, fused by their
-product, and paths above a share of the page's best are content. The article is the article or
-main element around all content, else the smallest element that holds all of it and the title
-above it; its blocks in page order are the main text, save
-those whose tags or roles mark navigation, notices, adverts or asides. Class names and forms mark
-furniture only where an element holds no article or main element, and stands beside one or has
-less than ``SOFT_SHARE`` of the text around it. Outside the article, blocks that consist of links are left out as well.
+node are summed up. Both ratios are smoothed over the nodes in page order, and a node's own and
+smoothed ratios are fused by their product. A path's score is the mean of its nodes; class names
+and forms that speak of furniture make a path of their own and weigh on its score, where an element
+holds no article or main element, and stands beside one or has less than ``SOFT_SHARE`` of the text
+around it. Paths above a share of the page's best are content.
+
+The article is the article or main element around all content, else the smallest element that
+holds all of it and the title above it. Its blocks on content paths are the main text, and with
+them the short ones that belong to these: whatever stands in an element that holds content (lists,
+captions and quotations count as part of the element around them), and headings of what follows.
+Elements within the article without any content path are left out, as are tags and roles that mark
+navigation, notices, adverts or asides, and outside the article blocks that consist of links.
 
 Parsing is forgiving: end tags may be missing, wrongly nested or cut off.
 """
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +37,7 @@ SMOOTHING = (0.25, 0.5, 0.25)
 PATH_SHARE = 0.1  # of the best fused ratio
 LINK_SHARE = 0.5
 SOFT_SHARE = 0.5  # of the text in the article or page around
+NAME_WEIGHT = 0.01  # of the score of what is named like furniture
 
 # The elements of HTML by how they are read.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +65,12 @@ _FURNITURE_WORDS = frozenset(
 # Beside these a word says how the page is laid out: no-sidebar, comments-open, content-sidebar-wrap.
 _STATE_WORDS = frozenset("no has with without open closed layout content".split())
 _NEVER_FURNITURE = frozenset("html body article main".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Parts of the element around them rather than elements on their own.
+_PARTS = _HEADINGS | frozenset(
+    "p li ul ol dl dt dd table caption colgroup thead tbody tfoot tr td th blockquote pre figure figcaption picture "
+    "details summary header hgroup address center svg g text noscript".split()
+)
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -74,46 +87,75 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "furniture", "link", "path", "article", "scope", "soft", "size", "holds")
+    __slots__ = (
+        "tag", "parent", "furniture", "link", "path", "article", "scope", "soft", "block", "size", "holds", "spoken",
+        "named", "chosen", "inside",
+    )
 
-    def __init__(self, tag: str, parent: _Element | None, furniture: bool, soft: bool = False) -> None:
+    def __init__(self, tag: str, parent: _Element | None, furniture: bool, soft: bool = False, path: int = 0) -> None:
         self.tag, self.parent = tag, parent
         self.furniture = furniture or (parent is not None and parent.furniture)
         self.link = tag == "a" or (parent is not None and parent.link)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
-        above = parent.path if parent is not None else ""
-        self.path = above if tag in _INLINE else f"{above}/{tag}"
-        # The nearest article, main element or page, and the nearest element that may be furniture.
+        self.path = path
+        # The nearest article, main element or page, and the nearest element that is not running text.
         self.scope = self if parent is None or tag in ("article", "main") else parent.scope
-        self.soft = self if soft else parent.soft if parent is not None else None
-        self.size = 0  # characters held, of scopes and soft elements
-        self.holds = False  # an article or main element
-        if tag in ("article", "main") and not self.furniture:
-            e = self.soft
-            while e is not None and not e.holds:
-                e.holds = True
-                e = e.parent.soft
-
-    def count(self, chars: int) -> None:
-        for e in self.softs():
-            e.size += chars
-        e = self.scope
-        e.size += chars
-        while e.parent is not None:
-            e = e.parent.scope
-            e.size += chars
-            e.holds = True
-
-    def softs(self) -> Iterator[_Element]:
-        e = self.soft
-        while e is not None:
-            yield e
-            e = e.parent.soft
-
-    def named_furniture(self) -> bool:
-        # Beside an article an element outside it is no wrapper, whatever its share.
-        around = ((e, e.parent.scope) for e in self.softs() if not e.holds)
-        return any((s.parent is None and s.holds) or e.size < SOFT_SHARE * s.size for e, s in around)
+        self.block = self if parent is None or tag not in _INLINE else parent.block
+        self.soft = soft  # may be furniture
+        self.size = 0  # characters held
+        self.holds = self.spoken = False  # an article or main element, and one with text
+        self.named = self.chosen = self.inside = False
+
+
+class _Tree:
+    """The elements of one page, parents first, and the one that is open."""
+
+    def __init__(self) -> None:
+        self.at = _Element("", None, False)
+        self.elements = [self.at]
+        self._paths: dict[tuple[int, str], int] = {}
+        self._open: Counter[str] = Counter()
+
+    def add(self, tag: str, furniture: bool, soft: bool) -> None:
+        path = self.at.path
+        if tag not in _INLINE:
+            path = self._paths.setdefault((path, tag), len(self._paths) + 1)
+        self.at = _Element(tag, self.at, furniture, soft, path)
+        self.elements.append(self.at)
+        self._open[tag] += 1
+
+    def leave(self, e: _Element) -> None:
+        """Close ``e`` and all that is open in it."""
+        while self.at is not e.parent:
+            self._open[self.at.tag] -= 1
+            self.at = self.at.parent
+
+    def close(self, names: set[str] | frozenset[str], stop: frozenset[str]) -> None:
+        """Close the nearest open element of these names unless one of ``stop`` is nearer."""
+        if not any(self._open[n] for n in names):
+            return
+        e = self.at
+        while e.parent is not None and e.tag not in names:
+            if e.tag in stop:
+                return
+            e = e.parent
+        if e.parent is not None:
+            self.leave(e)
+
+    def weigh(self) -> None:
+        """Sizes from the leaves up, then what is named like furniture from the root down."""
+        for e in reversed(self.elements[1:]):
+            above = e.parent
+            above.size += e.size
+            article = e.tag in ("article", "main") and not e.furniture
+            above.holds |= e.holds or article
+            above.spoken |= e.spoken or (article and e.size > 0)
+        for e in self.elements[1:]:
+            e.named = e.parent.named
+            if e.soft and not e.holds:
+                s = e.parent.scope
+                # Beside an article an element outside it is no wrapper, whatever its share.
+                e.named |= (s.parent is None and s.spoken) or e.size < SOFT_SHARE * s.size
 
 
 def _is_furniture(tag: str, rest: str, parent: _Element) -> tuple[bool, bool]:
@@ -141,13 +183,12 @@ def _is_furniture(tag: str, rest: str, parent: _Element) -> tuple[bool, bool]:
     return False, soft
 
 
-def _blocks(page: str) -> list[tuple[_Element, str, int]]:
+def _blocks(page: str) -> tuple[_Tree, list[tuple[_Element, str, int]]]:
     """Every block outside certain furniture: its element, its text and the characters in links."""
-    root = _Element("", None, False)
-    at = root
+    tree = _Tree()
     out: list[tuple[_Element, str, int]] = []
     parts: list[str] = []
-    owner = root
+    owner = tree.at
     linked = 0
 
     def flush() -> None:
@@ -155,32 +196,19 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
         text = _SPACE.sub(" ", html_entities.unescape("".join(parts))).strip()
         if text:
             out.append((owner, text, linked))
-            owner.count(len(text))
+            owner.size += len(text)
         parts, linked = [], 0
 
     def say(text: str) -> None:
         nonlocal owner, linked
-        if at.furniture or not text:
+        if tree.at.furniture or not text:
             return
         if not parts:
-            owner = at
-            while owner.tag in _INLINE and owner.parent is not None:
-                owner = owner.parent
+            owner = tree.at.block
         parts.append(text)
-        if at.link:
+        if tree.at.link:
             linked += len(text.strip())
 
-    def close(names: set[str] | frozenset[str], stop: frozenset[str]) -> None:
-        """Close the nearest open element of these names unless one of ``stop`` is nearer."""
-        nonlocal at
-        e = at
-        while e.parent is not None and e.tag not in names:
-            if e.tag in stop:
-                return
-            e = e.parent
-        if e.parent is not None:
-            at = e.parent
-
     position, size = 0, len(page)
     while position < size:
         begin = page.find("<", position)
@@ -203,8 +231,8 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
         if m["end"] or m["end2"]:
             if tag == "br":
                 say(" ")
-            elif block or at.tag in _INLINE:
-                close({tag}, frozenset() if block else frozenset(["p", "div", "td", "li", "article", "section"]))
+            elif block or tree.at.tag in _INLINE:
+                tree.close({tag}, frozenset() if block else frozenset(["p", "div", "td", "li", "article", "section"]))
             continue
         rest = m["rest"] if m["tag"] else m["rest2"]
         if tag in _RAW:
@@ -218,16 +246,15 @@ def _blocks(page: str) -> list[tuple[_Element, str, int]]:
             continue
         if block:
             # A block ends an open paragraph and the inline elements left open in it.
-            e = at
-            while e.tag in _INLINE and e.parent is not None:
-                e = e.parent
+            e = tree.at.block
             if e.tag in _CLOSED_BY_BLOCK:
-                at = e.parent
+                tree.leave(e)
             if tag in _CLOSES:
-                close(_CLOSES[tag], frozenset(["ul", "ol", "dl", "table", "select"]))
-        at = _Element(tag, at, *_is_furniture(tag, rest or "", at))
+                tree.close(_CLOSES[tag], frozenset(["ul", "ol", "dl", "table", "select"]))
+        tree.add(tag, *_is_furniture(tag, rest or "", tree.at))
     flush()
-    return out
+    tree.weigh()
+    return tree, out
 
 
 def _around(elements: list[_Element]) -> _Element:
@@ -237,42 +264,51 @@ def _around(elements: list[_Element]) -> _Element:
     while e is not None:
         chain.append(e)
         e = e.parent
+    # Where the way up from an element meets the chain; ways already gone are not gone again.
     height = {id(x): k for k, x in enumerate(chain)}
     top = 0
     for e in elements[1:]:
+        way = []
         while id(e) not in height:
+            way.append(id(e))
             e = e.parent
+        height.update(dict.fromkeys(way, height[id(e)]))
         top = max(top, height[id(e)])
     return chain[top]
 
 
-def main_text(page: str | None) -> str:
-    """The article of one page as text; empty if there is none."""
-    found = _blocks(page or "")
-    # Names alone never leave a page without text.
-    found = [b for b in found if not b[0].named_furniture()] or found
-    blocks = [b for b in found if b[2] <= LINK_SHARE * len(b[1])]
-    blocks = blocks or [b for b in found if b[0].article]
-    if not blocks:
-        return ""
-    paths: dict[str, int] = {}
-    which = np.array([paths.setdefault(e.path, len(paths)) for e, _, _ in blocks])
+def _path_scores(blocks: list[tuple[_Element, str, int]]) -> np.ndarray:
+    """The score of every block's path, as a share of the best."""
+    paths: dict[tuple[int, bool], int] = {}
+    which = np.array([paths.setdefault((e.path, e.named), len(paths)) for e, _, _ in blocks])
+    weight = np.array([NAME_WEIGHT if named else 1.0 for _, named in paths])
     length = np.array([len(t) for _, t, _ in blocks], float)
     marks = np.array([len(_PUNCTUATION.findall(t)) for _, t, _ in blocks], float)
     nodes = np.bincount(which)
-    ratios = [np.bincount(which, weights=w) / nodes for w in (length, marks + 1)]
     fused = np.ones(len(blocks))
-    for ratio in ratios:
-        series = np.pad(ratio[which], 1, mode="edge")
+    for values in (length, marks + 1):
+        own = (np.bincount(which, weights=values) / nodes)[which]
+        series = np.pad(own, 1, mode="edge")
         smooth = sum(w * series[k : k + len(blocks)] for k, w in enumerate(SMOOTHING))
-        fused *= smooth
-    score = np.bincount(which, weights=fused) / nodes
-    content = (score >= PATH_SHARE * score.max())[which]
+        fused *= np.sqrt(own * smooth)
+    score = weight * np.bincount(which, weights=fused) / nodes
+    return (score / score.max())[which]
 
+
+def main_text(page: str | None) -> str:
+    """The article of one page as text; empty if there is none."""
+    tree, found = _blocks(page or "")
+    blocks = [b for b in found if b[2] <= LINK_SHARE * len(b[1])]
+    blocks = blocks or [b for b in found if b[0].article]
+    if not blocks:
+        return ""
+    content = _path_scores(blocks) >= PATH_SHARE
     chosen = [e for (e, _, _), c in zip(blocks, content) if c]
+    for e in chosen:
+        e.chosen = True
     article = _around(chosen)
     first = int(np.flatnonzero(content)[0])
-    title = next((e for e, _, _ in reversed(blocks[:first]) if e.tag == "h1"), None)
+    title = next((e for e, _, _ in reversed(blocks[:first]) if e.tag == "h1" and not e.named), None)
     whole = article
     while whole is not None and whole.tag not in ("article", "main"):
         whole = whole.parent
@@ -282,26 +318,41 @@ def main_text(page: str | None) -> str:
         with_title = _around([article, title])
         if with_title.tag not in ("", "html", "body"):
             article = with_title
-    while article.tag in ("p", "li", "td", "th", "tr", "blockquote", "pre", "dd", "dt") and article.parent is not None:
+    while article.tag in _PARTS and article.parent is not None:
         article = article.parent
 
-    def inside(e: _Element | None) -> bool:
-        while e is not None:
-            if e is article:
-                return True
-            e = e.parent
-        return False
-
-    taken = {id(e) for e, _, _ in blocks}
+    passed = {id(b) for b, c in zip(blocks, content) if c}
+    taken = {id(b) for b in blocks}
+    for e in reversed(tree.elements[1:]):
+        e.parent.chosen |= e.chosen
+    for e in tree.elements:
+        e.inside = e is article or (e.parent is not None and e.parent.inside)
     links = article.tag not in ("", "html", "body")
-    return " ".join(t for (e, t, _) in found if (links or id(e) in taken) and inside(e) or e is title)
+    kept: list[str] = []
+    ahead = False  # the block that a heading stands above is content
+    for b in reversed(found):
+        e, text, _ = b
+        heading = e.tag in _HEADINGS
+        keep = id(b) in passed
+        if not keep and not e.named and (links or id(b) in taken):
+            around = e
+            while around.tag in _PARTS and around.parent is not None:
+                around = around.parent
+            keep = around.chosen or (heading and ahead)
+        if not heading and e.inside:
+            ahead = id(b) in passed
+        if (keep and e.inside) or e is title:
+            kept.append(text)
+    return " ".join(reversed(kept))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row; n_chars counts code points.
 
-    A null or empty page, and one without text outside furniture, has an empty text. Repeated
-    rows stay; null ids and addresses are passed on; other columns are left out.
+    A null or empty page, and one without text outside furniture, has an empty text. Long and
+    deeply nested pages are read whole, in time and memory that grow with their length. Repeated
+    rows stay; null ids and addresses are passed on; other columns are left out; of equal scores
+    all paths count.
     """
     narrow = pages.select(F.col(id_col), F.col(url_col), F.col(html_col))
 
