@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from tidemark.llm.arrays import column
 
 SMOOTHING = (0.25, 0.5, 0.25)
-PATH_SHARE = 0.1  # of the best fused ratio
+PATH_SHARE = 0.2  # of the best fused ratio
 LINK_SHARE = 0.5
 SOFT_SHARE = 0.5  # of the text in the article or page around
 NAME_WEIGHT = 0.01  # of the score of what is named like furniture
