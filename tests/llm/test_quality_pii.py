@@ -1,7 +1,10 @@
 """Quality rules and pseudonyms, against plain Python."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 from datetime import date, timedelta
 
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import pii, quality, queries
 
 SMALL = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 # --- quality -----------------------------------------------------------------------------
@@ -254,3 +258,23 @@ def test_the_date_cycle_is_permuted_whole():
     assert 189 * 773 == 146_097
     seen = {number_cipher("date", x, y, 189, 773) for x in range(0, 189, 27) for y in range(773)}
     assert len(seen) == 7 * 773
+
+
+def test_parser_keeps_little_of_the_expression():
+    """What the SQL parser learns from an expression stays in the driver as long as it runs."""
+    code = """
+from tidemark.llm import pii
+from tidemark.session import spark_session
+spark = spark_session("parser", "local[1]", settings={"spark.ui.enabled": "false"})
+memory = spark._jvm.java.lang.Runtime.getRuntime()
+def used():
+    for _ in range(4):
+        spark._jvm.System.gc()
+    return (memory.totalMemory() - memory.freeMemory()) / 2**20
+docs = spark.range(1).selectExpr("if(id = 0, 'a', 'b') AS text")
+before = used()
+pii.pseudonymise(docs).schema
+print("MB", round(used() - before))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert int(done.stdout.split("MB")[1]) < 40, done.stderr

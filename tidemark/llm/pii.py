@@ -64,13 +64,16 @@ def _string_cipher(key: str, kind: str, value: str, classes: tuple = _CLASSES) -
     """Permute a string; letters and digits stay in their class, the rest stays as it is."""
     digest = f"sha2(concat_ws('|', {_text(key)}, '{kind}', CAST(i AS STRING), s.r), 256)"
     amount = "CAST(conv(substr(h, 2 * (k % 32) + 1, 2), 16, 10) AS INT)"
-    shifted = " ".join(
-        f"WHEN c BETWEEN '{a}' AND '{z}' THEN chr(ascii('{a}') + (ascii(c) - ascii('{a}') + {amount}) % {n})"
-        for a, z, n in classes
+    shifted = _choice(
+        [
+            (f"c BETWEEN '{a}' AND '{z}'", f"chr(ascii('{a}') + (ascii(c) - ascii('{a}') + {amount}) % {n})")
+            for a, z, n in classes
+        ],
+        "c",
     )
     other = (
         f"transform(array({digest}), h -> if(s.l = '', '',"
-        f" array_join(transform(split(s.l, ''), (c, k) -> CASE {shifted} ELSE c END), '')))[0]"
+        f" array_join(transform(split(s.l, ''), (c, k) -> {shifted}), '')))[0]"
     )
     half = f"CAST(length({value}) DIV 2 AS INT)"
     return (
@@ -92,6 +95,17 @@ def _number_cipher(key: str, kind: str, x: str, y: str, moduli: tuple, result: s
     )
 
 
+def _choice(branches: list[tuple[str, str]], other: str) -> str:
+    """The value of the first test that holds, as ``CASE`` has it.
+
+    The parser reads ``CASE`` to its end before it knows its form, once for every level and all
+    over again, and keeps what it has seen; ``if`` it knows at once.
+    """
+    for test, value in reversed(branches):
+        other = f"if({test}, {value}, {other})"
+    return other
+
+
 def _bind(name: str, value: str, body: str) -> str:
     """``body`` with ``name`` standing for ``value``, which is computed once."""
     return f"transform(array({value}), {name} -> {body})[0]"
@@ -165,8 +179,8 @@ def _ssn(key: str) -> str:
 def _ip(key: str) -> str:
     # Every octet keeps its number of digits: 0 to 9, 10 to 99 or 100 to 255.
     octets = [f"split(m, '[.]')[{k}]" for k in range(4)]
-    size = [f"CASE length({o}) WHEN 1 THEN 10 WHEN 2 THEN 90 ELSE 156 END" for o in octets]
-    base = [f"CASE length({o}) WHEN 1 THEN 0 WHEN 2 THEN 10 ELSE 100 END" for o in octets]
+    size = [_choice([(f"length({o}) = 1", "10"), (f"length({o}) = 2", "90")], "156") for o in octets]
+    base = [_choice([(f"length({o}) = 1", "0"), (f"length({o}) = 2", "10")], "100") for o in octets]
     index = [f"(CAST({o} AS INT) - {b})" for o, b in zip(octets, base)]
     digits = [
         f"CAST(s.{half} {step} ({size[second]}) + {base[k]} AS STRING)"
@@ -197,8 +211,8 @@ def _date(key: str) -> str:
         new = f"date_format(date_add(DATE'{_CYCLE_START}', CAST(s.x * {_DATE_MODULI[1]} + s.y + {offset} - {index} AS INT)), '{java}')"
         cipher = _number_cipher(key, "date", f"{index} DIV {_DATE_MODULI[1]}", f"{index} % {_DATE_MODULI[1]}", _DATE_MODULI, new)
         body = f"if(year(t) BETWEEN {_FIRST_YEAR} AND {_LAST_YEAR}, {cipher}, m)"
-        branches.append(f"WHEN m LIKE '{like}' THEN {_bind('t', parsed, body)}")
-    return f"CASE {' '.join(branches)} ELSE m END"
+        branches.append((f"m LIKE '{like}'", _bind("t", parsed, body)))
+    return _choice(branches, "m")
 
 
 def _email(key: str) -> str:
@@ -209,17 +223,17 @@ def _email(key: str) -> str:
 def _pseudonym(key: str) -> str:
     """The replacement of the match ``m``."""
     kinds = {"email": _email(key), "phone": _phone(key), "grouped": _grouped(key), "ssn": _ssn(key), "date": _date(key), "ip": _ip(key), "card": _card(key)}
-    tests = {k: f"m RLIKE {_text('^(?:' + _FORMATS[k] + ')$')}" for k in kinds}
-    branches = " ".join(f"WHEN {tests[k]} THEN {kinds[k]}" for k in kinds)
+    branches = [(f"m RLIKE {_text('^(?:' + _FORMATS[k] + ')$')}", kinds[k]) for k in kinds]
     hexadecimal = _string_cipher(key, "secret", "m", _HEX)
     upper_hexadecimal = _string_cipher(key, "secret", "m", _UPPER_HEX)
     access_key = f"concat('AKIA', {_string_cipher(key, 'secret', 'substr(m, 5)')})"
     other = _string_cipher(key, "secret", "m")
-    return (
-        f"CASE {branches} WHEN m RLIKE '^[0-9a-f]+$' THEN {hexadecimal}"
-        f" WHEN m RLIKE '^([0-9A-F]{{40}}|[0-9A-F]{{64}})$' THEN {upper_hexadecimal}"
-        f" WHEN m RLIKE '^AKIA[0-9A-Z]{{16}}$' THEN {access_key} ELSE {other} END"
-    )
+    branches += [
+        ("m RLIKE '^[0-9a-f]+$'", hexadecimal),
+        ("m RLIKE '^([0-9A-F]{40}|[0-9A-F]{64})$'", upper_hexadecimal),
+        ("m RLIKE '^AKIA[0-9A-Z]{16}$'", access_key),
+    ]
+    return _choice(branches, other)
 
 
 def pseudonyms(text_col: str = "text", key: str = DEFAULT_KEY) -> Column:
@@ -227,10 +241,11 @@ def pseudonyms(text_col: str = "text", key: str = DEFAULT_KEY) -> Column:
     text = f"`{text_col}`"
     found = f"regexp_extract_all({text}, {_text(_ANY)}, 0)"
     rest = f"split({text}, {_text(_ANY)}, -1)"
-    new = _bind("m", "ms[p]", _pseudonym(key))
-    rebuilt = f"array_join(transform({rest}, (part, p) -> concat(part, CASE WHEN p < size(ms) THEN {new} ELSE '' END)), '')"
-    body = f"CASE WHEN size(ms) = 0 THEN {text} ELSE {rebuilt} END"
-    return F.expr(f"CASE WHEN {text} RLIKE '[0-9@=:]' THEN {_bind('ms', found, body)} ELSE {text} END")
+    # Few levels around the long expression: each costs the parser memory that it keeps.
+    new = f"transform(ms, m -> {_pseudonym(key)})"
+    rebuilt = f"array_join(zip_with({rest}, {new}, (part, n) -> concat(part, ifnull(n, ''))), '')"
+    replaced = F.expr(_bind("ms", found, f"if(size(ms) = 0, {text}, {rebuilt})"))
+    return F.when(F.expr(f"{text} RLIKE '[0-9@=:]'"), replaced).otherwise(F.expr(text))
 
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
