@@ -7,6 +7,7 @@ from collections import Counter
 import awkward
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,3 +131,94 @@ def test_borders_of_ranges_are_compared(spark):
         assert suffixes.remove_repeats(docs).agg(F.sum("n_removed")).first()[0] > 199 * 80
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def packed_spans(rows, splitters):
+    """The packed spans of all anchors of the rows."""
+    from zstandard import ZstdCompressor
+
+    anchors = []
+    for _, text in rows:
+        grams = gram_hashes(np.frombuffer(text.encode(), np.uint8), suffixes.GRAM)
+        anchors.append(suffixes._anchor_hashes(grams).view(np.int64).tolist())
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([i for i, _ in rows]),
+            pa.array([0] * len(rows)),
+            pa.array([ZstdCompressor().compress(t.encode()) for _, t in rows]),
+            pa.array(anchors, pa.list_(pa.int64())),
+        ],
+        names=["id", "key", "text", "anchors"],
+    )
+    return list(suffixes._spans(splitters)([batch]))
+
+
+def test_equal_spans_are_sorted_once(monkeypatch):
+    rows = [(i, f"{awkward.PASSAGE[:120]}{i:04d}{i}") for i in range(100)]
+    spans = packed_spans(rows, np.zeros(0, f"S{suffixes._LEAD}"))
+    sort, sorted_ = suffixes.multikey_groups, []
+
+    def counted(data, starts, length):
+        if length == suffixes.LENGTH:
+            sorted_.append(len(starts))
+        return sort(data, starts, length)
+
+    monkeypatch.setattr(suffixes, "multikey_groups", counted)
+    found = pa.Table.from_batches(list(suffixes._sort_range(spans))).to_pylist()
+    closed = [r for r in found if r["anchor"] is None]
+    lost = {i: set() for i in range(100)}
+    for r in closed:
+        lost[r["id"]] |= set(range(r["first"], r["first"] + r["n"]))
+    assert all(lost[i] >= set(range(120 - 50 + 1)) for i in range(1, 100)) and not lost[0]
+    # 100 texts of more than 70 suffixes each; but for their ends they are one text
+    assert sum(sorted_) < 100 * 75 / 2
+
+
+@pytest.mark.parametrize("hashes", [suffixes.span_hashes, lambda data, a, b: np.zeros(len(a), np.uint64)])
+def test_spans_of_a_class_are_equal(monkeypatch, hashes):
+    monkeypatch.setattr(suffixes, "span_hashes", hashes)
+    words = [b"abc", b"abd", b"abc", b"abcd", b"abc", b"abd"]
+    place, size = np.cumsum([0, *map(len, words)])[:-1], np.array([len(w) for w in words])
+    data = np.frombuffer(b"".join(words), np.uint8)
+    anchor, offset, ids = np.zeros(6, int), np.array([0, 0, 0, 0, 1, 0]), np.array([5, 4, 3, 2, 1, 9])
+    kind, example = suffixes._alike(data, place, size, anchor, offset, ids)
+    for i in range(6):
+        assert (words[i], offset[i]) == (words[example[kind[i]]], offset[example[kind[i]]])
+        assert ids[example[kind[i]]] <= ids[i]
+    if hashes is not None and hashes(data, place, place + size).any():
+        assert kind[0] == kind[2] and kind[1] == kind[5] and len(example) == 4
+
+
+def test_ranges_hold_about_the_same(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, bytes(rng.integers(97, 100, 400, np.uint8)).decode()) for i in range(80)]
+    known = spark.createDataFrame(rows, "id bigint, text string").selectExpr("id", "CAST(text AS binary) AS text")
+    splitters = suffixes._splitters(known, 80 * 400, 8)
+    assert len(splitters) == 7 and (splitters[1:] >= splitters[:-1]).all()
+    counts = np.zeros(8, int)
+    for batch in packed_spans(rows, splitters):
+        for r in batch.to_pylist():
+            counts[r["range"]] += len(suffixes.unpacked(pa.array([r["lengths"]]))[0].as_py())
+    assert counts.min() > counts.sum() / 16 and counts.max() < counts.sum() / 4
+    assert len(suffixes._splitters(known.where("false"), 0, 8)) == 0
+
+
+@pytest.mark.parametrize("partitions", ["1", "16"])
+def test_passages_with_changes(spark, partitions):
+    """Many classes of spans for one anchor, ids that repeat, several ranges."""
+    rng = np.random.default_rng(7)
+    base = awkward.PASSAGE[:260]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in rng.integers(0, len(text), rng.integers(0, 3)):
+            text[at] = "~^ü"[rng.integers(3)]
+        cut = int(rng.integers(0, 120))
+        rows.append((int(rng.integers(-40, 80)), "".join(text[cut:]) + " | " + "".join(text[: int(rng.integers(0, 90))])))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        got = [(*r[:4], bytes(r.kept)) for r in suffixes.remove_repeats(docs).collect()]
+        assert sorted(got) == sorted(bytes_expected(rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

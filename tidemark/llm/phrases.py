@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64
@@ -41,10 +41,13 @@ _PHRASE, _COPY, _DOCUMENT = 0, 1, 2
 _ALL = 1 << 30  # all windows of a text
 
 
-def bucket_count(docs: DataFrame, text_col: str) -> int:
-    """Buckets of about ``BUCKET_BYTES`` of text, several for each shuffle partition."""
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def text_bytes(docs: DataFrame, text_col: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+
+
+def bucket_count(spark: SparkSession, size: int) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of ``size`` bytes of text, several for each shuffle partition."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(4 * partitions, -(-size // BUCKET_BYTES))
 
 
@@ -211,7 +214,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key")
     )
-    buckets = bucket_count(rows, "text")
+    buckets = bucket_count(docs.sparkSession, text_bytes(rows, "text"))
     dealt = rows.where("id IS NOT NULL AND text IS NOT NULL").withColumn(
         "bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
     )

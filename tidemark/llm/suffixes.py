@@ -8,10 +8,11 @@ in sorted order. Three steps keep out of the sort what cannot matter:
    anchors are counted; a suffix can only recur if its anchor is found under two ids.
 2. Texts equal to one with a smaller id are whole copies.
 
-The suffixes that share an anchor form a span of text. Spark samples splitters over the leading
-bytes of the spans from their anchors on and deals the spans to ranges. Each range sorts its
-suffixes by multikey quicksort on eight bytes at a time and takes the smallest id of every run of
-equal beginnings. Many equal spans fill several ranges, since ids are part of the splitters. What
+The suffixes that share an anchor form a span of text. Splitters over the order of spans (anchor,
+id, place) come from a sample of the documents; every task packs its spans by range and the ranges
+are dealt out. Of equal spans in a range one stands for all. Each range sorts the suffixes of these by
+multikey quicksort on eight bytes at a time and takes the smallest id of every run of equal
+beginnings. Many equal anchors fill several ranges, since ids are part of the splitters. What
 no smaller id of its own range precedes may have one across the border: for the first and the
 last anchor of every range these suffixes are compared over all ranges.
 
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.arrays import binary, column, mixed, ragged, span_hashes, text_chunks
 from tidemark.llm.packing import packed, unpacked
-from tidemark.llm.phrases import bucket_count
+from tidemark.llm.phrases import bucket_count, text_bytes
 from tidemark.llm.windows import anchored_windows, covered, gram_hashes, runs
 from tidemark.scratch import ensure_checkpoint_dir
 
@@ -41,6 +42,9 @@ _FLUSH_ANCHORS = 250_000
 _HASH_BYTES = 5
 _CHUNK_BYTES = 512 << 10  # of text at a time; the arrays take some fifty times as much
 _SORTED_SUFFIXES = 250_000  # at a time; anchors are not divided
+_FLUSH_SPANS = 250_000
+_SAMPLED_LEADS = 200  # a range
+_BYTES_A_SPAN = 14  # about; of any text
 
 
 # --- anchors that stand under two ids ----------------------------------------------------
@@ -137,39 +141,103 @@ def _recurring(table: pa.Table) -> pa.Table:
 
 # --- spans -------------------------------------------------------------------------------
 
-_SPANS = "id bigint, key bigint, first int, n int, offset int, content binary"
+_SPANS = "range int, ids binary, keys binary, firsts binary, lengths binary, offsets binary, content binary"
+# Column of a packed row, type of its numbers.
+_PACKED = {"ids": "<i8", "keys": "<i8", "firsts": "<i4", "lengths": "u1", "offsets": "u1", "content": "u1"}
+_LEAD = GRAM + 12
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The spans around the anchors that each row names."""
-    for batch in batches:
-        ids, keys, texts, wanted = (column(batch, c) for c in ("id", "key", "text", "anchors"))
-        for row, end, data, offsets in text_chunks(unpacked(texts), _CHUNK_BYTES):
-            grams = gram_hashes(data, GRAM)
-            windows, at = anchored_windows(grams, offsets, LENGTH, GRAM)
-            first, length = runs(at, windows)
-            begin, at = windows[first], at[first]
-            text = np.searchsorted(offsets, begin, side="right") - 1
-            part = wanted.slice(row, end - row)
-            owner = np.repeat(np.arange(end - row), np.diff(part.offsets.to_numpy()))
-            asked = part.flatten().to_numpy().view(np.uint64)
-            # A pair of text and anchor as one number; a wrong hit costs work, no result.
-            sought = mixed(asked ^ mixed(owner.astype(np.uint64)))
-            here = np.isin(mixed(_anchor_hashes(grams[at]) ^ mixed(text.astype(np.uint64))), sought)
-            begin, at, length, text = begin[here], at[here], length[here], text[here]
-            size = length - 1 + LENGTH
-            own = pa.array(row + text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(own),
-                    keys.take(own),
-                    pa.array((begin - offsets[text]).astype(np.int32)),
-                    pa.array(length.astype(np.int32)),
-                    pa.array((at - begin).astype(np.int32)),
-                    binary(data[ragged(begin, size)], np.cumsum(np.r_[0, size]), pa.binary()),
-                ],
-                names=["id", "key", "first", "n", "offset", "content"],
-            )
+def _leads(data: np.ndarray, at: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The order of spans as bytes: the anchor, the id, the place of the span."""
+    lead = np.empty((len(at), _LEAD), np.uint8)
+    lead[:, :GRAM] = data[at[:, None] + np.arange(GRAM)]
+    lead[:, GRAM : GRAM + 8] = (ids.astype(np.int64) ^ np.int64(-(1 << 63))).astype(">i8").view(np.uint8).reshape(-1, 8)
+    lead[:, GRAM + 8 :] = first.astype(">u4").view(np.uint8).reshape(-1, 4)
+    return lead.view(f"S{_LEAD}").ravel()
+
+
+def _splitters(known: DataFrame, size: int, ranges: int) -> np.ndarray:
+    """Leads that divide the spans of all texts, recurring or not, into ``ranges`` equal parts.
+
+    They come from a sample of the documents, some two hundred leads a range. Of the recurring spans
+    a range has therefore no more than its part of all.
+    """
+    rate = min(1.0, _SAMPLED_LEADS * ranges * _BYTES_A_SPAN / max(size, 1))
+    one_in = max(1, int(1 / (8 * rate)))
+    share = min(1.0, rate * one_in)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = column(batch, "id").to_numpy()
+            for row, _, data, offsets in text_chunks(column(batch, "text"), _CHUNK_BYTES):
+                windows, at = anchored_windows(gram_hashes(data, GRAM), offsets, LENGTH, GRAM)
+                first, _ = runs(at, windows)
+                begin, at = windows[first], at[first]
+                text = np.searchsorted(offsets, begin, side="right") - 1
+                spread = mixed(own[row + text].astype(np.uint64) * np.uint64(1 << 32) + begin.astype(np.uint64))
+                taken = (spread >> np.uint64(11)) < np.uint64(int(share * (1 << 53)))
+                begin, at, text = begin[taken], at[taken], text[taken]
+                leads = _leads(data, at, own[row + text], begin - offsets[text])
+                yield pa.RecordBatch.from_arrays([pa.array([x.ljust(_LEAD, b"\0") for x in leads.tolist()], pa.binary())], names=["lead"])
+
+    sampled = known.where(F.pmod(F.xxhash64("id", F.lit("range")), F.lit(one_in)) == 0)
+    rows = sampled.select("id", "text").mapInArrow(run, "lead binary").collect()
+    leads = np.sort(np.array([bytes(r["lead"]) for r in rows], f"S{_LEAD}"))
+    return leads[np.arange(1, ranges) * len(leads) // ranges] if len(leads) else leads
+
+
+def _spans(splitters: np.ndarray):
+    """The spans around the anchors that each row names, packed by range."""
+    from zstandard import ZstdCompressor
+
+    def flush(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        number, ids, keys, firsts, lengths, offsets, sizes, content = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(number, kind="stable")
+        number, sizes, starts = number[order], sizes[order], (np.cumsum(sizes) - sizes)[order]
+        content = content[ragged(starts, sizes)]
+        cuts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+        compress = ZstdCompressor(level=1).compress
+        columns = dict(zip(_PACKED, (*(x[order] for x in (ids, keys, firsts, lengths, offsets)), content)))
+        ends = np.r_[0, np.cumsum(sizes)]
+        arrays = [pa.array(number[cuts].astype(np.int32))]
+        for name, kind in _PACKED.items():
+            bounds = np.r_[cuts, len(number)]
+            bounds = ends[bounds] if name == "content" else bounds
+            values = columns[name].astype(kind)
+            arrays.append(pa.array([compress(values[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()))
+        return pa.RecordBatch.from_arrays(arrays, names=["range", *_PACKED])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
+        for batch in batches:
+            ids, keys = (column(batch, c).to_numpy() for c in ("id", "key"))
+            texts, wanted = column(batch, "text"), column(batch, "anchors")
+            for row, end, data, offsets in text_chunks(unpacked(texts), _CHUNK_BYTES):
+                grams = gram_hashes(data, GRAM)
+                windows, at = anchored_windows(grams, offsets, LENGTH, GRAM)
+                first, length = runs(at, windows)
+                begin, at = windows[first], at[first]
+                text = np.searchsorted(offsets, begin, side="right") - 1
+                part = wanted.slice(row, end - row)
+                owner = np.repeat(np.arange(end - row), np.diff(part.offsets.to_numpy()))
+                asked = part.flatten().to_numpy().view(np.uint64)
+                # A pair of text and anchor as one number; a wrong hit costs work, no result.
+                sought = mixed(asked ^ mixed(owner.astype(np.uint64)))
+                here = np.isin(mixed(_anchor_hashes(grams[at]) ^ mixed(text.astype(np.uint64))), sought)
+                begin, at, length, text = begin[here], at[here], length[here], text[here]
+                size = length - 1 + LENGTH
+                place = begin - offsets[text]
+                number = np.searchsorted(splitters, _leads(data, at, ids[row + text], place), side="right")
+                held.append((number, ids[row + text], keys[row + text], place, length, at - begin, size, data[ragged(begin, size)]))
+                count += len(begin)
+                if count >= _FLUSH_SPANS:
+                    yield flush(held)
+                    held, count = [], 0
+        if count:
+            yield flush(held)
+
+    return run
 
 
 # --- sorting one range -------------------------------------------------------------------
@@ -206,23 +274,45 @@ def multikey_groups(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[
 _FOUND = "id bigint, key bigint, first int, n int, anchor bigint, window bigint"
 
 
+def _alike(data: np.ndarray, place: np.ndarray, size: np.ndarray, anchor: np.ndarray, offset: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every span, and the row of its smallest id for every class.
+
+    Spans of a class are equal, byte by byte. Equal ones whose hashes happen to lie between those of
+    others may be in two classes.
+    """
+    hashes = span_hashes(data, place, place + size)
+    by = np.lexsort((ids, hashes, size, offset, anchor))
+    like = np.zeros(len(by), bool)
+    like[1:] = True
+    for x in (hashes, size, offset, anchor):
+        like[1:] &= x[by[1:]] == x[by[:-1]]
+    pair = np.flatnonzero(like)
+    if len(pair):
+        a, b, length = by[pair - 1], by[pair], size[by[pair]]
+        differs = data[ragged(place[a], length)] != data[ragged(place[b], length)]
+        like[pair] = ~np.logical_or.reduceat(differs, np.cumsum(length) - length)
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(~like) - 1
+    return number, by[~like]
+
+
 def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes of one range that begin as one with a smaller id does, as ranges of places; and
-    of the anchors at its borders those that do not, one by one, with hashes to compare them by."""
+    of the anchors at its borders those that do not, one by one, with hashes to compare them by.
+
+    Equal spans have equal suffixes: one of each class is sorted, and none where an anchor has one class."""
+    from zstandard import ZstdDecompressor
+
     # Column by column, and contents as bytes alone: a range is held once, not three times.
-    columns: dict[str, list[np.ndarray]] = {c: [] for c in ("id", "key", "first", "n", "offset")}
-    contents = []
+    expand = ZstdDecompressor().decompress
+    held: dict[str, list[np.ndarray]] = {c: [] for c in _PACKED}
     for batch in batches:
-        for name, parts in columns.items():
-            parts.append(column(batch, name).to_numpy().astype(np.int64))
-        for _, _, content, _ in text_chunks(column(batch, "content")):
-            contents.append(content.copy())
-    if not contents:
+        for name, parts in held.items():
+            parts += [np.frombuffer(expand(x.as_py()), _PACKED[name]) for x in column(batch, name)]
+    if not held["ids"]:
         return
-    data = np.concatenate(contents)
-    contents.clear()
-    ids, keys, first, n, offset = (np.concatenate(parts) for parts in columns.values())
-    columns.clear()
+    data = np.concatenate(held.pop("content"))
+    ids, keys, first, n, offset = (np.concatenate(held.pop(c)).astype(np.int64, copy=False) for c in list(held))
     content = np.cumsum(n - 1 + LENGTH) - (n - 1 + LENGTH)
 
     # Rows by anchor, in portions of whole anchors.
@@ -233,39 +323,56 @@ def _sort_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cuts = np.flatnonzero(np.r_[True, portion[1:] != portion[:-1]])
     for k, until in zip(cuts, np.r_[cuts[1:], len(begins)]):
         rows = order[begins[k] : ends[until - 1]]
-        row = np.repeat(rows, n[rows])
-        starts = ragged(content[rows], n[rows])
-        by_suffix, runs_begin = multikey_groups(data, starts, LENGTH)
-        least = np.minimum.reduceat(ids[row][by_suffix], runs_begin)
-        smallest = np.empty(len(starts), np.int64)
-        smallest[by_suffix] = np.repeat(least, np.diff(np.r_[runs_begin, len(by_suffix)]))
-        late = ids[row] > smallest
-        place = first[row] + starts - content[row]
+        anchor = np.repeat(np.arange(until - k), ends[k:until] - begins[k:until])
+        size = n[rows] - 1 + LENGTH
+        own = data[ragged(content[rows], size)]
+        place = np.cumsum(size) - size
+        kind, example = _alike(own, place, size, anchor, offset[rows], ids[rows])
+
+        # The first and the last anchor of the range, and those with spans of several classes.
+        border = np.zeros(until - k, bool)
+        border[[0] if k == 0 else []] = True
+        border[[-1] if until == len(begins) else []] = True
+        several = np.bincount(anchor[example], minlength=until - k) > 1
+        several |= border
+
+        # Of the other anchors a span recurs as a whole or not at all.
+        whole = np.flatnonzero(~several[anchor] & (ids[rows] > ids[rows[example[kind]]]))
+
+        sorted_ = example[several[anchor[example]]]
+        starts = ragged(place[sorted_], n[rows[sorted_]])
+        smallest = np.zeros(len(starts), np.int64)
+        if len(starts):
+            by_suffix, runs_begin = multikey_groups(own, starts, LENGTH)
+            least = np.minimum.reduceat(np.repeat(ids[rows[sorted_]], n[rows[sorted_]])[by_suffix], runs_begin)
+            smallest[by_suffix] = np.repeat(least, np.diff(np.r_[runs_begin, len(by_suffix)]))
+        begin_of = np.zeros(len(example), np.int64)  # of a class in ``smallest``
+        begin_of[kind[sorted_]] = np.cumsum(n[rows[sorted_]]) - n[rows[sorted_]]
+        open_ = np.flatnonzero(several[anchor])
+        row = np.repeat(open_, n[rows[open_]])
+        within = ragged(np.zeros(len(open_), np.int64), n[rows[open_]])
+        late = ids[rows[row]] > smallest[begin_of[kind[row]] + within]
         chosen = np.flatnonzero(late)
-        begin, length = runs(row[chosen], place[chosen])
-        begin = chosen[begin]
-
-        # The first and the last anchor of the range.
-        border = np.zeros(len(rows), bool)
-        if k == 0:
-            border[: ends[0]] = True
-        if until == len(begins):
-            border[begins[-1] - begins[k] :] = True
-        edge = np.flatnonzero(np.repeat(border, n[rows]) & ~late)
-        at = content[row[edge]] + offset[row[edge]]
-        closed = np.arange(len(begin) + len(edge)) < len(begin)
-        nothing = np.zeros(len(begin), np.int64)
+        start, length = runs(row[chosen], within[chosen])
+        start = chosen[start]
+
+        edge = np.flatnonzero(border[anchor[row]] & ~late)
+        at = place[row[edge]] + offset[rows[row[edge]]]
+        from_ = place[row[edge]] + within[edge]
+        closed = np.arange(len(whole) + len(start) + len(edge)) < len(whole) + len(start)
+        nothing = np.zeros(len(whole) + len(start), np.int64)
         hashes = [
-            np.r_[nothing, span_hashes(data, x, x + size).view(np.int64)]
-            for x, size in ((at, GRAM), (starts[edge], LENGTH))
+            np.r_[nothing, span_hashes(own, x, x + width).view(np.int64)]
+            for x, width in ((at, GRAM), (from_, LENGTH))
         ]
-        both = np.r_[begin, edge]
+        found = rows[np.r_[whole, row[start], row[edge]]]
+        shift = np.r_[np.zeros(len(whole), np.int64), within[start], within[edge]]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids[row[both]]),
-                pa.array(keys[row[both]]),
-                pa.array(place[both].astype(np.int32)),
-                pa.array(np.r_[length, np.ones(len(edge), np.int64)].astype(np.int32)),
+                pa.array(ids[found]),
+                pa.array(keys[found]),
+                pa.array((first[found] + shift).astype(np.int32)),
+                pa.array(np.r_[n[rows[whole]], length, np.ones(len(edge), np.int64)].astype(np.int32)),
                 *(pa.array(h, mask=closed) for h in hashes),
             ],
             names=["id", "key", "first", "n", "anchor", "window"],
@@ -291,7 +398,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.xxhash64(text_col).alias("key"),
         F.col(text_col).cast("binary").alias("text"),
     )
-    buckets = bucket_count(rows, "text")
+    size = text_bytes(rows, "text")
+    buckets = bucket_count(spark, size)
+    ranges = max(1, buckets // 2)
     known = rows.where(f"id IS NOT NULL AND octet_length(text) >= {LENGTH}")
 
     asked = known.select("id", "text").mapInArrow(
@@ -316,14 +425,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where(F.size("anchors") > 0)
     )
     wanted = kept.where("id IS NOT NULL").join(per_id, "slot").where("NOT array_contains(copies, key)")
-    spans = wanted.select("id", "key", "text", "anchors").mapInArrow(_spans, _SPANS)
-
-    lead = F.expr(f"substring(content, offset + 1, {LENGTH})")
-    found = (
-        spans.repartitionByRange(max(1, buckets // 2), lead, F.col("id"), F.col("first"))
-        .mapInArrow(_sort_range, _FOUND)
-        .checkpoint()
-    )
+    spans = wanted.select("id", "key", "text", "anchors").mapInArrow(_spans(_splitters(known, size, ranges)), _SPANS)
+    found = spans.repartitionById(ranges, "range").mapInArrow(_sort_range, _FOUND).checkpoint()
     edge = found.where("anchor IS NOT NULL")
     least = edge.groupBy("anchor", "window").agg(F.min("id").alias("first_id"))
     across = edge.join(least, ["anchor", "window"]).where("id > first_id")
